@@ -32,13 +32,14 @@ def _n_buckets(df: DataFrame, buckets: int | None) -> int:
     return max(8, min(parts, MAX_BUCKETS))
 
 
-def with_position(df: DataFrame, keys: str | list[str], pos_col: str = "pos",
+def with_position(df: DataFrame, keys: str | list[str | Column], pos_col: str = "pos",
                   buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
     """Add ``pos_col``: the 0-based position of each row when ordered by ``keys``.
 
-    ``keys[0]`` must be numeric (integer, float, date or timestamp cast to seconds); the full
-    key list must be unique for the position to be well defined. Nulls in the leading key sort
-    first, as in Spark's ascending order.
+    ``keys[0]`` must be the name of a numeric column (integer, float, date or timestamp); later
+    keys are column names (ascending) or sort expressions such as ``F.col("term").desc()``. The
+    full key list must be unique for the position to be well defined. Nulls in the leading key
+    sort first, as in Spark's ascending order.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     lead = keys[0]
@@ -74,7 +75,7 @@ def with_position(df: DataFrame, keys: str | list[str], pos_col: str = "pos",
                                F.lit(0)))
                .drop("__kiln_n"))
 
-    order = [F.col(k).asc_nulls_first() for k in keys]
+    order = [F.col(k).asc_nulls_first() if isinstance(k, str) else k for k in keys]
     w = Window.partitionBy(bucket).orderBy(*order)
     return (bucketed.join(F.broadcast(offsets), bucket)
             .withColumn(pos_col, (F.row_number().over(w) - 1 + F.col("__kiln_off")).cast("bigint"))
