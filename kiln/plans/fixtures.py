@@ -135,3 +135,39 @@ docs AS (
   SELECT d.doc_id, d.text, d.lang, d.n_chars, l.quality, l.toxic
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
 """
+
+
+# ---------------------------------------------------------------------------------------------
+# Training-history stand-in: events with epoch = day (1-based), batch = position within the day
+# // 32, role = hashed 80/20 train/val, loss = value / 100, correct = value < 250.
+# ---------------------------------------------------------------------------------------------
+
+def events_history_rows(spark: SparkSession, sf_dir: str, batch_size: int = 32) -> DataFrame:
+    from kiln.operators.analyze import broadcast_if_small
+    from kiln.operators.position import hash_unit, with_position
+    ev = read(spark, sf_dir, "events").select("event_id", "ts", "value")
+    d0 = ev.agg(F.min(F.to_date("ts")).alias("__d0"))            # one row
+    ev = ev.crossJoin(F.broadcast(d0)).withColumn(
+        "epoch", (F.datediff(F.to_date("ts"), F.col("__d0")) + 1).cast("bigint")).drop("__d0")
+    # Position inside the day = global position in (ts, event_id) order minus the day's first
+    # position; the global index spreads a busy day over many tasks.
+    pos = with_position(ev, ["ts", "event_id"])
+    first = pos.groupBy("epoch").agg(F.min("pos").alias("__p0"))   # one row per day
+    return (pos.join(broadcast_if_small(first), "epoch")
+            .withColumn("batch", F.floor((F.col("pos") - F.col("__p0")) / batch_size).cast("bigint"))
+            .withColumn("role", F.when(hash_unit("event_id", 42) < 0.8, "train").otherwise("val"))
+            .withColumn("loss", F.col("value") / F.lit(100.0))
+            .withColumn("correct", (F.col("value") < 250).cast("int"))
+            .drop("__p0", "pos"))
+
+
+EVENTS_HISTORY_SQL = """
+ev AS (SELECT event_id, ts, value,
+              date_diff('day', (SELECT min(ts::DATE) FROM events), ts::DATE) + 1 AS epoch FROM events),
+evb AS (SELECT event_id, epoch, value,
+               (row_number() OVER (PARTITION BY epoch ORDER BY ts, event_id) - 1) // 32 AS batch,
+               CASE WHEN ('0x' || substr(md5(CAST(event_id AS VARCHAR) || '|42'), 1, 8))::BIGINT / 4294967296.0 < 0.8
+                    THEN 'train' ELSE 'val' END AS role,
+               value / 100.0 AS loss, CAST(value < 250 AS INTEGER) AS correct
+        FROM ev)
+"""
