@@ -1 +1,164 @@
-"""placeholder"""
+"""User-function surface queries."""
+
+from __future__ import annotations
+
+import re
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from kiln.operators import metrics as M
+from kiln.operators.analyze import analyze
+from kiln.operators.split import splits_of
+from kiln.operators.user import Callback, elementwise, route, row_parse, run_callbacks
+from kiln.plans.fixtures import ORDERS_SPLIT_SQL, LAPTOP_RAW_SQL, laptop_raw, orders_split, read
+from kiln.plans.q_features import SQLX
+from kiln.plans.q_metrics import PROBS_SQL, SINCE_BEST_SQL, history, scored
+from kiln.plans.registry import query
+
+
+# ------------------------------------------------------------------------------ user_preprocess
+
+def orders_fn(i, ctx):
+    """A user preprocessing function: z-scored price, priority id, top-50 clerk id."""
+    return {"price_z": ctx.zscore(i["o_totalprice"]),
+            "priority_id": ctx.vocab(i["o_orderpriority"]),
+            "clerk_id": ctx.vocab(i["o_clerk"], top_k=50)}
+
+
+@query("user_preprocess", "WITH " + ORDERS_SPLIT_SQL + """,
+st AS (SELECT avg(o_totalprice) AS m, stddev_pop(o_totalprice) AS s FROM osplit WHERE split = 'train'),
+vp AS (SELECT term, row_number() OVER (ORDER BY cnt DESC, term DESC) - 1 AS id FROM
+       (SELECT o_orderpriority AS term, count(*) AS cnt FROM osplit WHERE split = 'train' GROUP BY 1)),
+vc AS (SELECT term, row_number() OVER (ORDER BY cnt DESC, term DESC) - 1 AS id FROM
+       (SELECT o_clerk AS term, count(*) AS cnt FROM osplit WHERE split = 'train' GROUP BY 1
+        ORDER BY cnt DESC, term DESC LIMIT 50))
+SELECT o.o_orderkey, round((o.o_totalprice - st.m) / st.s, 6) AS price_z, coalesce(vp.id, -1) AS priority_id,
+       coalesce(vc.id, -1) AS clerk_id
+FROM osplit o CROSS JOIN st LEFT JOIN vp ON o.o_orderpriority = vp.term LEFT JOIN vc ON o.o_clerk = vc.term
+WHERE o.split = 'eval'""")
+def q_user_preprocess(spark, sf):
+    parts = splits_of(orders_split(spark, sf))
+    tf = analyze(parts["train"], orders_fn, keep=["o_orderkey"])
+    out = tf.apply(parts["eval"])
+    return out.select("o_orderkey", F.round("price_z", 6).alias("price_z"), "priority_id", "clerk_id")
+
+
+# ------------------------------------------------------------------------------ user_row_parse
+
+def split_lines(pdf: pd.DataFrame) -> pd.DataFrame:
+    """User row function: one output row per non-blank line of a conversation turn."""
+    rows = []
+    for conv_id, turn, text in zip(pdf["conv_id"], pdf["turn"], pdf["text"]):
+        for n, line in enumerate((text or "").split("\n"), start=1):
+            if line.strip(" "):
+                rows.append((conv_id, turn, n, line))
+    return pd.DataFrame(rows, columns=["conv_id", "turn", "line_no", "line"])
+
+
+@query("user_row_parse", """
+SELECT conv_id, turn, line_no, line FROM (
+  SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line,
+         CAST(generate_subscripts(string_split(text, chr(10)), 1) AS BIGINT) AS line_no FROM conversations)
+WHERE trim(line) <> ''""")
+def q_user_row_parse(spark, sf):
+    conv = read(spark, sf, "conversations").select("conv_id", "turn", "text")
+    return row_parse(conv, split_lines, "conv_id long, turn long, line_no long, line string")
+
+
+# ------------------------------------------------------------------------------ user_elementwise
+
+_PART_SPLIT = re.compile(r" \+ ")
+_NUM = re.compile(r"([0-9.]+)")
+
+
+def _storage_one(s: str) -> tuple[float, float, float]:
+    kinds = {"ssd": 0.0, "hdd": 0.0, "flash": 0.0}
+    for part in _PART_SPLIT.split((s or "").strip(" ").lower()):
+        m = _NUM.search(part)
+        try:
+            size = float(m.group(1)) if m else 0.0
+        except ValueError:
+            size = 0.0
+        size *= 1024.0 if "tb" in part else 1.0
+        for k in kinds:
+            if k in part:
+                kinds[k] += size
+    return kinds["ssd"], kinds["hdd"], kinds["flash"]
+
+
+def storage_udf(memory: pd.Series) -> pd.DataFrame:
+    """A user's vectorised storage parser with a declared struct output."""
+    vals = [_storage_one(s) for s in memory]
+    return pd.DataFrame(vals, columns=["ssd_gb", "hdd_gb", "flash_gb"])
+
+
+@query("user_elementwise", "WITH " + LAPTOP_RAW_SQL + f"""
+SELECT Unname, {SQLX['ssd']} AS ssd_gb, {SQLX['hdd']} AS hdd_gb, {SQLX['flash']} AS flash_gb FROM laptop""")
+def q_user_elementwise(spark, sf):
+    f = elementwise(storage_udf, "ssd_gb double, hdd_gb double, flash_gb double")
+    return laptop_raw(spark, sf).select("Unname", f("Memory").alias("s")).select("Unname", "s.*")
+
+
+# ------------------------------------------------------------------------------ user_partition
+
+def price_band(c):
+    return F.when(c["o_totalprice"] < 100000, 0).when(c["o_totalprice"] < 250000, 1).otherwise(2)
+
+
+@query("user_partition", """
+SELECT CASE WHEN o_totalprice < 100000 THEN 0 WHEN o_totalprice < 250000 THEN 1 ELSE 2 END AS route,
+       count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1""")
+def q_user_partition(spark, sf):
+    outs = route(read(spark, sf, "orders"), price_band, 3)
+    parts = [df.groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+             for df in outs.values()]
+    res = parts[0]
+    for p in parts[1:]:
+        res = res.unionByName(p)
+    return res
+
+
+# ------------------------------------------------------------------------------ user_metric
+
+RMSE_PER_CLASS = M.UserMetric(
+    name="rmse",
+    state={"sq": lambda: M.onehot_sq_error("probs", "label"), "n": lambda: F.lit(1.0)},
+    result=lambda s: F.sqrt(s["sq"] / s["n"]),
+)
+
+
+@query("user_metric", "WITH " + PROBS_SQL + """
+SELECT label, round(sqrt(sum(power(CASE WHEN j = label THEN 1.0 ELSE 0.0 END - prob, 2)) / count(DISTINCT vec_id)), 6) AS rmse
+FROM q GROUP BY label""")
+def q_user_metric(spark, sf):
+    r = RMSE_PER_CLASS.evaluate(scored(spark, sf), by=["label"])
+    return r.select("label", F.round("rmse", 6).alias("rmse"))
+
+
+# ------------------------------------------------------------------------------ user_callback
+
+class CheckpointOnBest(Callback):
+    name = "checkpoint"
+
+    def on_epoch_end(self, history):
+        return M.best_checkpoint(history, "epoch", "val_loss").select("epoch", F.col("val_loss").alias("value"))
+
+
+class StopOnPlateau(Callback):
+    name = "early_stop"
+
+    def on_epoch_end(self, history):
+        e = M.early_stop(history, "epoch", "val_loss", patience=2)
+        return e.where(F.col("stop_epoch").isNotNull()).select(F.col("stop_epoch").alias("epoch"),
+                                                               F.col("best_value").alias("value"))
+
+
+@query("user_callback", SINCE_BEST_SQL + """
+SELECT epoch, 'checkpoint' AS callback, round(val_loss, 6) AS value FROM h3 WHERE improved
+UNION ALL
+SELECT min(epoch), 'early_stop', round((SELECT min(val_loss) FROM hist), 6) FROM h3 WHERE since_best >= 2
+HAVING count(*) > 0""")
+def q_user_callback(spark, sf):
+    out = run_callbacks(history(spark, sf), [CheckpointOnBest(), StopOnPlateau()])
+    return out.select("epoch", "callback", F.round("value", 6).alias("value"))
