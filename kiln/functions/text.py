@@ -32,10 +32,15 @@ def word_index(df: DataFrame, text: str, num_words: int | None = None) -> DataFr
     return v.select("word", "count", (F.col("id") + 1).cast("bigint").alias("rank"))
 
 
-def encode(df: DataFrame, key: str, text: str, index: DataFrame, num_words: int, out: str = "sequence") -> DataFrame:
-    """Text → [START] + word ids (rank + 3, or OOV when rank + 3 >= num_words)."""
+def encode(df: DataFrame, key: str, text: str, index: DataFrame, num_words: int, out: str = "sequence",
+           index_rows: int | None = None) -> DataFrame:
+    """Text → [START] + word ids (rank + 3, or OOV when rank + 3 >= num_words).
+
+    ``index_rows`` is the index's known size (e.g. the cap it was built with); without it the
+    index is counted before deciding to broadcast it.
+    """
     toks = df.select(key, F.posexplode_outer(tokens(text)).alias("pos", "word"))
-    ids = broadcast_if_small(index.select("word", (F.col("rank") + INDEX_FROM).alias("wid")))
+    ids = broadcast_if_small(index.select("word", (F.col("rank") + INDEX_FROM).alias("wid")), known_rows=index_rows)
     j = toks.join(ids, "word", "left").withColumn(
         "id", F.when(F.col("pos").isNull(), F.lit(None))
         .when(F.col("wid").isNotNull() & (F.col("wid") < num_words), F.col("wid")).otherwise(F.lit(OOV)))
@@ -45,10 +50,11 @@ def encode(df: DataFrame, key: str, text: str, index: DataFrame, num_words: int,
                                         F.transform("__p", lambda s: s["id"].cast("bigint"))).alias(out))
 
 
-def decode(df: DataFrame, key: str, seq: str, index: DataFrame, out: str = "decoded") -> DataFrame:
+def decode(df: DataFrame, key: str, seq: str, index: DataFrame, out: str = "decoded",
+           index_rows: int | None = None) -> DataFrame:
     """Integer sequence → words joined by spaces; id i maps to the word of rank i-3, else '?'."""
     items = df.select(key, F.posexplode_outer(seq).alias("pos", "id"))
-    inv = broadcast_if_small(index.select((F.col("rank") + INDEX_FROM).alias("id"), "word"))
+    inv = broadcast_if_small(index.select((F.col("rank") + INDEX_FROM).alias("id"), "word"), known_rows=index_rows)
     j = items.join(inv, "id", "left").withColumn("word", F.coalesce("word", F.lit("?")))
     per_doc = j.groupBy(key).agg(
         F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "word")))).alias("__p"))

@@ -1,14 +1,18 @@
 """Array-column (vector) expressions: rescale, reshape, concatenate, standardise, score.
 
-All are higher-order SQL functions evaluated inside the row's task – no explode/regroup shuffle.
-Weights of a scoring layer enter the plan as literal arrays; their size is the layer's size, not
-the data's.
+Element-wise maps and reductions are higher-order SQL functions evaluated inside the row's task –
+no explode/regroup shuffle. Matrix products (scoring layers, dot products against a small set of
+vectors) and per-row standardisation run as NumPy kernels over Arrow batches: Spark's lambdas are
+interpreted per element, while one ``batch @ W`` per batch is vectorised. The weights shipped with
+a kernel are model-sized, not data-sized.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,39 +60,62 @@ def vec_mean(arr: Column | str) -> Column:
 
 
 def vec_std(arr: Column | str) -> Column:
+    """Population standard deviation over the vector, in one pass (sum and sum of squares)."""
     a = _c(arr)
-    m = vec_mean(a)
-    return F.sqrt(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + (x.cast("double") - m) * (x.cast("double") - m))
-                  / F.size(a))
+    acc0 = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q"))
+    n = F.size(a)
+    return F.aggregate(a, acc0,
+                       lambda acc, x: F.struct((acc["s"] + x.cast("double")).alias("s"),
+                                               (acc["q"] + x.cast("double") * x.cast("double")).alias("q")),
+                       lambda acc: F.sqrt(F.greatest(acc["q"] / n - (acc["s"] / n) * (acc["s"] / n), F.lit(0.0))))
 
 
 def vec_standardize_clip(arr: Column | str, scale: float = 64.0, center: float = 128.0) -> Column:
     """Centre and scale by the vector's own mean/std, ×64 +128, clip to 0..255, as integers.
 
     A vector whose values sum to 0 is left unscaled (only clipped), as an all-zero channel would be.
+    One NumPy pass per Arrow batch (per-row statistics are reused by every element).
     """
-    a = _c(arr)
-    m, sd = vec_mean(a), vec_std(a)
-    scaled = F.when(vec_sum(a) != 0, F.transform(a, lambda x: (x.cast("double") - m) / sd * scale + center)) \
-        .otherwise(F.transform(a, lambda x: x.cast("double")))
-    return F.transform(scaled, lambda x: F.least(F.greatest(x, F.lit(0.0)), F.lit(255.0)).cast("int"))
+    @F.pandas_udf("array<int>")
+    def _std_clip(col: pd.Series) -> pd.Series:
+        out = []
+        for v in col:
+            x = np.asarray(v, dtype=np.float64)
+            if x.sum() != 0:
+                x = (x - x.mean()) / x.std() * scale + center
+            out.append(np.trunc(np.clip(x, 0.0, 255.0)).astype(np.int32))
+        return pd.Series(out)
+    return _std_clip(_c(arr))
+
+
+def _matmul_udf(weights: np.ndarray, bias: np.ndarray, activation: str):
+    """Vectorised scoring kernel: stacks an Arrow batch of vectors and multiplies once."""
+    @F.pandas_udf("array<double>")
+    def _score(col: pd.Series) -> pd.Series:
+        if len(col) == 0:
+            return pd.Series([], dtype=object)
+        x = np.vstack([np.asarray(v, dtype=np.float64) for v in col])
+        z = x @ weights + bias
+        if activation == "relu":
+            z = np.maximum(z, 0.0)
+        elif activation == "sigmoid":
+            z = 1.0 / (1.0 + np.exp(-z))
+        elif activation == "softmax":
+            e = np.exp(z - z.max(axis=1, keepdims=True))
+            z = e / e.sum(axis=1, keepdims=True)
+        return pd.Series(list(z))
+    return _score
 
 
 def dense_forward(arr: Column | str, weights: list[list[float]], bias: list[float], activation: str = "linear") -> Column:
     """act(x · W + b) for one dense layer; ``weights`` is in_dim × out_dim (row-major lists).
 
-    Each output unit is one ``aggregate(zip_with(x, w_j))`` against a literal column of W. Softmax
-    subtracts the row maximum before exponentiating.
+    The layer (model-sized) ships with the function; each task multiplies a whole Arrow batch of
+    rows in one NumPy call. Softmax subtracts the row maximum before exponentiating.
     """
-    a = _c(arr)
-    out_dim = len(bias)
-    units = []
-    for j in range(out_dim):
-        wj = F.array(*[F.lit(float(weights[i][j])) for i in range(len(weights))])
-        dot = F.aggregate(F.zip_with(a, wj, lambda x, w: x.cast("double") * w), F.lit(0.0), lambda acc, v: acc + v)
-        units.append(dot + F.lit(float(bias[j])))
-    z = F.array(*units)
-    return activate(z, activation)
+    if activation not in ("linear", "relu", "sigmoid", "softmax"):
+        raise ValueError(activation)
+    return _matmul_udf(np.asarray(weights, dtype=np.float64), np.asarray(bias, dtype=np.float64), activation)(_c(arr))
 
 
 def activate(z: Column, activation: str) -> Column:
@@ -124,14 +151,10 @@ def one_hot(label: Column | str, k: int) -> Column:
 def dot_rows(df: DataFrame, vec: str, others: list[list[float]], out: str = "dots") -> DataFrame:
     """A·Bᵀ for a small B given as rows: one array of |B| dot products per row of A.
 
-    B enters as literal arrays (the caller checks its size), so no join or shuffle is needed.
+    B ships with the scoring function (the caller checks its size), so no join or shuffle is needed.
     """
-    cols = []
-    for b in others:
-        lit = F.array(*[F.lit(float(v)) for v in b])
-        cols.append(F.aggregate(F.zip_with(F.col(vec), lit, lambda x, w: x.cast("double") * w), F.lit(0.0),
-                                lambda acc, v: acc + v))
-    return df.withColumn(out, F.array(*cols))
+    b = np.asarray(others, dtype=np.float64)
+    return df.withColumn(out, _matmul_udf(b.T, np.zeros(b.shape[0]), "linear")(F.col(vec)))
 
 
 # ------------------------------------------------------------------------------ 2-D geometry

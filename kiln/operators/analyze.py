@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.operators.position import with_position
@@ -27,34 +27,77 @@ UNSEEN_ID = -1
 _PENDING = "__kiln_pending_"
 
 
+# Vocabularies up to this many terms are ranked with one window per vocabulary; larger ones
+# use the distributed position index.
+WINDOW_RANK_TERMS = 1_000_000
+
+
+def _rank(counts: DataFrame, term: str, size: int) -> DataFrame:
+    """ids 0.. by descending count, ties by term descending."""
+    if size <= WINDOW_RANK_TERMS:
+        w = Window.orderBy(F.col("count").desc(), F.col(term).desc())
+        return counts.withColumn("id", (F.row_number().over(w) - 1).cast("bigint"))
+    neg = "__kiln_neg"
+    return with_position(counts.withColumn(neg, -F.col("count")), [neg, F.col(term).desc()], pos_col="id").drop(neg)
+
+
 def vocab_build(df: DataFrame, col: Column | str, top_k: int | None = None, term: str = "term") -> DataFrame:
     """(term, count, id): distinct values by descending count, ties by term descending; ids from 0.
 
-    Counting is a partial aggregate (hot terms are combined map-side); with ``top_k`` a distributed
-    top-k keeps the table bounded; the ids come from the distributed position index, so a large
-    vocabulary is never ranked in one task.
+    Counting is a partial aggregate (hot terms are combined map-side). With ``top_k`` a distributed
+    top-k (each task keeps k rows) bounds the table, and the k rows are ranked directly. Without a
+    cap the counts are materialised once and ranked by the distributed position index when large.
     """
     c = F.col(col) if isinstance(col, str) else col
     counts = (df.select(c.alias(term)).where(F.col(term).isNotNull())
               .groupBy(term).agg(F.count(F.lit(1)).alias("count")))
     if top_k is not None:
-        counts = counts.orderBy(F.col("count").desc(), F.col(term).desc()).limit(int(top_k))
-    neg = "__kiln_neg"
-    ranked = with_position(counts.withColumn(neg, -F.col("count")), [neg, F.col(term).desc()], pos_col="id")
-    return ranked.select(term, "count", "id")
+        top = counts.orderBy(F.col("count").desc(), F.col(term).desc()).limit(int(top_k))
+        return _rank(top, term, int(top_k)).select(term, "count", "id")
+    counts = cut_lineage(counts)
+    return _rank(counts, term, counts.count()).select(term, "count", "id")
+
+
+def vocab_build_many(df: DataFrame, exprs: list[Column], top_ks: list[int | None]) -> list[tuple[DataFrame, int]]:
+    """Several vocabularies from ONE pass: melt (vocab index, term), one grouped count for all,
+    materialise the counts once, then rank each vocabulary. Returns (table, size) per vocabulary."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("v"), e.cast("string").alias("term")) for i, e in enumerate(exprs)])
+    counts = cut_lineage(df.select(F.inline(pairs)).where(F.col("term").isNotNull())
+                         .groupBy("v", "term").agg(F.count(F.lit(1)).alias("count")))
+    sizes = {r["v"]: r["n"] for r in counts.groupBy("v").agg(F.count(F.lit(1)).alias("n")).collect()}
+    out = []
+    small = [i for i in range(len(exprs)) if sizes.get(i, 0) <= WINDOW_RANK_TERMS]
+    ranked_small = None
+    if small:
+        w = Window.partitionBy("v").orderBy(F.col("count").desc(), F.col("term").desc())
+        ranked_small = cut_lineage(counts.where(F.col("v").isin(small))
+                                   .withColumn("id", (F.row_number().over(w) - 1).cast("bigint")))
+    for i, k in enumerate(top_ks):
+        n = sizes.get(i, 0)
+        if i in small:
+            t = ranked_small.where(F.col("v") == i).select("term", "count", "id")
+        else:
+            t = _rank(counts.where(F.col("v") == i).select("term", "count"), "term", n).select("term", "count", "id")
+        if k is not None:
+            t = t.where(F.col("id") < k)
+            n = min(n, k)
+        out.append((t, n))
+    return out
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_VOCAB_ROWS) -> DataFrame:
-    """Broadcast hint only after checking the size (a count over an already aggregated table)."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_VOCAB_ROWS, known_rows: int | None = None) -> DataFrame:
+    """Broadcast hint only after checking the size (a known bound, or a count over an already
+    aggregated table)."""
+    n = known_rows if known_rows is not None else df.count()
+    return F.broadcast(df) if n <= max_rows else df
 
 
 def vocab_apply(df: DataFrame, col: Column | str, vocab: DataFrame, out: str, default: int = UNSEEN_ID,
-                term: str = "term") -> DataFrame:
+                term: str = "term", vocab_rows: int | None = None) -> DataFrame:
     """Term → id with a left lookup join; unseen terms get ``default``."""
     key = "__kiln_vkey"
     c = F.col(col) if isinstance(col, str) else col
-    v = broadcast_if_small(vocab.select(F.col(term).alias(key), F.col("id").alias(out)))
+    v = broadcast_if_small(vocab.select(F.col(term).alias(key), F.col("id").alias(out)), known_rows=vocab_rows)
     return (df.withColumn(key, c).join(v, key, "left")
             .withColumn(out, F.coalesce(F.col(out), F.lit(default)).cast("bigint")).drop(key))
 
@@ -72,6 +115,7 @@ class _Analyzer:
     expr: Column | None = None
     top_k: int | None = None
     result: object = None     # (mean, std) | mean | vocab DataFrame
+    size: int | None = None   # vocabulary rows (known after analysis)
     resolved: bool = False
 
 
@@ -140,7 +184,8 @@ class Transform:
             if a.kind != "vocab":
                 continue
             key = f"__kiln_vocab_{idx}_key"
-            v = broadcast_if_small(a.result.select(F.col("term").alias(key), F.col("id").alias(f"__kiln_vocab_{idx}_id")))
+            v = broadcast_if_small(a.result.select(F.col("term").alias(key), F.col("id").alias(f"__kiln_vocab_{idx}_id")),
+                                   known_rows=a.size)
             cur = cur.withColumn(key, a.expr).join(v, key, "left")
         return cur.select(*[F.col(f"`{k}`") for k in self.keep], *[c.alias(name) for name, c in outputs.items()])
 
@@ -149,7 +194,7 @@ class Transform:
 
 
 def analyze(df: DataFrame, fn: Callable[[dict[str, Column], AnalyzeContext], dict[str, Column]],
-            keep: list[str] | None = None, max_passes: int = 8, materialize_vocab: bool = True) -> Transform:
+            keep: list[str] | None = None, max_passes: int = 8) -> Transform:
     """Run the analyzers of ``fn`` over ``df`` (the training rows) and return the frozen Transform."""
     ctx = AnalyzeContext()
     cols = {c: F.col(f"`{c}`") for c in df.columns}
@@ -171,11 +216,11 @@ def analyze(df: DataFrame, fn: Callable[[dict[str, Column], AnalyzeContext], dic
             for j, a in enumerate(numeric):
                 a.result = row[f"m{j}"] if a.kind == "mean" else (row[f"m{j}"], row[f"s{j}"])
                 a.resolved = True
-        for a in ready:
-            if a.kind == "vocab":
-                v = vocab_build(df, a.expr, a.top_k)
-                a.result = cut_lineage(v) if materialize_vocab else v
-                a.resolved = True
+        vocabs = [a for a in ready if a.kind == "vocab"]
+        if vocabs:
+            built = vocab_build_many(df, [a.expr for a in vocabs], [a.top_k for a in vocabs])
+            for a, (table, n) in zip(vocabs, built):
+                a.result, a.size, a.resolved = table, n, True
         if all(a.resolved for a in ctx.analyzers):
             break
     if not all(a.resolved for a in ctx.analyzers):

@@ -23,15 +23,20 @@ def split_sizes(n: int, train_fraction: float = 0.7) -> tuple[int, int, int]:
 
 
 def split_positional(df: DataFrame, key: str | list[str], train_fraction: float = 0.7,
-                     split_col: str = "split", pos_col: str = "pos") -> DataFrame:
+                     split_col: str = "split", pos_col: str = "pos", materialize: bool = False) -> DataFrame:
     """Tag rows 'train' / 'eval' / 'serving' by their position in ``key`` order.
 
     Sizes follow :func:`split_sizes`. The count is one scalar job; positions come from the
-    distributed index, so nothing is collected but the count and the cut points.
+    distributed index, so nothing is collected but the count and the cut points. With
+    ``materialize`` the tagged table is checkpointed to the shared folder, so the three parts read
+    it instead of each repeating the position shuffle.
     """
     positioned = with_position(df, key, pos_col=pos_col)
     n = df.count()
     train, ev, _ = split_sizes(n, train_fraction)
+    if materialize:
+        from kiln.session import cut_lineage
+        positioned = cut_lineage(positioned)
     return positioned.withColumn(
         split_col,
         F.when(F.col(pos_col) < train, "train")

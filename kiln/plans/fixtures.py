@@ -30,7 +30,7 @@ def orders_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority",
         F.concat(F.lit("Clerk#"), (F.col("o_custkey") % 1000).cast("string")).alias("o_clerk"))
-    t = split_positional(o, "o_orderkey")
+    t = split_positional(o, "o_orderkey", materialize=True)
     return t.withColumn(
         "o_orderpriority",
         F.when((F.col("split") != "train") & (F.col("o_orderkey") % 97 == 0), F.lit("6-UNKNOWN"))

@@ -40,7 +40,7 @@ def _index(spark, sf):
 
 def _encoded(spark, sf):
     docs = read(spark, sf, "documents").select("doc_id", "text")
-    return TX.encode(docs, "doc_id", "text", _index(spark, sf), NUM_WORDS)
+    return TX.encode(docs, "doc_id", "text", _index(spark, sf), NUM_WORDS, index_rows=NUM_WORDS)
 
 
 @query("word_index", "WITH " + WI_SQL + " SELECT word, count, rank FROM wi")
@@ -61,7 +61,7 @@ dec AS (SELECT d.doc_id, '? ' || coalesce(string_agg(CASE WHEN ids.id >= 3 THEN
         GROUP BY d.doc_id)
 SELECT doc_id, rtrim(decoded) AS decoded FROM dec""")
 def q_decode_tokens(spark, sf):
-    dec = TX.decode(_encoded(spark, sf), "doc_id", "sequence", _index(spark, sf))
+    dec = TX.decode(_encoded(spark, sf), "doc_id", "sequence", _index(spark, sf), index_rows=NUM_WORDS)
     return dec.select("doc_id", F.rtrim("decoded").alias("decoded"))
 
 
