@@ -1,12 +1,13 @@
 """Text → integer sequences and back, multi-hot sets.
 
 Tokenising is a SQL expression; the word index is a distributed count plus a bounded top-k;
-encoding explodes tokens, looks ids up with a (size-checked) broadcast join and regroups per
-document in token order. Sequences stay sparse: multi-hot is the sorted set of active indices.
+encoding maps each document's tokens through a bounded index inside its own task (Arrow batches),
+or – for an unbounded index – explodes tokens, joins and regroups per document in token order. Sequences stay sparse: multi-hot is the sorted set of active indices.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,15 +33,34 @@ def word_index(df: DataFrame, text: str, num_words: int | None = None) -> DataFr
     return v.select("word", "count", (F.col("id") + 1).cast("bigint").alias("rank"))
 
 
+# A word index up to this many entries is shipped to the tasks and looked up in place (no shuffle
+# of tokens); larger ones go through the explode → join → regroup path.
+IN_TASK_LOOKUP_MAX = 1_000_000
+
+
 def encode(df: DataFrame, key: str, text: str, index: DataFrame, num_words: int, out: str = "sequence",
            index_rows: int | None = None) -> DataFrame:
     """Text → [START] + word ids (rank + 3, or OOV when rank + 3 >= num_words).
 
-    ``index_rows`` is the index's known size (e.g. the cap it was built with); without it the
-    index is counted before deciding to broadcast it.
+    ``index_rows`` is the index's known size (e.g. the cap it was built with). A bounded index is
+    collected once (model-sized) and every task maps its rows' tokens through it, batch by batch,
+    so documents are never exploded and regrouped. Otherwise tokens are exploded, joined with the
+    index and regrouped per document in token order.
     """
+    n = index_rows if index_rows is not None else index.count()
+    if n <= IN_TASK_LOOKUP_MAX:
+        lookup = {r["word"]: int(r["rank"]) + INDEX_FROM for r in index.select("word", "rank").collect()}
+        lookup = {w: i for w, i in lookup.items() if i < num_words}
+
+        @F.pandas_udf("array<bigint>")
+        def _encode(col: pd.Series) -> pd.Series:
+            get = lookup.get
+            return pd.Series([[START] + [get(w, OOV) for w in toks] for toks in col])
+
+        return df.select(key, _encode(tokens(text)).alias(out))
+
     toks = df.select(key, F.posexplode_outer(tokens(text)).alias("pos", "word"))
-    ids = broadcast_if_small(index.select("word", (F.col("rank") + INDEX_FROM).alias("wid")), known_rows=index_rows)
+    ids = broadcast_if_small(index.select("word", (F.col("rank") + INDEX_FROM).alias("wid")), known_rows=n)
     j = toks.join(ids, "word", "left").withColumn(
         "id", F.when(F.col("pos").isNull(), F.lit(None))
         .when(F.col("wid").isNotNull() & (F.col("wid") < num_words), F.col("wid")).otherwise(F.lit(OOV)))
@@ -53,8 +73,19 @@ def encode(df: DataFrame, key: str, text: str, index: DataFrame, num_words: int,
 def decode(df: DataFrame, key: str, seq: str, index: DataFrame, out: str = "decoded",
            index_rows: int | None = None) -> DataFrame:
     """Integer sequence → words joined by spaces; id i maps to the word of rank i-3, else '?'."""
+    n = index_rows if index_rows is not None else index.count()
+    if n <= IN_TASK_LOOKUP_MAX:
+        inverse = {int(r["rank"]) + INDEX_FROM: r["word"] for r in index.select("word", "rank").collect()}
+
+        @F.pandas_udf("string")
+        def _decode(col: pd.Series) -> pd.Series:
+            get = inverse.get
+            return pd.Series([" ".join(get(int(i), "?") for i in ids) for ids in col])
+
+        return df.select(key, _decode(F.col(seq)).alias(out))
+
     items = df.select(key, F.posexplode_outer(seq).alias("pos", "id"))
-    inv = broadcast_if_small(index.select((F.col("rank") + INDEX_FROM).alias("id"), "word"), known_rows=index_rows)
+    inv = broadcast_if_small(index.select((F.col("rank") + INDEX_FROM).alias("id"), "word"), known_rows=n)
     j = items.join(inv, "id", "left").withColumn("word", F.coalesce("word", F.lit("?")))
     per_doc = j.groupBy(key).agg(
         F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "word")))).alias("__p"))
