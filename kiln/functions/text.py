@@ -59,15 +59,18 @@ def encode(df: DataFrame, key: str, text: str, index: DataFrame, num_words: int,
 
         return df.select(key, _encode(tokens(text)).alias(out))
 
-    toks = df.select(key, F.posexplode_outer(tokens(text)).alias("pos", "word"))
-    ids = broadcast_if_small(index.select("word", (F.col("rank") + INDEX_FROM).alias("wid")), known_rows=n)
-    j = toks.join(ids, "word", "left").withColumn(
-        "id", F.when(F.col("pos").isNull(), F.lit(None))
-        .when(F.col("wid").isNotNull() & (F.col("wid") < num_words), F.col("wid")).otherwise(F.lit(OOV)))
+    pos, word, wid, tid = "__kiln_pos", "__kiln_word", "__kiln_wid", "__kiln_tid"
+    toks = df.select(key, F.posexplode_outer(tokens(text)).alias(pos, word))
+    ids = broadcast_if_small(index.select(F.col("word").alias(word), (F.col("rank") + INDEX_FROM).alias(wid)),
+                             known_rows=n)
+    j = toks.join(ids, word, "left").withColumn(
+        tid, F.when(F.col(pos).isNull(), F.lit(None))
+        .when(F.col(wid).isNotNull() & (F.col(wid) < num_words), F.col(wid)).otherwise(F.lit(OOV)))
     per_doc = j.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "id")))).alias("__p"))
+        F.array_sort(F.collect_list(F.when(F.col(pos).isNotNull(),
+                                           F.struct(F.col(pos).alias("p"), F.col(tid).alias("i"))))).alias("__p"))
     return per_doc.select(key, F.concat(F.array(F.lit(START).cast("bigint")),
-                                        F.transform("__p", lambda s: s["id"].cast("bigint"))).alias(out))
+                                        F.transform("__p", lambda s: s["i"].cast("bigint"))).alias(out))
 
 
 def decode(df: DataFrame, key: str, seq: str, index: DataFrame, out: str = "decoded",
@@ -84,12 +87,16 @@ def decode(df: DataFrame, key: str, seq: str, index: DataFrame, out: str = "deco
 
         return df.select(key, _decode(F.col(seq)).alias(out))
 
-    items = df.select(key, F.posexplode_outer(seq).alias("pos", "id"))
-    inv = broadcast_if_small(index.select((F.col("rank") + INDEX_FROM).alias("id"), "word"), known_rows=n)
-    j = items.join(inv, "id", "left").withColumn("word", F.coalesce("word", F.lit("?")))
+    pos, tid, word = "__kiln_pos", "__kiln_tid", "__kiln_word"
+    items = df.select(key, F.posexplode_outer(seq).alias(pos, tid))
+    inv = broadcast_if_small(index.select((F.col("rank") + INDEX_FROM).alias(tid), F.col("word").alias(word)),
+                             known_rows=n)
+    j = items.join(inv, tid, "left").withColumn(word, F.coalesce(word, F.lit("?")))
     per_doc = j.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "word")))).alias("__p"))
-    return per_doc.select(key, F.array_join(F.transform("__p", lambda s: s["word"]), " ").alias(out))
+        F.array_sort(F.collect_list(F.when(F.col(pos).isNotNull(),
+                                           F.struct(F.col(pos).alias("p"), F.col(word).alias("w"))))).alias("__p"))
+    return per_doc.select(key, F.coalesce(F.array_join(F.transform("__p", lambda s: s["w"]), " "), F.lit(""))
+                          .alias(out))
 
 
 def multi_hot(seq: Column | str) -> Column:

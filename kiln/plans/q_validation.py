@@ -191,7 +191,7 @@ FEATS_SQL = """
 feats AS (
   SELECT feature, ordinal, type,
          CASE WHEN type = 'BYTES' AND d <= 100 AND d > 0 THEN feature END AS domain,
-         CASE WHEN missing = 0 THEN 1.0 ELSE 0.0 END AS min_fraction, 1::BIGINT AS min_count
+         CASE WHEN missing = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS min_fraction, 1::BIGINT AS min_count
   FROM (
     SELECT 'o_custkey' AS feature, 0 AS ordinal, 'INT' AS type, NULL::BIGINT AS d,
            count(*) FILTER (WHERE o_custkey IS NULL) AS missing FROM osplit WHERE split = 'train'
@@ -285,7 +285,7 @@ def q_validate_domain(spark, sf):
 j AS (SELECT sf.feature, sf.value, sf.count,
              CASE WHEN EXISTS (SELECT 1 FROM doms WHERE doms.domain = feats.domain AND doms.value = sf.value)
                   THEN 1 ELSE 0 END AS inside,
-             CASE WHEN sf.feature = 'o_orderpriority' THEN 0.9 ELSE 1.0 END AS min_domain_mass
+             CASE WHEN sf.feature = 'o_orderpriority' THEN 0.9::DOUBLE ELSE 1.0::DOUBLE END AS min_domain_mass
       FROM sf JOIN feats ON sf.feature = feats.feature WHERE feats.domain IS NOT NULL
         AND sf.feature <> 'o_orderstatus')
 SELECT feature, min_domain_mass, round(sum(CASE WHEN inside = 1 THEN count ELSE 0 END) / sum(count), 6) AS in_domain,
@@ -369,7 +369,7 @@ thr AS (SELECT * FROM (VALUES {thr}) t(feature, threshold))
 
 
 @query("skew_linf", W + ", " + _freq_cte("tf", "train") + ", " + _freq_cte("sv", "serving") + ", "
-       + _linf_sql("tf", "sv", ["o_orderpriority", "o_clerk"], "('o_orderpriority', 0.03), ('o_clerk', 0.002)") + """
+       + _linf_sql("tf", "sv", ["o_orderpriority", "o_clerk"], "('o_orderpriority', 0.03::DOUBLE), ('o_clerk', 0.002::DOUBLE)") + """
 SELECT r.feature, round(d, 6) AS distance, value AS at_value, thr.threshold, 'SKEW' AS anomaly,
        d > thr.threshold AS is_anomaly
 FROM r JOIN thr ON r.feature = thr.feature WHERE rk = 1""")
@@ -395,7 +395,7 @@ j AS (SELECT pairs.span, pairs.prev, pairs.value,
       WHERE a.p IS NOT NULL OR b.p IS NOT NULL),
 r AS (SELECT *, row_number() OVER (PARTITION BY span ORDER BY d DESC, value) AS rk FROM j)
 SELECT span, prev AS previous_span, 'event_type' AS feature, round(d, 6) AS distance, value AS at_value,
-       0.03 AS threshold, d > 0.03 AS is_anomaly
+       0.03::DOUBLE AS threshold, d > 0.03 AS is_anomaly
 FROM r WHERE rk = 1""")
 def q_drift_linf(spark, sf):
     ev = read(spark, sf, "events").select(F.to_date("ts").cast("string").alias("span"), "event_type")
