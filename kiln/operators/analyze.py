@@ -38,7 +38,7 @@ def _rank(counts: DataFrame, term: str, size: int) -> DataFrame:
         w = Window.orderBy(F.col("count").desc(), F.col(term).desc())
         return counts.withColumn("id", (F.row_number().over(w) - 1).cast("bigint"))
     neg = "__kiln_neg"
-    return with_position(counts.withColumn(neg, -F.col("count")), [neg, F.col(term).desc()], pos_col="id").drop(neg)
+    return with_position(counts.withColumn(neg, -F.col("count")), [neg, (term, "desc")], pos_col="id").drop(neg)
 
 
 def vocab_build(df: DataFrame, col: Column | str, top_k: int | None = None, term: str = "term") -> DataFrame:

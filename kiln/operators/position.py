@@ -1,85 +1,143 @@
 """Exact row positions without pulling the table into one task.
 
 A global ``row_number()`` (a window with no partition) moves every row to a single task.
-Here the position comes from three small jobs and one shuffle:
-
-1. cut points of the leading order column from ONE ``percentile_approx`` aggregate
-   (only the cut values, a bounded list, reach the driver);
-2. every row gets the interval it falls in (``Bucketizer``, a JVM binary search);
-3. rows per interval (a partial aggregate) → running offsets on that tiny table;
-4. ``row_number`` within ``partitionBy(interval).orderBy(keys)`` plus the broadcast offset.
-
-The result equals a global ``row_number() - 1`` whenever ``keys`` is a total order (unique),
+Here the position comes from small jobs and one shuffle:
+
+1. cut points of the leading order key from ONE ``percentile_approx`` aggregate (only the cut
+   values, a bounded list, reach the driver);
+2. a leading value that fills more than one interval (it repeats among the cut points – a hot
+   key) is split again by the second key: one more ``percentile_approx`` over just those rows;
+3. every row gets its interval (``Bucketizer``, a JVM binary search, plus the sub-interval for
+   hot values);
+4. rows per interval (a partial aggregate) → running offsets on that tiny table;
+5. ``row_number`` within ``partitionBy(interval).orderBy(keys)`` plus the broadcast offset.
+
+Keys are numeric, temporal or strings; strings are cut on an order-preserving numeric prefix of
+their bytes. The result equals a global ``row_number() - 1`` whenever the keys form a total order,
 whatever cut points the sketch returns, so repeated runs give the same positions.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Hard cap on the number of intervals. The offsets table has one row per interval, so this is
-# also the proven size bound of the broadcast side in step 4.
+# also the proven size bound of the broadcast side in step 5.
 MAX_BUCKETS = 65536
+# Hot leading values split into at most this many sub-intervals each.
+MAX_SUB_BUCKETS = 1024
+
+KeySpec = str | tuple[str, str]
 
 
 def _n_buckets(df: DataFrame, buckets: int | None) -> int:
     if buckets:
         return max(1, min(int(buckets), MAX_BUCKETS))
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     return max(8, min(parts, MAX_BUCKETS))
 
 
-def with_position(df: DataFrame, keys: str | list[str | Column], pos_col: str = "pos",
+def _spec(k: KeySpec) -> tuple[str, bool]:
+    if isinstance(k, str):
+        return k, False
+    name, direction = k
+    return name, direction.lower() == "desc"
+
+
+def order_proxy(df: DataFrame, name: str, desc: bool = False) -> Column:
+    """A double that never decreases along the sort order of ``name`` (ties allowed).
+
+    Numbers and times map to themselves; strings to the first 7 bytes read as a big-endian
+    integer (shorter strings are zero-padded, which keeps prefixes first, as in byte order).
+    Nulls go first for ascending and last for descending order, like Spark's defaults.
+    """
+    dt = df.schema[name].dataType
+    c = F.col(f"`{name}`")
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        v = F.unix_micros(c.cast("timestamp")).cast("double")
+    elif isinstance(dt, T.DateType):
+        v = F.unix_date(c).cast("double")
+    elif isinstance(dt, (T.StringType, T.BinaryType)):
+        v = F.conv(F.rpad(F.substring(F.hex(c), 1, 14), 14, "0"), 16, 10).cast("double")
+    else:
+        v = c.cast("double")
+    if desc:
+        return F.coalesce(-v, F.lit(float("inf")))
+    return F.coalesce(v, F.lit(float("-inf")))
+
+
+def _order(k: KeySpec) -> Column:
+    name, desc = _spec(k)
+    return F.col(f"`{name}`").desc_nulls_last() if desc else F.col(f"`{name}`").asc_nulls_first()
+
+
+def with_position(df: DataFrame, keys: KeySpec | list[KeySpec], pos_col: str = "pos",
                   buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
     """Add ``pos_col``: the 0-based position of each row when ordered by ``keys``.
 
-    ``keys[0]`` must be the name of a numeric column (integer, float, date or timestamp); later
-    keys are column names (ascending) or sort expressions such as ``F.col("term").desc()``. The
-    full key list must be unique for the position to be well defined. Nulls in the leading key
-    sort first, as in Spark's ascending order.
+    ``keys`` are column names (ascending) or ``(name, "desc")`` pairs; together they must be
+    unique for the position to be well defined.
     """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    lead = keys[0]
+    keys = [keys] if isinstance(keys, (str, tuple)) else list(keys)
     nb = _n_buckets(df, buckets)
-    lead_d = "__kiln_lead"
-    bucket = "__kiln_bucket"
-
-    lead_col = F.col(lead)
-    dtype = df.schema[lead].dataType.typeName()
-    if dtype in ("timestamp", "timestamp_ntz", "date"):
-        lead_col = F.unix_micros(F.col(lead).cast("timestamp")) if dtype != "date" else F.unix_date(F.col(lead))
-    keyed = df.withColumn(lead_d, lead_col.cast("double"))
+    p1, p2, b1, b2 = "__kiln_p1", "__kiln_p2", "__kiln_b1", "__kiln_b2"
 
-    cuts: list[float] = []
+    lead, lead_desc = _spec(keys[0])
+    keyed = df.withColumn(p1, order_proxy(df, lead, lead_desc))
+    cuts_all: list[float] = []
     if nb > 1:
         probs = [i / nb for i in range(1, nb)]
-        row = keyed.agg(F.percentile_approx(lead_d, probs, accuracy).alias("c")).first()
-        cuts = sorted({float(x) for x in (row["c"] or []) if x is not None})
-    splits = [float("-inf")] + cuts + [float("inf")]
+        row = keyed.agg(F.percentile_approx(p1, probs, accuracy).alias("c")).first()
+        cuts_all = [float(x) for x in (row["c"] or []) if x is not None]
+    cuts = sorted(set(cuts_all))
+    splits = [float("-inf")] + [c for c in cuts if c not in (float("-inf"), float("inf"))] + [float("inf")]
     if len(splits) < 3:
         splits = [float("-inf"), 0.0, float("inf")]
-
-    filled = keyed.withColumn(lead_d, F.coalesce(F.col(lead_d), F.lit(float("-inf"))))
-    bucketed = Bucketizer(splits=splits, inputCol=lead_d, outputCol=bucket,
-                          handleInvalid="keep").transform(filled)
-    bucketed = bucketed.withColumn(bucket, F.col(bucket).cast("int")).drop(lead_d)
-
-    # Offsets: one row per interval (<= MAX_BUCKETS rows), running sum over a tiny table.
-    offsets = (bucketed.groupBy(bucket).agg(F.count(F.lit(1)).alias("__kiln_n"))
+    bucketed = Bucketizer(splits=splits, inputCol=p1, outputCol=b1, handleInvalid="keep").transform(keyed)
+    bucketed = bucketed.withColumn(b1, F.col(b1).cast("int"))
+
+    # Hot leading values: a value repeated among the cut points holds more than one interval's rows.
+    # Only for leads whose proxy is exact (numbers, times): rows equal to the hot value are then
+    # exactly the rows with that proxy, and they are cut again on the second key. Other rows of the
+    # same interval lie above the hot value and are placed after all of its sub-intervals.
+    after = F.lit(MAX_SUB_BUCKETS + 1)
+    sub = after
+    lead_type = df.schema[lead].dataType
+    exact = not isinstance(lead_type, (T.StringType, T.BinaryType))
+    hot = {v: n for v, n in Counter(cuts_all).items() if n >= 2 and abs(v) <= 2.0 ** 53}
+    if hot and exact and len(keys) > 1:
+        second, second_desc = _spec(keys[1])
+        bucketed = bucketed.withColumn(p2, order_proxy(df, second, second_desc))
+        k = min(max(hot.values()) + 1, MAX_SUB_BUCKETS)
+        probs2 = [i / k for i in range(1, k)]
+        rows = (bucketed.where(F.col(p1).isin(list(hot)))
+                .groupBy(p1).agg(F.percentile_approx(p2, probs2, accuracy).alias("c"))
+                .collect())                     # one row per hot value (< nb), bounded cut lists
+        cases = None
+        for r in rows:
+            sub_cuts = sorted({float(x) for x in (r["c"] or []) if x is not None})
+            n_le = F.size(F.filter(F.array(*[F.lit(c) for c in sub_cuts]), lambda c: c <= F.col(p2)))
+            cond = F.col(p1) == F.lit(r[p1])
+            cases = F.when(cond, n_le) if cases is None else cases.when(cond, n_le)
+        if cases is not None:
+            sub = cases.otherwise(after)
+    bucketed = bucketed.withColumn(b2, sub.cast("int")).drop(p1, p2)
+
+    # Offsets: one row per (interval, sub-interval) – bounded – running sum over a tiny table.
+    offsets = (bucketed.groupBy(b1, b2).agg(F.count(F.lit(1)).alias("__kiln_n"))
                .withColumn("__kiln_off",
                            F.coalesce(F.sum("__kiln_n").over(
-                               Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)),
-                               F.lit(0)))
+                               Window.orderBy(b1, b2).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                .drop("__kiln_n"))
-
-    order = [F.col(k).asc_nulls_first() if isinstance(k, str) else k for k in keys]
-    w = Window.partitionBy(bucket).orderBy(*order)
-    return (bucketed.join(F.broadcast(offsets), bucket)
+    w = Window.partitionBy(b1, b2).orderBy(*[_order(k) for k in keys])
+    return (bucketed.join(F.broadcast(offsets), [b1, b2])
             .withColumn(pos_col, (F.row_number().over(w) - 1 + F.col("__kiln_off")).cast("bigint"))
-            .drop(bucket, "__kiln_off"))
+            .drop(b1, b2, "__kiln_off"))
 
 
 def hash_unit(key: Column | str, seed: int = 42) -> Column:

@@ -52,6 +52,24 @@ def test_position_index_hot_leading_value(spark):
     assert p.join(g, ["k", "t"]).where(F.col("pos") != F.col("g")).count() == 0
 
 
+def test_position_index_hot_value_is_split(spark):
+    # one leading value holds half the rows; its rows must spread over several intervals
+    df = spark.range(0, 4000).select(F.when(F.col("id") % 2 == 0, F.lit(5)).otherwise(F.col("id")).alias("k"),
+                                     (F.lit(10000) - F.col("id")).alias("t"))
+    p = with_position(df, ["k", ("t", "desc")], buckets=16)
+    g = df.withColumn("g", F.row_number().over(Window.orderBy(F.col("k"), F.col("t").desc())) - 1)
+    assert p.join(g, ["k", "t"]).where(F.col("pos") != F.col("g")).count() == 0
+
+
+def test_position_index_string_keys(spark):
+    words = ["b", "a", "ab", "abc", "ba", "", "zz", "a\u00e9", "\u00e9", "abcdefghij", "abcdefghik"]
+    df = spark.createDataFrame([(w, i % 3) for i, w in enumerate(words)], "w string, c long")
+    p = {r["w"]: r["pos"] for r in with_position(df, [("c", "desc"), ("w", "desc")], buckets=4).collect()}
+    want = [w for _, w in sorted(((-(i % 3), w) for i, w in enumerate(words)),
+                                 key=lambda t: (t[0], [-b for b in t[1].encode()] + [1]))]
+    assert [w for w, _ in sorted(p.items(), key=lambda kv: kv[1])] == want
+
+
 def test_split_positional_parts_disjoint_and_complete(spark):
     df = spark.range(0, 1001).withColumnRenamed("id", "key")
     t = split_positional(df, "key")
