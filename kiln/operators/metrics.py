@@ -121,10 +121,10 @@ def early_stop(history: DataFrame, epoch: str, monitor: str = "val_loss", patien
     (lower is better); null when it never triggers. Also the best epoch and value.
     Ties on the monitored value keep the earlier epoch as best."""
     flagged = _since_best(history, epoch, monitor)
-    stop = flagged.where(F.col("epochs_since_best") >= patience).agg(F.min(epoch).alias("stop_epoch"))
-    best = history.agg(F.min_by(epoch, F.struct(F.col(monitor), F.col(epoch))).alias("best_epoch"),
-                       F.min(monitor).alias("best_value"))
-    return stop.crossJoin(best)
+    return flagged.agg(
+        F.min(F.when(F.col("epochs_since_best") >= patience, F.col(epoch))).alias("stop_epoch"),
+        F.min_by(epoch, F.struct(F.col(monitor), F.col(epoch))).alias("best_epoch"),
+        F.min(monitor).alias("best_value"))
 
 
 def _since_best(history: DataFrame, epoch: str, monitor: str) -> DataFrame:

@@ -77,7 +77,20 @@ def infer_schema(prof: dict[str, DataFrame], max_domain: int = MAX_DOMAIN,
     small = features.where(F.col("domain").isNotNull()).select("feature", "domain")
     domains = (prof["freq"].join(F.broadcast(small), "feature")
                .select("domain", "value").distinct())
-    return Schema(features, domains)
+    return freeze(Schema(features, domains))
+
+
+def freeze(schema: Schema) -> Schema:
+    """Bring the schema tables to the driver and back as local tables.
+
+    Both are metadata-sized: one row per feature, and at most ``max_domain`` values per domain.
+    Later edits and every validation join then start from these small local relations instead
+    of re-deriving them from the profile.
+    """
+    spark = schema.features.sparkSession
+    f = spark.createDataFrame(schema.features.collect(), schema.features.schema)
+    d = spark.createDataFrame(schema.domains.collect(), schema.domains.schema)
+    return Schema(f, d, schema.default_environments)
 
 
 def schema_summary(schema: Schema) -> DataFrame:
@@ -94,16 +107,22 @@ def domain_get(schema: Schema, feature: str) -> DataFrame:
 def domain_append(schema: Schema, feature: str, values: list[str]) -> Schema:
     """Add values to the feature's domain; values already there are not repeated."""
     spark = schema.features.sparkSession
-    dom = schema.features.where(F.col("feature") == feature).select("domain")
-    new = spark.createDataFrame([(v,) for v in values], "value string").crossJoin(F.broadcast(dom))
-    return replace(schema, domains=schema.domains.unionByName(new.select("domain", "value")).distinct())
+    dom = _domain_name(schema, feature)
+    new = spark.createDataFrame([(dom, v) for v in values], "domain string, value string")
+    return replace(schema, domains=schema.domains.unionByName(new).distinct())
+
+
+def _domain_name(schema: Schema, feature: str) -> str | None:
+    """The feature's domain name (one value from the metadata-sized features table)."""
+    row = schema.features.where(F.col("feature") == feature).select("domain").first()
+    return row["domain"] if row else None
 
 
 def domain_share(schema: Schema, features: list[str], domain_of: str) -> Schema:
     """Point ``features`` at the domain currently used by feature ``domain_of``."""
-    target = schema.features.where(F.col("feature") == domain_of).select(F.col("domain").alias("__d"))
-    f = schema.features.crossJoin(F.broadcast(target)).withColumn(
-        "domain", F.when(F.col("feature").isin(features), F.col("__d")).otherwise(F.col("domain"))).drop("__d")
+    target = _domain_name(schema, domain_of)
+    f = schema.features.withColumn(
+        "domain", F.when(F.col("feature").isin(features), F.lit(target)).otherwise(F.col("domain")))
     return replace(schema, features=f.select(*FEATURE_COLS))
 
 

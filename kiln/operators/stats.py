@@ -85,42 +85,55 @@ def stats_value_freq(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
             .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("count")))
 
 
-def stats_string(df: DataFrame, cols: list[str] | None = None, freq: DataFrame | None = None) -> DataFrame:
+def value_counts_with_missing(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(feature, value, count) including one null-value row per feature for its missing cells:
+    a single grouped count gives frequencies, missing counts and row counts."""
+    cols = string_columns(df, cols)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "feature string, value string, count bigint")
+    return melt_strings(df, cols).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("count"))
+
+
+def stats_string(df: DataFrame, cols: list[str] | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Per string feature: count, missing, distinct, avg_length, top value, top frequency.
 
-    Ties for the top value go to the smallest value (byte order).
+    Computed from :func:`value_counts_with_missing` (no other pass over the rows). Ties for the
+    top value go to the smallest value (byte order).
     """
     cols = string_columns(df, cols or df.columns)
-    freq = freq if freq is not None else stats_value_freq(df, cols)
-    per = freq.groupBy("feature").agg(
-        F.sum("count").cast("bigint").alias("count"),
-        F.count(F.lit(1)).cast("bigint").alias("distinct"),
-        (F.sum(F.col("count") * F.length("value")) / F.sum("count")).alias("avg_length"),
-        F.min_by("value", F.struct((-F.col("count")).alias("nc"), F.col("value").alias("v"))).alias("top"),
-        F.max("count").cast("bigint").alias("top_freq"))
-    total = df.agg(F.count(F.lit(1)).alias("n"))
+    counts = counts if counts is not None else value_counts_with_missing(df, cols)
+    present = F.col("value").isNotNull()
+    per = counts.groupBy("feature").agg(
+        F.sum(F.when(present, F.col("count")).otherwise(0)).cast("bigint").alias("count"),
+        F.sum(F.when(~present, F.col("count")).otherwise(0)).cast("bigint").alias("missing"),
+        F.count_if(present).cast("bigint").alias("distinct"),
+        (F.sum(F.when(present, F.col("count") * F.length("value"))) /
+         F.sum(F.when(present, F.col("count")))).alias("avg_length"),
+        F.min_by(F.when(present, F.col("value")),
+                 F.when(present, F.struct((-F.col("count")).alias("nc"), F.col("value").alias("v")))).alias("top"),
+        F.max(F.when(present, F.col("count"))).cast("bigint").alias("top_freq"))
     names = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(cols)], "feature string, ordinal int")
-    return (F.broadcast(names).join(per, "feature", "left").crossJoin(F.broadcast(total))
+    return (F.broadcast(names).join(per, "feature", "left")
             .select("feature", "ordinal", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
-                    (F.col("n") - F.coalesce("count", F.lit(0))).cast("bigint").alias("missing"),
+                    F.coalesce("missing", F.lit(0)).cast("bigint").alias("missing"),
                     F.coalesce("distinct", F.lit(0)).cast("bigint").alias("distinct"),
                     "avg_length", "top", "top_freq"))
 
 
 def stats_histogram(df: DataFrame, col: str, buckets: int = 10) -> DataFrame:
-    """Equal-width histogram: min/max pass, then ``width_bucket`` and a group count.
-
-    Bucket i covers [min + i*w, min + (i+1)*w); the maximum falls into the last bucket.
+    """Equal-width histogram: a min/max pass (one row to the driver), then a bucket index and a
+    group count. Bucket i covers [min + i*w, min + (i+1)*w); the maximum falls into the last one.
     """
     x = F.col(q(col)).cast("double")
-    bounds = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
-    b = (F.when(F.col("hi") == F.col("lo"), F.lit(0))
-         .otherwise(F.least(F.floor((x - F.col("lo")) * buckets / (F.col("hi") - F.col("lo"))), F.lit(buckets - 1))))
-    return (df.where(x.isNotNull()).crossJoin(F.broadcast(bounds))
-            .groupBy(b.cast("int").alias("bucket"), "lo", "hi").agg(F.count(F.lit(1)).alias("count"))
+    lo, hi = df.agg(F.min(x), F.max(x)).first()
+    if lo is None:
+        return df.sparkSession.createDataFrame([], "feature string, bucket int, low double, high double, count bigint")
+    lo_c, hi_c = F.lit(float(lo)), F.lit(float(hi))
+    b = (F.lit(0) if hi == lo else F.least(F.floor((x - lo_c) * buckets / (hi_c - lo_c)), F.lit(buckets - 1)))
+    return (df.where(x.isNotNull()).groupBy(b.cast("int").alias("bucket")).agg(F.count(F.lit(1)).alias("count"))
             .select(F.lit(col).alias("feature"), "bucket",
-                    (F.col("lo") + F.col("bucket") * (F.col("hi") - F.col("lo")) / buckets).alias("low"),
-                    (F.col("lo") + (F.col("bucket") + 1) * (F.col("hi") - F.col("lo")) / buckets).alias("high"),
+                    (lo_c + F.col("bucket") * (hi_c - lo_c) / buckets).alias("low"),
+                    (lo_c + (F.col("bucket") + 1) * (hi_c - lo_c) / buckets).alias("high"),
                     "count"))
 
 
@@ -139,16 +152,27 @@ def stats_summary(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def profile(df: DataFrame, allow: list[str] | None = None, remove: set[str] | None = None,
-            accuracy: int = 10000) -> dict[str, DataFrame]:
-    """Profile a table: numeric stats, string stats and the string value frequencies."""
+            accuracy: int = 10000, materialize: bool = True) -> dict[str, DataFrame]:
+    """Profile a table: numeric stats, string stats and the string value frequencies.
+
+    Two aggregates read the rows – one for all numeric features, one grouped count of the melted
+    string features (missing cells included). With ``materialize`` both results, which are
+    statistics-sized, are checkpointed to the shared folder, so every later rule, comparison and
+    schema step reads those small tables instead of repeating a pass over the data.
+    """
+    from kiln.session import cut_lineage
     cols = allowed(df, allow, remove)
     nums = numeric_columns(df, cols)
     strs = string_columns(df, cols)
-    freq = stats_value_freq(df, strs)
+    numeric = stats_numeric(df, nums, accuracy) if nums else None
+    counts = value_counts_with_missing(df, strs)
+    if materialize:
+        numeric = cut_lineage(numeric) if numeric is not None else None
+        counts = cut_lineage(counts) if strs else counts
     return {
-        "numeric": stats_numeric(df, nums, accuracy) if nums else None,
-        "string": stats_string(df, strs, freq) if strs else None,
-        "freq": freq,
+        "numeric": numeric,
+        "string": stats_string(df, strs, counts) if strs else None,
+        "freq": counts.where(F.col("value").isNotNull()),
         "features": df.sparkSession.createDataFrame(  # one row per profiled feature (small)
             [(c, i, feature_kind(df.schema[c].dataType)) for i, c in enumerate(cols)],
             "feature string, ordinal int, type string"),

@@ -146,9 +146,8 @@ def events_history_rows(spark: SparkSession, sf_dir: str, batch_size: int = 32)
     from kiln.operators.analyze import broadcast_if_small
     from kiln.operators.position import hash_unit, with_position
     ev = read(spark, sf_dir, "events").select("event_id", "ts", "value")
-    d0 = ev.agg(F.min(F.to_date("ts")).alias("__d0"))            # one row
-    ev = ev.crossJoin(F.broadcast(d0)).withColumn(
-        "epoch", (F.datediff(F.to_date("ts"), F.col("__d0")) + 1).cast("bigint")).drop("__d0")
+    d0 = ev.agg(F.min(F.to_date("ts"))).first()[0]                # first day (one value)
+    ev = ev.withColumn("epoch", (F.datediff(F.to_date("ts"), F.lit(d0)) + 1).cast("bigint"))
     # Position inside the day = global position in (ts, event_id) order minus the day's first
     # position; the global index spreads a busy day over many tasks.
     pos = with_position(ev, ["ts", "event_id"])
