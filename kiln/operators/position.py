@@ -83,17 +83,22 @@ def with_position(df: DataFrame, keys: KeySpec | list[KeySpec], pos_col: str = "
     ``keys`` are column names (ascending) or ``(name, "desc")`` pairs; together they must be
     unique for the position to be well defined.
     """
+    return with_position_and_count(df, keys, pos_col, buckets, accuracy)[0]
+
+
+def with_position_and_count(df: DataFrame, keys: KeySpec | list[KeySpec], pos_col: str = "pos",
+                            buckets: int | None = None, accuracy: int = 10000) -> tuple[DataFrame, int]:
+    """:func:`with_position` plus the row count, taken from the same aggregate as the cut points."""
     keys = [keys] if isinstance(keys, (str, tuple)) else list(keys)
     nb = _n_buckets(df, buckets)
     p1, p2, b1, b2 = "__kiln_p1", "__kiln_p2", "__kiln_b1", "__kiln_b2"
 
     lead, lead_desc = _spec(keys[0])
     keyed = df.withColumn(p1, order_proxy(df, lead, lead_desc))
-    cuts_all: list[float] = []
-    if nb > 1:
-        probs = [i / nb for i in range(1, nb)]
-        row = keyed.agg(F.percentile_approx(p1, probs, accuracy).alias("c")).first()
-        cuts_all = [float(x) for x in (row["c"] or []) if x is not None]
+    probs = [i / nb for i in range(1, max(nb, 2))]
+    row = keyed.agg(F.percentile_approx(p1, probs, accuracy).alias("c"), F.count(F.lit(1)).alias("n")).first()
+    n_rows = int(row["n"])
+    cuts_all = [float(x) for x in (row["c"] or []) if x is not None] if nb > 1 else []
     cuts = sorted(set(cuts_all))
     splits = [float("-inf")] + [c for c in cuts if c not in (float("-inf"), float("inf"))] + [float("inf")]
     if len(splits) < 3:
@@ -137,7 +142,7 @@ def with_position(df: DataFrame, keys: KeySpec | list[KeySpec], pos_col: str = "
     w = Window.partitionBy(b1, b2).orderBy(*[_order(k) for k in keys])
     return (bucketed.join(F.broadcast(offsets), [b1, b2])
             .withColumn(pos_col, (F.row_number().over(w) - 1 + F.col("__kiln_off")).cast("bigint"))
-            .drop(b1, b2, "__kiln_off"))
+            .drop(b1, b2, "__kiln_off")), n_rows
 
 
 def hash_unit(key: Column | str, seed: int = 42) -> Column:

@@ -11,7 +11,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.operators.position import hash_int, hash_unit, with_position
+from kiln.operators.position import hash_int, hash_unit, with_position, with_position_and_count
 
 
 def split_sizes(n: int, train_fraction: float = 0.7) -> tuple[int, int, int]:
@@ -31,8 +31,7 @@ def split_positional(df: DataFrame, key: str | list[str], train_fraction: float
     ``materialize`` the tagged table is checkpointed to the shared folder, so the three parts read
     it instead of each repeating the position shuffle.
     """
-    positioned = with_position(df, key, pos_col=pos_col)
-    n = df.count()
+    positioned, n = with_position_and_count(df, key, pos_col=pos_col)
     train, ev, _ = split_sizes(n, train_fraction)
     if materialize:
         from kiln.session import cut_lineage
@@ -114,11 +113,10 @@ def holdout_head(df: DataFrame, key: str | list[str], n_val: int, role_col: str
 def holdout_tail(df: DataFrame, key: str | list[str], n_val: int | None = None,
                  fraction: float | None = None, role_col: str = "role") -> DataFrame:
     """Last ``n_val`` rows (or the last ``fraction`` of rows) are validation."""
-    n = df.count()
+    positioned, n = with_position_and_count(df, key)
     if n_val is None:
         n_val = int(n * float(fraction or 0.0))
-    return with_position(df, key).withColumn(
-        role_col, F.when(F.col("pos") >= n - n_val, "val").otherwise("train"))
+    return positioned.withColumn(role_col, F.when(F.col("pos") >= n - n_val, "val").otherwise("train"))
 
 
 def count_rows(tagged: DataFrame, split_col: str = "split") -> DataFrame:
