@@ -7,6 +7,7 @@ or – for an unbounded index – explodes tokens, joins and regroups per docume
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,8 @@ PAD, START, OOV, INDEX_FROM = 0, 1, 2, 3
 
 def tokens(text: Column | str) -> Column:
     t = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(F.lower(t), TOKEN_SPLIT), lambda w: w != F.lit(""))
+    # array_remove is a built-in (code-generated); a filter lambda would be interpreted per token.
+    return F.array_remove(F.split(F.lower(t), TOKEN_SPLIT), "")
 
 
 def word_index(df: DataFrame, text: str, num_words: int | None = None) -> DataFrame:
@@ -49,13 +51,20 @@ def encode(df: DataFrame, key: str, text: str, index: DataFrame, num_words: int,
     """
     n = index_rows if index_rows is not None else index.count()
     if n <= IN_TASK_LOOKUP_MAX:
-        lookup = {r["word"]: int(r["rank"]) + INDEX_FROM for r in index.select("word", "rank").collect()}
-        lookup = {w: i for w, i in lookup.items() if i < num_words}
+        pairs = [(r["word"], int(r["rank"]) + INDEX_FROM) for r in index.select("word", "rank").collect()]
+        pairs = [(w, i) for w, i in pairs if i < num_words]
+        words = pd.Index([w for w, _ in pairs], dtype=object)
+        ids = np.array([i for _, i in pairs] + [OOV], dtype=np.int64)   # position -1 → OOV
 
         @F.pandas_udf("array<bigint>")
         def _encode(col: pd.Series) -> pd.Series:
-            get = lookup.get
-            return pd.Series([[START] + [get(w, OOV) for w in toks] for toks in col])
+            # One hash lookup for every token of the batch, then split back per document.
+            lens = np.fromiter((len(t) for t in col), dtype=np.int64, count=len(col))
+            flat = (np.concatenate([np.asarray(t, dtype=object) for t in col]) if lens.sum()
+                    else np.array([], dtype=object))
+            mapped = ids[words.get_indexer(flat)]
+            start = np.array([START], dtype=np.int64)
+            return pd.Series([np.concatenate((start, part)) for part in np.split(mapped, np.cumsum(lens)[:-1])])
 
         return df.select(key, _encode(tokens(text)).alias(out))
 
@@ -79,11 +88,19 @@ def decode(df: DataFrame, key: str, seq: str, index: DataFrame, out: str = "deco
     n = index_rows if index_rows is not None else index.count()
     if n <= IN_TASK_LOOKUP_MAX:
         inverse = {int(r["rank"]) + INDEX_FROM: r["word"] for r in index.select("word", "rank").collect()}
+        top = max(inverse, default=0)
+        by_id = np.array(["?"] * (top + 2), dtype=object)        # last slot: ids outside the index
+        for i, w in inverse.items():
+            by_id[i] = w
 
         @F.pandas_udf("string")
         def _decode(col: pd.Series) -> pd.Series:
-            get = inverse.get
-            return pd.Series([" ".join(get(int(i), "?") for i in ids) for ids in col])
+            out_ = []
+            for ids in col:
+                a = np.asarray(ids, dtype=np.int64)
+                a = np.where((a >= 0) & (a <= top), a, top + 1)
+                out_.append(" ".join(by_id[a]))
+            return pd.Series(out_)
 
         return df.select(key, _decode(F.col(seq)).alias(out))
 
