@@ -104,10 +104,13 @@ def slice_range_by_class(df: DataFrame, class_col: str, key: str, start: int, en
         rank_col, F.col(rank_col).cast("bigint"))
 
 
-def holdout_head(df: DataFrame, key: str | list[str], n_val: int, role_col: str = "role") -> DataFrame:
-    """First ``n_val`` rows in key order are validation, the rest train."""
-    return with_position(df, key).withColumn(
-        role_col, F.when(F.col("pos") < n_val, "val").otherwise("train"))
+def holdout_head(df: DataFrame, key: str | list[str], n_val: int | None = None, fraction: float | None = None,
+                 role_col: str = "role") -> DataFrame:
+    """First ``n_val`` rows (or the first ``fraction`` of rows) in key order are validation."""
+    positioned, n = with_position_and_count(df, key)
+    if n_val is None:
+        n_val = int(n * float(fraction or 0.0))
+    return positioned.withColumn(role_col, F.when(F.col("pos") < n_val, "val").otherwise("train"))
 
 
 def holdout_tail(df: DataFrame, key: str | list[str], n_val: int | None = None,

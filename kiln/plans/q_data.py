@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from kiln.operators import split as SP
 from kiln.plans.fixtures import DOCS_LABELLED_SQL, ORDERS_SPLIT_SQL, docs_labelled, orders_split, read
+from kiln.plans.present import rnd
 from kiln.plans.registry import query
 from kiln.session import scratch_path
 from kiln.sources import io as IO
@@ -122,7 +123,7 @@ def _synth_sql() -> str:
 @query("src_synth_normal", _synth_sql())
 def q_src_synth_normal(spark, sf):
     pts = synth_points(spark, sf)
-    return pts.select("point_id", "label", F.round("x0", 6).alias("x0"), F.round("x1", 6).alias("x1"))
+    return pts.select("point_id", "label", rnd("x0", 6).alias("x0"), rnd("x1", 6).alias("x1"))
 
 
 @query("src_synth_uniform", """
@@ -135,7 +136,7 @@ def q_src_synth_uniform(spark, sf):
     o = read(spark, sf, "orders").select("o_orderkey")
     u = IO.synth_uniform(o, "o_orderkey", 2, seed=11, prefix="u")
     t = IO.synth_uniform(u, "o_orderkey", 1, seed=21, prefix="t", binary=True)
-    return t.select("o_orderkey", F.round("u0", 9).alias("u0"), F.round("u1", 9).alias("u1"), "t0")
+    return t.select("o_orderkey", rnd("u0", 9).alias("u0"), rnd("u1", 9).alias("u1"), "t0")
 
 
 # ------------------------------------------------------------------------------------ sinks
@@ -154,7 +155,7 @@ def q_sink_features(spark, sf):
     emb = read(spark, sf, "embeddings")
     feats = emb.select("vec_id", "label", vec_mean("embedding").alias("mean_activation"))
     stored = SK.write_features(feats, scratch_path(spark, "features"))
-    return stored.select("vec_id", "label", F.round("mean_activation", 6).alias("mean_activation"))
+    return stored.select("vec_id", "label", rnd("mean_activation", 6).alias("mean_activation"))
 
 
 # ------------------------------------------------------------------------------------ slices

@@ -9,6 +9,7 @@ from kiln.operators.analyze import analyze, vocab_apply, vocab_build, zscore_exp
 from kiln.operators.split import split_hash, splits_of
 from kiln.plans.fixtures import LAPTOP_RAW_SQL, laptop_raw, read
 from kiln.plans.flows import INCH_EDGES, SCREEN_FLAGS, laptop_analyze, laptop_flow, laptop_preprocess
+from kiln.plans.present import rnd
 from kiln.plans.registry import query
 
 L = "WITH " + LAPTOP_RAW_SQL
@@ -47,7 +48,7 @@ FLAG_SQL = {k: f"CAST(contains(trim(lower(ScreenResolution)), '{v}') AS FLOAT)"
 
 
 def _r(c, d=6):
-    return F.round(F.col(c), d).alias(c)
+    return rnd(F.col(c), d).alias(c)
 
 
 # ------------------------------------------------------------------------------------ parsers
@@ -176,8 +177,8 @@ def q_zscore(spark, sf):
         F.avg(w).alias("mw"), F.stddev_pop(w).alias("sw"),
         F.avg(F.col("Inches").cast("double")).alias("mi"), F.stddev_pop(F.col("Inches").cast("double")).alias("si")).first()
     return tagged.select("Unname", "split",
-                         F.round(zscore_expr(w, row["mw"], row["sw"]), 6).alias("scaled_weight"),
-                         F.round(zscore_expr(F.col("Inches"), row["mi"], row["si"]), 6).alias("scaled_inches"))
+                         rnd(zscore_expr(w, row["mw"], row["sw"]), 6).alias("scaled_weight"),
+                         rnd(zscore_expr(F.col("Inches"), row["mi"], row["si"]), 6).alias("scaled_inches"))
 
 
 @query("impute_mean", L + ", " + SPLIT_SQL + """,
@@ -225,7 +226,7 @@ FROM px2 CROSS JOIN st CROSS JOIN st2 {joins} {where}""")
 
 def _round_flow(df):
     zs = [n for n, _ in NUMERIC_ANALYZERS] + ["scaled_price"]
-    return df.select(*[F.round(F.col(c), 6).alias(c) if c in zs else F.col(c) for c in df.columns])
+    return df.select(*[rnd(F.col(c), 6).alias(c) if c in zs else F.col(c) for c in df.columns])
 
 
 @query("preprocess_flow", _flow_sql())

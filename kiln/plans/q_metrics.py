@@ -9,13 +9,14 @@ from kiln.functions.vectors import one_hot
 from kiln.operators import metrics as M
 from kiln.plans.fixtures import EVENTS_HISTORY_SQL, events_history_rows, read
 from kiln.plans.q_vectors import CENTROIDS_SQL, UNNEST, _centroids, dense_weights
+from kiln.plans.present import rnd
 from kiln.plans.registry import query
 from kiln.session import scratch_path
 from kiln.sources import sinks as SK
 
 
 def _r(c, d=6):
-    return F.round(F.col(c), d).alias(c)
+    return rnd(F.col(c), d).alias(c)
 
 
 # ------------------------------------------------------------------------------ scored vectors
@@ -89,7 +90,7 @@ def q_error_reduction(spark, sf):
     e = s.agg(F.avg((F.col("pred") != F.col("label")).cast("double")).alias("err_dense"),
               F.avg((F.col("centroid") != F.col("label")).cast("double")).alias("err_centroid"))
     return e.select(_r("err_dense"), _r("err_centroid"),
-                    F.round(M.error_reduction(F.col("err_dense"), F.col("err_centroid")), 6).alias("reduction"))
+                    rnd(M.error_reduction(F.col("err_dense"), F.col("err_centroid")), 6).alias("reduction"))
 
 
 # ------------------------------------------------------------------------------ regression / binary
@@ -139,7 +140,7 @@ def q_loss_multi(spark, sf):
     agg = b.agg(F.avg(M.bce_term("p_quality", "quality")).alias("quality_loss"),
                 F.avg(M.bce_term("p_toxic", "toxic")).alias("toxic_loss"))
     return agg.select(_r("quality_loss"), _r("toxic_loss"),
-                      F.round(F.col("quality_loss") + F.col("toxic_loss"), 6).alias("loss"))
+                      rnd(F.col("quality_loss") + F.col("toxic_loss"), 6).alias("loss"))
 
 
 # ------------------------------------------------------------------------------ history
@@ -202,7 +203,7 @@ def q_history_epoch(spark, sf):
 SELECT epoch, batch, round(avg(loss), 6) AS loss, count(*) AS n FROM evb WHERE role = 'train' GROUP BY epoch, batch""")
 def q_history_batch_loss(spark, sf):
     s = _summary(spark, sf).where("role = 'train'")
-    return s.select("epoch", "batch", F.round(F.col("loss_sum") / F.col("n"), 6).alias("loss"), "n")
+    return s.select("epoch", "batch", rnd(F.col("loss_sum") / F.col("n"), 6).alias("loss"), "n")
 
 
 SINCE_BEST_SQL = HIST_SQL + """,
@@ -237,7 +238,7 @@ SELECT epoch, round(val_loss, 6) AS val_loss, CAST(since_best AS INTEGER) AS epo
 FROM h3""")
 def q_lr_plateau(spark, sf):
     lr = M.lr_plateau(history(spark, sf), "epoch", "val_loss", lr0=0.01, factor=0.5, patience=2)
-    return lr.select("epoch", _r("val_loss"), "epochs_since_best", F.round("lr_next", 9).alias("lr_next"))
+    return lr.select("epoch", _r("val_loss"), "epochs_since_best", rnd("lr_next", 9).alias("lr_next"))
 
 
 @query("overfit_gap", HIST_SQL + """

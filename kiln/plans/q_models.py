@@ -13,6 +13,7 @@ from kiln.operators.split import holdout_head, holdout_tail
 from kiln.plans.fixtures import read
 from kiln.plans.q_data import _synth_sql, synth_points
 from kiln.plans.q_text import _encoded
+from kiln.plans.present import rnd
 from kiln.plans.registry import query
 from kiln.session import scratch_path
 from kiln.sources import sinks as SK
@@ -43,9 +44,9 @@ SELECT CAST(step AS INTEGER) AS step, round(loss, 6) AS loss, round(w0, 6) AS w_
 FROM gd WHERE step > 0""")
 def q_linear_gd(spark, sf):
     # The SQL twin reads the points rounded to 6 decimals; use the same inputs here.
-    pts = synth_points(spark, sf).select("label", F.round("x0", 6).alias("x0"), F.round("x1", 6).alias("x1"))
+    pts = synth_points(spark, sf).select("label", rnd("x0", 6).alias("x0"), rnd("x1", 6).alias("x1"))
     h = MD.linear_gd(pts, ["x0", "x1"], "label", lr=0.1, steps=40)
-    return h.select("step", *[F.round(c, 6).alias(c) for c in ["loss", "w_x0", "w_x1", "b"]])
+    return h.select("step", *[rnd(c, 6).alias(c) for c in ["loss", "w_x0", "w_x1", "b"]])
 
 
 @query("decision_boundary", GD_SQL + """,
@@ -53,12 +54,12 @@ last AS (SELECT w0, w1, b FROM gd WHERE step = 40),
 grid AS (SELECT i, lo + i * ((hi - lo) / 49) AS x FROM range(50) t(i), s)
 SELECT CAST(i AS BIGINT) AS i, round(x, 6) AS x, round(-(w0 / w1) * x + (0.5 - b) / w1, 6) AS y FROM grid, last""")
 def q_decision_boundary(spark, sf):
-    pts = synth_points(spark, sf).select("label", F.round("x0", 6).alias("x0"), F.round("x1", 6).alias("x1"))
+    pts = synth_points(spark, sf).select("label", rnd("x0", 6).alias("x0"), rnd("x1", 6).alias("x1"))
     g = MD.gram_sums(pts, ["x0", "x1"], "label")
     *_, w0, w1, b = MD.linear_gd_from_sums(g, 0.1, 40)[-1]
     lo, hi = pts.agg(F.min("x0"), F.max("x0")).first()
     d = MD.decision_boundary(spark, [w0, w1], b, lo, hi, 50)
-    return d.select("i", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+    return d.select("i", rnd("x", 6).alias("x"), rnd("y", 6).alias("y"))
 
 
 # ------------------------------------------------------------------------------ MLlib (rows-only)
@@ -75,7 +76,7 @@ def _doc_features(spark, sf):
 
 @query("fit_binary")
 def q_fit_binary(spark, sf):
-    x = holdout_head(_doc_features(spark, sf), "doc_id", 100).persist()
+    x = holdout_head(_doc_features(spark, sf), "doc_id", fraction=0.2).persist()
     model = MD.fit_logistic(x.where("role = 'train'"), "quality", max_iter=20, reg=0.01)
     pred = model.transform(x.where("role = 'val'"))
     out = pred.select("doc_id", F.col("quality").alias("label"), vector_to_array("probability")[1].alias("prob"),

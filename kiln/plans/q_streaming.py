@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kiln.plans.present import rnd
 from kiln.plans.registry import query
 from kiln.session import table_path
 from kiln.streaming.twins import stream_regression, stream_window_metric
@@ -17,7 +18,7 @@ def _schema(spark, sf):
 SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n, round(avg(value), 6) AS mean FROM events GROUP BY 1""")
 def q_stream_metric(spark, sf):
     out = stream_window_metric(spark, sf, "events.parquet", _schema(spark, sf), "ts", "value")
-    return out.select("day", "n", F.round("mean", 6).alias("mean"))
+    return out.select("day", "n", rnd("mean", 6).alias("mean"))
 
 
 @query("stream_regression", """
@@ -25,4 +26,4 @@ SELECT count(*) AS n, round(regr_slope(value, epoch_us(ts) / 86400e6), 6) AS slo
        round(regr_intercept(value, epoch_us(ts) / 86400e6), 4) AS intercept FROM events""")
 def q_stream_regression(spark, sf):
     out = stream_regression(spark, sf, "events.parquet", _schema(spark, sf), "ts", "value")
-    return out.select("n", F.round("slope", 6).alias("slope"), F.round("intercept", 4).alias("intercept"))
+    return out.select("n", rnd("slope", 6).alias("slope"), rnd("intercept", 4).alias("intercept"))

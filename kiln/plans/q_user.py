@@ -14,6 +14,7 @@ from kiln.operators.user import Callback, elementwise, route, row_parse, run_cal
 from kiln.plans.fixtures import ORDERS_SPLIT_SQL, LAPTOP_RAW_SQL, laptop_raw, orders_split, read
 from kiln.plans.q_features import SQLX
 from kiln.plans.q_metrics import PROBS_SQL, SINCE_BEST_SQL, history, scored
+from kiln.plans.present import rnd
 from kiln.plans.registry import query
 
 
@@ -41,7 +42,7 @@ def q_user_preprocess(spark, sf):
     parts = splits_of(orders_split(spark, sf))
     tf = analyze(parts["train"], orders_fn, keep=["o_orderkey"])
     out = tf.apply(parts["eval"])
-    return out.select("o_orderkey", F.round("price_z", 6).alias("price_z"), "priority_id", "clerk_id")
+    return out.select("o_orderkey", rnd("price_z", 6).alias("price_z"), "priority_id", "clerk_id")
 
 
 # ------------------------------------------------------------------------------ user_row_parse
@@ -111,7 +112,7 @@ SELECT CASE WHEN o_totalprice < 100000 THEN 0 WHEN o_totalprice < 250000 THEN 1
        count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1""")
 def q_user_partition(spark, sf):
     outs = route(read(spark, sf, "orders"), price_band, 3)
-    parts = [df.groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    parts = [df.groupBy("route").agg(F.count(F.lit(1)).alias("n"), rnd(F.sum("o_totalprice"), 2).alias("total"))
              for df in outs.values()]
     res = parts[0]
     for p in parts[1:]:
@@ -133,7 +134,7 @@ SELECT label, round(sqrt(sum(power(CASE WHEN j = label THEN 1.0 ELSE 0.0 END - p
 FROM q GROUP BY label""")
 def q_user_metric(spark, sf):
     r = RMSE_PER_CLASS.evaluate(scored(spark, sf), by=["label"])
-    return r.select("label", F.round("rmse", 6).alias("rmse"))
+    return r.select("label", rnd("rmse", 6).alias("rmse"))
 
 
 # ------------------------------------------------------------------------------ user_callback
@@ -161,4 +162,4 @@ SELECT min(epoch), 'early_stop', round((SELECT min(val_loss) FROM hist), 6) FROM
 HAVING count(*) > 0""")
 def q_user_callback(spark, sf):
     out = run_callbacks(history(spark, sf), [CheckpointOnBest(), StopOnPlateau()])
-    return out.select("epoch", "callback", F.round("value", 6).alias("value"))
+    return out.select("epoch", "callback", rnd("value", 6).alias("value"))

@@ -10,6 +10,7 @@ from kiln.operators import validate as V
 from kiln.operators.split import count_rows, splits_of
 from kiln.plans.fixtures import (DOCS_LABELLED_SQL, ORDER_FEATURES, ORDER_LABEL, ORDERS_SPLIT_SQL, docs_labelled,
                                  orders_split, read)
+from kiln.plans.present import rnd
 from kiln.plans.registry import query
 from kiln.session import scratch_path
 
@@ -31,7 +32,7 @@ def _schema(spark, sf):
 
 
 def _r(c, d=6):
-    return F.round(F.col(c), d).alias(c)
+    return rnd(F.col(c), d).alias(c)
 
 
 # ------------------------------------------------------------------------------------ splits

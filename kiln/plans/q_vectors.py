@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 from kiln.functions import vectors as VX
 from kiln.operators.analyze import broadcast_if_small
 from kiln.plans.fixtures import read
+from kiln.plans.present import rnd
 from kiln.plans.registry import query
 
 
 def _long(df, key, arr, out="value", digits=6):
     return df.select(key, F.posexplode(arr).alias("pos", out)).select(
         key, F.col("pos").cast("bigint").alias("pos"),
-        F.round(F.col(out).cast("double"), digits).alias(out) if digits is not None else F.col(out))
+        rnd(F.col(out).cast("double"), digits).alias(out) if digits is not None else F.col(out))
 
 
 UNNEST = "SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS pos, unnest(embedding) AS x FROM embeddings"
@@ -42,8 +43,8 @@ FROM embeddings""")
 def q_vec_concat(spark, sf):
     emb = read(spark, sf, "embeddings")
     v = emb.select("vec_id", VX.vec_concat("embedding", VX.zeros(64)).alias("v"))
-    return v.select("vec_id", F.size("v").cast("bigint").alias("n_values"), F.round(VX.vec_sum("v"), 4).alias("total"),
-                    F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x), 4).alias("sumsq"))
+    return v.select("vec_id", F.size("v").cast("bigint").alias("n_values"), rnd(VX.vec_sum("v"), 4).alias("total"),
+                    rnd(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x), 4).alias("sumsq"))
 
 
 @query("vec_standardize_clip", f"""
@@ -61,7 +62,7 @@ def q_vec_standardize_clip(spark, sf):
 @query("vec_mean", "SELECT vec_id, label, round(list_avg(list_transform(embedding, lambda x: x::DOUBLE)), 6) AS mean FROM embeddings")
 def q_vec_mean(spark, sf):
     emb = read(spark, sf, "embeddings")
-    return emb.select("vec_id", "label", F.round(VX.vec_mean("embedding"), 6).alias("mean"))
+    return emb.select("vec_id", "label", rnd(VX.vec_mean("embedding"), 6).alias("mean"))
 
 
 def dense_weights(in_dim: int = 64, out_dim: int = 10):
@@ -83,7 +84,7 @@ def q_dense_forward(spark, sf):
     emb = read(spark, sf, "embeddings")
     w, b = dense_weights()
     p = emb.select("vec_id", VX.dense_forward("embedding", w, b, "softmax").alias("p"))
-    return p.select("vec_id", VX.argmax("p").alias("pred_class"), F.round(F.array_max("p"), 6).alias("top_prob"))
+    return p.select("vec_id", VX.argmax("p").alias("pred_class"), rnd(F.array_max("p"), 6).alias("top_prob"))
 
 
 # Rotation angle, translation and scale of the 2-D point transforms (fixed values).
@@ -110,7 +111,7 @@ def q_geom_transform(spark, sf):
     rx, ry = VX.rotate(x, y, THETA)
     sx, sy = VX.scale(x, y, *SCALE)
     ax, ay = VX.linear_map(x, y, AFFINE_M, SHIFT)
-    r = lambda c, n: F.round(c, 6).alias(n)
+    r = lambda c, n: rnd(c, 6).alias(n)
     return li.select("l_orderkey", "l_linenumber", r(tx, "tx"), r(ty, "ty"), r(rx, "rx"), r(ry, "ry"),
                      r(sx, "sx"), r(sy, "sy"), r(ax, "ax"), r(ay, "ay"))
 
@@ -134,7 +135,7 @@ def q_pairwise_dot(spark, sf):
     d = VX.dot_rows(emb.select("vec_id", "embedding"), "embedding", [r["c"] for r in rows])
     return d.select("vec_id", F.posexplode("dots").alias("i", "dot")).select(
         "vec_id", F.element_at(F.array(*[F.lit(v) for v in labels]), F.col("i") + 1).cast("int").alias("centroid"),
-        F.round("dot", 4).alias("dot"))
+        rnd("dot", 4).alias("dot"))
 
 
 def _centroids(emb, max_classes: int = 4096):
@@ -161,7 +162,7 @@ SELECT vec_id, round(1.0 / (1.0 + exp(-embedding[1]::DOUBLE)), 6) AS score,
 def q_threshold_class(spark, sf):
     emb = read(spark, sf, "embeddings")
     s = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.element_at("embedding", 1).cast("double")))
-    return emb.select("vec_id", F.round(s, 6).alias("score"), VX.threshold_class(s, 0.5).alias("pred"))
+    return emb.select("vec_id", rnd(s, 6).alias("score"), VX.threshold_class(s, 0.5).alias("pred"))
 
 
 __all__ = ["broadcast_if_small"]

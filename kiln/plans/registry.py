@@ -23,7 +23,8 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLES[name] = sql.strip()
+            from kiln.plans.present import guard_sql_rounding
+            ORACLES[name] = guard_sql_rounding(sql.strip())
         return fn
     return deco
 
