@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -100,6 +100,15 @@ def fit_logistic(train: DataFrame, label: str, features: str = "features", multi
     return lr.fit(train)
 
 
+def fit_mlp(train: DataFrame, label: str, layers: list[int], features: str = "features", max_iter: int = 100,
+            block_size: int = 128, seed: int = 42):
+    """Dense network (sigmoid hidden layers, softmax output) – MLlib's multilayer perceptron,
+    trained with L-BFGS over the distributed rows; ``block_size`` rows are stacked per matrix op."""
+    mlp = MultilayerPerceptronClassifier(featuresCol=features, labelCol=label, layers=layers, maxIter=max_iter,
+                                         blockSize=block_size, seed=seed)
+    return mlp.fit(train)
+
+
 def probabilities(model, df: DataFrame, keep: list[str]) -> DataFrame:
     """Class probabilities per row, long form (keep..., class, prob)."""
     p = model.transform(df).select(*keep, vector_to_array("probability").alias("__p"))

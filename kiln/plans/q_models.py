@@ -91,8 +91,9 @@ def _emb_vectors(spark, sf):
 
 @query("fit_multiclass")
 def q_fit_multiclass(spark, sf):
+    """K-way dense network on the 64-value vectors (64 → 64 sigmoid → 10 softmax), 20% tail holdout."""
     x = holdout_tail(_emb_vectors(spark, sf), "vec_id", fraction=0.2).persist()
-    model = MD.fit_logistic(x.where("role = 'train'"), "label", multinomial=True, max_iter=50, reg=0.01)
+    model = MD.fit_mlp(x.where("role = 'train'"), "label", [64, 64, 10], max_iter=100)
     return model.transform(x).select("vec_id", "label", "role", F.col("prediction").cast("int").alias("pred"))
 
 

@@ -26,9 +26,17 @@ def _prof(df):
     return ST.profile(df, remove=REMOVE)
 
 
-def _schema(spark, sf):
+def _schema_with_profile(spark, sf):
+    """Schema inferred from the train split, with the parts and the train profile, so a query that
+    also needs the profile (skew, validate_all) does not profile the same rows twice."""
     parts = _parts(spark, sf)
-    return S.infer_schema(_prof(parts["train"])), parts
+    prof = _prof(parts["train"])
+    return S.infer_schema(prof), parts, prof
+
+
+def _schema(spark, sf):
+    schema, parts, _ = _schema_with_profile(spark, sf)
+    return schema, parts
 
 
 def _r(c, d=6):
@@ -375,10 +383,10 @@ SELECT r.feature, round(d, 6) AS distance, value AS at_value, thr.threshold, 'SK
        d > thr.threshold AS is_anomaly
 FROM r JOIN thr ON r.feature = thr.feature WHERE rk = 1""")
 def q_skew_linf(spark, sf):
-    schema, parts = _schema(spark, sf)
+    schema, parts, train_prof = _schema_with_profile(spark, sf)
     schema = S.set_feature(S.set_feature(schema, "o_orderpriority", skew_threshold=0.03), "o_clerk",
                            skew_threshold=0.002)
-    out = V.skew_linf(_prof(parts["train"])["freq"], _prof(parts["serving"])["freq"], schema)
+    out = V.skew_linf(train_prof["freq"], _prof(parts["serving"])["freq"], schema)
     return out.select("feature", _r("distance"), "at_value", "threshold", "anomaly", "is_anomaly")
 
 
@@ -422,10 +430,10 @@ SELECT feature, CASE WHEN f = 'skew' THEN 'SKEW' ELSE 'DRIFT' END AS anomaly, va
        round(d, 6) AS value
 FROM r WHERE rk = 1 AND d > CASE WHEN f = 'skew' THEN 0.002 ELSE 0.005 END""")
 def q_validate_all(spark, sf):
-    schema, parts = _schema(spark, sf)
+    schema, parts, train_prof = _schema_with_profile(spark, sf)
     schema = S.set_feature(schema, "o_clerk", skew_threshold=0.002)
     schema = S.set_feature(schema, "o_orderpriority", drift_threshold=0.005)
-    out = V.validate_all(_prof(parts["train"]), schema, previous=_prof(parts["eval"]),
+    out = V.validate_all(train_prof, schema, previous=_prof(parts["eval"]),
                          serving=_prof(parts["serving"]))
     return out.select("feature", "anomaly", "detail", _r("value"))
 
