@@ -7,8 +7,8 @@ Here the position comes from small jobs and one shuffle:
    values, a bounded list, reach the driver);
 2. a leading value that fills more than one interval (it repeats among the cut points – a hot
    key) is split again by the second key: one more ``percentile_approx`` over just those rows;
-3. every row gets its interval (``Bucketizer``, a JVM binary search, plus the sub-interval for
-   hot values);
+3. every row gets its interval (``Bucketizer``, a JVM binary search; hot values get their
+   sub-interval from a multi-column ``Bucketizer`` with one column of cut points per hot value);
 4. rows per interval (a partial aggregate) → running offsets on that tiny table;
 5. ``row_number`` within ``partitionBy(interval).orderBy(keys)`` plus the broadcast offset.
 
@@ -29,8 +29,9 @@ from pyspark.sql import types as T
 # Hard cap on the number of intervals. The offsets table has one row per interval, so this is
 # also the proven size bound of the broadcast side in step 5.
 MAX_BUCKETS = 65536
-# Hot leading values split into at most this many sub-intervals each.
+# Hot leading values split into at most this many sub-intervals each; at most MAX_HOT of them.
 MAX_SUB_BUCKETS = 1024
+MAX_HOT = 64
 
 KeySpec = str | tuple[str, str]
 
@@ -115,23 +116,37 @@ def with_position_and_count(df: DataFrame, keys: KeySpec | list[KeySpec], pos_co
     lead_type = df.schema[lead].dataType
     exact = not isinstance(lead_type, (T.StringType, T.BinaryType))
     hot = {v: n for v, n in Counter(cuts_all).items() if n >= 2 and abs(v) <= 2.0 ** 53}
+    # The heaviest MAX_HOT values are split; any others stay whole (still exact, less balanced).
+    hot = dict(sorted(hot.items(), key=lambda kv: -kv[1])[:MAX_HOT])
+    drop = [p1]
     if hot and exact and len(keys) > 1:
         second, second_desc = _spec(keys[1])
         bucketed = bucketed.withColumn(p2, order_proxy(df, second, second_desc))
+        drop.append(p2)
         k = min(max(hot.values()) + 1, MAX_SUB_BUCKETS)
         probs2 = [i / k for i in range(1, k)]
         rows = (bucketed.where(F.col(p1).isin(list(hot)))
                 .groupBy(p1).agg(F.percentile_approx(p2, probs2, accuracy).alias("c"))
-                .collect())                     # one row per hot value (< nb), bounded cut lists
-        cases = None
-        for r in rows:
-            sub_cuts = sorted({float(x) for x in (r["c"] or []) if x is not None})
-            n_le = F.size(F.filter(F.array(*[F.lit(c) for c in sub_cuts]), lambda c: c <= F.col(p2)))
+                .collect())                     # one row per hot value (<= MAX_HOT), bounded cut lists
+        ins, outs, splits2, conds = [], [], [], []
+        for j, r in enumerate(rows):
+            inner = sorted({float(x) for x in (r["c"] or []) if x not in (None, float("inf"), float("-inf"))})
             cond = F.col(p1) == F.lit(r[p1])
-            cases = F.when(cond, n_le) if cases is None else cases.when(cond, n_le)
-        if cases is not None:
+            bucketed = bucketed.withColumn(f"__kiln_h{j}", F.when(cond, F.col(p2)).otherwise(F.lit(float("-inf"))))
+            ins.append(f"__kiln_h{j}")
+            outs.append(f"__kiln_s{j}")
+            splits2.append([float("-inf")] + (inner or [0.0]) + [float("inf")])
+            conds.append((cond, f"__kiln_s{j}"))
+        if ins:
+            # One JVM binary search per hot value's column (its own cut points), all in one pass.
+            bucketed = Bucketizer(splitsArray=splits2, inputCols=ins, outputCols=outs,
+                                  handleInvalid="keep").transform(bucketed)
+            cases = None
+            for cond, out in conds:
+                cases = F.when(cond, F.col(out)) if cases is None else cases.when(cond, F.col(out))
             sub = cases.otherwise(after)
-    bucketed = bucketed.withColumn(b2, sub.cast("int")).drop(p1, p2)
+            drop += ins + outs
+    bucketed = bucketed.withColumn(b2, sub.cast("int")).drop(*drop)
 
     # Offsets: one row per (interval, sub-interval) – bounded – running sum over a tiny table.
     offsets = (bucketed.groupBy(b1, b2).agg(F.count(F.lit(1)).alias("__kiln_n"))

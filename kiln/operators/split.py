@@ -95,13 +95,26 @@ def slice_range_by_class(df: DataFrame, class_col: str, key: str, start: int, en
                          rank_col: str = "class_pos") -> DataFrame:
     """Rows [start, end) inside each class, in key order.
 
-    ``row_number`` filtered by ``< end`` lets Spark insert a partial per-class limit before the
-    shuffle (window group limit), so a hot class ships at most ``end`` rows per map task.
+    The filter is written on the raw ``row_number`` (``rn <= end``) so that Spark inserts a partial
+    per-class limit before the shuffle (window group limit, for ``end`` up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold``): a hot class ships at most ``end`` rows
+    per map task. Larger ranges use in-class ranks from the distributed position index over
+    (class, key), so a hot class is still spread over many tasks.
     """
-    w = Window.partitionBy(class_col).orderBy(F.col(key))
-    ranked = df.withColumn(rank_col, F.row_number().over(w) - 1)
-    return ranked.filter((F.col(rank_col) >= start) & (F.col(rank_col) < end)).withColumn(
-        rank_col, F.col(rank_col).cast("bigint"))
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if end <= limit:
+        rn = "__kiln_rn"
+        w = Window.partitionBy(class_col).orderBy(F.col(key))
+        ranked = df.withColumn(rn, F.row_number().over(w))
+        return (ranked.filter((F.col(rn) <= end) & (F.col(rn) > start))
+                .withColumn(rank_col, (F.col(rn) - 1).cast("bigint")).drop(rn))
+    from kiln.operators.analyze import broadcast_if_small
+    g = "__kiln_gpos"
+    pos = with_position(df, [class_col, key], pos_col=g)
+    first = pos.groupBy(class_col).agg(F.min(g).alias("__kiln_c0"))      # one row per class
+    ranked = pos.join(broadcast_if_small(first), class_col).withColumn(
+        rank_col, (F.col(g) - F.col("__kiln_c0")).cast("bigint"))
+    return ranked.filter((F.col(rank_col) >= start) & (F.col(rank_col) < end)).drop(g, "__kiln_c0")
 
 
 def holdout_head(df: DataFrame, key: str | list[str], n_val: int | None = None, fraction: float | None = None,

@@ -192,12 +192,14 @@ def drift_by_span(df: DataFrame, span_col: str, features: list[str], threshold:
     norm = freq.join(tot, ["span", "feature"]).select("span", "feature", "value",
                                                       (F.col("count") / F.col("__t")).alias("p"))
     # One row per span (the span list is small), each with the span before it.
+    from kiln.operators.analyze import broadcast_if_small
     spans = (freq.select("span").distinct()
              .withColumn("previous_span", F.lag("span").over(Window.orderBy("span")))
              .where(F.col("previous_span").isNotNull()))
-    cur = norm.join(F.broadcast(spans), "span")
+    spans = broadcast_if_small(spans)          # one row per span; broadcast only after a count
+    cur = norm.join(spans, "span")
     prev = (norm.withColumnRenamed("span", "previous_span").withColumnRenamed("p", "q")
-            .join(F.broadcast(spans), "previous_span"))
+            .join(spans, "previous_span"))
     j = cur.join(prev, ["span", "previous_span", "feature", "value"], "full_outer")
     d = F.abs(F.coalesce("p", F.lit(0.0)) - F.coalesce("q", F.lit(0.0)))
     return (j.groupBy("span", "previous_span", "feature")

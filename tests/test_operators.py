@@ -286,3 +286,12 @@ def test_user_metric(spark):
     df = spark.createDataFrame([(0, 2.0), (0, 4.0), (1, 10.0)], "g int, v double")
     m = M.UserMetric("mean", {"s": lambda: F.col("v"), "n": lambda: F.lit(1.0)}, lambda s: s["s"] / s["n"])
     assert {r["g"]: r["mean"] for r in m.evaluate(df, ["g"]).collect()} == {0: 3.0, 1: 10.0}
+
+
+def test_slice_range_by_class_both_paths(spark):
+    from kiln.operators.split import slice_range_by_class
+    df = spark.range(0, 3000).select((F.col("id") % 3).alias("c"), F.col("id").alias("k"))
+    small = {(r["c"], r["k"], r["class_pos"]) for r in slice_range_by_class(df, "c", "k", 5, 15).collect()}
+    big = {(r["c"], r["k"], r["class_pos"]) for r in slice_range_by_class(df, "c", "k", 5, 1500).collect()}
+    assert small == {(c, 3 * p + c, p) for c in range(3) for p in range(5, 15)}
+    assert big == {(c, 3 * p + c, p) for c in range(3) for p in range(5, 1000)}
