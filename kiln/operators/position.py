@@ -59,8 +59,12 @@ def order_proxy(df: DataFrame, name: str, desc: bool = False) -> Column:
     """
     dt = df.schema[name].dataType
     c = F.col(f"`{name}`")
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        v = F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(dt, T.TimestampNTZType):
+        # wall-clock microseconds from the fields themselves: no session zone, so no DST gaps
+        secs = (F.unix_date(F.to_date(c)).cast("double") * 86400.0 + F.hour(c) * 3600.0 + F.minute(c) * 60.0)
+        v = secs * 1e6 + F.date_part(F.lit("SECOND"), c).cast("double") * 1e6
+    elif isinstance(dt, T.TimestampType):
+        v = F.unix_micros(c).cast("double")
     elif isinstance(dt, T.DateType):
         v = F.unix_date(c).cast("double")
     elif isinstance(dt, (T.StringType, T.BinaryType)):

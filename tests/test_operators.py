@@ -295,3 +295,17 @@ def test_slice_range_by_class_both_paths(spark):
     big = {(r["c"], r["k"], r["class_pos"]) for r in slice_range_by_class(df, "c", "k", 5, 1500).collect()}
     assert small == {(c, 3 * p + c, p) for c in range(3) for p in range(5, 15)}
     assert big == {(c, 3 * p + c, p) for c in range(3) for p in range(5, 1000)}
+
+
+def test_position_on_timestamp_ntz_any_zone(spark):
+    import datetime as dt
+    base = dt.datetime(2024, 3, 10, 1, 0, 0)
+    rows = [(base + dt.timedelta(minutes=7 * i, microseconds=i), i) for i in range(60)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, i long")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")   # 02:00-03:00 does not exist
+        got = [r["i"] for r in with_position(df, ["ts", "i"], buckets=4).orderBy("pos").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == list(range(60))
