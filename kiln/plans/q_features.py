@@ -8,7 +8,7 @@ from kiln.functions import scalar as X
 from kiln.operators.analyze import analyze, vocab_apply, vocab_build, zscore_expr
 from kiln.operators.split import split_hash, splits_of
 from kiln.plans.fixtures import LAPTOP_RAW_SQL, laptop_raw, read
-from kiln.plans.flows import INCH_EDGES, SCREEN_FLAGS, laptop_analyze, laptop_flow, laptop_preprocess
+from kiln.plans.flows import INCH_EDGES, SCREEN_FLAGS, laptop_analyze, laptop_flow
 from kiln.plans.present import rnd
 from kiln.plans.registry import query
 
@@ -258,5 +258,3 @@ def q_analyze_transform(spark, sf):
     rows = [(n, round(a.result[0], 6), round(a.result[1], 6)) for n, a in zip(names, zs)]
     return spark.createDataFrame(rows, "output string, mean double, std double")
 
-
-__all__ = ["laptop_preprocess"]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from kiln.plans.present import rnd
 from kiln.plans.registry import query
 from kiln.session import table_path

@@ -8,8 +8,8 @@ from kiln.operators import schema as S
 from kiln.operators import stats as ST
 from kiln.operators import validate as V
 from kiln.operators.split import count_rows, splits_of
-from kiln.plans.fixtures import (DOCS_LABELLED_SQL, ORDER_FEATURES, ORDER_LABEL, ORDERS_SPLIT_SQL, docs_labelled,
-                                 orders_split, read)
+from kiln.plans.fixtures import (DOCS_LABELLED_SQL, ORDER_LABEL, ORDERS_SPLIT_SQL, docs_labelled, orders_split,
+                                 read)
 from kiln.plans.present import rnd
 from kiln.plans.registry import query
 from kiln.session import scratch_path

@@ -7,7 +7,6 @@ import math
 from pyspark.sql import functions as F
 
 from kiln.functions import vectors as VX
-from kiln.operators.analyze import broadcast_if_small
 from kiln.plans.fixtures import read
 from kiln.plans.present import rnd
 from kiln.plans.registry import query
@@ -164,5 +163,3 @@ def q_threshold_class(spark, sf):
     s = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.element_at("embedding", 1).cast("double")))
     return emb.select("vec_id", rnd(s, 6).alias("score"), VX.threshold_class(s, 0.5).alias("pred"))
 
-
-__all__ = ["broadcast_if_small"]
