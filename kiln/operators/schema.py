@@ -38,46 +38,48 @@ class Schema:
         return self.domains.groupBy("domain").agg(F.array_sort(F.collect_set("value")).alias("values"))
 
 
+FEATURE_SCHEMA = ("feature string, ordinal int, type string, domain string, min_fraction double, min_count bigint, "
+                  "value_count_min bigint, value_count_max bigint, min_domain_mass double, skew_threshold double, "
+                  "drift_threshold double, not_in_environment array<string>")
+
+
 def infer_schema(prof: dict[str, DataFrame], max_domain: int = MAX_DOMAIN,
                  array_sizes: DataFrame | None = None) -> Schema:
     """Types, domains (<= ``max_domain`` distinct values), presence and shape from a profile.
 
     Presence: min_fraction 1.0 when the feature was never missing, else 0.0; min_count 1.
     ``array_sizes`` (feature, min_size, max_size) sets the value-count bounds of array features.
+    Everything read here is statistics-sized: one row per feature, and at most ``max_domain``
+    values for each feature that gets a domain, so the tables are built on the driver.
     """
-    feats = prof["features"]
-    presence = []
+    spark = prof["features"].sparkSession
+    parts = []
     if prof.get("numeric") is not None:
-        presence.append(prof["numeric"].select("feature", "count", "missing"))
+        parts.append(prof["numeric"].select("feature", "count", "missing", F.lit(None).cast("bigint").alias("distinct")))
     if prof.get("string") is not None:
-        presence.append(prof["string"].select("feature", "count", "missing"))
-    pres = presence[0]
-    for p in presence[1:]:
-        pres = pres.unionByName(p)
-    distinct = (prof["string"].select("feature", "distinct") if prof.get("string") is not None
-                else feats.sparkSession.createDataFrame([], "feature string, distinct bigint"))
-    out = (feats.join(pres, "feature", "left").join(distinct, "feature", "left")
-           .withColumn("domain", F.when((F.col("type") == "BYTES") & (F.col("distinct") <= max_domain)
-                                        & (F.col("distinct") > 0), F.col("feature")))
-           .withColumn("min_fraction", F.when(F.coalesce(F.col("missing"), F.lit(0)) == 0, F.lit(1.0))
-                       .otherwise(F.lit(0.0)))
-           .withColumn("min_count", F.lit(1).cast("bigint")))
-    if array_sizes is not None:
-        out = out.join(array_sizes.select("feature", F.col("min_size").cast("bigint").alias("value_count_min"),
-                                          F.col("max_size").cast("bigint").alias("value_count_max")),
-                       "feature", "left")
-    else:
-        out = (out.withColumn("value_count_min", F.lit(None).cast("bigint"))
-               .withColumn("value_count_max", F.lit(None).cast("bigint")))
-    out = (out.withColumn("min_domain_mass", F.lit(1.0))
-           .withColumn("skew_threshold", F.lit(None).cast("double"))
-           .withColumn("drift_threshold", F.lit(None).cast("double"))
-           .withColumn("not_in_environment", F.array().cast("array<string>")))
-    features = out.select(*FEATURE_COLS)
-    small = features.where(F.col("domain").isNotNull()).select("feature", "domain")
-    domains = (prof["freq"].join(F.broadcast(small), "feature")
-               .select("domain", "value").distinct())
-    return freeze(Schema(features, domains))
+        parts.append(prof["string"].select("feature", "count", "missing", "distinct"))
+    stats = {}
+    if parts:
+        u = parts[0]
+        for p in parts[1:]:
+            u = u.unionByName(p)
+        stats = {r["feature"]: r for r in u.collect()}                       # one row per feature
+    sizes = {r["feature"]: (r["min_size"], r["max_size"]) for r in array_sizes.collect()} if array_sizes is not None else {}
+    rows = []
+    for r in prof["features"].collect():                                    # local, one row per feature
+        st = stats.get(r["feature"])
+        distinct = st["distinct"] if st is not None else None
+        missing = st["missing"] if st is not None else 0
+        domain = r["feature"] if (r["type"] == "BYTES" and distinct is not None and 0 < distinct <= max_domain) else None
+        lo, hi = sizes.get(r["feature"], (None, None))
+        rows.append((r["feature"], r["ordinal"], r["type"], domain, 1.0 if not missing else 0.0, 1, lo, hi,
+                     1.0, None, None, []))
+    features = spark.createDataFrame(rows, FEATURE_SCHEMA)
+    with_domain = [row[0] for row in rows if row[3] is not None]
+    values = (prof["freq"].where(F.col("feature").isin(with_domain)).select("feature", "value").distinct().collect()
+              if with_domain else [])                                       # <= max_domain per feature
+    domains = spark.createDataFrame([(v["feature"], v["value"]) for v in values], "domain string, value string")
+    return Schema(features, domains)
 
 
 def freeze(schema: Schema) -> Schema:
