@@ -44,8 +44,8 @@ def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables and checkpoints.
 
     On a cluster this is the folder named by ``spark.checkpoint.dir`` (it must be on shared
-    storage). Only when the session has none – a local test run – kiln makes one under the
-    system temp folder and registers it as the checkpoint directory.
+    storage; kiln refuses to run without it). Only a local-mode session without one – a test
+    run – gets a folder under the system temp directory, registered as the checkpoint directory.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +53,9 @@ def scratch_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage: kiln writes "
+                               "intermediate tables and streaming state there")
         conf_dir = tempfile.mkdtemp(prefix="kiln-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
