@@ -101,6 +101,8 @@ def with_position_and_count(df: DataFrame, keys: KeySpec | list[KeySpec], pos_co
     lead, lead_desc = _spec(keys[0])
     keyed = df.withColumn(p1, order_proxy(df, lead, lead_desc))
     probs = [i / nb for i in range(1, max(nb, 2))]
+    # The sketch must resolve finer than one interval, or unique keys would look like hot values.
+    accuracy = max(int(accuracy), 4 * nb)
     row = keyed.agg(F.percentile_approx(p1, probs, accuracy).alias("c"), F.count(F.lit(1)).alias("n")).first()
     n_rows = int(row["n"])
     cuts_all = [float(x) for x in (row["c"] or []) if x is not None] if nb > 1 else []
