@@ -59,8 +59,9 @@ def encode(df: DataFrame, key: str, text: str, index: DataFrame, num_words: int,
         @F.pandas_udf("array<bigint>")
         def _encode(col: pd.Series) -> pd.Series:
             # One hash lookup for every token of the batch, then split back per document.
-            lens = np.fromiter((len(t) for t in col), dtype=np.int64, count=len(col))
-            flat = (np.concatenate([np.asarray(t, dtype=object) for t in col]) if lens.sum()
+            toks = [t if t is not None else () for t in col]          # null text → no tokens
+            lens = np.fromiter((len(t) for t in toks), dtype=np.int64, count=len(toks))
+            flat = (np.concatenate([np.asarray(t, dtype=object) for t in toks]) if lens.sum()
                     else np.array([], dtype=object))
             mapped = ids[words.get_indexer(flat)]
             start = np.array([START], dtype=np.int64)
@@ -97,6 +98,9 @@ def decode(df: DataFrame, key: str, seq: str, index: DataFrame, out: str = "deco
         def _decode(col: pd.Series) -> pd.Series:
             out_ = []
             for ids in col:
+                if ids is None:
+                    out_.append(None)
+                    continue
                 a = np.asarray(ids, dtype=np.int64)
                 a = np.where((a >= 0) & (a <= top), a, top + 1)
                 out_.append(" ".join(by_id[a]))

@@ -210,12 +210,12 @@ def test_linf_symmetric_bounded(spark):
 def test_multi_hot_and_sequences(spark):
     df = spark.createDataFrame([([8, 5, 8],)], "s array<int>")
     assert df.select(TX.multi_hot("s")).first()[0] == [5, 8]
-    docs = spark.createDataFrame([(1, "the cat the hat"), (2, "a cat"), (3, "")], "id long, text string")
+    docs = spark.createDataFrame([(1, "the cat the hat"), (2, "a cat"), (3, ""), (4, None)], "id long, text string")
     idx = TX.word_index(docs, "text", 10)
     ranks = {r["word"]: r["rank"] for r in idx.collect()}
     assert ranks["the"] == 1 and ranks["cat"] == 2
     enc = {r["id"]: r["sequence"] for r in TX.encode(docs, "id", "text", idx, 100, index_rows=10).collect()}
-    assert enc[1][0] == 1 and enc[1][1] == ranks["the"] + 3 and enc[3] == [1]
+    assert enc[1][0] == 1 and enc[1][1] == ranks["the"] + 3 and enc[3] == [1] and enc[4] == [1]
     dec = {r["id"]: r["decoded"] for r in TX.decode(
         TX.encode(docs, "id", "text", idx, 100, index_rows=10), "id", "sequence", idx, index_rows=10).collect()}
     assert dec[1] == "? the cat the hat"
