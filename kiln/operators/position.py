@@ -50,12 +50,13 @@ def _spec(k: KeySpec) -> tuple[str, bool]:
     return name, direction.lower() == "desc"
 
 
-def order_proxy(df: DataFrame, name: str, desc: bool = False) -> Column:
+def order_proxy(df: DataFrame, name: str, desc: bool = False, skip_bytes: int = 0) -> Column:
     """A double that never decreases along the sort order of ``name`` (ties allowed).
 
-    Numbers and times map to themselves; strings to the first 7 bytes read as a big-endian
-    integer (shorter strings are zero-padded, which keeps prefixes first, as in byte order).
-    Nulls go first for ascending and last for descending order, like Spark's defaults.
+    Numbers and times map to themselves; strings to 7 bytes read as a big-endian integer, taken
+    after ``skip_bytes`` bytes that every value shares (shorter strings are zero-padded, which
+    keeps prefixes first, as in byte order). Nulls go first for ascending and last for
+    descending order, like Spark's defaults.
     """
     dt = df.schema[name].dataType
     c = F.col(f"`{name}`")
@@ -68,7 +69,7 @@ def order_proxy(df: DataFrame, name: str, desc: bool = False) -> Column:
     elif isinstance(dt, T.DateType):
         v = F.unix_date(c).cast("double")
     elif isinstance(dt, (T.StringType, T.BinaryType)):
-        v = F.conv(F.rpad(F.substring(F.hex(c), 1, 14), 14, "0"), 16, 10).cast("double")
+        v = F.conv(F.rpad(F.substring(F.hex(c), 2 * skip_bytes + 1, 14), 14, "0"), 16, 10).cast("double")
     else:
         v = c.cast("double")
     if desc:
@@ -76,6 +77,20 @@ def order_proxy(df: DataFrame, name: str, desc: bool = False) -> Column:
     return F.coalesce(v, F.lit(float("-inf")))
 
 
+def _common_prefix_len(a, b) -> int:
+    """Bytes shared at the start of two values (strings as UTF-8)."""
+    if a is None or b is None:
+        return 0
+    x = a.encode("utf-8") if isinstance(a, str) else bytes(a)
+    y = b.encode("utf-8") if isinstance(b, str) else bytes(b)
+    n = 0
+    for p, q in zip(x, y):
+        if p != q:
+            break
+        n += 1
+    return n
+
+
 def _order(k: KeySpec) -> Column:
     name, desc = _spec(k)
     return F.col(f"`{name}`").desc_nulls_last() if desc else F.col(f"`{name}`").asc_nulls_first()
@@ -92,14 +107,23 @@ def with_position(df: DataFrame, keys: KeySpec | list[KeySpec], pos_col: str = "
 
 
 def with_position_and_count(df: DataFrame, keys: KeySpec | list[KeySpec], pos_col: str = "pos",
-                            buckets: int | None = None, accuracy: int = 10000) -> tuple[DataFrame, int]:
-    """:func:`with_position` plus the row count, taken from the same aggregate as the cut points."""
+                            buckets: int | None = None, accuracy: int = 10000,
+                            keep_intervals: bool = False) -> tuple[DataFrame, int]:
+    """:func:`with_position` plus the row count, taken from the same aggregate as the cut points.
+
+    ``keep_intervals`` keeps the interval ids (``__kiln_b1``, ``__kiln_b2``) for inspecting balance.
+    """
     keys = [keys] if isinstance(keys, (str, tuple)) else list(keys)
     nb = _n_buckets(df, buckets)
     p1, p2, b1, b2 = "__kiln_p1", "__kiln_p2", "__kiln_b1", "__kiln_b2"
 
     lead, lead_desc = _spec(keys[0])
-    keyed = df.withColumn(p1, order_proxy(df, lead, lead_desc))
+    lead_type = df.schema[lead].dataType
+    skip = 0
+    if isinstance(lead_type, (T.StringType, T.BinaryType)):
+        lo, hi = df.agg(F.min(F.col(f"`{lead}`")), F.max(F.col(f"`{lead}`"))).first()   # two values
+        skip = _common_prefix_len(lo, hi)
+    keyed = df.withColumn(p1, order_proxy(df, lead, lead_desc, skip))
     probs = [i / nb for i in range(1, max(nb, 2))]
     # The sketch must resolve finer than one interval, or unique keys would look like hot values.
     accuracy = max(int(accuracy), 4 * nb)
@@ -113,43 +137,49 @@ def with_position_and_count(df: DataFrame, keys: KeySpec | list[KeySpec], pos_co
     bucketed = Bucketizer(splits=splits, inputCol=p1, outputCol=b1, handleInvalid="keep").transform(keyed)
     bucketed = bucketed.withColumn(b1, F.col(b1).cast("int"))
 
-    # Hot leading values: a value repeated among the cut points holds more than one interval's rows.
-    # Only for leads whose proxy is exact (numbers, times): rows equal to the hot value are then
-    # exactly the rows with that proxy, and they are cut again on the second key. Other rows of the
-    # same interval lie above the hot value and are placed after all of its sub-intervals.
-    after = F.lit(MAX_SUB_BUCKETS + 1)
+    # Hot leading values. A cut point repeated in the sketch marks an interval holding more than one
+    # interval's share of rows. The dominant actual value behind it (found by value, not proxy) has
+    # its rows cut again on the second key: sub-intervals 1..k. Rows of the same interval that sort
+    # before that value get sub-interval 0, all others come after. Exact for any key type.
+    after = F.lit(MAX_SUB_BUCKETS + 2)
     sub = after
-    lead_type = df.schema[lead].dataType
-    exact = not isinstance(lead_type, (T.StringType, T.BinaryType))
-    hot = {v: n for v, n in Counter(cuts_all).items() if n >= 2 and abs(v) <= 2.0 ** 53}
-    # The heaviest MAX_HOT values are split; any others stay whole (still exact, less balanced).
+    hot = {v: n for v, n in Counter(cuts_all).items() if n >= 2 and v not in (float("inf"), float("-inf"))}
     hot = dict(sorted(hot.items(), key=lambda kv: -kv[1])[:MAX_HOT])
     drop = [p1]
-    if hot and exact and len(keys) > 1:
-        second, second_desc = _spec(keys[1])
-        bucketed = bucketed.withColumn(p2, order_proxy(df, second, second_desc))
-        drop.append(p2)
-        k = min(max(hot.values()) + 1, MAX_SUB_BUCKETS)
-        probs2 = [i / k for i in range(1, k)]
-        rows = (bucketed.where(F.col(p1).isin(list(hot)))
-                .groupBy(p1).agg(F.percentile_approx(p2, probs2, accuracy).alias("c"))
-                .collect())                     # one row per hot value (<= MAX_HOT), bounded cut lists
-        ins, outs, splits2, conds = [], [], [], []
-        for j, r in enumerate(rows):
-            inner = sorted({float(x) for x in (r["c"] or []) if x not in (None, float("inf"), float("-inf"))})
-            cond = F.col(p1) == F.lit(r[p1])
-            bucketed = bucketed.withColumn(f"__kiln_h{j}", F.when(cond, F.col(p2)).otherwise(F.lit(float("-inf"))))
-            ins.append(f"__kiln_h{j}")
-            outs.append(f"__kiln_s{j}")
-            splits2.append([float("-inf")] + (inner or [0.0]) + [float("inf")])
-            conds.append((cond, f"__kiln_s{j}"))
-        if ins:
+    if hot and len(keys) > 1:
+        lc = F.col(f"`{lead}`")
+        cand = (bucketed.where(F.col(p1).isin(list(hot))).groupBy(p1, lc.alias("__kiln_v"))
+                .agg(F.count(F.lit(1)).alias("__kiln_n"))
+                .where(F.col("__kiln_n") >= max(1, n_rows // (2 * nb)))
+                .orderBy(F.col("__kiln_n").desc()).limit(4 * MAX_HOT).collect())      # bounded
+        chosen: dict[float, object] = {}
+        for r in cand:                          # heaviest actual value per hot cut point
+            chosen.setdefault(r[p1], r["__kiln_v"])
+        if chosen:
+            second, second_desc = _spec(keys[1])
+            bucketed = bucketed.withColumn(p2, order_proxy(df, second, second_desc))
+            drop.append(p2)
+            k = min(max(hot[v] for v in chosen) + 1, MAX_SUB_BUCKETS)
+            probs2 = [i / k for i in range(1, k)]
+            values = list(chosen.values())
+            sub_rows = {r["__kiln_v"]: r["c"] for r in
+                        bucketed.where(lc.isin(values)).groupBy(lc.alias("__kiln_v"))
+                        .agg(F.percentile_approx(p2, probs2, accuracy).alias("c")).collect()}  # <= MAX_HOT
+            ins, outs, splits2, cases = [], [], [], None
+            for j, (v, actual) in enumerate(chosen.items()):
+                inner = sorted({float(x) for x in (sub_rows.get(actual) or [])
+                                if x not in (None, float("inf"), float("-inf"))})
+                is_v = lc == F.lit(actual)
+                bucketed = bucketed.withColumn(f"__kiln_h{j}", F.when(is_v, F.col(p2)).otherwise(F.lit(float("-inf"))))
+                ins.append(f"__kiln_h{j}")
+                outs.append(f"__kiln_s{j}")
+                splits2.append([float("-inf")] + (inner or [0.0]) + [float("inf")])
+                before = (F.col(p1) == F.lit(v)) & ((lc > F.lit(actual)) if lead_desc else (lc < F.lit(actual)))
+                step = F.when(is_v, F.col(f"__kiln_s{j}") + 1).when(before, F.lit(0))
+                cases = step if cases is None else cases.when(is_v, F.col(f"__kiln_s{j}") + 1).when(before, F.lit(0))
             # One JVM binary search per hot value's column (its own cut points), all in one pass.
             bucketed = Bucketizer(splitsArray=splits2, inputCols=ins, outputCols=outs,
                                   handleInvalid="keep").transform(bucketed)
-            cases = None
-            for cond, out in conds:
-                cases = F.when(cond, F.col(out)) if cases is None else cases.when(cond, F.col(out))
             sub = cases.otherwise(after)
             drop += ins + outs
     bucketed = bucketed.withColumn(b2, sub.cast("int")).drop(*drop)
@@ -163,7 +193,7 @@ def with_position_and_count(df: DataFrame, keys: KeySpec | list[KeySpec], pos_co
     w = Window.partitionBy(b1, b2).orderBy(*[_order(k) for k in keys])
     return (bucketed.join(F.broadcast(offsets), [b1, b2])
             .withColumn(pos_col, (F.row_number().over(w) - 1 + F.col("__kiln_off")).cast("bigint"))
-            .drop(b1, b2, "__kiln_off")), n_rows
+            .drop(*([] if keep_intervals else [b1, b2]), "__kiln_off")), n_rows
 
 
 def hash_unit(key: Column | str, seed: int = 42) -> Column:

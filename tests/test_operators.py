@@ -309,3 +309,28 @@ def test_position_on_timestamp_ntz_any_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == list(range(60))
+
+
+@pytest.mark.parametrize("desc", [False, True])
+def test_position_hot_string_lead_with_shared_prefix(spark, desc):
+    # URL-like keys share a long prefix; one value holds a third of the rows
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("https://site/page-hot"))
+        .otherwise(F.concat(F.lit("https://site/page-"), F.lpad((F.col("id") % 701).cast("string"), 4, "0")))
+        .alias("u"), F.col("id").alias("t"))
+    keys = [("u", "desc") if desc else "u", "t"]
+    p = with_position(df, keys, buckets=16)
+    o = F.col("u").desc() if desc else F.col("u").asc()
+    g = df.withColumn("g", F.row_number().over(Window.orderBy(o, F.col("t"))) - 1)
+    assert p.join(g, ["u", "t"]).where(F.col("pos") != F.col("g")).count() == 0
+
+
+@pytest.mark.parametrize("lead", ["num", "str"])
+def test_position_hot_value_spreads_over_intervals(spark, lead):
+    from kiln.operators.position import with_position_and_count
+    k = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id"))
+    df = spark.range(0, 6000).select((k.cast("string") if lead == "str" else k).alias("k"), F.col("id").alias("t"))
+    p, n = with_position_and_count(df, ["k", "t"], buckets=16, keep_intervals=True)
+    sizes = [r["n"] for r in p.groupBy("__kiln_b1", "__kiln_b2").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert n == 6000 and sum(sizes) == 6000
+    assert max(sizes) <= 0.2 * 6000          # the hot value (a third of the rows) is spread out
