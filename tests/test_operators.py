@@ -334,3 +334,19 @@ def test_position_hot_value_spreads_over_intervals(spark, lead):
     sizes = [r["n"] for r in p.groupBy("__kiln_b1", "__kiln_b2").agg(F.count(F.lit(1)).alias("n")).collect()]
     assert n == 6000 and sum(sizes) == 6000
     assert max(sizes) <= 0.2 * 6000          # the hot value (a third of the rows) is spread out
+
+
+def test_api_names(spark):
+    from kiln import api
+    df = spark.createDataFrame([(i, "a" if i % 2 else "b", float(i)) for i in range(20)], "k long, s string, x double")
+    parts = api.split_positional(df, "k", label="x")
+    assert [parts[p].count() for p in ("train", "eval", "serving")] == [14, 3, 3]
+    assert "x" not in parts["serving"].columns
+    assert api.allow_columns(df, {"k"}).columns == ["s", "x"]
+    prof = api.profile(df, remove={"k"})
+    sch = api.infer_schema(prof)
+    assert api.validate(prof, sch).count() == 0
+    assert api.skew(df, df.where("k < 10"), "s", 0.01).first()["distance"] == 0.0
+    pts = api.synth_normal(spark, 4000, (0.0, 3.0), ((1.0, 0.5), (0.5, 1.0)))
+    m = pts.agg(F.avg("x0"), F.avg("x1"), F.corr("x0", "x1")).first()
+    assert abs(m[0]) < 0.1 and abs(m[1] - 3) < 0.1 and abs(m[2] - 0.5) < 0.1
