@@ -1,16 +1,17 @@
 """Text → integer sequences and back, multi-hot sets.
 
 Tokenising is a SQL expression; the word index is a distributed count plus a bounded top-k;
-encoding maps each document's tokens through a bounded index inside its own task (Arrow batches),
-or – for an unbounded index – explodes tokens, joins and regroups per document in token order. Sequences stay sparse: multi-hot is the sorted set of active indices.
+encoding maps each document's tokens through a bounded index inside its own task with Arrow
+compute kernels (``mapInArrow``), or – for an unbounded index – explodes tokens, joins and
+regroups per document in token order. Sequences stay sparse: multi-hot is the sorted set of active indices.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kiln.operators.analyze import broadcast_if_small, vocab_build
 
@@ -53,21 +54,26 @@ def encode(df: DataFrame, key: str, text: str, index: DataFrame, num_words: int,
     if n <= IN_TASK_LOOKUP_MAX:
         pairs = [(r["word"], int(r["rank"]) + INDEX_FROM) for r in index.select("word", "rank").collect()]
         pairs = [(w, i) for w, i in pairs if i < num_words]
-        words = pd.Index([w for w, _ in pairs], dtype=object)
-        ids = np.array([i for _, i in pairs] + [OOV], dtype=np.int64)   # position -1 → OOV
-
-        @F.pandas_udf("array<bigint>")
-        def _encode(col: pd.Series) -> pd.Series:
-            # One hash lookup for every token of the batch, then split back per document.
-            toks = [t if t is not None else () for t in col]          # null text → no tokens
-            lens = np.fromiter((len(t) for t in toks), dtype=np.int64, count=len(toks))
-            flat = (np.concatenate([np.asarray(t, dtype=object) for t in toks]) if lens.sum()
-                    else np.array([], dtype=object))
-            mapped = ids[words.get_indexer(flat)]
-            start = np.array([START], dtype=np.int64)
-            return pd.Series([np.concatenate((start, part)) for part in np.split(mapped, np.cumsum(lens)[:-1])])
-
-        return df.select(key, _encode(tokens(text)).alias(out))
+        words = pa.array([w for w, _ in pairs], type=pa.string())
+        ids = pa.array([i for _, i in pairs], type=pa.int64())
+        toks = "__kiln_toks"
+        src = df.select(key, F.coalesce(tokens(text), F.array().cast("array<string>")).alias(toks))
+
+        def _encode(batches):
+            # Arrow kernels end to end: one hash lookup for all tokens of a batch, lists rebuilt
+            # from the original offsets; no Python object per token.
+            import pyarrow.compute as pc
+            for b in batches:
+                lists = b.column(1)
+                pos = pc.index_in(lists.flatten(), value_set=words)
+                mapped = pc.fill_null(pc.take(ids, pos), OOV)
+                offsets = pc.subtract(lists.offsets, lists.offsets[0])
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(offsets, mapped)],
+                                                 names=[key, out])
+
+        schema = T.StructType([df.schema[key], T.StructField(out, T.ArrayType(T.LongType()))])
+        coded = src.mapInArrow(_encode, schema)
+        return coded.select(key, F.concat(F.array(F.lit(START).cast("bigint")), F.col(out)).alias(out))
 
     pos, word, wid, tid = "__kiln_pos", "__kiln_word", "__kiln_wid", "__kiln_tid"
     toks = df.select(key, F.posexplode_outer(tokens(text)).alias(pos, word))
@@ -90,23 +96,27 @@ def decode(df: DataFrame, key: str, seq: str, index: DataFrame, out: str = "deco
     if n <= IN_TASK_LOOKUP_MAX:
         inverse = {int(r["rank"]) + INDEX_FROM: r["word"] for r in index.select("word", "rank").collect()}
         top = max(inverse, default=0)
-        by_id = np.array(["?"] * (top + 2), dtype=object)        # last slot: ids outside the index
+        by_id = ["?"] * (top + 2)                                  # last slot: ids outside the index
         for i, w in inverse.items():
             by_id[i] = w
-
-        @F.pandas_udf("string")
-        def _decode(col: pd.Series) -> pd.Series:
-            out_ = []
-            for ids in col:
-                if ids is None:
-                    out_.append(None)
-                    continue
-                a = np.asarray(ids, dtype=np.int64)
-                a = np.where((a >= 0) & (a <= top), a, top + 1)
-                out_.append(" ".join(by_id[a]))
-            return pd.Series(out_)
-
-        return df.select(key, _decode(F.col(seq)).alias(out))
+        by_id = pa.array(by_id, type=pa.string())
+        ids = "__kiln_ids"
+        src = df.select(key, F.col(seq).cast("array<bigint>").alias(ids))
+
+        def _decode(batches):
+            import pyarrow.compute as pc
+            for b in batches:
+                lists = b.column(1)
+                flat = lists.flatten()
+                inside = pc.and_(pc.greater_equal(flat, 0), pc.less_equal(flat, top))
+                words = pc.take(by_id, pc.if_else(inside, flat, top + 1))
+                offsets = pc.subtract(lists.offsets, lists.offsets[0])
+                joined = pc.binary_join(pa.ListArray.from_arrays(offsets, words), " ")
+                joined = pc.if_else(lists.is_null(), pa.scalar(None, pa.string()), joined)
+                yield pa.RecordBatch.from_arrays([b.column(0), joined], names=[key, out])
+
+        schema = T.StructType([df.schema[key], T.StructField(out, T.StringType())])
+        return src.mapInArrow(_decode, schema)
 
     pos, tid, word = "__kiln_pos", "__kiln_tid", "__kiln_word"
     items = df.select(key, F.posexplode_outer(seq).alias(pos, tid))

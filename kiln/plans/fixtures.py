@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.operators.split import split_positional
-from kiln.session import table_path
+from kiln.session import spread, table_path
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """A given table; a large single-file table is spread over the cores (see ``spread``)."""
+    return spread(spark.read.parquet(table_path(sf_dir, name)))
 
 
 # ---------------------------------------------------------------------------------------------

@@ -79,3 +79,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def spread(df: DataFrame, min_bytes: int = 8 << 20) -> DataFrame:
+    """Spread a large input that arrives in fewer files than there are cores.
+
+    A file with one row group is read by one task, and every per-row step before the first
+    shuffle (tokenising, parsing) then runs in that task too. Such an input is repartitioned
+    round-robin to the session's parallelism; inputs already split over many files – the normal
+    case on a cluster – and small inputs are returned unchanged.
+    """
+    sc = df.sparkSession.sparkContext
+    par = sc.defaultParallelism
+    try:
+        files = len(df.inputFiles())
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001  (statistics unavailable: leave the plan alone)
+        return df
+    if files >= par or size < min_bytes:
+        return df
+    return df.repartition(par)
