@@ -28,10 +28,10 @@ def _observed(prof: dict[str, DataFrame]) -> DataFrame:
 def unexpected_values(freq: DataFrame, schema: Schema, env: str | None = None) -> DataFrame:
     """Values outside the feature's domain with their share of the feature's non-missing rows."""
     feats = env_filter(schema, env).where(F.col("domain").isNotNull()).select("feature", "domain", "min_domain_mass")
-    totals = freq.groupBy("feature").agg(F.sum("count").alias("total"))
+    totals = freq.groupBy("feature").agg(F.sum("count").alias("total"))      # one row per feature
     with_dom = freq.join(F.broadcast(feats), "feature")
     outside = with_dom.join(F.broadcast(schema.domains), ["domain", "value"], "left_anti")
-    return (outside.join(totals, "feature")
+    return (outside.join(F.broadcast(totals), "feature")
             .select("feature", "value", "count", (F.col("count") / F.col("total")).alias("fraction"),
                     "min_domain_mass"))
 
@@ -129,8 +129,8 @@ def linf_distance(freq_a: DataFrame, freq_b: DataFrame, features: list[str] | No
     """
     def norm(freq):
         f = freq if features is None else freq.where(F.col("feature").isin(features))
-        tot = f.groupBy("feature").agg(F.sum("count").alias("__t"))
-        return f.join(tot, "feature").select("feature", "value", (F.col("count") / F.col("__t")).alias("p"))
+        tot = f.groupBy("feature").agg(F.sum("count").alias("__t"))             # one row per feature
+        return f.join(F.broadcast(tot), "feature").select("feature", "value", (F.col("count") / F.col("__t")).alias("p"))
     a = norm(freq_a)
     b = norm(freq_b).withColumnRenamed("p", "q")
     j = a.join(b, ["feature", "value"], "full_outer")
@@ -184,15 +184,15 @@ def drift_by_span(df: DataFrame, span_col: str, features: list[str], threshold:
     compared with its predecessor without a driver loop. Output: (span, previous_span, feature,
     distance, at_value, threshold, is_anomaly).
     """
+    from kiln.operators.analyze import broadcast_if_small
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("string").alias("value"))
                       for c in features])
     freq = (df.select(F.col(span_col).alias("span"), F.inline(pairs)).where(F.col("value").isNotNull())
             .groupBy("span", "feature", "value").agg(F.count(F.lit(1)).alias("count")))
-    tot = freq.groupBy("span", "feature").agg(F.sum("count").alias("__t"))
+    tot = broadcast_if_small(freq.groupBy("span", "feature").agg(F.sum("count").alias("__t")))  # spans × features
     norm = freq.join(tot, ["span", "feature"]).select("span", "feature", "value",
                                                       (F.col("count") / F.col("__t")).alias("p"))
     # One row per span (the span list is small), each with the span before it.
-    from kiln.operators.analyze import broadcast_if_small
     spans = (freq.select("span").distinct()
              .withColumn("previous_span", F.lag("span").over(Window.orderBy("span")))
              .where(F.col("previous_span").isNotNull()))
