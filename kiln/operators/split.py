@@ -111,9 +111,16 @@ def slice_range_by_class(df: DataFrame, class_col: str, key: str, start: int, en
     from kiln.operators.analyze import broadcast_if_small
     g = "__kiln_gpos"
     pos = with_position(df, [class_col, key], pos_col=g)
-    first = pos.groupBy(class_col).agg(F.min(g).alias("__kiln_c0"))      # one row per class
-    ranked = pos.join(broadcast_if_small(first), class_col).withColumn(
-        rank_col, (F.col(g) - F.col("__kiln_c0")).cast("bigint"))
+    # a class starts after all rows of smaller classes: per-class counts, running sum (one row per class)
+    first = (df.groupBy(class_col).agg(F.count(F.lit(1)).alias("__kiln_n"))
+             .withColumn("__kiln_c0", F.coalesce(F.sum("__kiln_n").over(
+                 Window.orderBy(F.col(class_col).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)),
+                 F.lit(0)))
+             .drop("__kiln_n"))
+    first = broadcast_if_small(first.withColumnRenamed(class_col, "__kiln_cls"))
+    ranked = (pos.join(first, pos[class_col].eqNullSafe(first["__kiln_cls"]))      # null is a class too
+              .drop("__kiln_cls")
+              .withColumn(rank_col, (F.col(g) - F.col("__kiln_c0")).cast("bigint")))
     return ranked.filter((F.col(rank_col) >= start) & (F.col(rank_col) < end)).drop(g, "__kiln_c0")
 
 

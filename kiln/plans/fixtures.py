@@ -6,7 +6,7 @@ derive exactly the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kiln.operators.split import split_positional
@@ -149,10 +149,14 @@ def events_history_rows(spark: SparkSession, sf_dir: str, batch_size: int = 32)
     ev = read(spark, sf_dir, "events").select("event_id", "ts", "value")
     d0 = ev.agg(F.min(F.to_date("ts"))).first()[0]                # first day (one value)
     ev = ev.withColumn("epoch", (F.datediff(F.to_date("ts"), F.lit(d0)) + 1).cast("bigint"))
-    # Position inside the day = global position in (ts, event_id) order minus the day's first
-    # position; the global index spreads a busy day over many tasks.
+    # Position inside the day = global position in (ts, event_id) order minus the rows of earlier
+    # days (a per-day count and a running sum over one row per day); the global index spreads a
+    # busy day over many tasks, and the window runs once.
     pos = with_position(ev, ["ts", "event_id"])
-    first = pos.groupBy("epoch").agg(F.min("pos").alias("__p0"))   # one row per day
+    first = (ev.groupBy("epoch").agg(F.count(F.lit(1)).alias("__n"))
+             .withColumn("__p0", F.coalesce(F.sum("__n").over(
+                 Window.orderBy("epoch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+             .drop("__n"))
     return (pos.join(broadcast_if_small(first), "epoch")
             .withColumn("batch", F.floor((F.col("pos") - F.col("__p0")) / batch_size).cast("bigint"))
             .withColumn("role", F.when(hash_unit("event_id", 42) < 0.8, "train").otherwise("val"))

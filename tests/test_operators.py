@@ -295,6 +295,9 @@ def test_slice_range_by_class_both_paths(spark):
     big = {(r["c"], r["k"], r["class_pos"]) for r in slice_range_by_class(df, "c", "k", 5, 1500).collect()}
     assert small == {(c, 3 * p + c, p) for c in range(3) for p in range(5, 15)}
     assert big == {(c, 3 * p + c, p) for c in range(3) for p in range(5, 1000)}
+    nulls = df.select(F.when(F.col("c") == 0, F.lit(None)).otherwise(F.col("c")).alias("c"), "k")
+    got = slice_range_by_class(nulls, "c", "k", 0, 1200).where(F.col("c").isNull()).count()
+    assert got == 1000                             # the null class keeps all its rows
 
 
 def test_position_on_timestamp_ntz_any_zone(spark):
