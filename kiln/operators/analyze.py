@@ -176,7 +176,10 @@ class Transform:
                  ctx: AnalyzeContext, keep: list[str]):
         self.fn, self.ctx, self.keep = fn, ctx, keep
 
-    def apply(self, df: DataFrame) -> DataFrame:
+    def apply(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+        """Outputs of the frozen function for ``df``, plus the ``keep`` columns (default: the ones
+        named at analysis)."""
+        keep = self.keep if keep is None else keep
         self.ctx._i = 0
         outputs = self.fn({c: F.col(f"`{c}`") for c in df.columns}, self.ctx)
         cur = df
@@ -187,7 +190,7 @@ class Transform:
             v = broadcast_if_small(a.result.select(F.col("term").alias(key), F.col("id").alias(f"__kiln_vocab_{idx}_id")),
                                    known_rows=a.size)
             cur = cur.withColumn(key, a.expr).join(v, key, "left")
-        return cur.select(*[F.col(f"`{k}`") for k in self.keep], *[c.alias(name) for name, c in outputs.items()])
+        return cur.select(*[F.col(f"`{k}`") for k in keep], *[c.alias(name) for name, c in outputs.items()])
 
     def statistics(self) -> list[tuple[int, str, object]]:
         return [(i, a.kind, a.result if a.kind != "vocab" else "table") for i, a in enumerate(self.ctx.analyzers)]

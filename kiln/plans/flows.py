@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,17 +56,22 @@ def laptop_preprocess(i: dict[str, Column], ctx: AnalyzeContext) -> dict[str, Co
 
 
 def laptop_analyze(spark: SparkSession, sf_dir: str) -> tuple[Transform, dict[str, DataFrame]]:
-    """Hash-split the laptop rows, analyze on train only; returns the transform and the splits."""
+    """Hash-split the laptop rows, analyze on train only; returns the transform and the splits
+    (plus the whole tagged table under ``"all"``)."""
     tagged = split_hash(laptop_raw(spark, sf_dir), "Unname", seed=42)
     parts = splits_of(tagged, names=("train", "eval", "test"))
+    parts["all"] = tagged
     return analyze(parts["train"], laptop_preprocess, keep=["Unname"]), parts
 
 
 def laptop_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transformed rows of every split, tagged with the split (each split's own rows)."""
+    """Transformed rows of every split, tagged with the split (each split's own rows).
+
+    The frozen transform is applied once to the tagged table: one scan and one lookup per
+    vocabulary for all splits, with statistics from the train rows only.
+    """
     tf, parts = laptop_analyze(spark, sf_dir)
-    out = [tf.apply(parts[name]).withColumn("split", F.lit(name)) for name in ("train", "eval", "test")]
-    return reduce(DataFrame.unionByName, out)
+    return tf.apply(parts["all"], keep=["Unname", "split"])
 
 
 def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
