@@ -93,6 +93,18 @@ def assemble(df: DataFrame, array_cols: list[str] = (), scalar_cols: list[str] =
     return va.transform(cur).drop(*tmp)
 
 
+def training_table(df: DataFrame) -> DataFrame:
+    """Cache a feature table for iterative fitting, at most one partition per core.
+
+    Every optimizer iteration is a job over all partitions; a table left with hundreds of small
+    shuffle partitions would pay that task overhead on every step. Coalescing merges partitions
+    without a shuffle.
+    """
+    # Unconditional: coalesce only ever lowers the count, and the partition count a plan reports
+    # before adaptive execution is not the one the cached table ends up with.
+    return df.coalesce(df.sparkSession.sparkContext.defaultParallelism).persist()
+
+
 def fit_logistic(train: DataFrame, label: str, features: str = "features", multinomial: bool = False,
                  max_iter: int = 50, reg: float = 0.0):
     lr = LogisticRegression(featuresCol=features, labelCol=label, maxIter=max_iter, regParam=reg,

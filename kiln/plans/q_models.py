@@ -76,7 +76,7 @@ def _doc_features(spark, sf):
 
 @query("fit_binary")
 def q_fit_binary(spark, sf):
-    x = holdout_head(_doc_features(spark, sf), "doc_id", fraction=0.2).persist()
+    x = MD.training_table(holdout_head(_doc_features(spark, sf), "doc_id", fraction=0.2))
     model = MD.fit_logistic(x.where("role = 'train'"), "quality", max_iter=20, reg=0.01)
     pred = model.transform(x.where("role = 'val'"))
     out = pred.select("doc_id", F.col("quality").alias("label"), vector_to_array("probability")[1].alias("prob"),
@@ -92,7 +92,7 @@ def _emb_vectors(spark, sf):
 @query("fit_multiclass")
 def q_fit_multiclass(spark, sf):
     """K-way dense network on the 64-value vectors (64 → 64 sigmoid → 10 softmax), 20% tail holdout."""
-    x = holdout_tail(_emb_vectors(spark, sf), "vec_id", fraction=0.2).persist()
+    x = MD.training_table(holdout_tail(_emb_vectors(spark, sf), "vec_id", fraction=0.2))
     model = MD.fit_mlp(x.where("role = 'train'"), "label", [64, 64, 10], max_iter=100)
     return model.transform(x).select("vec_id", "label", "role", F.col("prediction").cast("int").alias("pred"))
 
@@ -104,7 +104,7 @@ def q_fit_multi_output(spark, sf):
     lab = read(spark, sf, "labels")
     d = read(spark, sf, "documents").select("doc_id", (F.col("n_chars") / F.lit(1000.0)).alias("kchars"))
     x = TX.multi_hot_vector(enc.join(lab, "doc_id").join(d, "doc_id"), "sequence", DIM, out="words")
-    x = MD.assemble(x.withColumnRenamed("words", "__w"), [], ["__w", "kchars"]).persist()
+    x = MD.training_table(MD.assemble(x.withColumnRenamed("words", "__w"), [], ["__w", "kchars"]))
     outs = []
     for target in ("quality", "toxic"):
         m = MD.fit_logistic(x, target, max_iter=20, reg=0.01)
@@ -120,7 +120,7 @@ def q_fit_noise_check(spark, sf):
     rows = []
     for variant, extra in (("noise", VX.noise("vec_id", 64)), ("zeros", VX.zeros(64))):
         x = emb.select("vec_id", "label", VX.vec_concat("embedding", extra).alias("v"))
-        x = holdout_tail(MD.assemble(x, ["v"]), "vec_id", fraction=0.2).persist()
+        x = MD.training_table(holdout_tail(MD.assemble(x, ["v"]), "vec_id", fraction=0.2))
         m = MD.fit_logistic(x.where("role = 'train'"), "label", multinomial=True, max_iter=50, reg=0.01)
         p = m.transform(x.where("role = 'val'")).select(
             "label", "prediction", vector_to_array("probability").alias("p"))
@@ -132,14 +132,14 @@ def q_fit_noise_check(spark, sf):
 
 @query("predict_proba")
 def q_predict_proba(spark, sf):
-    x = _emb_vectors(spark, sf).persist()
+    x = MD.training_table(_emb_vectors(spark, sf))
     m = MD.fit_logistic(x, "label", multinomial=True, max_iter=30, reg=0.01)
     return MD.probabilities(m, x, ["vec_id"])
 
 
 @query("sink_model")
 def q_sink_model(spark, sf):
-    x = holdout_tail(_emb_vectors(spark, sf), "vec_id", fraction=0.2).persist()
+    x = MD.training_table(holdout_tail(_emb_vectors(spark, sf), "vec_id", fraction=0.2))
     m = MD.fit_logistic(x.where("role = 'train'"), "label", multinomial=True, max_iter=30, reg=0.01)
     path = scratch_path(spark, "model")
     SK.save_model(m, path)
