@@ -32,6 +32,8 @@ MAX_BUCKETS = 65536
 # Hot leading values split into at most this many sub-intervals each; at most MAX_HOT of them.
 MAX_SUB_BUCKETS = 1024
 MAX_HOT = 64
+# Below this many rows per interval on average, repeated cut points only mean "few rows": skip.
+MIN_ROWS_PER_INTERVAL = 64
 
 KeySpec = str | tuple[str, str]
 
@@ -146,7 +148,7 @@ def with_position_and_count(df: DataFrame, keys: KeySpec | list[KeySpec], pos_co
     hot = {v: n for v, n in Counter(cuts_all).items() if n >= 2 and v not in (float("inf"), float("-inf"))}
     hot = dict(sorted(hot.items(), key=lambda kv: -kv[1])[:MAX_HOT])
     drop = [p1]
-    if hot and len(keys) > 1:
+    if hot and len(keys) > 1 and n_rows >= MIN_ROWS_PER_INTERVAL * nb:
         lc = F.col(f"`{lead}`")
         cand = (bucketed.where(F.col(p1).isin(list(hot))).groupBy(p1, lc.alias("__kiln_v"))
                 .agg(F.count(F.lit(1)).alias("__kiln_n"))
