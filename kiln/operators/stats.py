@@ -166,12 +166,18 @@ def profile(df: DataFrame, allow: list[str] | None = None, remove: set[str] | No
     strs = string_columns(df, cols)
     numeric = stats_numeric(df, nums, accuracy) if nums else None
     counts = value_counts_with_missing(df, strs)
+    string = None
     if materialize:
-        numeric = cut_lineage(numeric) if numeric is not None else None
+        # per-feature tables: one row per feature, kept as local tables; the frequency table can
+        # be large and is checkpointed to the shared folder
+        numeric = _local(numeric) if numeric is not None else None
         counts = cut_lineage(counts) if strs else counts
+        string = _local(stats_string(df, strs, counts)) if strs else None
+    elif strs:
+        string = stats_string(df, strs, counts)
     return {
         "numeric": numeric,
-        "string": stats_string(df, strs, counts) if strs else None,
+        "string": string,
         "freq": counts.where(F.col("value").isNotNull()),
         "features": df.sparkSession.createDataFrame(  # one row per profiled feature (small)
             [(c, i, feature_kind(df.schema[c].dataType)) for i, c in enumerate(cols)],
@@ -179,6 +185,11 @@ def profile(df: DataFrame, allow: list[str] | None = None, remove: set[str] | No
     }
 
 
+def _local(df: DataFrame) -> DataFrame:
+    """A metadata-sized result (one row per feature) brought back as a local table."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def long_measures(stats: DataFrame, measures: list[str]) -> DataFrame:
     """Unpivot a wide per-feature stats table to (feature, measure, value double)."""
     return stats.select("feature", F.inline(F.array(*[
