@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 
 # Values are first rounded to this many decimals: it removes last-bit differences that different
-# summation orders leave behind, so the final rounding sees the same double on every engine.
+# summation orders leave behind, so the final rounding sees the same double on every engine. The
+# SQL twins spell the same two steps out as round(round(x, 9), d).
 GUARD_DIGITS = 9
 
 
@@ -22,39 +23,3 @@ def rnd(c: Column | str, digits: int = 6) -> Column:
     of an oracle check agree on half-way values."""
     col = F.col(c) if isinstance(c, str) else c
     return _round_to(_round_to(col.cast("double"), GUARD_DIGITS), digits)
-
-
-def guard_sql_rounding(sql: str) -> str:
-    """Rewrite every ``round(expr, d)`` with d < 9 in a SQL text to ``round(round(expr, 9), d)``."""
-    out, i, low = [], 0, sql.lower()
-    while True:
-        j = low.find("round(", i)
-        if j < 0:
-            out.append(sql[i:])
-            return "".join(out)
-        if j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_"):
-            out.append(sql[i:j + 6])
-            i = j + 6
-            continue
-        depth, k, comma = 1, j + 6, -1
-        while depth:
-            ch = sql[k]
-            if ch == "(":
-                depth += 1
-            elif ch == ")":
-                depth -= 1
-            elif ch == "," and depth == 1:
-                comma = k
-            k += 1
-        inner_start, close = j + 6, k - 1
-        if comma < 0:
-            out.append(sql[i:k])
-            i = k
-            continue
-        digits = sql[comma + 1:close].strip()
-        expr = guard_sql_rounding(sql[inner_start:comma])
-        if digits.isdigit() and int(digits) < GUARD_DIGITS:
-            out.append(sql[i:j] + f"round(round({expr}, {GUARD_DIGITS}), {digits})")
-        else:
-            out.append(sql[i:j] + f"round({expr}, {digits})")
-        i = k

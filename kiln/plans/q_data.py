@@ -115,7 +115,7 @@ def _synth_sql() -> str:
     sel = []
     for cls, mean in CLASS_MEANS.items():
         x0, x1 = _box_muller_sql("point_id", 7, mean, CLASS_COV)
-        sel.append(f"SELECT point_id, label, round({x0}, 6) AS x0, round({x1}, 6) AS x1 FROM li WHERE label = {cls}")
+        sel.append(f"SELECT point_id, label, round(round({x0}, 9), 6) AS x0, round(round({x1}, 9), 6) AS x1 FROM li WHERE label = {cls}")
     return ("WITH li AS (SELECT l_orderkey * 8 + l_linenumber AS point_id, l_linenumber % 2 AS label FROM lineitem) "
             + " UNION ALL ".join(sel))
 
@@ -149,7 +149,7 @@ def q_sink_splits(spark, sf):
 
 
 @query("sink_features", """
-SELECT vec_id, label, round(list_avg(embedding)::DOUBLE, 6) AS mean_activation FROM embeddings""")
+SELECT vec_id, label, round(round(list_avg(embedding)::DOUBLE, 9), 6) AS mean_activation FROM embeddings""")
 def q_sink_features(spark, sf):
     from kiln.functions.vectors import vec_mean
     emb = read(spark, sf, "embeddings")

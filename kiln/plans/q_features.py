@@ -161,8 +161,8 @@ def q_vocab_apply(spark, sf):
 
 
 def _z(x: str, m: str, s: str) -> str:
-    return (f"round(CASE WHEN {s} IS NULL OR {s} = 0 THEN CASE WHEN {x} IS NULL THEN NULL ELSE 0.0 END "
-            f"ELSE ({x} - {m}) / {s} END, 6)")
+    return (f"round(round(CASE WHEN {s} IS NULL OR {s} = 0 THEN CASE WHEN {x} IS NULL THEN NULL ELSE 0.0 END "
+            f"ELSE ({x} - {m}) / {s} END, 9), 6)")
 
 
 @query("zscore", L + ", " + SPLIT_SQL + f""",
@@ -183,7 +183,7 @@ def q_zscore(spark, sf):
 
 @query("impute_mean", L + ", " + SPLIT_SQL + """,
 st AS (SELECT avg(Price::DOUBLE) AS m FROM sp WHERE split = 'train')
-SELECT Unname, split, Price IS NULL AS was_missing, round(coalesce(Price::DOUBLE, st.m), 6) AS price_imputed
+SELECT Unname, split, Price IS NULL AS was_missing, round(round(coalesce(Price::DOUBLE, st.m), 9), 6) AS price_imputed
 FROM sp, st""")
 def q_impute_mean(spark, sf):
     tagged = split_hash(laptop_raw(spark, sf), "Unname")
@@ -242,7 +242,7 @@ def q_transform_apply(spark, sf):
 
 def _analyzer_stats_sql() -> str:
     rows = " UNION ALL ".join(
-        f"SELECT '{name}' AS output, round(avg(x_{k}::DOUBLE), 6) AS mean, round(stddev_pop(x_{k}::DOUBLE), 6) AS std "
+        f"SELECT '{name}' AS output, round(round(avg(x_{k}::DOUBLE), 9), 6) AS mean, round(round(stddev_pop(x_{k}::DOUBLE), 9), 6) AS std "
         f"FROM px WHERE split = 'train'" for name, k in NUMERIC_ANALYZERS)
     px_cols = ", ".join(f"{SQLX[k]} AS x_{k}" for _, k in NUMERIC_ANALYZERS)
     return L + ", " + SPLIT_SQL + f", px AS (SELECT *, {px_cols} FROM sp) " + rows
@@ -255,6 +255,6 @@ def q_analyze_transform(spark, sf):
     tf, parts = laptop_analyze(spark, sf)
     names = [n for n, _ in NUMERIC_ANALYZERS]
     zs = [a for a in tf.ctx.analyzers if a.kind == "zscore"][:len(names)]
-    rows = [(n, round(a.result[0], 6), round(a.result[1], 6)) for n, a in zip(names, zs)]
+    rows = [(n, round(round(a.result[0], 9), 6), round(round(a.result[1], 9), 6)) for n, a in zip(names, zs)]
     return spark.createDataFrame(rows, "output string, mean double, std double")
 

@@ -42,7 +42,7 @@ def scored(spark, sf):
     return s.withColumn("pred", VX.argmax("probs"))
 
 
-@query("metric_accuracy", "WITH " + PROBS_SQL + " SELECT round(avg(CAST(pred = label AS DOUBLE)), 6) AS accuracy FROM scored")
+@query("metric_accuracy", "WITH " + PROBS_SQL + " SELECT round(round(avg(CAST(pred = label AS DOUBLE)), 9), 6) AS accuracy FROM scored")
 def q_metric_accuracy(spark, sf):
     return M.accuracy(scored(spark, sf), "pred", "label").select(_r("accuracy"))
 
@@ -53,19 +53,19 @@ def q_metric_confusion(spark, sf):
 
 
 @query("metric_rmse_onehot", "WITH " + PROBS_SQL + """
-SELECT round(sqrt(sum(power(CASE WHEN j = label THEN 1.0 ELSE 0.0 END - prob, 2)) / count(DISTINCT vec_id)), 6) AS rmse FROM q""")
+SELECT round(round(sqrt(sum(power(CASE WHEN j = label THEN 1.0 ELSE 0.0 END - prob, 2)) / count(DISTINCT vec_id)), 9), 6) AS rmse FROM q""")
 def q_metric_rmse_onehot(spark, sf):
     return M.rmse_onehot(scored(spark, sf), "probs", "label").select(_r("rmse"))
 
 
 @query("loss_scce", "WITH " + PROBS_SQL + """
-SELECT round(-avg(ln(least(greatest(prob, 1e-7), 1 - 1e-7))), 6) AS loss FROM q WHERE j = label""")
+SELECT round(round(-avg(ln(least(greatest(prob, 1e-7), 1 - 1e-7))), 9), 6) AS loss FROM q WHERE j = label""")
 def q_loss_scce(spark, sf):
     return M.loss_scce(scored(spark, sf), "probs", "label").select(_r("loss"))
 
 
 @query("loss_cce", "WITH " + PROBS_SQL + """
-SELECT round(-avg(ln(least(greatest(prob, 1e-7), 1 - 1e-7))), 6) AS loss FROM q WHERE j = label""")
+SELECT round(round(-avg(ln(least(greatest(prob, 1e-7), 1 - 1e-7))), 9), 6) AS loss FROM q WHERE j = label""")
 def q_loss_cce(spark, sf):
     s = scored(spark, sf).withColumn("onehot", one_hot("label", 10))
     return M.loss_cce(s, "probs", "onehot").select(_r("loss"))
@@ -78,8 +78,8 @@ nc AS (SELECT vec_id, centroid FROM (SELECT *, row_number() OVER (PARTITION BY v
        WHERE rk = 1),
 errs AS (SELECT avg(CAST(s.pred <> s.label AS DOUBLE)) AS err_dense, avg(CAST(nc.centroid <> s.label AS DOUBLE)) AS err_centroid
          FROM scored s JOIN nc ON s.vec_id = nc.vec_id)
-SELECT round(err_dense, 6) AS err_dense, round(err_centroid, 6) AS err_centroid,
-       round((err_dense - err_centroid) / err_dense, 6) AS reduction FROM errs""")
+SELECT round(round(err_dense, 9), 6) AS err_dense, round(round(err_centroid, 9), 6) AS err_centroid,
+       round(round((err_dense - err_centroid) / err_dense, 9), 6) AS reduction FROM errs""")
 def q_error_reduction(spark, sf):
     emb = read(spark, sf, "embeddings")
     rows = _centroids(emb).orderBy("label").collect()     # one vector per class (bounded)
@@ -95,13 +95,13 @@ def q_error_reduction(spark, sf):
 
 # ------------------------------------------------------------------------------ regression / binary
 
-@query("metric_mse", "SELECT round(avg(power((900 + p_size * 2.0) - p_retailprice, 2)), 6) AS mse FROM part")
+@query("metric_mse", "SELECT round(round(avg(power((900 + p_size * 2.0) - p_retailprice, 2)), 9), 6) AS mse FROM part")
 def q_metric_mse(spark, sf):
     p = read(spark, sf, "part")
     return M.mse(p, F.lit(900.0) + F.col("p_size") * F.lit(2.0), "p_retailprice").select(_r("mse"))
 
 
-@query("metric_mae", "SELECT round(avg(abs((900 + p_size * 2.0) - p_retailprice)), 6) AS mae FROM part")
+@query("metric_mae", "SELECT round(round(avg(abs((900 + p_size * 2.0) - p_retailprice)), 9), 6) AS mae FROM part")
 def q_metric_mae(spark, sf):
     p = read(spark, sf, "part")
     return M.mae(p, F.lit(900.0) + F.col("p_size") * F.lit(2.0), "p_retailprice").select(_r("mae"))
@@ -127,14 +127,14 @@ def _binary(spark, sf):
             .withColumn("p_toxic", F.lit(1.0) / (F.lit(1.0) + F.exp(-((F.lit(1000) - F.col("n_chars")) / F.lit(500.0))))))
 
 
-@query("loss_bce", "WITH " + BIN_SQL + " SELECT round(avg(l_quality), 6) AS bce FROM t")
+@query("loss_bce", "WITH " + BIN_SQL + " SELECT round(round(avg(l_quality), 9), 6) AS bce FROM t")
 def q_loss_bce(spark, sf):
     return M.loss_bce(_binary(spark, sf), "p_quality", "quality").select(_r("bce"))
 
 
 @query("loss_multi", "WITH " + BIN_SQL + """
-SELECT round(avg(l_quality), 6) AS quality_loss, round(avg(l_toxic), 6) AS toxic_loss,
-       round(avg(l_quality) + avg(l_toxic), 6) AS loss FROM t""")
+SELECT round(round(avg(l_quality), 9), 6) AS quality_loss, round(round(avg(l_toxic), 9), 6) AS toxic_loss,
+       round(round(avg(l_quality) + avg(l_toxic), 9), 6) AS loss FROM t""")
 def q_loss_multi(spark, sf):
     b = _binary(spark, sf)
     agg = b.agg(F.avg(M.bce_term("p_quality", "quality")).alias("quality_loss"),
@@ -174,8 +174,8 @@ def _hist_out(h):
 bs AS (SELECT epoch, batch, sum(loss) AS ls, sum(correct) AS cs, count(*) AS n FROM evb WHERE role = 'train'
        GROUP BY epoch, batch)
 SELECT epoch, batch,
-       round(sum(ls) OVER w / sum(n) OVER w, 6) AS running_loss,
-       round(sum(cs) OVER w / sum(n) OVER w, 6) AS running_accuracy
+       round(round(sum(ls) OVER w / sum(n) OVER w, 9), 6) AS running_loss,
+       round(round(sum(cs) OVER w / sum(n) OVER w, 9), 6) AS running_accuracy
 FROM bs WINDOW w AS (PARTITION BY epoch ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def q_metric_running(spark, sf):
     s = _summary(spark, sf).where("role = 'train'").drop("role")
@@ -184,7 +184,7 @@ def q_metric_running(spark, sf):
 
 
 @query("metric_eval_loop", H + """
-SELECT epoch, round(avg(loss), 6) AS val_loss, round(avg(correct), 6) AS val_accuracy FROM evb WHERE role = 'val'
+SELECT epoch, round(round(avg(loss), 9), 6) AS val_loss, round(round(avg(correct), 9), 6) AS val_accuracy FROM evb WHERE role = 'val'
 GROUP BY epoch""")
 def q_metric_eval_loop(spark, sf):
     s = _summary(spark, sf).where("role = 'val'").groupBy("epoch").agg(
@@ -193,14 +193,14 @@ def q_metric_eval_loop(spark, sf):
 
 
 @query("history_epoch", HIST_SQL + """
-SELECT epoch, round(loss, 6) AS loss, round(accuracy, 6) AS accuracy, round(val_loss, 6) AS val_loss,
-       round(val_accuracy, 6) AS val_accuracy FROM hist""")
+SELECT epoch, round(round(loss, 9), 6) AS loss, round(round(accuracy, 9), 6) AS accuracy, round(round(val_loss, 9), 6) AS val_loss,
+       round(round(val_accuracy, 9), 6) AS val_accuracy FROM hist""")
 def q_history_epoch(spark, sf):
     return _hist_out(history(spark, sf))
 
 
 @query("history_batch_loss", H + """
-SELECT epoch, batch, round(avg(loss), 6) AS loss, count(*) AS n FROM evb WHERE role = 'train' GROUP BY epoch, batch""")
+SELECT epoch, batch, round(round(avg(loss), 9), 6) AS loss, count(*) AS n FROM evb WHERE role = 'train' GROUP BY epoch, batch""")
 def q_history_batch_loss(spark, sf):
     s = _summary(spark, sf).where("role = 'train'")
     return s.select("epoch", "batch", rnd(F.col("loss_sum") / F.col("n"), 6).alias("loss"), "n")
@@ -217,14 +217,14 @@ h3 AS (SELECT *, epoch - max(CASE WHEN improved THEN epoch END)
 @query("early_stop", SINCE_BEST_SQL + """
 SELECT (SELECT min(epoch) FROM h3 WHERE since_best >= 2) AS stop_epoch,
        (SELECT epoch FROM hist ORDER BY val_loss, epoch LIMIT 1) AS best_epoch,
-       (SELECT round(min(val_loss), 6) FROM hist) AS best_value""")
+       (SELECT round(round(min(val_loss), 9), 6) FROM hist) AS best_value""")
 def q_early_stop(spark, sf):
     e = M.early_stop(history(spark, sf), "epoch", "val_loss", patience=2)
     return e.select("stop_epoch", "best_epoch", _r("best_value"))
 
 
 @query("best_checkpoint", SINCE_BEST_SQL + """
-SELECT epoch, round(val_loss, 6) AS val_loss, row_number() OVER (ORDER BY val_loss, epoch) = 1 AS is_best
+SELECT epoch, round(round(val_loss, 9), 6) AS val_loss, row_number() OVER (ORDER BY val_loss, epoch) = 1 AS is_best
 FROM h3 WHERE improved""")
 def q_best_checkpoint(spark, sf):
     b = M.best_checkpoint(history(spark, sf), "epoch", "val_loss")
@@ -232,7 +232,7 @@ def q_best_checkpoint(spark, sf):
 
 
 @query("lr_plateau", SINCE_BEST_SQL + """
-SELECT epoch, round(val_loss, 6) AS val_loss, CAST(since_best AS INTEGER) AS epochs_since_best,
+SELECT epoch, round(round(val_loss, 9), 6) AS val_loss, CAST(since_best AS INTEGER) AS epochs_since_best,
        round(0.01 * power(0.5, sum(CASE WHEN since_best > 0 AND since_best % 2 = 0 THEN 1 ELSE 0 END)
              OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)), 9) AS lr_next
 FROM h3""")
@@ -242,7 +242,7 @@ def q_lr_plateau(spark, sf):
 
 
 @query("overfit_gap", HIST_SQL + """
-SELECT epoch, round(accuracy - val_accuracy, 6) AS accuracy_gap, round(val_loss - loss, 6) AS loss_gap,
+SELECT epoch, round(round(accuracy - val_accuracy, 9), 6) AS accuracy_gap, round(round(val_loss - loss, 9), 6) AS loss_gap,
        row_number() OVER (ORDER BY val_loss, epoch) = 1 AS lowest_val_loss FROM hist""")
 def q_overfit_gap(spark, sf):
     g = M.overfit_gap(history(spark, sf), "epoch")
@@ -250,8 +250,8 @@ def q_overfit_gap(spark, sf):
 
 
 @query("sink_metric_log", HIST_SQL + """
-SELECT epoch, round(loss, 6) AS loss, round(accuracy, 6) AS accuracy, round(val_loss, 6) AS val_loss,
-       round(val_accuracy, 6) AS val_accuracy FROM hist""")
+SELECT epoch, round(round(loss, 9), 6) AS loss, round(round(accuracy, 9), 6) AS accuracy, round(round(val_loss, 9), 6) AS val_loss,
+       round(round(val_accuracy, 9), 6) AS val_accuracy FROM hist""")
 def q_sink_metric_log(spark, sf):
     logged = SK.write_metric_log(_hist_out(history(spark, sf)), scratch_path(spark, "metric-log"))
     return logged

@@ -40,7 +40,7 @@ def _points_unrounded(spark, sf):
 
 
 @query("linear_gd", GD_SQL + """
-SELECT CAST(step AS INTEGER) AS step, round(loss, 6) AS loss, round(w0, 6) AS w_x0, round(w1, 6) AS w_x1, round(b, 6) AS b
+SELECT CAST(step AS INTEGER) AS step, round(round(loss, 9), 6) AS loss, round(round(w0, 9), 6) AS w_x0, round(round(w1, 9), 6) AS w_x1, round(round(b, 9), 6) AS b
 FROM gd WHERE step > 0""")
 def q_linear_gd(spark, sf):
     # The SQL twin reads the points rounded to 6 decimals; use the same inputs here.
@@ -52,7 +52,7 @@ def q_linear_gd(spark, sf):
 @query("decision_boundary", GD_SQL + """,
 last AS (SELECT w0, w1, b FROM gd WHERE step = 40),
 grid AS (SELECT i, lo + i * ((hi - lo) / 49) AS x FROM range(50) t(i), s)
-SELECT CAST(i AS BIGINT) AS i, round(x, 6) AS x, round(-(w0 / w1) * x + (0.5 - b) / w1, 6) AS y FROM grid, last""")
+SELECT CAST(i AS BIGINT) AS i, round(round(x, 9), 6) AS x, round(round(-(w0 / w1) * x + (0.5 - b) / w1, 9), 6) AS y FROM grid, last""")
 def q_decision_boundary(spark, sf):
     pts = synth_points(spark, sf).select("label", rnd("x0", 6).alias("x0"), rnd("x1", 6).alias("x1"))
     g = MD.gram_sums(pts, ["x0", "x1"], "label")

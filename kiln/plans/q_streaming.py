@@ -13,15 +13,15 @@ def _schema(spark, sf):
 
 
 @query("stream_metric", """
-SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n, round(avg(value), 6) AS mean FROM events GROUP BY 1""")
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n, round(round(avg(value), 9), 6) AS mean FROM events GROUP BY 1""")
 def q_stream_metric(spark, sf):
     out = stream_window_metric(spark, sf, "events.parquet", _schema(spark, sf), "ts", "value")
     return out.select("day", "n", rnd("mean", 6).alias("mean"))
 
 
 @query("stream_regression", """
-SELECT count(*) AS n, round(regr_slope(value, epoch_us(ts) / 86400e6), 6) AS slope,
-       round(regr_intercept(value, epoch_us(ts) / 86400e6), 4) AS intercept FROM events""")
+SELECT count(*) AS n, round(round(regr_slope(value, epoch_us(ts) / 86400e6), 9), 6) AS slope,
+       round(round(regr_intercept(value, epoch_us(ts) / 86400e6), 9), 4) AS intercept FROM events""")
 def q_stream_regression(spark, sf):
     out = stream_regression(spark, sf, "events.parquet", _schema(spark, sf), "ts", "value")
     return out.select("n", rnd("slope", 6).alias("slope"), rnd("intercept", 4).alias("intercept"))

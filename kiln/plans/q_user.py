@@ -34,7 +34,7 @@ vp AS (SELECT term, row_number() OVER (ORDER BY cnt DESC, term DESC) - 1 AS id F
 vc AS (SELECT term, row_number() OVER (ORDER BY cnt DESC, term DESC) - 1 AS id FROM
        (SELECT o_clerk AS term, count(*) AS cnt FROM osplit WHERE split = 'train' GROUP BY 1
         ORDER BY cnt DESC, term DESC LIMIT 50))
-SELECT o.o_orderkey, round((o.o_totalprice - st.m) / st.s, 6) AS price_z, coalesce(vp.id, -1) AS priority_id,
+SELECT o.o_orderkey, round(round((o.o_totalprice - st.m) / st.s, 9), 6) AS price_z, coalesce(vp.id, -1) AS priority_id,
        coalesce(vc.id, -1) AS clerk_id
 FROM osplit o CROSS JOIN st LEFT JOIN vp ON o.o_orderpriority = vp.term LEFT JOIN vc ON o.o_clerk = vc.term
 WHERE o.split = 'eval'""")
@@ -109,7 +109,7 @@ def price_band(c):
 
 @query("user_partition", """
 SELECT CASE WHEN o_totalprice < 100000 THEN 0 WHEN o_totalprice < 250000 THEN 1 ELSE 2 END AS route,
-       count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1""")
+       count(*) AS n, round(round(sum(o_totalprice), 9), 2) AS total FROM orders GROUP BY 1""")
 def q_user_partition(spark, sf):
     outs = route(read(spark, sf, "orders"), price_band, 3)
     parts = [df.groupBy("route").agg(F.count(F.lit(1)).alias("n"), rnd(F.sum("o_totalprice"), 2).alias("total"))
@@ -130,7 +130,7 @@ RMSE_PER_CLASS = M.UserMetric(
 
 
 @query("user_metric", "WITH " + PROBS_SQL + """
-SELECT label, round(sqrt(sum(power(CASE WHEN j = label THEN 1.0 ELSE 0.0 END - prob, 2)) / count(DISTINCT vec_id)), 6) AS rmse
+SELECT label, round(round(sqrt(sum(power(CASE WHEN j = label THEN 1.0 ELSE 0.0 END - prob, 2)) / count(DISTINCT vec_id)), 9), 6) AS rmse
 FROM q GROUP BY label""")
 def q_user_metric(spark, sf):
     r = RMSE_PER_CLASS.evaluate(scored(spark, sf), by=["label"])
@@ -156,9 +156,9 @@ class StopOnPlateau(Callback):
 
 
 @query("user_callback", SINCE_BEST_SQL + """
-SELECT epoch, 'checkpoint' AS callback, round(val_loss, 6) AS value FROM h3 WHERE improved
+SELECT epoch, 'checkpoint' AS callback, round(round(val_loss, 9), 6) AS value FROM h3 WHERE improved
 UNION ALL
-SELECT min(epoch), 'early_stop', round((SELECT min(val_loss) FROM hist), 6) FROM h3 WHERE since_best >= 2
+SELECT min(epoch), 'early_stop', round(round((SELECT min(val_loss) FROM hist), 9), 6) FROM h3 WHERE since_best >= 2
 HAVING count(*) > 0""")
 def q_user_callback(spark, sf):
     out = run_callbacks(history(spark, sf), [CheckpointOnBest(), StopOnPlateau()])

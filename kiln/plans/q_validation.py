@@ -84,7 +84,7 @@ def _numeric_sql(src: str, cols: list[str]) -> str:
     for i, c in enumerate(cols):
         parts.append(f"""
 SELECT '{c}' AS feature, {i} AS ordinal, count({c}) AS count, count(*) FILTER (WHERE {c} IS NULL) AS missing,
-       round(avg({c}::DOUBLE), 6) AS mean, round(stddev_pop({c}::DOUBLE), 6) AS std_dev,
+       round(round(avg({c}::DOUBLE), 9), 6) AS mean, round(round(stddev_pop({c}::DOUBLE), 9), 6) AS std_dev,
        count(*) FILTER (WHERE {c} = 0) AS zeros, min({c})::DOUBLE AS min,
        quantile_disc({c}::DOUBLE, 0.5) AS median, max({c})::DOUBLE AS max
 FROM {src}""")
@@ -116,7 +116,7 @@ def _freq_cte(name: str, split: str) -> str:
 @query("stats_string", W + ", " + _freq_cte("f", "train") + """,
 ranked AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY count DESC, value) AS rk FROM f),
 per AS (SELECT feature, sum(count)::BIGINT AS count, count(*)::BIGINT AS distinct,
-               round(sum(count * length(value)) / sum(count), 6) AS avg_length,
+               round(round(sum(count * length(value)) / sum(count), 9), 6) AS avg_length,
                max(count)::BIGINT AS top_freq FROM f GROUP BY feature),
 names AS (SELECT * FROM (VALUES ('o_orderstatus', 0), ('o_orderpriority', 1), ('o_clerk', 2)) t(feature, ordinal)),
 n AS (SELECT count(*) AS n FROM osplit WHERE split = 'train')
@@ -138,8 +138,8 @@ def q_stats_value_freq(spark, sf):
 WITH b AS (SELECT min(p_retailprice) AS lo, max(p_retailprice) AS hi FROM part),
 h AS (SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((p_retailprice - lo) * 10 / (hi - lo)), 9) END AS INTEGER)
                AS bucket, lo, hi FROM part, b WHERE p_retailprice IS NOT NULL)
-SELECT 'p_retailprice' AS feature, bucket, round(lo + bucket * (hi - lo) / 10, 6) AS low,
-       round(lo + (bucket + 1) * (hi - lo) / 10, 6) AS high, count(*) AS count
+SELECT 'p_retailprice' AS feature, bucket, round(round(lo + bucket * (hi - lo) / 10, 9), 6) AS low,
+       round(round(lo + (bucket + 1) * (hi - lo) / 10, 9), 6) AS high, count(*) AS count
 FROM h GROUP BY bucket, lo, hi""")
 def q_stats_histogram(spark, sf):
     h = ST.stats_histogram(read(spark, sf, "part"), "p_retailprice", 10)
@@ -170,7 +170,7 @@ def _cmp_sql() -> str:
     return (W + f", l AS ({side('train')}), r AS ({side('eval')}), "
             f"lu AS ({unpivot('l', 'train')}), ru AS ({unpivot('r', 'eval')}) "
             "SELECT coalesce(lu.feature, ru.feature) AS feature, coalesce(lu.measure, ru.measure) AS measure, "
-            "round(train, 6) AS train, round(eval, 6) AS eval "
+            "round(round(train, 9), 6) AS train, round(round(eval, 9), 6) AS eval "
             "FROM lu FULL OUTER JOIN ru ON lu.feature = ru.feature AND lu.measure = ru.measure")
 
 
@@ -282,7 +282,7 @@ outside AS (
     AND NOT EXISTS (SELECT 1 FROM doms WHERE doms.domain = feats.domain AND doms.value = ef.value)),
 o2 AS (SELECT outside.feature, value, count / total AS fraction FROM outside JOIN tot ON outside.feature = tot.feature),
 flag AS (SELECT feature FROM o2 GROUP BY feature HAVING 1 - sum(fraction) < 1.0)
-SELECT feature, 'UNEXPECTED_STRING_VALUES' AS anomaly, value AS detail, round(fraction, 6) AS value
+SELECT feature, 'UNEXPECTED_STRING_VALUES' AS anomaly, value AS detail, round(round(fraction, 9), 6) AS value
 FROM o2 WHERE feature IN (SELECT feature FROM flag)""")
 def q_validate_domain(spark, sf):
     schema, parts = _schema(spark, sf)
@@ -297,7 +297,7 @@ j AS (SELECT sf.feature, sf.value, sf.count,
              CASE WHEN sf.feature = 'o_orderpriority' THEN 0.9::DOUBLE ELSE 1.0::DOUBLE END AS min_domain_mass
       FROM sf JOIN feats ON sf.feature = feats.feature WHERE feats.domain IS NOT NULL
         AND sf.feature <> 'o_orderstatus')
-SELECT feature, min_domain_mass, round(sum(CASE WHEN inside = 1 THEN count ELSE 0 END) / sum(count), 6) AS in_domain,
+SELECT feature, min_domain_mass, round(round(sum(CASE WHEN inside = 1 THEN count ELSE 0 END) / sum(count), 9), 6) AS in_domain,
        sum(CASE WHEN inside = 1 THEN count ELSE 0 END) / sum(count) < min_domain_mass AS is_anomaly
 FROM j GROUP BY feature, min_domain_mass""")
 def q_validate_domain_mass(spark, sf):
@@ -333,7 +333,7 @@ m AS (SELECT 'quality' AS feature, count(quality) AS c, count(*) - count(quality
       UNION ALL SELECT 'lang', count(lang), count(*) - count(lang) FROM docs
       UNION ALL SELECT 'n_chars', count(n_chars), count(*) - count(n_chars) FROM docs)
 SELECT feature, 'PRESENCE' AS anomaly, CASE WHEN c < 1 THEN 'count' ELSE 'fraction' END AS detail,
-       round(c / (c + miss), 6) AS value
+       round(round(c / (c + miss), 9), 6) AS value
 FROM m WHERE c / (c + miss) < 1.0 OR c < 1""")
 def q_validate_presence(spark, sf):
     docs = docs_labelled(spark, sf).select(*DOC_FEATS)
@@ -379,7 +379,7 @@ thr AS (SELECT * FROM (VALUES {thr}) t(feature, threshold))
 
 @query("skew_linf", W + ", " + _freq_cte("tf", "train") + ", " + _freq_cte("sv", "serving") + ", "
        + _linf_sql("tf", "sv", ["o_orderpriority", "o_clerk"], "('o_orderpriority', 0.03::DOUBLE), ('o_clerk', 0.002::DOUBLE)") + """
-SELECT r.feature, round(d, 6) AS distance, value AS at_value, thr.threshold, 'SKEW' AS anomaly,
+SELECT r.feature, round(round(d, 9), 6) AS distance, value AS at_value, thr.threshold, 'SKEW' AS anomaly,
        d > thr.threshold AS is_anomaly
 FROM r JOIN thr ON r.feature = thr.feature WHERE rk = 1""")
 def q_skew_linf(spark, sf):
@@ -403,7 +403,7 @@ j AS (SELECT pairs.span, pairs.prev, pairs.value,
                  LEFT JOIN n b ON b.span = pairs.prev AND b.value = pairs.value
       WHERE a.p IS NOT NULL OR b.p IS NOT NULL),
 r AS (SELECT *, row_number() OVER (PARTITION BY span ORDER BY d DESC, value) AS rk FROM j)
-SELECT span, prev AS previous_span, 'event_type' AS feature, round(d, 6) AS distance, value AS at_value,
+SELECT span, prev AS previous_span, 'event_type' AS feature, round(round(d, 9), 6) AS distance, value AS at_value,
        0.03::DOUBLE AS threshold, d > 0.03 AS is_anomaly
 FROM r WHERE rk = 1""")
 def q_drift_linf(spark, sf):
@@ -427,7 +427,7 @@ lin AS (
     FULL OUTER JOIN (SELECT * FROM ef WHERE feature = 'o_orderpriority') b ON a.feature = b.feature AND a.value = b.value)),
 r AS (SELECT *, row_number() OVER (PARTITION BY f, feature ORDER BY d DESC, value) AS rk FROM lin)
 SELECT feature, CASE WHEN f = 'skew' THEN 'SKEW' ELSE 'DRIFT' END AS anomaly, value AS detail,
-       round(d, 6) AS value
+       round(round(d, 9), 6) AS value
 FROM r WHERE rk = 1 AND d > CASE WHEN f = 'skew' THEN 0.002 ELSE 0.005 END""")
 def q_validate_all(spark, sf):
     schema, parts, train_prof = _schema_with_profile(spark, sf)

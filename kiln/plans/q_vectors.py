@@ -21,13 +21,13 @@ def _long(df, key, arr, out="value", digits=6):
 UNNEST = "SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS pos, unnest(embedding) AS x FROM embeddings"
 
 
-@query("vec_rescale", f"SELECT vec_id, pos::BIGINT AS pos, round(x::DOUBLE / 255.0, 6) AS value FROM ({UNNEST})")
+@query("vec_rescale", f"SELECT vec_id, pos::BIGINT AS pos, round(round(x::DOUBLE / 255.0, 9), 6) AS value FROM ({UNNEST})")
 def q_vec_rescale(spark, sf):
     emb = read(spark, sf, "embeddings")
     return _long(emb.select("vec_id", VX.vec_rescale("embedding", 255.0).alias("v")), "vec_id", "v")
 
 
-@query("vec_flatten", f"SELECT vec_id, pos::BIGINT AS pos, round(x::DOUBLE, 6) AS value FROM ({UNNEST})")
+@query("vec_flatten", f"SELECT vec_id, pos::BIGINT AS pos, round(round(x::DOUBLE, 9), 6) AS value FROM ({UNNEST})")
 def q_vec_flatten(spark, sf):
     emb = read(spark, sf, "embeddings")
     grid = emb.select("vec_id", VX.vec_reshape("embedding", 8, 8).alias("g"))
@@ -36,8 +36,8 @@ def q_vec_flatten(spark, sf):
 
 @query("vec_concat", """
 SELECT vec_id, CAST(len(embedding) + 64 AS BIGINT) AS n_values,
-       round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 4) AS total,
-       round(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)), 4) AS sumsq
+       round(round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 9), 4) AS total,
+       round(round(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)), 9), 4) AS sumsq
 FROM embeddings""")
 def q_vec_concat(spark, sf):
     emb = read(spark, sf, "embeddings")
@@ -58,7 +58,7 @@ def q_vec_standardize_clip(spark, sf):
     return _long(emb.select("vec_id", VX.vec_standardize_clip("embedding").alias("v")), "vec_id", "v", digits=None)
 
 
-@query("vec_mean", "SELECT vec_id, label, round(list_avg(list_transform(embedding, lambda x: x::DOUBLE)), 6) AS mean FROM embeddings")
+@query("vec_mean", "SELECT vec_id, label, round(round(list_avg(list_transform(embedding, lambda x: x::DOUBLE)), 9), 6) AS mean FROM embeddings")
 def q_vec_mean(spark, sf):
     emb = read(spark, sf, "embeddings")
     return emb.select("vec_id", "label", rnd(VX.vec_mean("embedding"), 6).alias("mean"))
@@ -78,7 +78,7 @@ z AS (SELECT u.vec_id, w.j, sum(u.x::DOUBLE * w.w) + 0.01 * w.j AS z FROM u JOIN
 p AS (SELECT vec_id, j, exp(z - max(z) OVER (PARTITION BY vec_id)) AS e FROM z),
 q AS (SELECT vec_id, j, e / sum(e) OVER (PARTITION BY vec_id) AS prob FROM p),
 r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY prob DESC, j) AS rk FROM q)
-SELECT vec_id, CAST(j AS INTEGER) AS pred_class, round(prob, 6) AS top_prob FROM r WHERE rk = 1""")
+SELECT vec_id, CAST(j AS INTEGER) AS pred_class, round(round(prob, 9), 6) AS top_prob FROM r WHERE rk = 1""")
 def q_dense_forward(spark, sf):
     emb = read(spark, sf, "embeddings")
     w, b = dense_weights()
@@ -96,12 +96,12 @@ AFFINE_M = ((1.0, 0.5), (-0.5, 1.0))
 @query("geom_transform", f"""
 WITH p AS (SELECT l_orderkey, l_linenumber, l_quantity AS x, l_extendedprice / 1000.0 AS y FROM lineitem)
 SELECT l_orderkey, l_linenumber,
-       round(x + {SHIFT[0]!r}, 6) AS tx, round(y + {SHIFT[1]!r}, 6) AS ty,
-       round(x * {math.cos(THETA)!r} - y * {math.sin(THETA)!r}, 6) AS rx,
-       round(x * {math.sin(THETA)!r} + y * {math.cos(THETA)!r}, 6) AS ry,
-       round(x * {SCALE[0]!r}, 6) AS sx, round(y * {SCALE[1]!r}, 6) AS sy,
-       round(x * {AFFINE_M[0][0]!r} + y * {AFFINE_M[0][1]!r} + {SHIFT[0]!r}, 6) AS ax,
-       round(x * {AFFINE_M[1][0]!r} + y * {AFFINE_M[1][1]!r} + {SHIFT[1]!r}, 6) AS ay
+       round(round(x + {SHIFT[0]!r}, 9), 6) AS tx, round(round(y + {SHIFT[1]!r}, 9), 6) AS ty,
+       round(round(x * {math.cos(THETA)!r} - y * {math.sin(THETA)!r}, 9), 6) AS rx,
+       round(round(x * {math.sin(THETA)!r} + y * {math.cos(THETA)!r}, 9), 6) AS ry,
+       round(round(x * {SCALE[0]!r}, 9), 6) AS sx, round(round(y * {SCALE[1]!r}, 9), 6) AS sy,
+       round(round(x * {AFFINE_M[0][0]!r} + y * {AFFINE_M[0][1]!r} + {SHIFT[0]!r}, 9), 6) AS ax,
+       round(round(x * {AFFINE_M[1][0]!r} + y * {AFFINE_M[1][1]!r} + {SHIFT[1]!r}, 9), 6) AS ay
 FROM p""")
 def q_geom_transform(spark, sf):
     li = read(spark, sf, "lineitem")
@@ -123,7 +123,7 @@ cent AS (SELECT label AS centroid, pos, avg(x::DOUBLE) AS c FROM u JOIN lab USIN
 
 
 @query("pairwise_dot", "WITH " + CENTROIDS_SQL + """
-SELECT u.vec_id, CAST(cent.centroid AS INTEGER) AS centroid, round(sum(u.x::DOUBLE * cent.c), 4) AS dot
+SELECT u.vec_id, CAST(cent.centroid AS INTEGER) AS centroid, round(round(sum(u.x::DOUBLE * cent.c), 9), 4) AS dot
 FROM u JOIN cent ON u.pos = cent.pos GROUP BY u.vec_id, cent.centroid""")
 def q_pairwise_dot(spark, sf):
     """A·Bᵀ with A = every embedding and B = the per-label centroids (one row per label, size-checked)."""
@@ -156,7 +156,7 @@ def q_argmax_class(spark, sf):
 
 
 @query("threshold_class", """
-SELECT vec_id, round(1.0 / (1.0 + exp(-embedding[1]::DOUBLE)), 6) AS score,
+SELECT vec_id, round(round(1.0 / (1.0 + exp(-embedding[1]::DOUBLE)), 9), 6) AS score,
        CAST(1.0 / (1.0 + exp(-embedding[1]::DOUBLE)) > 0.5 AS INTEGER) AS pred FROM embeddings""")
 def q_threshold_class(spark, sf):
     emb = read(spark, sf, "embeddings")
