@@ -38,7 +38,7 @@ def word_index(df: DataFrame, text: str, num_words: int | None = None) -> DataFr
 
 # A word index up to this many entries is shipped to the tasks and looked up in place (no shuffle
 # of tokens); larger ones go through the explode → join → regroup path.
-IN_TASK_LOOKUP_MAX = 1_000_000
+IN_TASK_LOOKUP_MAX = 250_000
 
 
 def encode(df: DataFrame, key: str, text: str, index: DataFrame, num_words: int, out: str = "sequence",

@@ -21,7 +21,7 @@ from kiln.operators.position import with_position
 from kiln.session import cut_lineage
 
 # Vocabularies up to this many rows are broadcast to the lookup; larger ones use a shuffle join.
-BROADCAST_VOCAB_ROWS = 2_000_000
+BROADCAST_VOCAB_ROWS = 500_000
 UNSEEN_ID = -1
 
 _PENDING = "__kiln_pending_"
