@@ -30,13 +30,24 @@ def file_stream(spark: SparkSession, folder: str, glob: str, schema) -> DataFram
             .option("maxFilesPerTrigger", 1).parquet(folder))
 
 
-def _publish(agg: DataFrame, name: str) -> DataFrame:
+def _publish(agg: DataFrame, name: str, callbacks: list | None = None) -> DataFrame:
+    """Run ``agg`` to the end of the available input, publishing every micro-batch's full result.
+
+    ``callbacks`` are user hooks ``fn(result, batch_id) -> DataFrame | None`` run on each published
+    result (the streaming form of epoch-end callbacks); what they return is stored next to the
+    output, partitioned by batch id (``<out>-callbacks/batch_id=N``).
+    """
     spark = agg.sparkSession
     out = scratch_path(spark, f"{name}-out")
     ckpt = scratch_path(spark, f"{name}-ckpt")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(out)
+        for cb in callbacks or []:
+            events = cb(batch.sparkSession.read.parquet(out), batch_id)
+            if events is not None:
+                # one folder per batch, overwritten: a replayed batch after a restart writes the same rows
+                events.write.mode("overwrite").parquet(f"{out}-callbacks/batch_id={batch_id}")
 
     q = (agg.writeStream.outputMode("complete").foreachBatch(sink)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
@@ -45,7 +56,7 @@ def _publish(agg: DataFrame, name: str) -> DataFrame:
 
 
 def stream_window_metric(spark: SparkSession, folder: str, glob: str, schema, ts: str, value: str,
-                         window: str = "1 day", watermark: str = "1 day") -> DataFrame:
+                         window: str = "1 day", watermark: str = "1 day", callbacks: list | None = None) -> DataFrame:
     """Metric per tumbling window (the reset period): count and mean of ``value``.
 
     Output: (day, n, mean) with ``day`` the window start as a date string.
@@ -55,7 +66,7 @@ def stream_window_metric(spark: SparkSession, folder: str, glob: str, schema, ts
            .agg(F.count(F.lit(1)).alias("n"), F.avg(F.col(value).cast("double")).alias("mean")))
     day = F.date_add(F.lit("1970-01-01").cast("date"),
                      F.floor(F.unix_seconds(F.col("w.start")) / 86400).cast("int")).cast("string")
-    return _publish(agg.select(day.alias("day"), "n", "mean"), "stream-metric")
+    return _publish(agg.select(day.alias("day"), "n", "mean"), "stream-metric", callbacks)
 
 
 def stream_regression(spark: SparkSession, folder: str, glob: str, schema, ts: str, value: str) -> DataFrame:

@@ -32,3 +32,24 @@ def test_same_result_for_any_partition_count(spark, key):
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1] == results[2]
+
+
+def test_stream_callbacks_run_per_batch(spark):
+    import glob
+    import os
+
+    from kiln.streaming.twins import stream_window_metric
+    seen = []
+
+    def busiest_day(result, batch_id):
+        seen.append(batch_id)
+        return result.orderBy(F.col("n").desc(), F.col("day")).limit(1).select("day", "n")
+
+    schema = spark.read.parquet(f"{SF}/events.parquet").schema
+    out = stream_window_metric(spark, SF, "events.parquet", schema, "ts", "value", callbacks=[busiest_day])
+    assert seen == [0]
+    paths = out.inputFiles()
+    folder = os.path.dirname(paths[0].replace("file:", ""))
+    events = spark.read.parquet(folder + "-callbacks")
+    assert events.count() == 1 and set(events.columns) == {"day", "n", "batch_id"}
+    assert glob.glob(folder + "-callbacks/*.parquet")
