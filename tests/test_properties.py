@@ -52,4 +52,4 @@ def test_stream_callbacks_run_per_batch(spark):
     folder = os.path.dirname(paths[0].replace("file:", ""))
     events = spark.read.parquet(folder + "-callbacks")
     assert events.count() == 1 and set(events.columns) == {"day", "n", "batch_id"}
-    assert glob.glob(folder + "-callbacks/*.parquet")
+    assert glob.glob(folder + "-callbacks/batch_id=0/*.parquet")
