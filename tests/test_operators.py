@@ -353,3 +353,17 @@ def test_api_names(spark):
     pts = api.synth_normal(spark, 4000, (0.0, 3.0), ((1.0, 0.5), (0.5, 1.0)))
     m = pts.agg(F.avg("x0"), F.avg("x1"), F.corr("x0", "x1")).first()
     assert abs(m[0]) < 0.1 and abs(m[1] - 3) < 0.1 and abs(m[2] - 0.5) < 0.1
+
+
+def test_hyphenated_feature_names(spark):
+    df = spark.createDataFrame([("No", 1.0), ("Steady", 2.0), ("No", None)], "`glimepiride-pioglitazone` string, `num-x` double")
+    prof = ST.profile(df)
+    sch = S.infer_schema(prof)
+    assert {r["feature"] for r in sch.features.collect()} == {"glimepiride-pioglitazone", "num-x"}
+    ev = spark.createDataFrame([("Up", 1.0)], "`glimepiride-pioglitazone` string, `num-x` double")
+    anomalies = V.validate_all(ST.profile(ev), sch).collect()
+    assert ("glimepiride-pioglitazone", "UNEXPECTED_STRING_VALUES") in {(r["feature"], r["anomaly"]) for r in anomalies}
+    tf = analyze(df, lambda i, ctx: {"z": ctx.zscore(i["num-x"]), "v": ctx.vocab(i["glimepiride-pioglitazone"])})
+    assert tf.apply(ev).count() == 1
+    assert {r["column"] for r in __import__("kiln.operators.split", fromlist=["x"]).null_counts(df).collect()} == \
+        {"glimepiride-pioglitazone", "num-x"}
