@@ -47,27 +47,39 @@ def string_columns(df: DataFrame, cols: list[str]) -> list[str]:
     return [c for c in cols if isinstance(df.schema[c].dataType, T.StringType)]
 
 
-def stats_numeric(df: DataFrame, cols: list[str] | None = None, accuracy: int = 10000) -> DataFrame:
-    """Per numeric feature: count, missing, mean, std_dev (population), zeros, min, median, max.
+NUMERIC_STATS_SCHEMA = ("feature string, ordinal int, count bigint, missing bigint, mean double, std_dev double, "
+                        "zeros bigint, min double, median double, max double")
+STRING_STATS_SCHEMA = ("feature string, ordinal int, count bigint, missing bigint, distinct bigint, "
+                       "avg_length double, top string, top_freq bigint")
 
-    The median is ``percentile_approx`` (a bounded sketch per column); with ``accuracy`` above
-    the row count the sketch keeps every value and the median is exact.
-    """
-    cols = numeric_columns(df, cols or df.columns)
+
+def _numeric_aggs(cols: list[str], accuracy: int) -> list:
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(q(c)).cast("double")
         aggs += [F.count(x).alias(f"c{i}"), F.count_if(x.isNull()).alias(f"m{i}"), F.avg(x).alias(f"a{i}"),
                  F.stddev_pop(x).alias(f"s{i}"), F.count_if(x == 0).alias(f"z{i}"), F.min(x).alias(f"lo{i}"),
                  F.percentile_approx(x, 0.5, accuracy).alias(f"md{i}"), F.max(x).alias(f"hi{i}")]
-    one = df.agg(*aggs)
-    rows = F.array(*[F.struct(
+    return aggs
+
+
+def _numeric_rows(cols: list[str]):
+    return F.array(*[F.struct(
         F.lit(c).alias("feature"), F.lit(i).alias("ordinal"),
         F.col(f"c{i}").cast("bigint").alias("count"), F.col(f"m{i}").cast("bigint").alias("missing"),
         F.col(f"a{i}").alias("mean"), F.col(f"s{i}").alias("std_dev"),
         F.col(f"z{i}").cast("bigint").alias("zeros"), F.col(f"lo{i}").alias("min"),
         F.col(f"md{i}").alias("median"), F.col(f"hi{i}").alias("max")) for i, c in enumerate(cols)])
-    return one.select(F.inline(rows))
+
+
+def stats_numeric(df: DataFrame, cols: list[str] | None = None, accuracy: int = 10000) -> DataFrame:
+    """Per numeric feature: count, missing, mean, std_dev (population), zeros, min, median, max.
+
+    The median is ``percentile_approx`` (a bounded sketch per column); with ``accuracy`` above
+    the row count the sketch keeps every value and the median is exact.
+    """
+    cols = numeric_columns(df, cols or df.columns)
+    return df.agg(*_numeric_aggs(cols, accuracy)).select(F.inline(_numeric_rows(cols)))
 
 
 def melt_strings(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -94,16 +106,10 @@ def value_counts_with_missing(df: DataFrame, cols: list[str]) -> DataFrame:
     return melt_strings(df, cols).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("count"))
 
 
-def stats_string(df: DataFrame, cols: list[str] | None = None, counts: DataFrame | None = None) -> DataFrame:
-    """Per string feature: count, missing, distinct, avg_length, top value, top frequency.
-
-    Computed from :func:`value_counts_with_missing` (no other pass over the rows). Ties for the
-    top value go to the smallest value (byte order).
-    """
-    cols = string_columns(df, cols or df.columns)
-    counts = counts if counts is not None else value_counts_with_missing(df, cols)
+def _string_aggs() -> list:
+    """Per-feature measures over (value, count) rows, missing cells being the null-value row."""
     present = F.col("value").isNotNull()
-    per = counts.groupBy("feature").agg(
+    return [
         F.sum(F.when(present, F.col("count")).otherwise(0)).cast("bigint").alias("count"),
         F.sum(F.when(~present, F.col("count")).otherwise(0)).cast("bigint").alias("missing"),
         F.count_if(present).cast("bigint").alias("distinct"),
@@ -111,7 +117,18 @@ def stats_string(df: DataFrame, cols: list[str] | None = None, counts: DataFrame
          F.sum(F.when(present, F.col("count")))).alias("avg_length"),
         F.min_by(F.when(present, F.col("value")),
                  F.when(present, F.struct((-F.col("count")).alias("nc"), F.col("value").alias("v")))).alias("top"),
-        F.max(F.when(present, F.col("count"))).cast("bigint").alias("top_freq"))
+        F.max(F.when(present, F.col("count"))).cast("bigint").alias("top_freq")]
+
+
+def stats_string(df: DataFrame, cols: list[str] | None = None, counts: DataFrame | None = None) -> DataFrame:
+    """Per string feature: count, missing, distinct, avg_length, top value, top frequency.
+
+    Computed from :func:`value_counts_with_missing` (no other pass over the rows). Ties for the
+    top value go to the smallest value (byte order).
+    """
+    cols = string_columns(df, cols or df.columns)
+    counts = counts if counts is not None else value_counts_with_missing(df, cols)
+    per = counts.groupBy("feature").agg(*_string_aggs())
     names = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(cols)], "feature string, ordinal int")
     return (F.broadcast(names).join(per, "feature", "left")
             .select("feature", "ordinal", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
@@ -185,6 +202,59 @@ def profile(df: DataFrame, allow: list[str] | None = None, remove: set[str] | No
     }
 
 
+def profile_splits(tagged: DataFrame, names: tuple[str, ...], split_col: str = "split",
+                   remove: set[str] | None = None, exclude: dict[str, set[str]] | None = None,
+                   accuracy: int = 10000) -> dict[str, dict[str, DataFrame]]:
+    """Profiles of every split of a tagged table from ONE pass over it.
+
+    The numeric aggregate and the melted value count are grouped by split as well, so train,
+    eval and serving cost one scan instead of three. ``exclude`` drops features from a split's
+    profile (the label of the serving rows). The value counts are checkpointed once; the
+    per-feature tables (splits × features rows) are brought back as local tables.
+    """
+    from kiln.session import cut_lineage
+    spark = tagged.sparkSession
+    exclude = exclude or {}
+    cols = allowed(tagged, remove=set(remove or ()) | {split_col})
+    nums, strs = numeric_columns(tagged, cols), string_columns(tagged, cols)
+    num_rows: dict[str, dict[str, tuple]] = {}
+    if nums:
+        for r in (tagged.groupBy(F.col(q(split_col)).alias("__split")).agg(*_numeric_aggs(nums, accuracy))
+                  .select("__split", F.inline(_numeric_rows(nums))).collect()):       # splits × features
+            num_rows.setdefault(r["__split"], {})[r["feature"]] = tuple(r)[3:]
+    counts = None
+    str_rows: dict[str, dict[str, tuple]] = {}
+    if strs:
+        pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(q(c)).alias("value")) for c in strs])
+        counts = cut_lineage(tagged.select(F.col(q(split_col)).alias("__split"), F.inline(pairs))
+                             .groupBy("__split", "feature", "value").agg(F.count(F.lit(1)).alias("count")))
+        for r in counts.groupBy("__split", "feature").agg(*_string_aggs()).collect():  # splits × features
+            str_rows.setdefault(r["__split"], {})[r["feature"]] = tuple(r)[2:]
+    out = {}
+    for name in names:
+        ex = set(exclude.get(name, ()))
+        feats = [c for c in cols if c not in ex]
+        n_s = [c for c in nums if c not in ex]
+        s_s = [c for c in strs if c not in ex]
+        nr = num_rows.get(name, {})
+        sr = str_rows.get(name, {})
+        numeric = (spark.createDataFrame(
+            [(c, i, *(nr.get(c) or (0, 0, None, None, 0, None, None, None))) for i, c in enumerate(n_s)],
+            NUMERIC_STATS_SCHEMA) if n_s else None)
+        string = (spark.createDataFrame(
+            [(c, i, *(sr.get(c) or (0, 0, 0, None, None, None))) for i, c in enumerate(s_s)],
+            STRING_STATS_SCHEMA) if s_s else None)
+        freq = (counts.where((F.col("__split") == name) & F.col("value").isNotNull() & ~F.col("feature").isin(list(ex)))
+                .drop("__split") if counts is not None
+                else spark.createDataFrame([], "feature string, value string, count bigint"))
+        out[name] = {
+            "numeric": numeric, "string": string, "freq": freq,
+            "features": spark.createDataFrame([(c, i, feature_kind(tagged.schema[c].dataType)) for i, c in enumerate(feats)],
+                                              "feature string, ordinal int, type string"),
+        }
+    return out
+
+
 def _local(df: DataFrame) -> DataFrame:
     """A metadata-sized result (one row per feature) brought back as a local table."""
     return df.sparkSession.createDataFrame(df.collect(), df.schema)

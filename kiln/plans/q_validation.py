@@ -26,16 +26,19 @@ def _prof(df):
     return ST.profile(df, remove=REMOVE)
 
 
-def _schema_with_profile(spark, sf):
-    """Schema inferred from the train split, with the parts and the train profile, so a query that
-    also needs the profile (skew, validate_all) does not profile the same rows twice."""
-    parts = _parts(spark, sf)
-    prof = _prof(parts["train"])
-    return S.infer_schema(prof), parts, prof
+SPLITS = ("train", "eval", "serving")
+
+
+def _schema_with_profiles(spark, sf):
+    """Schema inferred from the train split, the parts, and the profiles of all three splits –
+    taken in ONE pass over the tagged table (the serving profile leaves out the label)."""
+    tagged = orders_split(spark, sf)
+    profs = ST.profile_splits(tagged, SPLITS, remove={"o_orderkey", "pos"}, exclude={"serving": {ORDER_LABEL}})
+    return S.infer_schema(profs["train"]), splits_of(tagged, label=ORDER_LABEL), profs
 
 
 def _schema(spark, sf):
-    schema, parts, _ = _schema_with_profile(spark, sf)
+    schema, parts, _ = _schema_with_profiles(spark, sf)
     return schema, parts
 
 
@@ -285,8 +288,8 @@ flag AS (SELECT feature FROM o2 GROUP BY feature HAVING 1 - sum(fraction) < 1.0)
 SELECT feature, 'UNEXPECTED_STRING_VALUES' AS anomaly, value AS detail, round(round(fraction, 9), 6) AS value
 FROM o2 WHERE feature IN (SELECT feature FROM flag)""")
 def q_validate_domain(spark, sf):
-    schema, parts = _schema(spark, sf)
-    out = V.validate_domain(_prof(parts["eval"])["freq"], schema)
+    schema, _, profs = _schema_with_profiles(spark, sf)
+    out = V.validate_domain(profs["eval"]["freq"], schema)
     return out.select("feature", "anomaly", "detail", _r("value"))
 
 
@@ -301,9 +304,9 @@ SELECT feature, min_domain_mass, round(round(sum(CASE WHEN inside = 1 THEN count
        sum(CASE WHEN inside = 1 THEN count ELSE 0 END) / sum(count) < min_domain_mass AS is_anomaly
 FROM j GROUP BY feature, min_domain_mass""")
 def q_validate_domain_mass(spark, sf):
-    schema, parts = _schema(spark, sf)
+    schema, _, profs = _schema_with_profiles(spark, sf)
     schema = S.set_feature(schema, "o_orderpriority", min_domain_mass=0.9)
-    out = V.domain_mass(_prof(parts["serving"])["freq"], schema)
+    out = V.domain_mass(profs["serving"]["freq"], schema)
     return out.select("feature", "min_domain_mass", _r("in_domain"), "is_anomaly")
 
 
@@ -311,8 +314,8 @@ def q_validate_domain_mass(spark, sf):
 SELECT 'o_orderstatus' AS feature, 'SCHEMA_MISSING_COLUMN' AS anomaly, NULL::VARCHAR AS detail, NULL::DOUBLE AS value
 FROM (SELECT count(*) AS n FROM orders) WHERE n > 0""")
 def q_validate_missing_column(spark, sf):
-    schema, parts = _schema(spark, sf)
-    return V.validate_missing_column(_prof(parts["serving"]), schema)
+    schema, _, profs = _schema_with_profiles(spark, sf)
+    return V.validate_missing_column(profs["serving"], schema)
 
 
 @query("validate_type", """
@@ -383,10 +386,10 @@ SELECT r.feature, round(round(d, 9), 6) AS distance, value AS at_value, thr.thre
        d > thr.threshold AS is_anomaly
 FROM r JOIN thr ON r.feature = thr.feature WHERE rk = 1""")
 def q_skew_linf(spark, sf):
-    schema, parts, train_prof = _schema_with_profile(spark, sf)
+    schema, _, profs = _schema_with_profiles(spark, sf)
     schema = S.set_feature(S.set_feature(schema, "o_orderpriority", skew_threshold=0.03), "o_clerk",
                            skew_threshold=0.002)
-    out = V.skew_linf(train_prof["freq"], _prof(parts["serving"])["freq"], schema)
+    out = V.skew_linf(profs["train"]["freq"], profs["serving"]["freq"], schema)
     return out.select("feature", _r("distance"), "at_value", "threshold", "anomaly", "is_anomaly")
 
 
@@ -430,11 +433,10 @@ SELECT feature, CASE WHEN f = 'skew' THEN 'SKEW' ELSE 'DRIFT' END AS anomaly, va
        round(round(d, 9), 6) AS value
 FROM r WHERE rk = 1 AND d > CASE WHEN f = 'skew' THEN 0.002 ELSE 0.005 END""")
 def q_validate_all(spark, sf):
-    schema, parts, train_prof = _schema_with_profile(spark, sf)
+    schema, _, profs = _schema_with_profiles(spark, sf)
     schema = S.set_feature(schema, "o_clerk", skew_threshold=0.002)
     schema = S.set_feature(schema, "o_orderpriority", drift_threshold=0.005)
-    out = V.validate_all(train_prof, schema, previous=_prof(parts["eval"]),
-                         serving=_prof(parts["serving"]))
+    out = V.validate_all(profs["train"], schema, previous=profs["eval"], serving=profs["serving"])
     return out.select("feature", "anomaly", "detail", _r("value"))
 
 

@@ -367,3 +367,17 @@ def test_hyphenated_feature_names(spark):
     assert tf.apply(ev).count() == 1
     assert {r["column"] for r in __import__("kiln.operators.split", fromlist=["x"]).null_counts(df).collect()} == \
         {"glimepiride-pioglitazone", "num-x"}
+
+
+def test_profile_splits_equals_per_split_profiles(spark):
+    from oracle import rows_of
+    from kiln.plans.fixtures import orders_split
+    from kiln.operators.split import splits_of
+    tagged = orders_split(spark, "/root/testdata/sf0.001")
+    rm = {"o_orderkey", "pos"}
+    one = ST.profile_splits(tagged, ("train", "eval", "serving"), remove=rm, exclude={"serving": {"o_orderstatus"}})
+    parts = splits_of(tagged, label="o_orderstatus")
+    for name in ("train", "eval", "serving"):
+        sep = ST.profile(parts[name], remove=rm)
+        for k in ("numeric", "string", "freq", "features"):
+            assert rows_of(one[name][k].toPandas(), 9) == rows_of(sep[k].toPandas(), 9), (name, k)
