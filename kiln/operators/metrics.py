@@ -98,13 +98,29 @@ def batch_summary(df: DataFrame, epoch: str, batch: str, loss: Column | str, cor
                                  F.count(F.lit(1)).alias("n"))
 
 
-def running_metric(summary: DataFrame, epoch: str, batch: str, role: str | None = None) -> DataFrame:
-    """Value after every batch, reset at each epoch: running sums over the batch summaries."""
+def running_metric(summary: DataFrame, epoch: str, batch: str, role: str | None = None,
+                   chunk: int = 4096) -> DataFrame:
+    """Value after every batch, reset at each epoch: a distributed prefix sum over batch summaries.
+
+    Batch ids are dense within an epoch, so batches are cut into chunks of ``chunk`` ids: running
+    sums inside a chunk (one window task per chunk) plus the totals of the earlier chunks of the
+    epoch (a table ``chunk`` times smaller). A busy epoch is spread over many tasks.
+    """
     part = ([role] if role else []) + [epoch]
-    w = Window.partitionBy(*part).orderBy(batch).rowsBetween(Window.unboundedPreceding, 0)
-    return summary.select(*part, batch,
-                          (F.sum("loss_sum").over(w) / F.sum("n").over(w)).alias("running_loss"),
-                          (F.sum("correct_sum").over(w) / F.sum("n").over(w)).alias("running_accuracy"))
+    c = "__kiln_chunk"
+    s = summary.withColumn(c, F.floor(F.col(batch) / F.lit(chunk)))
+    totals = s.groupBy(*part, c).agg(F.sum("loss_sum").alias("__l"), F.sum("correct_sum").alias("__c"),
+                                     F.sum("n").alias("__n"))
+    w_prev = Window.partitionBy(*part).orderBy(c).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*part, c, *[F.coalesce(F.sum(x).over(w_prev), F.lit(0)).alias(x + "0")
+                                        for x in ("__l", "__c", "__n")])
+    from kiln.operators.analyze import broadcast_if_small
+    w = Window.partitionBy(*part, c).orderBy(batch).rowsBetween(Window.unboundedPreceding, 0)
+    j = s.join(broadcast_if_small(offsets), part + [c])
+    n = F.sum("n").over(w) + F.col("__n0")
+    return j.select(*part, batch,
+                    ((F.sum("loss_sum").over(w) + F.col("__l0")) / n).alias("running_loss"),
+                    ((F.sum("correct_sum").over(w) + F.col("__c0")) / n).alias("running_accuracy"))
 
 
 def history_epoch(summary: DataFrame, epoch: str, role: str, train: str = "train", val: str = "val") -> DataFrame:

@@ -381,3 +381,14 @@ def test_profile_splits_equals_per_split_profiles(spark):
         sep = ST.profile(parts[name], remove=rm)
         for k in ("numeric", "string", "freq", "features"):
             assert rows_of(one[name][k].toPandas(), 9) == rows_of(sep[k].toPandas(), 9), (name, k)
+
+
+def test_running_metric_chunked_prefix_sum(spark):
+    rows = [(e, b, float(b % 7), float(b % 2), 2) for e in (1, 2) for b in range(50)]
+    summ = spark.createDataFrame(rows, "epoch int, batch long, loss_sum double, correct_sum double, n long")
+    got = {(r["epoch"], r["batch"]): r["running_loss"] for r in M.running_metric(summ, "epoch", "batch", chunk=8).collect()}
+    for e in (1, 2):
+        tot = 0.0
+        for b in range(50):
+            tot += b % 7
+            assert abs(got[(e, b)] - tot / (2 * (b + 1))) < 1e-12
