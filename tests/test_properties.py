@@ -53,3 +53,16 @@ def test_stream_callbacks_run_per_batch(spark):
     events = spark.read.parquet(folder + "-callbacks")
     assert events.count() == 1 and set(events.columns) == {"day", "n", "batch_id"}
     assert glob.glob(folder + "-callbacks/batch_id=0/*.parquet")
+
+
+def test_value_frequencies_sum_to_one_and_histogram_covers_rows(spark):
+    from kiln.operators import stats as ST
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    freq = ST.stats_value_freq(orders, ["o_orderstatus", "o_orderpriority"])
+    tot = {r["feature"]: r["t"] for r in freq.groupBy("feature").agg(F.sum("count").alias("t")).collect()}
+    assert tot == {"o_orderstatus": orders.count(), "o_orderpriority": orders.count()}
+    p = freq.join(freq.groupBy("feature").agg(F.sum("count").alias("t")), "feature")
+    sums = [r["s"] for r in p.groupBy("feature").agg(F.sum(F.col("count") / F.col("t")).alias("s")).collect()]
+    assert all(abs(s - 1.0) < 1e-12 for s in sums)
+    h = ST.stats_histogram(orders, "o_totalprice", 10)
+    assert h.agg(F.sum("count")).first()[0] == orders.count() and h.count() <= 10
