@@ -392,3 +392,29 @@ def test_running_metric_chunked_prefix_sum(spark):
         for b in range(50):
             tot += b % 7
             assert abs(got[(e, b)] - tot / (2 * (b + 1))) < 1e-12
+
+
+@pytest.mark.parametrize("kind", ["boolean", "decimal(10,2)", "date", "null"])
+def test_position_index_other_key_types(spark, kind):
+    base = spark.range(0, 300)
+    if kind == "boolean":
+        k = (F.col("id") % 3 == 0)
+    elif kind == "date":
+        k = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 17).cast("int"))
+    elif kind == "null":
+        k = F.lit(None).cast("int")
+    else:
+        k = ((F.col("id") % 23) / F.lit(7)).cast(kind)
+    df = base.select(k.alias("k"), F.col("id").alias("t"))
+    p = with_position(df, ["k", "t"], buckets=8)
+    g = df.withColumn("g", F.row_number().over(Window.orderBy(F.col("k").asc_nulls_first(), "t")) - 1)
+    assert p.join(g, ["t"]).where(F.col("pos") != F.col("g")).count() == 0
+
+
+def test_split_positional_tiny_inputs(spark):
+    for n in (0, 1, 2, 5):
+        df = spark.range(0, n).withColumnRenamed("id", "key")
+        counts = {r["split"]: r["c"] for r in split_positional(df, "key").groupBy("split")
+                  .agg(F.count(F.lit(1)).alias("c")).collect()}
+        want = dict(zip(("train", "eval", "serving"), split_sizes(n)))
+        assert counts == {k: v for k, v in want.items() if v}
