@@ -28,7 +28,7 @@ def split_positional(df: DataFrame, key: str | list[str], fractions: tuple[float
                      label: str | None = None) -> dict[str, DataFrame]:
     """train = int(n·0.7) first rows in key order, eval = half the rest, serving = the remainder
     with the label dropped. Returns {'train', 'eval', 'serving'}."""
-    return splits_of(_split_positional(df, key, fractions[0], materialize=True), label=label)
+    return splits_of(_split_positional(df, key, fractions[0]), label=label)
 
 
 def split_random(df: DataFrame, key: str, seed: int = 42, bounds: tuple[float, float] = (0.70, 0.85)) -> dict[str, DataFrame]:

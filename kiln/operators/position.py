@@ -108,14 +108,8 @@ def with_position(df: DataFrame, keys: KeySpec | list[KeySpec], pos_col: str = "
     return with_position_and_count(df, keys, pos_col, buckets, accuracy)[0]
 
 
-def with_position_and_count(df: DataFrame, keys: KeySpec | list[KeySpec], pos_col: str = "pos",
-                            buckets: int | None = None, accuracy: int = 10000,
-                            keep_intervals: bool = False) -> tuple[DataFrame, int]:
-    """:func:`with_position` plus the row count, taken from the same aggregate as the cut points.
-
-    ``keep_intervals`` keeps the interval ids (``__kiln_b1``, ``__kiln_b2``) for inspecting balance.
-    """
-    keys = [keys] if isinstance(keys, (str, tuple)) else list(keys)
+def _intervals(df: DataFrame, keys: list[KeySpec], buckets: int | None, accuracy: int) -> tuple[DataFrame, int]:
+    """Steps 1-3: the rows with their interval ids (``__kiln_b1``, ``__kiln_b2``) and the row count."""
     nb = _n_buckets(df, buckets)
     p1, p2, b1, b2 = "__kiln_p1", "__kiln_p2", "__kiln_b1", "__kiln_b2"
 
@@ -185,6 +179,19 @@ def with_position_and_count(df: DataFrame, keys: KeySpec | list[KeySpec], pos_co
             sub = cases.otherwise(after)
             drop += ins + outs
     bucketed = bucketed.withColumn(b2, sub.cast("int")).drop(*drop)
+    return bucketed, n_rows
+
+
+def with_position_and_count(df: DataFrame, keys: KeySpec | list[KeySpec], pos_col: str = "pos",
+                            buckets: int | None = None, accuracy: int = 10000,
+                            keep_intervals: bool = False) -> tuple[DataFrame, int]:
+    """:func:`with_position` plus the row count, taken from the same aggregate as the cut points.
+
+    ``keep_intervals`` keeps the interval ids (``__kiln_b1``, ``__kiln_b2``) for inspecting balance.
+    """
+    keys = [keys] if isinstance(keys, (str, tuple)) else list(keys)
+    b1, b2 = "__kiln_b1", "__kiln_b2"
+    bucketed, n_rows = _intervals(df, keys, buckets, accuracy)
 
     # Offsets: one row per (interval, sub-interval) – bounded – running sum over a tiny table.
     offsets = (bucketed.groupBy(b1, b2).agg(F.count(F.lit(1)).alias("__kiln_n"))
@@ -198,6 +205,49 @@ def with_position_and_count(df: DataFrame, keys: KeySpec | list[KeySpec], pos_co
             .drop(*([] if keep_intervals else [b1, b2]), "__kiln_off")), n_rows
 
 
+def keys_at_positions(df: DataFrame, keys: list[str], positions, buckets: int | None = None,
+                       accuracy: int = 10000) -> tuple[dict[int, tuple], int]:
+    """The key tuples of the rows at the given 0-based positions (ascending ``keys`` order), and n.
+
+    ``positions`` is a list, or a function of the row count returning one. Only the rows of the
+    interval that holds a wanted position are ranked (with this same index, so a hot interval is
+    split again); the table itself is never ordered as a whole.
+    """
+    b1, b2 = "__kiln_b1", "__kiln_b2"
+    bucketed, n_rows = _intervals(df, keys, buckets, accuracy)
+    if callable(positions):
+        positions = positions(n_rows)
+    wanted = sorted({p for p in positions if 0 <= p < n_rows})
+    if not wanted:
+        return {}, n_rows
+    sizes = sorted((r[b1], r[b2], r["n"]) for r in bucketed.groupBy(b1, b2)
+                   .agg(F.count(F.lit(1)).alias("n")).collect())             # one row per interval
+    found: dict[int, tuple] = {}
+    start = 0
+    for x1, x2, n in sizes:
+        inside = [p for p in wanted if start <= p < start + n]
+        if inside:
+            rows = bucketed.where((F.col(b1) == x1) & (F.col(b2) == x2)).select(*[F.col(f"`{k}`") for k in keys])
+            ranked = with_position(rows, keys, pos_col="__kiln_r", buckets=buckets, accuracy=accuracy)
+            for r in ranked.where(F.col("__kiln_r").isin([p - start for p in inside])).collect():
+                found[start + r["__kiln_r"]] = tuple(r[k] for k in keys)
+        start += n
+    return found, n_rows
+
+
+def before_keys(keys: list[str], values: tuple) -> Column:
+    """True for rows that sort before ``values`` in ascending ``keys`` order (nulls first)."""
+    expr = None
+    for k, v in reversed(list(zip(keys, values))):
+        c = F.col(f"`{k}`")
+        if v is None:
+            less, equal = F.lit(False), c.isNull()
+        else:
+            less, equal = c.isNull() | (c < F.lit(v)), c.eqNullSafe(F.lit(v))
+        expr = less if expr is None else (less | (equal & expr))
+    return expr
+
+
 def hash_unit(key: Column | str, seed: int = 42) -> Column:
     """Deterministic draw in [0, 1) from ``md5(key || '|' || seed)``.
 

@@ -11,7 +11,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.operators.position import hash_int, hash_unit, with_position, with_position_and_count
+from kiln.operators.position import (before_keys, hash_int, hash_unit, keys_at_positions, with_position,
+                                     with_position_and_count)
 
 
 def split_sizes(n: int, train_fraction: float = 0.7) -> tuple[int, int, int]:
@@ -23,24 +24,37 @@ def split_sizes(n: int, train_fraction: float = 0.7) -> tuple[int, int, int]:
 
 
 def split_positional(df: DataFrame, key: str | list[str], train_fraction: float = 0.7,
-                     split_col: str = "split", pos_col: str = "pos", materialize: bool = False) -> DataFrame:
-    """Tag rows 'train' / 'eval' / 'serving' by their position in ``key`` order.
-
-    Sizes follow :func:`split_sizes`. The count is one scalar job; positions come from the
-    distributed index, so nothing is collected but the count and the cut points. With
-    ``materialize`` the tagged table is checkpointed to the shared folder, so the three parts read
-    it instead of each repeating the position shuffle.
+                     split_col: str = "split", pos_col: str = "pos", with_positions: bool = False,
+                     materialize: bool = False) -> DataFrame:
+    """Tag rows 'train' / 'eval' / 'serving' by their position in ``key`` order (ascending).
+
+    Sizes follow :func:`split_sizes`. Only two rows decide the split: the first eval row and the
+    first serving row. Their keys are found by ranking just the interval that holds each of them
+    (:func:`keys_at_positions`); every row is then tagged by comparing its key with those two –
+    a projection, so the table is never shuffled or sorted as a whole. With ``with_positions`` each
+    row also gets its exact position (``pos_col``), which does order the whole table (distributed
+    index); ``materialize`` then checkpoints that result to the shared folder.
     """
-    positioned, n = with_position_and_count(df, key, pos_col=pos_col)
-    train, ev, _ = split_sizes(n, train_fraction)
-    if materialize:
-        from kiln.session import cut_lineage
-        positioned = cut_lineage(positioned)
-    return positioned.withColumn(
-        split_col,
-        F.when(F.col(pos_col) < train, "train")
-        .when(F.col(pos_col) < train + ev, "eval")
-        .otherwise("serving"))
+    keys = [key] if isinstance(key, str) else list(key)
+    if with_positions:
+        positioned, n = with_position_and_count(df, keys, pos_col=pos_col)
+        train, ev, _ = split_sizes(n, train_fraction)
+        if materialize:
+            from kiln.session import cut_lineage
+            positioned = cut_lineage(positioned)
+        return positioned.withColumn(
+            split_col,
+            F.when(F.col(pos_col) < train, "train").when(F.col(pos_col) < train + ev, "eval").otherwise("serving"))
+
+    def bounds(n: int) -> list[int]:
+        train, ev, _ = split_sizes(n, train_fraction)
+        return [train, train + ev]
+
+    found, n = keys_at_positions(df, keys, bounds)
+    first_eval, first_serving = bounds(n)
+    in_train = before_keys(keys, found[first_eval]) if first_eval in found else F.lit(True)
+    in_eval = before_keys(keys, found[first_serving]) if first_serving in found else F.lit(True)
+    return df.withColumn(split_col, F.when(in_train, "train").when(in_eval, "eval").otherwise("serving"))
 
 
 def splits_of(tagged: DataFrame, label: str | None = None, split_col: str = "split",

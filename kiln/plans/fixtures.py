@@ -27,11 +27,11 @@ ORDER_FEATURES = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority
 ORDER_LABEL = "o_orderstatus"
 
 
-def orders_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_split(spark: SparkSession, sf_dir: str, with_positions: bool = False) -> DataFrame:
     o = read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority",
         F.concat(F.lit("Clerk#"), (F.col("o_custkey") % 1000).cast("string")).alias("o_clerk"))
-    t = split_positional(o, "o_orderkey", materialize=True)
+    t = split_positional(o, "o_orderkey", with_positions=with_positions)
     return t.withColumn(
         "o_orderpriority",
         F.when((F.col("split") != "train") & (F.col("o_orderkey") % 97 == 0), F.lit("6-UNKNOWN"))

@@ -50,7 +50,7 @@ def _r(c, d=6):
 
 @query("split_positional", W + "SELECT o_orderkey, pos, split, o_orderpriority FROM osplit")
 def q_split_positional(spark, sf):
-    return orders_split(spark, sf).select("o_orderkey", "pos", "split", "o_orderpriority")
+    return orders_split(spark, sf, with_positions=True).select("o_orderkey", "pos", "split", "o_orderpriority")
 
 
 @query("count_rows", W + "SELECT split, count(*) AS n_rows FROM osplit GROUP BY split")

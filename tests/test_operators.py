@@ -418,3 +418,11 @@ def test_split_positional_tiny_inputs(spark):
                   .agg(F.count(F.lit(1)).alias("c")).collect()}
         want = dict(zip(("train", "eval", "serving"), split_sizes(n)))
         assert counts == {k: v for k, v in want.items() if v}
+
+
+def test_boundary_split_equals_position_split(spark):
+    df = spark.range(0, 5000).select(F.when(F.col("id") % 3 == 0, F.lit(50)).otherwise(F.col("id") % 997).alias("k"),
+                                     F.col("id").alias("t"))
+    a = {(r["k"], r["t"], r["split"]) for r in split_positional(df, ["k", "t"]).collect()}
+    b = {(r["k"], r["t"], r["split"]) for r in split_positional(df, ["k", "t"], with_positions=True).drop("pos").collect()}
+    assert a == b and len(a) == 5000
