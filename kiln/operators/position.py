@@ -34,6 +34,8 @@ MAX_SUB_BUCKETS = 1024
 MAX_HOT = 64
 # Below this many rows per interval on average, repeated cut points only mean "few rows": skip.
 MIN_ROWS_PER_INTERVAL = 64
+# An interval up to this many rows is ranked in one window task when looking up single positions.
+DIRECT_RANK_ROWS = 2_000_000
 
 KeySpec = str | tuple[str, str]
 
@@ -223,15 +225,33 @@ def keys_at_positions(df: DataFrame, keys: list[str], positions, buckets: int |
     sizes = sorted((r[b1], r[b2], r["n"]) for r in bucketed.groupBy(b1, b2)
                    .agg(F.count(F.lit(1)).alias("n")).collect())             # one row per interval
     found: dict[int, tuple] = {}
+    small, large = [], []
     start = 0
     for x1, x2, n in sizes:
-        inside = [p for p in wanted if start <= p < start + n]
+        inside = [p - start for p in wanted if start <= p < start + n]
         if inside:
-            rows = bucketed.where((F.col(b1) == x1) & (F.col(b2) == x2)).select(*[F.col(f"`{k}`") for k in keys])
-            ranked = with_position(rows, keys, pos_col="__kiln_r", buckets=buckets, accuracy=accuracy)
-            for r in ranked.where(F.col("__kiln_r").isin([p - start for p in inside])).collect():
-                found[start + r["__kiln_r"]] = tuple(r[k] for k in keys)
+            (small if n <= DIRECT_RANK_ROWS else large).append((x1, x2, start, inside))
         start += n
+    cols = [F.col(f"`{k}`") for k in keys]
+    if small:
+        # all small intervals that hold a wanted row: ranked together, one window task per interval
+        cond = None
+        for x1, x2, _, _ in small:
+            c = (F.col(b1) == x1) & (F.col(b2) == x2)
+            cond = c if cond is None else (cond | c)
+        w = Window.partitionBy(b1, b2).orderBy(*[c.asc_nulls_first() for c in cols])
+        ranked = bucketed.where(cond).select(b1, b2, *cols, (F.row_number().over(w) - 1).alias("__kiln_r"))
+        want = {(x1, x2, r): st + r for x1, x2, st, inside in small for r in inside}
+        for r in ranked.where(F.col("__kiln_r").isin(sorted({q for *_, ins in small for q in ins}))).collect():
+            at = want.get((r[b1], r[b2], r["__kiln_r"]))
+            if at is not None:
+                found[at] = tuple(r[k] for k in keys)
+    for x1, x2, start, inside in large:
+        # a large interval (a hot value): ranked by this same index, so it is split again
+        rows = bucketed.where((F.col(b1) == x1) & (F.col(b2) == x2)).select(*cols)
+        ranked = with_position(rows, keys, pos_col="__kiln_r", buckets=buckets, accuracy=accuracy)
+        for r in ranked.where(F.col("__kiln_r").isin(inside)).collect():
+            found[start + r["__kiln_r"]] = tuple(r[k] for k in keys)
     return found, n_rows
 
 

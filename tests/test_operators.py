@@ -426,3 +426,13 @@ def test_boundary_split_equals_position_split(spark):
     a = {(r["k"], r["t"], r["split"]) for r in split_positional(df, ["k", "t"]).collect()}
     b = {(r["k"], r["t"], r["split"]) for r in split_positional(df, ["k", "t"], with_positions=True).drop("pos").collect()}
     assert a == b and len(a) == 5000
+
+
+def test_boundary_split_nested_path(spark, monkeypatch):
+    from kiln.operators import position as P
+    monkeypatch.setattr(P, "DIRECT_RANK_ROWS", 10)
+    df = spark.range(0, 4000).select(F.when(F.col("id") % 3 == 0, F.lit(50)).otherwise(F.col("id") % 997).alias("k"),
+                                     F.col("id").alias("t"))
+    a = {(r["k"], r["t"], r["split"]) for r in split_positional(df, ["k", "t"]).collect()}
+    b = {(r["k"], r["t"], r["split"]) for r in split_positional(df, ["k", "t"], with_positions=True).drop("pos").collect()}
+    assert a == b and len(a) == 4000
