@@ -114,9 +114,9 @@ def running_metric(summary: DataFrame, epoch: str, batch: str, role: str | None
     w_prev = Window.partitionBy(*part).orderBy(c).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*part, c, *[F.coalesce(F.sum(x).over(w_prev), F.lit(0)).alias(x + "0")
                                         for x in ("__l", "__c", "__n")])
-    from kiln.operators.analyze import broadcast_if_small
     w = Window.partitionBy(*part, c).orderBy(batch).rowsBetween(Window.unboundedPreceding, 0)
-    j = s.join(broadcast_if_small(offsets), part + [c])
+    # plain join: adaptive execution broadcasts the offsets when their measured size is small
+    j = s.join(offsets, part + [c])
     n = F.sum("n").over(w) + F.col("__n0")
     return j.select(*part, batch,
                     ((F.sum("loss_sum").over(w) + F.col("__l0")) / n).alias("running_loss"),
