@@ -10,6 +10,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Fixed values of the laptop parsing rules: storage kinds, the terabyte marker and its factor,
+# the OS names recognised and their canonical forms, the default for an empty company.
+STORAGE_KINDS = ("ssd", "hdd", "flash")
+TERABYTE_MARK, GB_PER_TB = "tb", 1024.0
+OS_CANONICAL = (("windows", "windows"), ("mac", "macos"))
+UNKNOWN_COMPANY = "UNKNOWN_COMPANY"
+
+
 def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -23,7 +31,7 @@ def lower_trim(s: Column | str) -> Column:
     return F.trim(F.lower(_c(s)))
 
 
-def default_if_empty(s: Column | str, default: str = "UNKNOWN_COMPANY") -> Column:
+def default_if_empty(s: Column | str, default: str = UNKNOWN_COMPANY) -> Column:
     """Lower-cased, trimmed string; an empty one becomes ``default``."""
     v = lower_trim(s)
     return F.when(F.length(v) > 0, v).otherwise(F.lit(default))
@@ -40,13 +48,13 @@ def parse_storage(s: Column | str) -> Column:
 
     def size(p: Column) -> Column:
         n = F.coalesce(to_number(F.regexp_extract(p, r"([0-9.]+)", 1)), F.lit(0.0))
-        return n * F.when(p.contains("tb"), F.lit(1024.0)).otherwise(F.lit(1.0))
+        return n * F.when(p.contains(TERABYTE_MARK), F.lit(GB_PER_TB)).otherwise(F.lit(1.0))
 
     def total(kind: str) -> Column:
         return F.aggregate(parts, F.lit(0.0),
                            lambda acc, p: acc + F.when(p.contains(kind), size(p)).otherwise(F.lit(0.0)))
 
-    ssd, hdd, flash = total("ssd"), total("hdd"), total("flash")
+    ssd, hdd, flash = (total(k) for k in STORAGE_KINDS)
     return F.struct(ssd.alias("ssd_gb"), hdd.alias("hdd_gb"), flash.alias("flash_gb"),
                     (ssd + hdd + flash).alias("total_storage_gb"))
 
@@ -59,7 +67,10 @@ def parse_unit(s: Column | str, unit: str) -> Column:
 def map_os(s: Column | str) -> Column:
     """Canonical OS: contains 'windows' → windows, contains 'mac' → macos, else the lowered input."""
     v = lower_trim(s)
-    return F.when(v.contains("windows"), F.lit("windows")).when(v.contains("mac"), F.lit("macos")).otherwise(v)
+    out = v
+    for word, name in reversed(OS_CANONICAL):      # first listed match wins
+        out = F.when(v.contains(word), F.lit(name)).otherwise(out)
+    return out
 
 
 def parse_resolution(s: Column | str) -> Column:
