@@ -102,7 +102,7 @@ def _numeric_out(df):
 @query("stats_numeric", "WITH p AS (SELECT * FROM part) " + _numeric_sql("p", ["p_size", "p_retailprice"]))
 def q_stats_numeric(spark, sf):
     part = read(spark, sf, "part")
-    return _numeric_out(ST.stats_numeric(part, ["p_size", "p_retailprice"]))
+    return _numeric_out(ST.stats_numeric(part, ["p_size", "p_retailprice"], exact_median=True))
 
 
 STR_FEATS = ["o_orderstatus", "o_orderpriority", "o_clerk"]
@@ -194,7 +194,7 @@ def q_stats_typed(spark, sf):
     raw = parts["eval"].withColumn("o_totalprice", F.col("o_totalprice").cast("string"))
     types = {r["feature"]: r["type"] for r in schema.features.select("feature", "type").collect()}
     typed = ST.stats_typed(raw, types)
-    return _numeric_out(ST.stats_numeric(typed, ["o_custkey", "o_totalprice"]))
+    return _numeric_out(ST.stats_numeric(typed, ["o_custkey", "o_totalprice"], exact_median=True))
 
 
 # ------------------------------------------------------------------------------------ schema

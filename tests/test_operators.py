@@ -436,3 +436,11 @@ def test_boundary_split_nested_path(spark, monkeypatch):
     a = {(r["k"], r["t"], r["split"]) for r in split_positional(df, ["k", "t"]).collect()}
     b = {(r["k"], r["t"], r["split"]) for r in split_positional(df, ["k", "t"], with_positions=True).drop("pos").collect()}
     assert a == b and len(a) == 4000
+
+
+def test_exact_median_matches_rank_rule(spark):
+    for n in (1, 2, 7, 10, 1001):
+        vals = [float((i * 37) % 101) for i in range(n)]
+        df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "x double")
+        got = ST.stats_numeric(df, ["x"], exact_median=True).first()["median"]
+        assert got == sorted(vals)[(n - 1) // 2]
