@@ -444,3 +444,34 @@ def test_exact_median_matches_rank_rule(spark):
         df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "x double")
         got = ST.stats_numeric(df, ["x"], exact_median=True).first()["median"]
         assert got == sorted(vals)[(n - 1) // 2]
+
+
+def test_drift_by_span_hand_worked(spark):
+    rows = [("d1", "a")] * 3 + [("d1", "b")] + [("d2", "a")] * 1 + [("d2", "b")] * 3 + [("d3", "b")] * 4
+    df = spark.createDataFrame(rows, "span string, v string")
+    got = {r["span"]: (r["previous_span"], r["distance"], r["at_value"], r["is_anomaly"])
+           for r in V.drift_by_span(df, "span", ["v"], 0.3).collect()}
+    assert got["d2"] == ("d1", 0.5, "a", True)           # a: .75 → .25, b: .25 → .75 (tie: smallest value)
+    assert got["d3"][:3] == ("d2", 0.25, "a")             # a: .25 → 0, b: .75 → 1
+    assert "d1" not in got
+
+
+def test_stats_compare_overlays_two_sets(spark):
+    a = spark.createDataFrame([(1.0,), (3.0,)], "x double")
+    b = spark.createDataFrame([(5.0,)], "x double")
+    c = ST.stats_compare(ST.stats_numeric(a), ST.stats_numeric(b), ["count", "mean", "max"], "train", "eval")
+    got = {r["measure"]: (r["train"], r["eval"]) for r in c.collect()}
+    assert got == {"count": (2.0, 1.0), "mean": (2.0, 5.0), "max": (3.0, 5.0)}
+
+
+def test_standardize_clip_values(spark):
+    x = [0.0, 1.0, 2.0, 3.0]
+    got = spark.createDataFrame([(x,)], "v array<double>").select(VX.vec_standardize_clip("v")).first()[0]
+    m, sd = np.mean(x), np.std(x)
+    assert got == [int(np.clip((v - m) / sd * 64 + 128, 0, 255)) for v in x]
+
+
+def test_decode_unknown_ids(spark):
+    idx = spark.createDataFrame([("cat", 1, 5), ("dog", 2, 3)], "word string, rank long, count long")
+    seqs = spark.createDataFrame([(1, [1, 4, 5, 2, 99])], "id long, s array<bigint>")
+    assert TX.decode(seqs, "id", "s", idx, index_rows=2).first()["decoded"] == "? cat dog ? ?"
