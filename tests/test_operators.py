@@ -475,3 +475,32 @@ def test_decode_unknown_ids(spark):
     idx = spark.createDataFrame([("cat", 1, 5), ("dog", 2, 3)], "word string, rank long, count long")
     seqs = spark.createDataFrame([(1, [1, 4, 5, 2, 99])], "id long, s array<bigint>")
     assert TX.decode(seqs, "id", "s", idx, index_rows=2).first()["decoded"] == "? cat dog ? ?"
+
+
+def test_labelled_files_plain_class_folders(spark, tmp_path):
+    from kiln.sources.io import read_labelled_files
+    for cls, n in (("cat", 3), ("dog", 2)):
+        (tmp_path / cls).mkdir()
+        for i in range(n):
+            (tmp_path / cls / f"{i}.jpg").write_bytes(bytes([i]) * (i + 1))
+    got = read_labelled_files(spark, str(tmp_path), glob="*.jpg")
+    rows = {(r["class"], r["class_index"], r["length"]) for r in got.collect()}
+    assert rows == {("cat", 0, 1), ("cat", 0, 2), ("cat", 0, 3), ("dog", 1, 1), ("dog", 1, 2)}
+
+
+def test_typed_parse_and_csv_quoting(spark, tmp_path):
+    from kiln.sources.io import apply_feature_spec, read_table
+    raw = spark.createDataFrame([(" 7 ", " Acer ", "", "13.3")], "a string, b string, c string, d string")
+    r = apply_feature_spec(raw, {"a": "int64", "b": "string", "c": "float32", "d": "float32"}).first()
+    assert (r["a"], r["b"], r["c"]) == (7, "Acer", None) and abs(r["d"] - 13.3) < 1e-6
+    p = tmp_path / "t.csv"
+    p.write_text('k,name\n1,"Core i5, 2.5GHz"\n2,plain\n')
+    got = {r["k"]: r["name"] for r in read_table(spark, str(p), "k long, name string").collect()}
+    assert got == {1: "Core i5, 2.5GHz", 2: "plain"}
+
+
+def test_decision_boundary_line(spark):
+    d = MD.decision_boundary(spark, [2.0, -4.0], 0.5, -1.0, 1.0, 3).orderBy("i").collect()
+    assert [r["x"] for r in d] == [-1.0, 0.0, 1.0]
+    for r in d:                                     # points satisfy W·x + b = 0.5
+        assert abs(2.0 * r["x"] - 4.0 * r["y"] + 0.5 - 0.5) < 1e-12
