@@ -504,3 +504,17 @@ def test_decision_boundary_line(spark):
     assert [r["x"] for r in d] == [-1.0, 0.0, 1.0]
     for r in d:                                     # points satisfy W·x + b = 0.5
         assert abs(2.0 * r["x"] - 4.0 * r["y"] + 0.5 - 0.5) < 1e-12
+
+
+def test_split_outputs_hold_their_own_rows(spark):
+    from kiln.session import scratch_path
+    from kiln.sources import sinks as SK
+    df = split_hash(spark.range(0, 500).withColumnRenamed("id", "k"), "k")
+    path = scratch_path(spark, "splits-test")
+    SK.write_splits(df, path)
+    back = SK.read_splits(spark, path)
+    for name in ("train", "eval", "test"):
+        want = {r["k"] for r in df.where(F.col("split") == name).collect()}
+        got = {r["k"] for r in spark.read.parquet(f"{path}/split={name}").collect()}
+        assert got == want and want
+    assert back.count() == 500
