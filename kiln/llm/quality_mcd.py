@@ -33,7 +33,7 @@ STEPS = 3         # concentration steps
 MIN_GROUP = 60    # rows that an estimate needs
 CHI2_MEDIAN = 5.348   # medians and quantiles of chi-square with 6 degrees of freedom
 CHI2_975 = 14.449
-CUTOFF = 40.0     # squared distance beyond which a text is rejected
+CUTOFF = 38.0     # squared distance beyond which a text is rejected
 MAX_BROADCAST_GROUPS = 20_000
 
 RESULTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
