@@ -1,11 +1,25 @@
-"""The corpus pipeline: stages over the documents table, each written as Parquet and read again."""
+"""The corpus pipeline: stages over the documents table, each written as Parquet and read again.
+
+Quality rules drop junk, the Jaccard join keeps one document of each group of near duplicates,
+decontamination drops documents that hold a benchmark item, the secret scan masks credentials in
+the texts, and packing returns the sequences' pieces. Rows with a null doc_id pass the join and the
+decontamination, which can only name documents by their id; null texts fail the quality rules.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kiln.llm.common import scratch_path, table
+from kiln.llm.common import broadcast_if_small, scratch_path, stored, table
+from kiln.llm.latent_search import contaminated
+from kiln.llm.packing import packed_sequences
+from kiln.llm.parity_join import near_duplicates
+from kiln.llm.q06 import tokenizer_paths
 from kiln.llm.quality_mcd import robust_quality
+from kiln.llm.secret_links import redacted
+
+MAX_BROADCAST_IDS = 500_000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,7 +27,34 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return robust_quality(docs).filter("kept").select(*docs.columns)
 
 
-STAGES = [("quality rules", quality_rules)]
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest doc_id stays."""
+    groups = stored(near_duplicates(docs), "stage-groups")
+    gone = stored(groups.filter("doc_id <> component_id").select("doc_id").distinct(), "stage-copies")
+    out = docs.join(broadcast_if_small(gone, MAX_BROADCAST_IDS), "doc_id", "left_anti").select(*docs.columns)
+    repeated = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1).count()
+    return out.dropDuplicates(["doc_id", "text"]) if repeated else out
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    found = contaminated(docs, table(spark, sf_dir, "benchmark"))
+    gone = stored(found.select("doc_id").distinct(), "stage-leaks")
+    return docs.join(broadcast_if_small(gone, MAX_BROADCAST_IDS), "doc_id", "left_anti").select(*docs.columns)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Reported spans are masked in the texts; every document stays."""
+    return redacted(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the packed sequences."""
+    return packed_sequences(docs, tokenizer_paths())
+
+
+STAGES = [("quality rules", quality_rules), ("n-gram Jaccard join", jaccard_join),
+          ("benchmark decontamination", benchmark_decontamination), ("secret scans", secret_scans), ("packing", packing)]
 
 #: Robust fits and tokenisation have no SQL form; the test holds run() against the stages done by brute force.
 ORACLE_SQL = None

@@ -38,8 +38,8 @@ from kiln.llm.hashing import mix, prefix_hashes, span_hashes, text_groups
 BLOCK, SPAN = 24, 3
 MAX_SHARE = 0.10
 RANK, EXTRA = 224, 16
-COSINE = 0.35
-LCS_SURE, LCS_PARAPHRASE, ANSWER = 0.75, 0.5, 0.25
+COSINE = 0.25
+LCS_SURE, LCS_PARAPHRASE, ANSWER = 0.75, 0.6, 0.25
 LEAST_WORDS = 5
 ITEMS = 5_000
 

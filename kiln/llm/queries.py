@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kiln.llm import q01, q02, q09, q10
+from kiln.llm import q01, q02, q06, q09, q10
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-for _m in (q01, q02, q09, q10):
+for _m in (q01, q02, q06, q09, q10):
     QUERIES |= _m.QUERIES
     ORACLES |= _m.ORACLES
