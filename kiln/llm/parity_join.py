@@ -18,7 +18,9 @@ Candidates and verification. Sets that are equal are one class. Words travel pac
 to the partition of their hash. Round 1 verifies each class against the one class it shares most
 words with (the least class of each group); what links is contracted. Round 2 verifies, for groups
 in which more than one component is left, pairs from different components only. So a large group
-of copies costs as many pairs as it has texts. Every candidate is verified on the whole sets. Words made of frequent tokens only,
+of copies costs as many pairs as it has texts. Candidates first
+compare parity bits (2 to 4 a token), whose Hamming distance bounds |AΔB| from below as well; those
+that pass are verified on the whole sets. Words made of frequent tokens only,
 which very many texts may share, are split over ``SALTS`` sub-groups whose minima meet in one more
 group.
 
@@ -65,15 +67,31 @@ def _class_of(s: np.ndarray) -> int:
     return int(x.astype(np.int64)) or 1
 
 
+def parity_bits(s: np.ndarray) -> bytes:
+    """Parities of the set's tokens over 2 to 4 bits a token (a power of two, 256 at least)."""
+    size = max(256, 1 << (2 * len(s) - 1).bit_length())
+    return np.packbits(np.bincount((s & _U(size - 1)).astype(np.int64), minlength=size) & 1).tobytes()
+
+
+def parity_distance(a: bytes, b: bytes) -> int:
+    """Hamming distance of two sketches, the longer folded to the shorter's size: never more than
+    the number of tokens that one set has and the other lacks."""
+    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _texts(col: pa.Array) -> list[bytes]:
     return [x or b"" for x in col.cast(pa.binary()).to_pylist()]
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc rows -> (doc_id, n, class), and at the end the task's count sketch in rows of
-    (null, -1 - chunk, null, counts)."""
+    """doc rows -> (doc_id, n, class, parity bits), and at the end the task's count sketch in rows
+    of (null, -1 - chunk, null, null, counts)."""
     counts = np.zeros(COUNTERS, np.int64)
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("counts", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("bits", pa.binary()),
+                        ("counts", pa.list_(pa.int64()))])
     for batch in batches:
         sets = shingle_sets(_texts(batch.column("text")))
         for s in sets:
@@ -83,13 +101,14 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = len(sets)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-             pa.array([_class_of(s) for s in sets], pa.int64()), pa.nulls(n, pa.list_(pa.int64()))], schema=schema)
+             pa.array([_class_of(s) for s in sets], pa.int64()), pa.array([parity_bits(s) for s in sets], pa.binary()),
+             pa.nulls(n, pa.list_(pa.int64()))], schema=schema)
     step = 1 << 12
     if counts.any():
         parts = [counts[i:i + step].tolist() for i in range(0, COUNTERS, step)]
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(len(parts), pa.int64()), pa.array([-1 - i for i in range(len(parts))], pa.int64()),
-             pa.nulls(len(parts), pa.int64()), pa.array(parts, pa.list_(pa.int64()))], schema=schema)
+             pa.nulls(len(parts), pa.int64()), pa.nulls(len(parts), pa.binary()), pa.array(parts, pa.list_(pa.int64()))], schema=schema)
 
 
 def sketch_words(s: np.ndarray, band: int, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +118,7 @@ def sketch_words(s: np.ndarray, band: int, hot: np.ndarray) -> tuple[np.ndarray,
     n = len(s)
     d = (n + min(high, 4 * n // 3)) // 7
     m = max(int(low * 0.55) + 1, 2 * high // 7 + 1, d + 1)
-    t = mix(s + _U(band + 1) * _U(0xD1B54A32D192ED03))
+    t = mix(s + _U((band + 1) * 0xD1B54A32D192ED03 % 2**64))
     place = ((t >> _U(32)) * _U(m)) >> _U(32)
     order = np.argsort(place, kind="stable")
     at, first, size = np.unique(place[order], return_index=True, return_counts=True)
@@ -209,10 +228,22 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
+def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose parities do not rule out a link."""
+    for batch in batches:
+        a, b = [], []
+        for x, y, n, m, s, t in zip(*[batch.column(c).to_pylist() for c in ("a", "b", "na", "nb", "sa", "sb")], strict=True):
+            if 4 * min(n, m) >= 3 * max(n, m) and 7 * parity_distance(s, t) <= n + m:
+                a.append(x)
+                b.append(y)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
 def _verify(docs: DataFrame, members: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
-    """The pairs (a, b) of classes whose sets link. Sets are built again from the text of one
-    document of each class that stands in a pair."""
-    pairs = stored(pairs, f"{name}-pairs")
+    """The pairs (a, b) of classes whose sets link: first the parity bits, then the whole sets, built
+    again from the text of one document of each class that is left in a pair."""
+    side = lambda x: members.select(F.col("class").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"s{x}"))
+    pairs = stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_close, "a long, b long"), f"{name}-pairs")
     wanted = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
     ids = stored(members.join(wanted, "class", "left_semi").select(F.col("rep").alias("doc_id"), F.col("class").alias("_c")), f"{name}-ids")
     # one row of each document, whichever of its texts has the class that is wanted
@@ -230,8 +261,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    both = stored(docs.mapInArrow(_classes, "doc_id long, n long, class long, counts array<long>"), "parity-classes")
-    own = both.filter("n >= 0").drop("counts")
+    both = stored(docs.mapInArrow(_classes, "doc_id long, n long, class long, bits binary, counts array<long>"), "parity-classes")
+    own = both.filter("n >= 0").select("doc_id", "n", "class")
     cells = (both.filter("n < 0").select("n", F.posexplode("counts").alias("i", "c"))
              .groupBy("n", "i").agg(F.sum("c").alias("c")).filter("c > 0"))
     total, texts = cells.agg(F.sum("c")).first()[0] or 0, own.count()
@@ -249,7 +280,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = packed.repartition(parts, "part").mapInArrow(_shared_words, "word long, class long, least long")
     shared = stored(shared, "parity-shared")
 
-    members = stored(own.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep")), "parity-members")
+    members = stored(both.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")),
+                     "parity-members")
     # minima of the sub-groups of a split word meet in a group of at most SALTS rows
     tops = shared.filter("word < 0").select("word", F.col("least").alias("class")).distinct()
     tops = tops.join(tops.groupBy("word").agg(F.min("class").alias("least")), "word")
