@@ -30,7 +30,8 @@ def _norm(v, digits: int):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, digits) + 0.0
+        # a long column with nulls reaches pandas as float on one side and as Int64 on the other
+        return int(v) if v.is_integer() else round(v, digits) + 0.0
     if hasattr(v, "tolist"):
         v = v.tolist()
     if isinstance(v, (list, tuple)):
