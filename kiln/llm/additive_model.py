@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import stored
+from kiln.llm.common import slices, stored
 from kiln.llm.hashing import mix, prefix_hashes, span_hashes, word_spans
 
 FEATURES = ["log_words", "word_bytes", "symbols", "digits", "upper", "marks", "bars", "high_bytes", "distinct_words",
@@ -65,7 +65,7 @@ def text_features(text: bytes) -> list[float]:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches):
         rows = np.array([text_features(x or b"") for x in b.column("text").cast(pa.binary()).to_pylist()]).reshape(-1, len(FEATURES))
         yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), *[pa.array(rows[:, i]) for i in range(len(FEATURES))]],
                                          names=["doc_id", *FEATURES])

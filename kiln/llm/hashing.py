@@ -58,7 +58,7 @@ def word_spans(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def text_groups(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def text_groups(texts: list[bytes], most: int = 1 << 18) -> Iterator[tuple[int, list[bytes]]]:
     """Runs of texts of about ``most`` bytes together, with the index of the first."""
     at, size, first = [], 0, 0
     for i, t in enumerate(texts):

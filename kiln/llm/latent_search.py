@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import stored
+from kiln.llm.common import slices, stored
 from kiln.llm.hashing import mix, prefix_hashes, span_hashes, text_groups
 
 BLOCK, SPAN = 24, 3
@@ -92,7 +92,7 @@ def _term_counts(hashes: np.ndarray) -> Callable:
     """docs -> (term, blocks that hold it) per task; term -1 counts all blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, counts, total = Terms(hashes), np.zeros(len(hashes), np.int64), 0
-        for batch in batches:
+        for batch in slices(batches):
             for _, h, first in hashed_words(_texts(batch)):
                 at, term = terms.find(h)
                 block, first_block = _blocks(first, at)
@@ -126,7 +126,7 @@ def _products(hashes: np.ndarray, omega: np.ndarray, idf: np.ndarray) -> Callabl
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, table = Terms(hashes), (omega * idf[:, None]).astype(np.float32)
         z = np.zeros((len(hashes), omega.shape[1]))
-        for batch in batches:
+        for batch in slices(batches):
             for _, h, first in hashed_words(_texts(batch)):
                 at, term = terms.find(h)
                 if not len(at):
@@ -188,7 +188,7 @@ def _search(hashes: np.ndarray, table: np.ndarray, latent: np.ndarray, items: li
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms(hashes)
         places = [(_places(w), _places(a)) for _, w, a in items]
-        for batch in batches:
+        for batch in slices(batches):
             ids, out = batch.column("doc_id").to_pylist(), []
             for base, h, first in hashed_words(_texts(batch)):
                 at, term = terms.find(h)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.llm.common import broadcast_if_small, stored
+from kiln.llm.common import broadcast_if_small, slices, stored
 
 LENGTH = 2048
 END_ID = 1
@@ -81,7 +81,7 @@ def _pieces(paths: tuple[str, str, str], length: int, end_id: int):
         if paths not in _ENCODERS:
             _ENCODERS[paths] = Encoder(*paths)
         enc, tail = _ENCODERS[paths], array("I", [end_id]).tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 ids = enc.encode(text or "") + tail

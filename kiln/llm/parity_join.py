@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import broadcast_if_small, stored
+from kiln.llm.common import broadcast_if_small, slices, stored
 from kiln.llm.components import connected_components
 from kiln.llm.hashing import mix, shingle_sets
 
@@ -92,7 +92,7 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(COUNTERS, np.int64)
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("bits", pa.binary()),
                         ("counts", pa.list_(pa.int64()))])
-    for batch in batches:
+    for batch in slices(batches):
         sets = shingle_sets(_texts(batch.column("text")))
         for s in sets:
             counts += np.bincount((s >> _U(46)).astype(np.int64), minlength=COUNTERS) if len(s) > COUNTERS // 8 else 0
@@ -140,7 +140,7 @@ def _packed_words(parts: int, hot_cells: bytes):
     bit set for words without rare tokens, which are dealt by class as well."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.unpackbits(np.frombuffer(hot_cells, np.uint8)).astype(bool)
-        for batch in batches:
+        for batch in slices(batches, 1_000):
             keys, owners, common, names, seen = [], [], [], [], {}
             for s in shingle_sets(_texts(batch.column("text"))):
                 if not len(s) or (c := _class_of(s)) in seen:
@@ -209,14 +209,14 @@ def _shared_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches):
         sets = shingle_sets(_texts(b.column("text")))
         yield pa.RecordBatch.from_arrays([pa.array([_class_of(s) for s in sets], pa.int64()),
                                           pa.array([s.tobytes() for s in sets], pa.binary())], names=["class", "tokens"])
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         a, b = [], []
         cols = [batch.column(x).to_pylist() for x in ("a", "b", "ta", "tb")]
         for x, y, s, t in zip(*cols, strict=True):

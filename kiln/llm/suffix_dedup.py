@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import broadcast_if_small, stored
+from kiln.llm.common import broadcast_if_small, slices, stored
 from kiln.llm.hashing import mix, prefix_hashes, span_hashes
 from kiln.llm.repeat_index import super_grams
 
@@ -47,7 +47,7 @@ MAX_BROADCAST_TEXTS = 500_000
 
 def _strings(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             parts, keys = [], []
             for key, text in zip(b.column("tk").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(), strict=True):
                 x = super_grams(text, length, gram, (length - gram) // 2)
@@ -65,7 +65,7 @@ def _strings(length: int, gram: int):
 def _cut_strings(length: int):
     """Texts with the list of wanted strings -> (g, s, col, bytes)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             rows, size = [], 0
             for text, wanted in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("wanted").to_pylist(), strict=True):
                 for w in wanted:
@@ -176,7 +176,7 @@ def _windows(length: int):
 
 def _removed(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             rows = []
             for doc_id, text, spans in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(), b.column("spans").to_pylist(), strict=True):
                 kept, at, removed, n_spans = hashlib.sha256(), 0, 0, 0
