@@ -26,9 +26,10 @@ def allow_columns(df: DataFrame, remove: set[str] | list[str]) -> DataFrame:
 
 def split_positional(df: DataFrame, key: str | list[str], fractions: tuple[float, ...] = (0.7,),
                      label: str | None = None) -> dict[str, DataFrame]:
-    """train = int(n·0.7) first rows in key order, eval = half the rest, serving = the remainder
-    with the label dropped. Returns {'train', 'eval', 'serving'}."""
-    return splits_of(_split_positional(df, key, fractions[0]), label=label)
+    """train = int(n·0.7) first rows in key order, eval = half the rest (or ``fractions[1]`` of all
+    rows), serving = the remainder with the label dropped. Returns {'train', 'eval', 'serving'}."""
+    ev = fractions[1] if len(fractions) > 1 else None
+    return splits_of(_split_positional(df, key, fractions[0], eval_fraction=ev), label=label)
 
 
 def split_random(df: DataFrame, key: str, seed: int = 42, bounds: tuple[float, float] = (0.70, 0.85)) -> dict[str, DataFrame]:

@@ -10,14 +10,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-# Fixed values of the laptop parsing rules: storage kinds, the terabyte marker and its factor,
-# the OS names recognised and their canonical forms, the default for an empty company, the CPU
-# brand named when the text mentions it and the brand assumed otherwise, the clock unit.
+# Fixed values of the laptop parsing rules: storage kinds, the terabyte marker and its factor, the
+# default for an empty company. The OS names and CPU patterns stand where they are used.
 STORAGE_KINDS = ("ssd", "hdd", "flash")
 TERABYTE_MARK, GB_PER_TB = "tb", 1024.0
-OS_CANONICAL = (("windows", "windows"), ("mac", "macos"))
 UNKNOWN_COMPANY = "UNKNOWN_COMPANY"
-CPU_BRAND, CPU_OTHER_BRAND, CLOCK_UNIT = "intel", "amd", "ghz"
 
 
 def _c(x: Column | str) -> Column:
@@ -69,10 +66,7 @@ def parse_unit(s: Column | str, unit: str) -> Column:
 def map_os(s: Column | str) -> Column:
     """Canonical OS: contains 'windows' → windows, contains 'mac' → macos, else the lowered input."""
     v = lower_trim(s)
-    out = v
-    for word, name in reversed(OS_CANONICAL):      # first listed match wins
-        out = F.when(v.contains(word), F.lit(name)).otherwise(out)
-    return out
+    return F.when(v.contains("windows"), "windows").when(v.contains("mac"), "macos").otherwise(v)
 
 
 def parse_resolution(s: Column | str) -> Column:
@@ -98,9 +92,9 @@ def parse_cpu(s: Column | str) -> Column:
     and from the first space-then-digit on; clock: the number right before ``ghz``.
     """
     v = lower_trim(s)
-    brand = F.when(v.contains(CPU_BRAND), F.lit(CPU_BRAND)).otherwise(F.lit(CPU_OTHER_BRAND))
-    family = F.regexp_replace(F.regexp_replace(v, rf"^({CPU_BRAND}|{CPU_OTHER_BRAND})\s+", ""), r"\s+\d.*", "")
-    clock = to_number(F.regexp_extract(v, rf"([\d.]+)\s*{CLOCK_UNIT}", 1), "float")
+    brand = F.when(v.contains("intel"), "intel").otherwise("amd")
+    family = F.regexp_replace(F.regexp_replace(v, r"^(intel|amd)\s+", ""), r"\s+\d.*", "")
+    clock = to_number(F.regexp_extract(v, r"([\d.]+)\s*ghz", 1), "float")
     return F.struct(brand.alias("brand"), family.alias("family"), clock.alias("clock_ghz"))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kiln.operators.analyze import broadcast_if_small, vocab_build
+from kiln.operators.analyze import vocab_build
 
 # Word tokens: maximal runs of Unicode letters and digits after lower-casing.
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
@@ -41,18 +41,27 @@ def word_index(df: DataFrame, text: str, num_words: int | None = None) -> DataFr
 IN_TASK_LOOKUP_MAX = 250_000
 
 
+def _bounded_rows(index: DataFrame, index_rows: int | None) -> list | None:
+    """The index's rows when there are at most ``IN_TASK_LOOKUP_MAX`` (checked, whatever size is
+    claimed), else None. Both paths give the same rows; only the plan differs."""
+    if index_rows is not None and index_rows > IN_TASK_LOOKUP_MAX:
+        return None
+    rows = index.select("word", "rank").limit(IN_TASK_LOOKUP_MAX + 1).collect()
+    return rows if len(rows) <= IN_TASK_LOOKUP_MAX else None
+
+
 def encode(df: DataFrame, key: str, text: str, index: DataFrame, num_words: int, out: str = "sequence",
            index_rows: int | None = None) -> DataFrame:
     """Text → [START] + word ids (rank + 3, or OOV when rank + 3 >= num_words).
 
-    ``index_rows`` is the index's known size (e.g. the cap it was built with). A bounded index is
+    ``index_rows`` is the index's expected size (e.g. the cap it was built with). A bounded index is
     collected once (model-sized) and every task maps its rows' tokens through it, batch by batch,
     so documents are never exploded and regrouped. Otherwise tokens are exploded, joined with the
     index and regrouped per document in token order.
     """
-    n = index_rows if index_rows is not None else index.count()
-    if n <= IN_TASK_LOOKUP_MAX:
-        pairs = [(r["word"], int(r["rank"]) + INDEX_FROM) for r in index.select("word", "rank").collect()]
+    rows = _bounded_rows(index, index_rows)
+    if rows is not None:
+        pairs = [(r["word"], int(r["rank"]) + INDEX_FROM) for r in rows]
         pairs = [(w, i) for w, i in pairs if i < num_words]
         words = pa.array([w for w, _ in pairs], type=pa.string())
         ids = pa.array([i for _, i in pairs], type=pa.int64())
@@ -75,14 +84,15 @@ def encode(df: DataFrame, key: str, text: str, index: DataFrame, num_words: int,
         coded = src.mapInArrow(_encode, schema)
         return coded.select(key, F.concat(F.array(F.lit(START).cast("bigint")), F.col(out)).alias(out))
 
-    pos, word, wid, tid = "__kiln_pos", "__kiln_word", "__kiln_wid", "__kiln_tid"
-    toks = df.select(key, F.posexplode_outer(tokens(text)).alias(pos, word))
-    ids = broadcast_if_small(index.select(F.col("word").alias(word), (F.col("rank") + INDEX_FROM).alias(wid)),
-                             known_rows=n)
+    # rows are regrouped by an id of their own: a key may repeat
+    pos, word, wid, tid, row = "__kiln_pos", "__kiln_word", "__kiln_wid", "__kiln_tid", "__kiln_row"
+    toks = (df.select(key, text, F.monotonically_increasing_id().alias(row))
+            .select(row, key, F.posexplode_outer(tokens(text)).alias(pos, word)))
+    ids = index.select(F.col("word").alias(word), (F.col("rank") + INDEX_FROM).alias(wid))
     j = toks.join(ids, word, "left").withColumn(
         tid, F.when(F.col(pos).isNull(), F.lit(None))
         .when(F.col(wid).isNotNull() & (F.col(wid) < num_words), F.col(wid)).otherwise(F.lit(OOV)))
-    per_doc = j.groupBy(key).agg(
+    per_doc = j.groupBy(row, key).agg(
         F.array_sort(F.collect_list(F.when(F.col(pos).isNotNull(),
                                            F.struct(F.col(pos).alias("p"), F.col(tid).alias("i"))))).alias("__p"))
     return per_doc.select(key, F.concat(F.array(F.lit(START).cast("bigint")),
@@ -91,10 +101,11 @@ def encode(df: DataFrame, key: str, text: str, index: DataFrame, num_words: int,
 
 def decode(df: DataFrame, key: str, seq: str, index: DataFrame, out: str = "decoded",
            index_rows: int | None = None) -> DataFrame:
-    """Integer sequence → words joined by spaces; id i maps to the word of rank i-3, else '?'."""
-    n = index_rows if index_rows is not None else index.count()
-    if n <= IN_TASK_LOOKUP_MAX:
-        inverse = {int(r["rank"]) + INDEX_FROM: r["word"] for r in index.select("word", "rank").collect()}
+    """Integer sequence → words joined by spaces; id i maps to the word of rank i-3, else '?'. A null
+    sequence decodes to null, an empty one to ''."""
+    rows = _bounded_rows(index, index_rows)
+    if rows is not None:
+        inverse = {int(r["rank"]) + INDEX_FROM: r["word"] for r in rows}
         top = max(inverse, default=0)
         by_id = ["?"] * (top + 2)                                  # last slot: ids outside the index
         for i, w in inverse.items():
@@ -118,16 +129,16 @@ def decode(df: DataFrame, key: str, seq: str, index: DataFrame, out: str = "deco
         schema = T.StructType([df.schema[key], T.StructField(out, T.StringType())])
         return src.mapInArrow(_decode, schema)
 
-    pos, tid, word = "__kiln_pos", "__kiln_tid", "__kiln_word"
-    items = df.select(key, F.posexplode_outer(seq).alias(pos, tid))
-    inv = broadcast_if_small(index.select((F.col("rank") + INDEX_FROM).alias(tid), F.col("word").alias(word)),
-                             known_rows=n)
+    pos, tid, word, row, none = "__kiln_pos", "__kiln_tid", "__kiln_word", "__kiln_row", "__kiln_none"
+    items = (df.select(key, seq, F.col(seq).isNull().alias(none), F.monotonically_increasing_id().alias(row))
+             .select(row, key, none, F.posexplode_outer(seq).alias(pos, tid)))
+    inv = index.select((F.col("rank") + INDEX_FROM).alias(tid), F.col("word").alias(word))
     j = items.join(inv, tid, "left").withColumn(word, F.coalesce(word, F.lit("?")))
-    per_doc = j.groupBy(key).agg(
+    per_doc = j.groupBy(row, key, none).agg(
         F.array_sort(F.collect_list(F.when(F.col(pos).isNotNull(),
                                            F.struct(F.col(pos).alias("p"), F.col(word).alias("w"))))).alias("__p"))
-    return per_doc.select(key, F.coalesce(F.array_join(F.transform("__p", lambda s: s["w"]), " "), F.lit(""))
-                          .alias(out))
+    text = F.coalesce(F.array_join(F.transform("__p", lambda s: s["w"]), " "), F.lit(""))
+    return per_doc.select(key, F.when(~F.col(none), text).alias(out))
 
 
 def multi_hot(seq: Column | str) -> Column:

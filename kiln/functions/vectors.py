@@ -73,28 +73,41 @@ def vec_std(arr: Column | str) -> Column:
 def vec_standardize_clip(arr: Column | str, scale: float = 64.0, center: float = 128.0) -> Column:
     """Centre and scale by the vector's own mean/std, ×64 +128, clip to 0..255, as integers.
 
-    A vector whose values sum to 0 is left unscaled (only clipped), as an all-zero channel would be.
-    One NumPy pass per Arrow batch (per-row statistics are reused by every element).
+    A vector whose values sum to 0 is left unscaled (only clipped), as an all-zero channel would be;
+    a constant vector (std 0) becomes ``center``; a null vector stays null. Vectors of one length
+    are stacked and standardised as one matrix per Arrow batch.
     """
     @F.pandas_udf("array<int>")
     def _std_clip(col: pd.Series) -> pd.Series:
-        out = []
-        for v in col:
-            x = np.asarray(v, dtype=np.float64)
-            if x.sum() != 0:
-                x = (x - x.mean()) / x.std() * scale + center
-            out.append(np.trunc(np.clip(x, 0.0, 255.0)).astype(np.int32))
-        return pd.Series(out)
+        out: list = [None] * len(col)
+        sizes = col.map(lambda v: -1 if v is None else len(v))
+        for size in sizes[sizes >= 0].unique():
+            at = np.flatnonzero(sizes == size)
+            x = np.array([np.asarray(v, np.float64) for v in col.iloc[at]]) if size else np.zeros((len(at), 0))
+            std = x.std(axis=1, keepdims=True) if size else np.ones((len(at), 1))
+            mean = x.mean(axis=1, keepdims=True) if size else std
+            spread = std > 1e-12 * np.abs(mean)       # rounding leaves a constant vector a tiny std
+            z = np.where(spread, (x - mean) / np.where(spread, std, 1.0), 0.0) * scale + center
+            z = np.where(x.sum(axis=1, keepdims=True) != 0, z, x)
+            for i, row in zip(at, np.trunc(np.clip(z, 0.0, 255.0)).astype(np.int32)):
+                out[i] = row
+        return pd.Series(out, dtype=object)
     return _std_clip(_c(arr))
 
 
 def _matmul_udf(weights: np.ndarray, bias: np.ndarray, activation: str):
-    """Vectorised scoring kernel: stacks an Arrow batch of vectors and multiplies once."""
+    """Vectorised scoring kernel: stacks an Arrow batch of vectors and multiplies once. A null
+    vector scores null; one of another length than the layer's input is an error."""
     @F.pandas_udf("array<double>")
     def _score(col: pd.Series) -> pd.Series:
-        if len(col) == 0:
-            return pd.Series([], dtype=object)
-        x = np.vstack([np.asarray(v, dtype=np.float64) for v in col])
+        out: list = [None] * len(col)
+        some = np.flatnonzero(col.notna())
+        if len(some) == 0:
+            return pd.Series(out, dtype=object)
+        rows = [np.asarray(v, dtype=np.float64) for v in col.iloc[some]]
+        if bad := {len(v) for v in rows} - {weights.shape[0]}:
+            raise ValueError(f"the layer takes vectors of length {weights.shape[0]}, not {sorted(bad)}")
+        x = np.vstack(rows)
         z = x @ weights + bias
         if activation == "relu":
             z = np.maximum(z, 0.0)
@@ -103,7 +116,9 @@ def _matmul_udf(weights: np.ndarray, bias: np.ndarray, activation: str):
         elif activation == "softmax":
             e = np.exp(z - z.max(axis=1, keepdims=True))
             z = e / e.sum(axis=1, keepdims=True)
-        return pd.Series(list(z))
+        for i, row in zip(some, z):
+            out[i] = row
+        return pd.Series(out, dtype=object)
     return _score
 
 

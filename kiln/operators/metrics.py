@@ -98,6 +98,13 @@ def batch_summary(df: DataFrame, epoch: str, batch: str, loss: Column | str, cor
                                  F.count(F.lit(1)).alias("n"))
 
 
+def epoch_summary(df: DataFrame, epoch: str, loss: Column | str, correct: Column | str, role: str) -> DataFrame:
+    """Per (role, epoch): sums and counts. Epoch values need no batches, so no row order either."""
+    return df.groupBy(role, epoch).agg(F.sum(_c(loss).cast("double")).alias("loss_sum"),
+                                       F.sum(_c(correct).cast("double")).alias("correct_sum"),
+                                       F.count(F.lit(1)).alias("n"))
+
+
 def running_metric(summary: DataFrame, epoch: str, batch: str, role: str | None = None,
                    chunk: int = 4096) -> DataFrame:
     """Value after every batch, reset at each epoch: a distributed prefix sum over batch summaries.
@@ -132,39 +139,49 @@ def history_epoch(summary: DataFrame, epoch: str, role: str, train: str = "train
     return summary.groupBy(epoch).agg(*agg(train, ""), *agg(val, "val_"))
 
 
-def early_stop(history: DataFrame, epoch: str, monitor: str = "val_loss", patience: int = 2) -> DataFrame:
+def _rank_value(monitor: str, mode: str) -> Column:
+    """The monitored value with its sign turned so that lower is always better."""
+    if mode not in ("min", "max"):
+        raise ValueError(f"mode must be 'min' or 'max', not {mode!r}")
+    return F.col(monitor) if mode == "min" else -F.col(monitor)
+
+
+def early_stop(history: DataFrame, epoch: str, monitor: str = "val_loss", patience: int = 2,
+               mode: str = "min") -> DataFrame:
     """Epoch at which training stops: the first epoch with ``patience`` epochs without improvement
-    (lower is better); null when it never triggers. Also the best epoch and value.
-    Ties on the monitored value keep the earlier epoch as best."""
-    flagged = _since_best(history, epoch, monitor)
+    (lower is better, or higher with ``mode='max'``, e.g. for an accuracy); null when it never
+    triggers. Also the best epoch and value. Ties on the monitored value keep the earlier epoch."""
+    flagged = _since_best(history, epoch, monitor, mode)
+    best = F.min(monitor) if mode == "min" else F.max(monitor)
     return flagged.agg(
         F.min(F.when(F.col("epochs_since_best") >= patience, F.col(epoch))).alias("stop_epoch"),
-        F.min_by(epoch, F.struct(F.col(monitor), F.col(epoch))).alias("best_epoch"),
-        F.min(monitor).alias("best_value"))
+        F.min_by(epoch, F.struct(_rank_value(monitor, mode), F.col(epoch))).alias("best_epoch"),
+        best.alias("best_value"))
 
 
-def _since_best(history: DataFrame, epoch: str, monitor: str) -> DataFrame:
-    """Adds improved (strictly below every earlier value) and epochs_since_best."""
+def _since_best(history: DataFrame, epoch: str, monitor: str, mode: str = "min") -> DataFrame:
+    """Adds improved (strictly better than every earlier value) and epochs_since_best."""
+    value = _rank_value(monitor, mode)
     w_prev = Window.orderBy(epoch).rowsBetween(Window.unboundedPreceding, -1)
-    h = history.withColumn("prev_best", F.min(monitor).over(w_prev))
-    h = h.withColumn("improved", F.col("prev_best").isNull() | (F.col(monitor) < F.col("prev_best")))
+    h = history.withColumn("prev_best", F.min(value).over(w_prev))
+    h = h.withColumn("improved", F.col("prev_best").isNull() | (value < F.col("prev_best")))
     w_all = Window.orderBy(epoch).rowsBetween(Window.unboundedPreceding, 0)
     h = h.withColumn("last_best", F.max(F.when(F.col("improved"), F.col(epoch))).over(w_all))
     return h.withColumn("epochs_since_best", (F.col(epoch) - F.col("last_best")).cast("int"))
 
 
-def best_checkpoint(history: DataFrame, epoch: str, monitor: str = "val_loss") -> DataFrame:
+def best_checkpoint(history: DataFrame, epoch: str, monitor: str = "val_loss", mode: str = "min") -> DataFrame:
     """Epochs at which the monitored value improves (a checkpoint is saved), and which is best."""
-    h = _since_best(history, epoch, monitor).where("improved")
-    w = Window.orderBy(F.col(monitor), F.col(epoch))
+    h = _since_best(history, epoch, monitor, mode).where("improved")
+    w = Window.orderBy(_rank_value(monitor, mode), F.col(epoch))
     return h.select(epoch, monitor, (F.row_number().over(w) == 1).alias("is_best"))
 
 
 def lr_plateau(history: DataFrame, epoch: str, monitor: str = "val_loss", lr0: float = 0.01,
-               factor: float = 0.5, patience: int = 2) -> DataFrame:
+               factor: float = 0.5, patience: int = 2, mode: str = "min") -> DataFrame:
     """Reduce the rate on plateau: every ``patience`` epochs without improvement multiply by
     ``factor``. ``lr_next`` is the rate for the following epoch."""
-    h = _since_best(history, epoch, monitor)
+    h = _since_best(history, epoch, monitor, mode)
     reduce_now = ((F.col("epochs_since_best") > 0) & (F.col("epochs_since_best") % patience == 0)).cast("int")
     w_all = Window.orderBy(epoch).rowsBetween(Window.unboundedPreceding, 0)
     h = h.withColumn("reductions", F.sum(reduce_now).over(w_all))

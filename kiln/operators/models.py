@@ -17,6 +17,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kiln.session import cut_lineage
+
 
 @dataclass
 class GramSums:
@@ -28,7 +30,9 @@ class GramSums:
 
 
 def gram_sums(df: DataFrame, xs: list[str], y: str) -> GramSums:
-    """ONE aggregate over the rows; only (d+1)² + (d+1) + 2 numbers reach the driver."""
+    """ONE aggregate over the rows; only (d+1)² + (d+1) + 2 numbers reach the driver. Rows with a
+    null feature or target take no part, in the sums or in the count."""
+    df = df.where(F.col(y).isNotNull()).dropna(subset=list(xs))
     cols = [F.col(x).cast("double") for x in xs] + [F.lit(1.0)]
     yy = F.col(y).cast("double")
     d = len(cols)
@@ -94,15 +98,15 @@ def assemble(df: DataFrame, array_cols: list[str] = (), scalar_cols: list[str] =
 
 
 def training_table(df: DataFrame) -> DataFrame:
-    """Cache a feature table for iterative fitting, at most one partition per core.
+    """Store a feature table for iterative fitting, then cache it at one partition per core.
 
     Every optimizer iteration is a job over all partitions; a table left with hundreds of small
-    shuffle partitions would pay that task overhead on every step. Coalescing merges partitions
-    without a shuffle.
+    shuffle partitions would pay that task overhead on every step. The features are computed and
+    checkpointed at their own partitioning first, so that merging partitions limits the parallelism
+    of the re-read only. Call ``unpersist()`` on the result when the fit is done.
     """
-    # Unconditional: coalesce only ever lowers the count, and the partition count a plan reports
-    # before adaptive execution is not the one the cached table ends up with.
-    return df.coalesce(df.sparkSession.sparkContext.defaultParallelism).persist()
+    stored = cut_lineage(df)
+    return stored.coalesce(df.sparkSession.sparkContext.defaultParallelism).persist()
 
 
 def fit_logistic(train: DataFrame, label: str, features: str = "features", multinomial: bool = False,

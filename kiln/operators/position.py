@@ -37,6 +37,10 @@ MIN_ROWS_PER_INTERVAL = 64
 # An interval up to this many rows is ranked in one window task when looking up single positions.
 DIRECT_RANK_ROWS = 2_000_000
 
+# Finite proxies of values without a place on the number line: infinities and NaN sort inside the
+# proxies of null, and all of them can be cut points like any other value.
+FAR, FARTHEST, NULL_FAR = 1.5e308, 1.6e308, 1.7e308
+
 KeySpec = str | tuple[str, str]
 
 
@@ -60,7 +64,7 @@ def order_proxy(df: DataFrame, name: str, desc: bool = False, skip_bytes: int =
     Numbers and times map to themselves; strings to 7 bytes read as a big-endian integer, taken
     after ``skip_bytes`` bytes that every value shares (shorter strings are zero-padded, which
     keeps prefixes first, as in byte order). Nulls go first for ascending and last for
-    descending order, like Spark's defaults.
+    descending order, NaN after every number in ascending order, like Spark's defaults.
     """
     dt = df.schema[name].dataType
     c = F.col(f"`{name}`")
@@ -76,9 +80,9 @@ def order_proxy(df: DataFrame, name: str, desc: bool = False, skip_bytes: int =
         v = F.conv(F.rpad(F.substring(F.hex(c), 2 * skip_bytes + 1, 14), 14, "0"), 16, 10).cast("double")
     else:
         v = c.cast("double")
-    if desc:
-        return F.coalesce(-v, F.lit(float("inf")))
-    return F.coalesce(v, F.lit(float("-inf")))
+    if isinstance(dt, (T.DoubleType, T.FloatType)):
+        v = F.when(F.isnan(v), F.lit(FARTHEST)).otherwise(F.least(F.greatest(v, F.lit(-FAR)), F.lit(FAR)))
+    return F.coalesce(-v, F.lit(NULL_FAR)) if desc else F.coalesce(v, F.lit(-NULL_FAR))
 
 
 def _common_prefix_len(a, b) -> int:
@@ -95,6 +99,11 @@ def _common_prefix_len(a, b) -> int:
     return n
 
 
+def _plain(value):
+    """A dictionary key for a collected value: NaN is not equal to itself."""
+    return "NaN" if isinstance(value, float) and value != value else value
+
+
 def _order(k: KeySpec) -> Column:
     name, desc = _spec(k)
     return F.col(f"`{name}`").desc_nulls_last() if desc else F.col(f"`{name}`").asc_nulls_first()
@@ -129,7 +138,7 @@ def _intervals(df: DataFrame, keys: list[KeySpec], buckets: int | None, accuracy
     n_rows = int(row["n"])
     cuts_all = [float(x) for x in (row["c"] or []) if x is not None] if nb > 1 else []
     cuts = sorted(set(cuts_all))
-    splits = [float("-inf")] + [c for c in cuts if c not in (float("-inf"), float("inf"))] + [float("inf")]
+    splits = [float("-inf"), *cuts, float("inf")]
     if len(splits) < 3:
         splits = [float("-inf"), 0.0, float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol=p1, outputCol=b1, handleInvalid="keep").transform(keyed)
@@ -141,7 +150,7 @@ def _intervals(df: DataFrame, keys: list[KeySpec], buckets: int | None, accuracy
     # before that value get sub-interval 0, all others come after. Exact for any key type.
     after = F.lit(MAX_SUB_BUCKETS + 2)
     sub = after
-    hot = {v: n for v, n in Counter(cuts_all).items() if n >= 2 and v not in (float("inf"), float("-inf"))}
+    hot = {v: n for v, n in Counter(cuts_all).items() if n >= 2}
     hot = dict(sorted(hot.items(), key=lambda kv: -kv[1])[:MAX_HOT])
     drop = [p1]
     if hot and len(keys) > 1 and n_rows >= MIN_ROWS_PER_INTERVAL * nb:
@@ -159,20 +168,23 @@ def _intervals(df: DataFrame, keys: list[KeySpec], buckets: int | None, accuracy
             drop.append(p2)
             k = min(max(hot[v] for v in chosen) + 1, MAX_SUB_BUCKETS)
             probs2 = [i / k for i in range(1, k)]
-            values = list(chosen.values())
-            sub_rows = {r["__kiln_v"]: r["c"] for r in
-                        bucketed.where(lc.isin(values)).groupBy(lc.alias("__kiln_v"))
+            is_value = {v: lc.isNull() if actual is None else lc.eqNullSafe(F.lit(actual)) for v, actual in chosen.items()}
+            is_hot = F.lit(False)
+            for cond in is_value.values():
+                is_hot = is_hot | cond
+            sub_rows = {_plain(r["__kiln_v"]): r["c"] for r in
+                        bucketed.where(is_hot).groupBy(lc.alias("__kiln_v"))
                         .agg(F.percentile_approx(p2, probs2, accuracy).alias("c")).collect()}  # <= MAX_HOT
             ins, outs, splits2, cases = [], [], [], None
             for j, (v, actual) in enumerate(chosen.items()):
-                inner = sorted({float(x) for x in (sub_rows.get(actual) or [])
-                                if x not in (None, float("inf"), float("-inf"))})
-                is_v = lc == F.lit(actual)
+                inner = sorted({float(x) for x in (sub_rows.get(_plain(actual)) or []) if x is not None})
+                is_v = is_value[v]
                 bucketed = bucketed.withColumn(f"__kiln_h{j}", F.when(is_v, F.col(p2)).otherwise(F.lit(float("-inf"))))
                 ins.append(f"__kiln_h{j}")
                 outs.append(f"__kiln_s{j}")
                 splits2.append([float("-inf")] + (inner or [0.0]) + [float("inf")])
-                before = (F.col(p1) == F.lit(v)) & ((lc > F.lit(actual)) if lead_desc else (lc < F.lit(actual)))
+                before = (F.lit(False) if actual is None else
+                          (F.col(p1) == F.lit(v)) & ((lc > F.lit(actual)) if lead_desc else (lc < F.lit(actual))))
                 step = F.when(is_v, F.col(f"__kiln_s{j}") + 1).when(before, F.lit(0))
                 cases = step if cases is None else cases.when(is_v, F.col(f"__kiln_s{j}") + 1).when(before, F.lit(0))
             # One JVM binary search per hot value's column (its own cut points), all in one pass.

@@ -15,17 +15,18 @@ from kiln.operators.position import (before_keys, hash_int, hash_unit, keys_at_p
                                      with_position_and_count)
 
 
-def split_sizes(n: int, train_fraction: float = 0.7) -> tuple[int, int, int]:
-    """train = int(n * 0.7); the rest is halved, eval gets the floor, serving the remainder."""
+def split_sizes(n: int, train_fraction: float = 0.7, eval_fraction: float | None = None) -> tuple[int, int, int]:
+    """train = int(n * 0.7); the rest is halved, eval gets the floor (or int(n * eval_fraction) when
+    that is given), serving the remainder."""
     train = int(n * train_fraction)
     rest = n - train
-    ev = rest // 2
+    ev = rest // 2 if eval_fraction is None else min(int(n * eval_fraction), rest)
     return train, ev, rest - ev
 
 
 def split_positional(df: DataFrame, key: str | list[str], train_fraction: float = 0.7,
                      split_col: str = "split", pos_col: str = "pos", with_positions: bool = False,
-                     materialize: bool = False) -> DataFrame:
+                     materialize: bool = False, eval_fraction: float | None = None) -> DataFrame:
     """Tag rows 'train' / 'eval' / 'serving' by their position in ``key`` order (ascending).
 
     Sizes follow :func:`split_sizes`. Only two rows decide the split: the first eval row and the
@@ -38,7 +39,7 @@ def split_positional(df: DataFrame, key: str | list[str], train_fraction: float
     keys = [key] if isinstance(key, str) else list(key)
     if with_positions:
         positioned, n = with_position_and_count(df, keys, pos_col=pos_col)
-        train, ev, _ = split_sizes(n, train_fraction)
+        train, ev, _ = split_sizes(n, train_fraction, eval_fraction)
         if materialize:
             from kiln.session import cut_lineage
             positioned = cut_lineage(positioned)
@@ -47,7 +48,7 @@ def split_positional(df: DataFrame, key: str | list[str], train_fraction: float
             F.when(F.col(pos_col) < train, "train").when(F.col(pos_col) < train + ev, "eval").otherwise("serving"))
 
     def bounds(n: int) -> list[int]:
-        train, ev, _ = split_sizes(n, train_fraction)
+        train, ev, _ = split_sizes(n, train_fraction, eval_fraction)
         return [train, train + ev]
 
     found, n = keys_at_positions(df, keys, bounds)

@@ -153,7 +153,8 @@ def stats_string(df: DataFrame, cols: list[str] | None = None, counts: DataFrame
 
 def stats_histogram(df: DataFrame, col: str, buckets: int = 10) -> DataFrame:
     """Equal-width histogram: a min/max pass (one row to the driver), then a bucket index and a
-    group count. Bucket i covers [min + i*w, min + (i+1)*w); the maximum falls into the last one.
+    group count, 0 for empty buckets. Bucket i covers [min + i*w, min + (i+1)*w); the maximum falls
+    into the last one.
     """
     x = F.col(q(col)).cast("double")
     lo, hi = df.agg(F.min(x), F.max(x)).first()
@@ -161,11 +162,13 @@ def stats_histogram(df: DataFrame, col: str, buckets: int = 10) -> DataFrame:
         return df.sparkSession.createDataFrame([], "feature string, bucket int, low double, high double, count bigint")
     lo_c, hi_c = F.lit(float(lo)), F.lit(float(hi))
     b = (F.lit(0) if hi == lo else F.least(F.floor((x - lo_c) * buckets / (hi_c - lo_c)), F.lit(buckets - 1)))
-    return (df.where(x.isNotNull()).groupBy(b.cast("int").alias("bucket")).agg(F.count(F.lit(1)).alias("count"))
+    counts = df.where(x.isNotNull()).groupBy(b.cast("int").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    every = df.sparkSession.range(1 if hi == lo else buckets).select(F.col("id").cast("int").alias("bucket"))
+    return (every.join(counts, "bucket", "left")
             .select(F.lit(col).alias("feature"), "bucket",
                     (lo_c + F.col("bucket") * (hi_c - lo_c) / buckets).alias("low"),
                     (lo_c + (F.col("bucket") + 1) * (hi_c - lo_c) / buckets).alias("high"),
-                    "count"))
+                    F.coalesce("n", F.lit(0)).cast("bigint").alias("count")))
 
 
 def stats_describe(df: DataFrame, col: str) -> DataFrame:

@@ -32,25 +32,61 @@ def elementwise(fn: Callable[[pd.Series], pd.Series | pd.DataFrame], return_type
     return F.pandas_udf(fn, return_type)
 
 
+def write_routed(df: DataFrame, fn: Callable[[dict[str, Column]], Column], path: str, route_col: str = "route") -> None:
+    """Write every row below ``path`` by its route (one folder per output) in one pass over the rows."""
+    tagged = df.withColumn(route_col, fn({c: F.col(f"`{c}`") for c in df.columns}).cast("int"))
+    tagged.write.mode("overwrite").partitionBy(route_col).parquet(path)
+
+
 def route(df: DataFrame, fn: Callable[[dict[str, Column]], Column], n: int,
           route_col: str = "route") -> dict[int, DataFrame]:
-    """Tag each row with ``fn(columns)`` in [0, n) and return one filtered frame per output."""
+    """Tag each row with ``fn(columns)`` in [0, n) and return one filtered frame per output. Each frame
+    reads the input when used; to store all outputs use :func:`write_routed`, which reads it once."""
     tagged = df.withColumn(route_col, fn({c: F.col(f"`{c}`") for c in df.columns}).cast("int"))
     return {i: tagged.where(F.col(route_col) == i) for i in range(n)}
 
 
+#: Hooks of a callback, with the table each one sees: one row per epoch (history) or per batch.
+HOOKS = {"on_train_begin": "history", "on_epoch_begin": "history", "on_batch_begin": "batches",
+         "on_batch_end": "batches", "on_epoch_end": "history", "on_train_end": "history"}
+
+
 class Callback:
-    """Override ``on_epoch_end``: history → rows (epoch, callback, value)."""
+    """Override any hook: table → rows (epoch, value), or None for nothing to report.
+
+    A hook is called once with the whole table, not once per epoch or batch: what it returns for each
+    row is what a call at that time would report. Begin hooks should read only the keys of their row
+    (and earlier rows); the metrics of a row exist at its end.
+    """
     name = "callback"
 
+    def on_train_begin(self, history: DataFrame) -> DataFrame | None:
+        return None
+
+    def on_epoch_begin(self, history: DataFrame) -> DataFrame | None:
+        return None
+
+    def on_batch_begin(self, batches: DataFrame) -> DataFrame | None:
+        return None
+
+    def on_batch_end(self, batches: DataFrame) -> DataFrame | None:
+        return None
+
     def on_epoch_end(self, history: DataFrame) -> DataFrame | None:
         return None
 
+    def on_train_end(self, history: DataFrame) -> DataFrame | None:
+        return None
+
 
-def run_callbacks(history: DataFrame, callbacks: list[Callback]) -> DataFrame:
-    outs = [cb.on_epoch_end(history) for cb in callbacks]
+def run_callbacks(history: DataFrame, callbacks: list[Callback], batches: DataFrame | None = None) -> DataFrame:
+    """All hooks' rows as (epoch, callback, value); batch hooks run when ``batches`` is given."""
+    tables = {"history": history, "batches": batches}
+    outs = [(cb, getattr(cb, hook)(tables[seen])) for cb in callbacks for hook, seen in HOOKS.items() if tables[seen] is not None]
     outs = [o.select(F.col("epoch").cast("bigint"), F.lit(cb.name).alias("callback"), F.col("value").cast("double"))
-            for cb, o in zip(callbacks, outs) if o is not None]
+            for cb, o in outs if o is not None]
+    if not outs:
+        return history.sparkSession.createDataFrame([], "epoch bigint, callback string, value double")
     result = outs[0]
     for o in outs[1:]:
         result = result.unionByName(o)

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kiln.operators.analyze import broadcast_if_small
 from kiln.operators.schema import Schema, env_filter
 
 ANOMALY_COLS = ["feature", "anomaly", "detail", "value"]
@@ -30,7 +31,7 @@ def unexpected_values(freq: DataFrame, schema: Schema, env: str | None = None) -
     feats = env_filter(schema, env).where(F.col("domain").isNotNull()).select("feature", "domain", "min_domain_mass")
     totals = freq.groupBy("feature").agg(F.sum("count").alias("total"))      # one row per feature
     with_dom = freq.join(F.broadcast(feats), "feature")
-    outside = with_dom.join(F.broadcast(schema.domains), ["domain", "value"], "left_anti")
+    outside = with_dom.join(broadcast_if_small(schema.domains), ["domain", "value"], "left_anti")
     return (outside.join(F.broadcast(totals), "feature")
             .select("feature", "value", "count", (F.col("count") / F.col("total")).alias("fraction"),
                     "min_domain_mass"))
@@ -51,7 +52,7 @@ def domain_mass(freq: DataFrame, schema: Schema, env: str | None = None) -> Data
     """Per feature with a domain: share of values inside it, and its min_domain_mass."""
     feats = env_filter(schema, env).where(F.col("domain").isNotNull()).select("feature", "domain", "min_domain_mass")
     dom = schema.domains.withColumn("__in", F.lit(1))
-    return (freq.join(F.broadcast(feats), "feature").join(F.broadcast(dom), ["domain", "value"], "left")
+    return (freq.join(F.broadcast(feats), "feature").join(broadcast_if_small(dom), ["domain", "value"], "left")
             .groupBy("feature", "min_domain_mass")
             .agg((F.sum(F.when(F.col("__in") == 1, F.col("count")).otherwise(0)) / F.sum("count")).alias("in_domain"))
             .withColumn("is_anomaly", F.col("in_domain") < F.col("min_domain_mass")))
@@ -184,7 +185,6 @@ def drift_by_span(df: DataFrame, span_col: str, features: list[str], threshold:
     compared with its predecessor without a driver loop. Output: (span, previous_span, feature,
     distance, at_value, threshold, is_anomaly).
     """
-    from kiln.operators.analyze import broadcast_if_small
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("string").alias("value"))
                       for c in features])
     freq = (df.select(F.col(span_col).alias("span"), F.inline(pairs)).where(F.col("value").isNotNull())

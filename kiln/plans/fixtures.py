@@ -143,12 +143,21 @@ docs AS (
 # // 32, role = hashed 80/20 train/val, loss = value / 100, correct = value < 250.
 # ---------------------------------------------------------------------------------------------
 
-def events_history_rows(spark: SparkSession, sf_dir: str, batch_size: int = 32) -> DataFrame:
-    from kiln.operators.analyze import broadcast_if_small
-    from kiln.operators.position import hash_unit, with_position
+def events_epoch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with epoch, role, loss and correct; no batch, hence no ordering."""
+    from kiln.operators.position import hash_unit
     ev = read(spark, sf_dir, "events").select("event_id", "ts", "value")
     d0 = ev.agg(F.min(F.to_date("ts"))).first()[0]                # first day (one value)
-    ev = ev.withColumn("epoch", (F.datediff(F.to_date("ts"), F.lit(d0)) + 1).cast("bigint"))
+    return (ev.withColumn("epoch", (F.datediff(F.to_date("ts"), F.lit(d0)) + 1).cast("bigint"))
+            .withColumn("role", F.when(hash_unit("event_id", 42) < 0.8, "train").otherwise("val"))
+            .withColumn("loss", F.col("value") / F.lit(100.0))
+            .withColumn("correct", (F.col("value") < 250).cast("int")))
+
+
+def events_history_rows(spark: SparkSession, sf_dir: str, batch_size: int = 32) -> DataFrame:
+    from kiln.operators.analyze import broadcast_if_small
+    from kiln.operators.position import with_position
+    ev = events_epoch_rows(spark, sf_dir)
     # Position inside the day = global position in (ts, event_id) order minus the rows of earlier
     # days (a per-day count and a running sum over one row per day); the global index spreads a
     # busy day over many tasks, and the window runs once.
@@ -159,9 +168,6 @@ def events_history_rows(spark: SparkSession, sf_dir: str, batch_size: int = 32)
              .drop("__n"))
     return (pos.join(broadcast_if_small(first), "epoch")
             .withColumn("batch", F.floor((F.col("pos") - F.col("__p0")) / batch_size).cast("bigint"))
-            .withColumn("role", F.when(hash_unit("event_id", 42) < 0.8, "train").otherwise("val"))
-            .withColumn("loss", F.col("value") / F.lit(100.0))
-            .withColumn("correct", (F.col("value") < 250).cast("int"))
             .drop("__p0", "pos"))
 
 

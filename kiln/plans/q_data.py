@@ -75,13 +75,7 @@ SELECT l.doc_id, NULL, l.quality, 'right_only' FROM labels l WHERE l.doc_id NOT
 def q_src_paired_files(spark, sf):
     docs = read(spark, sf, "documents").select("doc_id", "lang")
     labs = read(spark, sf, "labels").select("doc_id", "quality")
-    pairs, lonely = IO.pair_files(docs, labs, "doc_id")
-    paired = pairs.select("doc_id", "lang", "quality", F.lit("paired").alias("status"))
-    left = lonely.where("side = 'left_only'").join(docs, "doc_id").select(
-        "doc_id", "lang", F.lit(-1).alias("quality"), F.col("side").alias("status"))
-    right = lonely.where("side = 'right_only'").join(labs, "doc_id").select(
-        "doc_id", F.lit(None).cast("string").alias("lang"), "quality", F.col("side").alias("status"))
-    return paired.unionByName(left).unionByName(right)
+    return IO.pair_table(docs, labs, "doc_id").withColumn("quality", F.coalesce("quality", F.lit(-1)))
 
 
 def _box_muller_sql(key: str, seed: int, mean, cov) -> tuple[str, str]:

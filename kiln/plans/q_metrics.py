@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kiln.functions import vectors as VX
 from kiln.functions.vectors import one_hot
 from kiln.operators import metrics as M
-from kiln.plans.fixtures import EVENTS_HISTORY_SQL, events_history_rows, read
+from kiln.plans.fixtures import EVENTS_HISTORY_SQL, events_epoch_rows, events_history_rows, read
 from kiln.plans.q_vectors import CENTROIDS_SQL, UNNEST, _centroids, dense_weights
 from kiln.plans.present import rnd
 from kiln.plans.registry import query
@@ -162,8 +162,12 @@ hist AS (SELECT epoch,
 """
 
 
+def _epochs(spark, sf):
+    return M.epoch_summary(events_epoch_rows(spark, sf), "epoch", "loss", "correct", role="role")
+
+
 def history(spark, sf):
-    return M.history_epoch(_summary(spark, sf), "epoch", "role")
+    return M.history_epoch(_epochs(spark, sf), "epoch", "role")
 
 
 def _hist_out(h):
@@ -187,9 +191,9 @@ def q_metric_running(spark, sf):
 SELECT epoch, round(round(avg(loss), 9), 6) AS val_loss, round(round(avg(correct), 9), 6) AS val_accuracy FROM evb WHERE role = 'val'
 GROUP BY epoch""")
 def q_metric_eval_loop(spark, sf):
-    s = _summary(spark, sf).where("role = 'val'").groupBy("epoch").agg(
-        (F.sum("loss_sum") / F.sum("n")).alias("val_loss"), (F.sum("correct_sum") / F.sum("n")).alias("val_accuracy"))
-    return s.select("epoch", _r("val_loss"), _r("val_accuracy"))
+    s = _epochs(spark, sf).where("role = 'val'")
+    return s.select("epoch", rnd(F.col("loss_sum") / F.col("n"), 6).alias("val_loss"),
+                    rnd(F.col("correct_sum") / F.col("n"), 6).alias("val_accuracy"))
 
 
 @query("history_epoch", HIST_SQL + """
@@ -231,6 +235,32 @@ def q_best_checkpoint(spark, sf):
     return b.select("epoch", _r("val_loss"), "is_best")
 
 
+MAX_SQL = HIST_SQL + """,
+h1 AS (SELECT *, max(val_accuracy) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_best FROM hist),
+h2 AS (SELECT *, prev_best IS NULL OR val_accuracy > prev_best AS improved FROM h1),
+h3 AS (SELECT *, epoch - max(CASE WHEN improved THEN epoch END)
+                     OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS since_best FROM h2)
+"""
+
+
+@query("early_stop_max", MAX_SQL + """
+SELECT (SELECT min(epoch) FROM h3 WHERE since_best >= 2) AS stop_epoch,
+       (SELECT epoch FROM hist ORDER BY val_accuracy DESC, epoch LIMIT 1) AS best_epoch,
+       (SELECT round(round(max(val_accuracy), 9), 6) FROM hist) AS best_value""")
+def q_early_stop_max(spark, sf):
+    """The monitored value is an accuracy: higher is better."""
+    e = M.early_stop(history(spark, sf), "epoch", "val_accuracy", patience=2, mode="max")
+    return e.select("stop_epoch", "best_epoch", _r("best_value"))
+
+
+@query("best_checkpoint_max", MAX_SQL + """
+SELECT epoch, round(round(val_accuracy, 9), 6) AS val_accuracy, row_number() OVER (ORDER BY val_accuracy DESC, epoch) = 1 AS is_best
+FROM h3 WHERE improved""")
+def q_best_checkpoint_max(spark, sf):
+    b = M.best_checkpoint(history(spark, sf), "epoch", "val_accuracy", mode="max")
+    return b.select("epoch", _r("val_accuracy"), "is_best")
+
+
 @query("lr_plateau", SINCE_BEST_SQL + """
 SELECT epoch, round(round(val_loss, 9), 6) AS val_loss, CAST(since_best AS INTEGER) AS epochs_since_best,
        round(0.01 * power(0.5, sum(CASE WHEN since_best > 0 AND since_best % 2 = 0 THEN 1 ELSE 0 END)

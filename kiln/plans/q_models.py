@@ -64,7 +64,7 @@ def q_decision_boundary(spark, sf):
 
 # ------------------------------------------------------------------------------ MLlib (rows-only)
 
-DIM = 1000
+DIM = 10_000
 
 
 def _doc_features(spark, sf):

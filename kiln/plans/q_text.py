@@ -9,7 +9,7 @@ from kiln.functions.vectors import one_hot
 from kiln.plans.fixtures import read
 from kiln.plans.registry import query
 
-NUM_WORDS = 1000
+NUM_WORDS = 10_000
 
 TOK_SQL = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
 

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from kiln.operators import metrics as M
 from kiln.operators.analyze import analyze
 from kiln.operators.split import splits_of
-from kiln.operators.user import Callback, elementwise, route, row_parse, run_callbacks
+from kiln.operators.user import Callback, elementwise, row_parse, run_callbacks, write_routed
 from kiln.plans.fixtures import ORDERS_SPLIT_SQL, LAPTOP_RAW_SQL, laptop_raw, orders_split, read
 from kiln.plans.q_features import SQLX
 from kiln.plans.q_metrics import PROBS_SQL, SINCE_BEST_SQL, history, scored
 from kiln.plans.present import rnd
 from kiln.plans.registry import query
+from kiln.session import scratch_path
 
 
 # ------------------------------------------------------------------------------ user_preprocess
@@ -111,13 +112,10 @@ def price_band(c):
 SELECT CASE WHEN o_totalprice < 100000 THEN 0 WHEN o_totalprice < 250000 THEN 1 ELSE 2 END AS route,
        count(*) AS n, round(round(sum(o_totalprice), 9), 2) AS total FROM orders GROUP BY 1""")
 def q_user_partition(spark, sf):
-    outs = route(read(spark, sf, "orders"), price_band, 3)
-    parts = [df.groupBy("route").agg(F.count(F.lit(1)).alias("n"), rnd(F.sum("o_totalprice"), 2).alias("total"))
-             for df in outs.values()]
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    return res
+    path = scratch_path(spark, "routed")
+    write_routed(read(spark, sf, "orders"), price_band, path)
+    return (spark.read.parquet(path).groupBy("route")
+            .agg(F.count(F.lit(1)).alias("n"), rnd(F.sum("o_totalprice"), 2).alias("total")))
 
 
 # ------------------------------------------------------------------------------ user_metric

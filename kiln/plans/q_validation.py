@@ -141,9 +141,9 @@ def q_stats_value_freq(spark, sf):
 WITH b AS (SELECT min(p_retailprice) AS lo, max(p_retailprice) AS hi FROM part),
 h AS (SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((p_retailprice - lo) * 10 / (hi - lo)), 9) END AS INTEGER)
                AS bucket, lo, hi FROM part, b WHERE p_retailprice IS NOT NULL)
-SELECT 'p_retailprice' AS feature, bucket, round(round(lo + bucket * (hi - lo) / 10, 9), 6) AS low,
-       round(round(lo + (bucket + 1) * (hi - lo) / 10, 9), 6) AS high, count(*) AS count
-FROM h GROUP BY bucket, lo, hi""")
+SELECT 'p_retailprice' AS feature, CAST(i AS INTEGER) AS bucket, round(round(lo + i * (hi - lo) / 10, 9), 6) AS low,
+       round(round(lo + (i + 1) * (hi - lo) / 10, 9), 6) AS high, (SELECT count(*) FROM h WHERE bucket = i) AS count
+FROM range(10) t(i), b""")
 def q_stats_histogram(spark, sf):
     h = ST.stats_histogram(read(spark, sf, "part"), "p_retailprice", 10)
     return h.select("feature", "bucket", _r("low"), _r("high"), "count")
@@ -318,6 +318,16 @@ def q_validate_missing_column(spark, sf):
     return V.validate_missing_column(profs["serving"], schema)
 
 
+@query("validate_new_column", """
+SELECT c AS feature, 'SCHEMA_NEW_COLUMN' AS anomaly, NULL::VARCHAR AS detail, NULL::DOUBLE AS value
+FROM (SELECT unnest(['tax_band', 'discounted']) AS c, count(*) AS n FROM orders) WHERE n > 0""")
+def q_validate_new_column(spark, sf):
+    schema, parts = _schema(spark, sf)
+    more = parts["serving"].withColumns({"tax_band": F.concat(F.lit("b"), (F.col("o_totalprice") % 3).cast("int")),
+                                         "discounted": F.col("o_totalprice") * 0.9})
+    return V.validate_new_column(_prof(more), schema)
+
+
 @query("validate_type", """
 SELECT 'o_totalprice' AS feature, 'UNEXPECTED_TYPE' AS anomaly, 'FLOAT->BYTES' AS detail, NULL::DOUBLE AS value
 FROM (SELECT count(*) AS n FROM orders) WHERE n > 0""")

@@ -54,12 +54,19 @@ def read_labelled_files(spark: SparkSession, root: str, glob: str | None = None)
         "path", "length", "content", "class", F.col("class_index").cast("int").alias("class_index"))
 
 
+def pair_table(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Both listings in one full outer join on the key, with ``status`` paired, left_only or right_only."""
+    l, r = "__kiln_l", "__kiln_r"
+    both = left.withColumn(l, F.lit(True)).join(right.withColumn(r, F.lit(True)), key, "full_outer")
+    status = F.when(F.col(l).isNull(), "right_only").when(F.col(r).isNull(), "left_only").otherwise("paired")
+    return both.withColumn("status", status).drop(l, r)
+
+
 def pair_files(left: DataFrame, right: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Pair two listings on an explicit key (file stem); return (pairs, unmatched report)."""
-    pairs = left.join(right, key, "inner")
-    lonely_l = left.join(right.select(key), key, "left_anti").select(key, F.lit("left_only").alias("side"))
-    lonely_r = right.join(left.select(key), key, "left_anti").select(key, F.lit("right_only").alias("side"))
-    return pairs, lonely_l.unionByName(lonely_r)
+    both = pair_table(left, right, key)
+    pairs = both.where("status = 'paired'").drop("status")
+    return pairs, both.where("status <> 'paired'").select(key, F.col("status").alias("side"))
 
 
 def stem(path_col: str = "path") -> F.Column:

@@ -518,3 +518,104 @@ def test_split_outputs_hold_their_own_rows(spark):
         got = {r["k"] for r in spark.read.parquet(f"{path}/split={name}").collect()}
         assert got == want and want
     assert back.count() == 500
+
+
+# ------------------------------------------------------------------------------ missing data, modes
+
+def test_positions_with_nan_nulls_and_infinities(spark):
+    from kiln.operators.position import with_position
+    rows = [(None if i % 2 else float("nan") if i % 10 == 0 else float("inf") if i % 34 == 4 else float(i % 97), i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "x double, id long").repartition(7)
+    rank = lambda x: (0, 0.0) if x is None else (2, 0.0) if x != x else (1, x)
+    up = {i: p for p, (_, i) in enumerate(sorted(rows, key=lambda r: (rank(r[0]), r[1])))}
+    down = {i: p for p, (_, i) in enumerate(sorted(rows, key=lambda r: ([-v for v in rank(r[0])], r[1])))}
+    for direction, want in (("asc", up), ("desc", down)):
+        got = {r["id"]: r["pos"] for r in with_position(df, [("x", direction), "id"], buckets=16).collect()}
+        assert got == want
+    kept = with_position_and_count_intervals(df)
+    assert max(kept.values()) <= 2 * 4000 / 16
+
+
+def with_position_and_count_intervals(df):
+    from collections import Counter
+
+    from kiln.operators.position import with_position_and_count
+    out, _ = with_position_and_count(df, ["x", "id"], buckets=16, keep_intervals=True)
+    return Counter((r["__kiln_b1"], r["__kiln_b2"]) for r in out.select("__kiln_b1", "__kiln_b2").collect())
+
+
+def test_text_paths_agree_whatever_the_index_size(spark, monkeypatch):
+    from kiln.functions import text as TX
+    docs = spark.createDataFrame([(1, "a b a c"), (1, "b c"), (2, None), (2, None), (3, ""), (None, "zzz a")], "k long, t string")
+    seqs = spark.createDataFrame([(1, [1, 4, 5]), (1, [1, 4, 5]), (2, None), (2, []), (None, [99, 3])], "k long, s array<long>")
+    index = TX.word_index(docs, "t", 3)
+    order = lambda df: sorted(map(repr, df.collect()))
+    inside = order(TX.encode(docs, "k", "t", index, 10)), order(TX.decode(seqs, "k", "s", index))
+    monkeypatch.setattr(TX, "IN_TASK_LOOKUP_MAX", 2)
+    joined = order(TX.encode(docs, "k", "t", index, 10, index_rows=1)), order(TX.decode(seqs, "k", "s", index, index_rows=1))
+    assert inside == joined and len(inside[0]) == 6 and len(inside[1]) == 5
+
+
+def test_maximise_mode(spark):
+    from kiln.operators import metrics as M
+    h = spark.createDataFrame([(1, 0.5), (2, 0.7), (3, 0.6), (4, 0.7), (5, 0.9)], "epoch long, val_accuracy double")
+    e = M.early_stop(h, "epoch", "val_accuracy", patience=2, mode="max").first()
+    assert (e["stop_epoch"], e["best_epoch"], e["best_value"]) == (4, 5, 0.9)
+    best = M.best_checkpoint(h, "epoch", "val_accuracy", mode="max").orderBy("epoch").collect()
+    assert [(r["epoch"], r["is_best"]) for r in best] == [(1, False), (2, False), (5, True)]
+    lr = M.lr_plateau(h, "epoch", "val_accuracy", lr0=1.0, patience=2, mode="max").orderBy("epoch").collect()
+    assert [r["lr_next"] for r in lr] == [1.0, 1.0, 1.0, 0.5, 0.5]
+
+
+def test_null_and_constant_vectors(spark):
+    from kiln.functions import vectors as VX
+    df = spark.createDataFrame([(1, [1.0, 3.0]), (2, None), (3, [0.1, 0.1]), (4, [0.0, 0.0]), (5, [])], "i long, v array<double>")
+    got = {r["i"]: r["s"] for r in df.select("i", VX.vec_standardize_clip("v").alias("s")).collect()}
+    assert got == {1: [64, 192], 2: None, 3: [128, 128], 4: [0, 0], 5: []}
+    some = df.where("i < 5")
+    out = {r["i"]: r["z"] for r in some.select("i", VX.dense_forward("v", [[1.0], [2.0]], [0.5]).alias("z")).collect()}
+    assert out[2] is None and out[1] == [7.5]
+
+
+def test_gram_sums_leave_out_incomplete_rows(spark):
+    from kiln.operators import models as MD
+    rows = [(0.1 * i, 1.0 - 0.2 * i) for i in range(10)]
+    full = spark.createDataFrame(rows, "x double, y double")
+    holes = spark.createDataFrame([*rows, (None, 1.0), (2.0, None), (None, None)], "x double, y double")
+    a, b = (MD.gram_sums(d, ["x"], "y") for d in (full, holes))
+    assert a.n == b.n == 10 and a.c == pytest.approx(b.c) and sum(a.a, []) == pytest.approx(sum(b.a, []))
+
+
+def test_histogram_has_its_empty_buckets(spark):
+    from kiln.operators import stats as ST
+    h = ST.stats_histogram(spark.createDataFrame([(0.0,), (10.0,)], "x double"), "x", 10).orderBy("bucket").collect()
+    assert [r["count"] for r in h] == [1, *[0] * 8, 1]
+
+
+def test_callback_hooks(spark):
+    from pyspark.sql import functions as F
+
+    from kiln.operators.user import Callback, run_callbacks
+    h = spark.createDataFrame([(1, 0.5), (2, 0.4)], "epoch long, loss double")
+    b = spark.createDataFrame([(1, 0, 0.6), (1, 1, 0.4)], "epoch long, batch long, loss double")
+
+    class Log(Callback):
+        name = "log"
+
+        def on_train_begin(self, history):
+            return history.agg(F.min("epoch").alias("epoch"), F.lit(0.0).alias("value"))
+
+        def on_batch_end(self, batches):
+            return batches.select("epoch", F.col("loss").alias("value"))
+
+        def on_epoch_end(self, history):
+            return history.select("epoch", F.col("loss").alias("value"))
+    got = sorted((r["epoch"], r["value"]) for r in run_callbacks(h, [Log()], b).collect())
+    assert got == [(1, 0.0), (1, 0.4), (1, 0.5), (1, 0.6), (2, 0.4)]
+    assert run_callbacks(h, [Callback()]).count() == 0
+
+
+def test_split_takes_the_eval_fraction(spark):
+    from kiln import api
+    parts = api.split_positional(spark.range(100).toDF("k"), "k", (0.6, 0.1))
+    assert [parts[x].count() for x in ("train", "eval", "serving")] == [60, 10, 30]
