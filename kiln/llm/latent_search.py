@@ -2,7 +2,8 @@
 
 1. Texts are cut into blocks of ``BLOCK`` words; a passage is ``SPAN`` consecutive blocks. The terms
    are the benchmark's words; one pass over all documents counts in how many blocks each occurs. Terms
-   in more than ``MAX_SHARE`` of the blocks carry no weight, the others their inverse document frequency.
+   in more than ``MAX_SHARE`` of the blocks carry no weight (unless an item has fewer than three others), the
+   rest their inverse document frequency.
 2. Distributed randomised SVD: one more pass sums Z = AᵀAΩ over all passages A (term frequency times
    idf) for a seeded Gaussian Ω, task by task; the single-pass (Nyström) decomposition of the sum gives
    the leading right singular vectors. Benchmark passages are rows of A too, weighted so that their
@@ -29,6 +30,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +38,7 @@ from kiln.llm.common import slices, stored
 from kiln.llm.hashing import mix, prefix_hashes, span_hashes, text_groups
 
 BLOCK, SPAN = 24, 3
-MAX_SHARE = 0.10
+MAX_SHARE = 0.005
 RANK, EXTRA = 224, 16
 COSINE = 0.25
 LCS_SURE, LCS_PARAPHRASE, ANSWER = 0.75, 0.6, 0.25
@@ -84,8 +86,13 @@ def _blocks(first_word: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndar
     return first_block[doc] + (at - first_word[doc]) // BLOCK, first_block
 
 
+def _lower(texts: pa.Array) -> list[bytes]:
+    """Lower-cased texts (all scripts: copies may stand in capitals) as UTF-8; null is empty."""
+    return [x or b"" for x in pc.utf8_lower(texts.cast(pa.string())).cast(pa.binary()).to_pylist()]
+
+
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
-    return [x or b"" for x in batch.column("text").cast(pa.binary()).to_pylist()]
+    return _lower(batch.column("text"))
 
 
 def _term_counts(hashes: np.ndarray) -> Callable:
@@ -220,8 +227,9 @@ def _search(hashes: np.ndarray, table: np.ndarray, latent: np.ndarray, items: li
 def _block_of_items(docs: DataFrame, rows: list, rank: int, cosine: float) -> DataFrame | None:
     items = []
     for r in rows:
-        (_, h, _), = hashed_words([(r["text"] or "").encode()])
-        answer = list(hashed_words([(r["answer"] or "").encode()]))[0][1] if "answer" in r and r["answer"] else h[len(h) - max(3, int(len(h) * ANSWER)):]
+        (_, h, _), = hashed_words(_lower(pa.array([r["text"]], pa.string())))
+        own = r.get("answer")
+        answer = list(hashed_words(_lower(pa.array([own], pa.string()))))[0][1] if own else h[len(h) - max(3, int(len(h) * ANSWER)):]
         if len(h) >= LEAST_WORDS and r["item_id"] is not None:
             items.append((r["item_id"], [int(x) for x in h], [int(x) for x in answer]))
     if not items:
