@@ -139,22 +139,32 @@ def slice_range_by_class(df: DataFrame, class_col: str, key: str, start: int, en
     return ranked.filter((F.col(rank_col) >= start) & (F.col(rank_col) < end)).drop(g, "__kiln_c0")
 
 
+def _holdout(df: DataFrame, key: str | list[str], n_val: int | None, fraction: float | None, tail: bool,
+             role_col: str) -> DataFrame:
+    """Tags rows by comparing their key with the one at the boundary; only the interval that holds
+    the boundary is ranked, the table is not ordered as a whole. Keys must be unique."""
+    keys = [key] if isinstance(key, str) else list(key)
+
+    def bounds(n: int) -> list[int]:
+        k = min(int(n * float(fraction or 0.0)) if n_val is None else n_val, n)
+        return [n - k if tail else k]
+
+    found, n = keys_at_positions(df, keys, bounds)
+    at = bounds(n)[0]
+    first = before_keys(keys, found[at]) if at in found else F.lit(at > 0)
+    return df.withColumn(role_col, F.when(first, "train" if tail else "val").otherwise("val" if tail else "train"))
+
+
 def holdout_head(df: DataFrame, key: str | list[str], n_val: int | None = None, fraction: float | None = None,
                  role_col: str = "role") -> DataFrame:
     """First ``n_val`` rows (or the first ``fraction`` of rows) in key order are validation."""
-    positioned, n = with_position_and_count(df, key)
-    if n_val is None:
-        n_val = int(n * float(fraction or 0.0))
-    return positioned.withColumn(role_col, F.when(F.col("pos") < n_val, "val").otherwise("train"))
+    return _holdout(df, key, n_val, fraction, False, role_col)
 
 
 def holdout_tail(df: DataFrame, key: str | list[str], n_val: int | None = None,
                  fraction: float | None = None, role_col: str = "role") -> DataFrame:
     """Last ``n_val`` rows (or the last ``fraction`` of rows) are validation."""
-    positioned, n = with_position_and_count(df, key)
-    if n_val is None:
-        n_val = int(n * float(fraction or 0.0))
-    return positioned.withColumn(role_col, F.when(F.col("pos") >= n - n_val, "val").otherwise("train"))
+    return _holdout(df, key, n_val, fraction, True, role_col)
 
 
 def count_rows(tagged: DataFrame, split_col: str = "split") -> DataFrame:

@@ -76,7 +76,10 @@ def _doc_features(spark, sf):
 
 @query("fit_binary")
 def q_fit_binary(spark, sf):
-    x = MD.training_table(holdout_head(_doc_features(spark, sf), "doc_id", fraction=0.2))
+    # the holdout needs the labelled ids only, so it is settled before any text is encoded
+    labelled = read(spark, sf, "labels").join(read(spark, sf, "documents").select("doc_id"), "doc_id", "left_semi")
+    roles = holdout_head(labelled.select("doc_id"), "doc_id", fraction=0.2)
+    x = MD.training_table(_doc_features(spark, sf).join(roles, "doc_id"))
     model = MD.fit_logistic(x.where("role = 'train'"), "quality", max_iter=20, reg=0.01)
     pred = model.transform(x.where("role = 'val'"))
     out = pred.select("doc_id", F.col("quality").alias("label"), vector_to_array("probability")[1].alias("prob"),

@@ -50,12 +50,9 @@ def q_user_preprocess(spark, sf):
 
 def split_lines(pdf: pd.DataFrame) -> pd.DataFrame:
     """User row function: one output row per non-blank line of a conversation turn."""
-    rows = []
-    for conv_id, turn, text in zip(pdf["conv_id"], pdf["turn"], pdf["text"]):
-        for n, line in enumerate((text or "").split("\n"), start=1):
-            if line.strip(" "):
-                rows.append((conv_id, turn, n, line))
-    return pd.DataFrame(rows, columns=["conv_id", "turn", "line_no", "line"])
+    lines = pdf.assign(line=pdf["text"].fillna("").str.split("\n")).explode("line", ignore_index=True)
+    lines["line_no"] = lines.groupby(["conv_id", "turn"], sort=False).cumcount() + 1
+    return lines.loc[lines["line"].str.strip(" ") != "", ["conv_id", "turn", "line_no", "line"]]
 
 
 @query("user_row_parse", """

@@ -619,3 +619,38 @@ def test_split_takes_the_eval_fraction(spark):
     from kiln import api
     parts = api.split_positional(spark.range(100).toDF("k"), "k", (0.6, 0.1))
     assert [parts[x].count() for x in ("train", "eval", "serving")] == [60, 10, 30]
+
+
+# ------------------------------------------------------------------------------ streaming over several files
+
+def _day_files(spark, folder, days, start=0):
+    for k, (day, values) in enumerate(days, start=start):
+        rows = [(f"2024-01-{day:02d} 0{i}:00:00", float(v)) for i, v in enumerate(values)]
+        (spark.createDataFrame(rows, "t string, value double").select(F.col("t").cast("timestamp").alias("ts"), "value")
+         .coalesce(1).write.mode("append").parquet(f"{folder}"))
+
+
+def test_stream_updates_restart_and_late_rows(spark, tmp_path):
+    from kiln.streaming.twins import stream_window_metric
+    folder, schema = str(tmp_path / "in"), "ts timestamp, value double"
+    paths = (str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    run = lambda: {r["day"]: (r["n"], r["mean"]) for r in stream_window_metric(
+        spark, folder, "*.parquet", spark.read.schema(schema).parquet(folder).schema, "ts", "value",
+        watermark="1 day", files_per_trigger=1, mode="update", paths=paths).collect()}
+    _day_files(spark, folder, [(1, [1, 3]), (2, [5])])
+    assert run() == {"2024-01-01": (2, 2.0), "2024-01-02": (1, 5.0)}
+    _day_files(spark, folder, [(2, [7])])                       # a restart goes on with the stored state
+    assert run()["2024-01-02"] == (2, 6.0)
+    _day_files(spark, folder, [(9, [2])])
+    assert run()["2024-01-09"] == (1, 2.0)
+    _day_files(spark, folder, [(1, [100])])                     # later than the watermark: dropped
+    assert run()["2024-01-01"] == (2, 2.0)
+
+
+def test_holdouts_at_their_limits(spark):
+    from kiln.operators.split import holdout_head, holdout_tail
+    df = spark.range(10).toDF("k")
+    val = lambda d: sorted(r["k"] for r in d.where("role = 'val'").collect())
+    assert val(holdout_head(df, "k", 3)) == [0, 1, 2] and val(holdout_tail(df, "k", 3)) == [7, 8, 9]
+    assert val(holdout_head(df, "k", 0)) == [] == val(holdout_tail(df, "k", 0))
+    assert val(holdout_head(df, "k", 10)) == list(range(10)) == val(holdout_tail(df, "k", 99))
