@@ -58,6 +58,8 @@ def infer_schema(prof: dict[str, DataFrame], max_domain: int = MAX_DOMAIN,
         parts.append(prof["numeric"].select("feature", "count", "missing", F.lit(None).cast("bigint").alias("distinct")))
     if prof.get("string") is not None:
         parts.append(prof["string"].select("feature", "count", "missing", "distinct"))
+    if prof.get("other") is not None:
+        parts.append(prof["other"].select("feature", "count", "missing", F.lit(None).cast("bigint").alias("distinct")))
     stats = {}
     if parts:
         u = parts[0]
@@ -82,19 +84,6 @@ def infer_schema(prof: dict[str, DataFrame], max_domain: int = MAX_DOMAIN,
     return Schema(features, domains)
 
 
-def freeze(schema: Schema) -> Schema:
-    """Bring the schema tables to the driver and back as local tables.
-
-    Both are metadata-sized: one row per feature, and at most ``max_domain`` values per domain.
-    Later edits and every validation join then start from these small local relations instead
-    of re-deriving them from the profile.
-    """
-    spark = schema.features.sparkSession
-    f = spark.createDataFrame(schema.features.collect(), schema.features.schema)
-    d = spark.createDataFrame(schema.domains.collect(), schema.domains.schema)
-    return Schema(f, d, schema.default_environments)
-
-
 def schema_summary(schema: Schema) -> DataFrame:
     return schema.features.agg(F.count(F.lit(1)).cast("bigint").alias("num_features"),
                                F.count("domain").cast("bigint").alias("num_with_domain"))

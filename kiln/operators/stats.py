@@ -209,9 +209,12 @@ def profile(df: DataFrame, allow: list[str] | None = None, remove: set[str] | No
         string = _local(stats_string(df, strs, counts)) if strs else None
     elif strs:
         string = stats_string(df, strs, counts)
+    others = [c for c in cols if c not in nums and c not in strs]
+    other = df.agg(*_present_aggs(others)).select(F.inline(_present_rows(others))) if others else None
     return {
         "numeric": numeric,
         "string": string,
+        "other": _local(other) if other is not None and materialize else other,
         "freq": counts.where(F.col("value").isNotNull()),
         "features": df.sparkSession.createDataFrame(  # one row per profiled feature (small)
             [(c, i, feature_kind(df.schema[c].dataType)) for i, c in enumerate(cols)],
@@ -219,6 +222,17 @@ def profile(df: DataFrame, allow: list[str] | None = None, remove: set[str] | No
     }
 
 
+def _present_aggs(cols: list[str]) -> list:
+    """Rows with and without a value, for features that get no other statistics (booleans, dates,
+    times, binaries, arrays, structs)."""
+    return [a for i, c in enumerate(cols) for a in (F.count(F.col(q(c))).alias(f"pc{i}"), F.count_if(F.col(q(c)).isNull()).alias(f"pm{i}"))]
+
+
+def _present_rows(cols: list[str]):
+    return F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(i).alias("ordinal"), F.col(f"pc{i}").cast("bigint").alias("count"),
+                              F.col(f"pm{i}").cast("bigint").alias("missing")) for i, c in enumerate(cols)])
+
+
 def profile_splits(tagged: DataFrame, names: tuple[str, ...], split_col: str = "split",
                    remove: set[str] | None = None, exclude: dict[str, set[str]] | None = None,
                    accuracy: int = 10000) -> dict[str, dict[str, DataFrame]]:
@@ -234,6 +248,12 @@ def profile_splits(tagged: DataFrame, names: tuple[str, ...], split_col: str = "
     exclude = exclude or {}
     cols = allowed(tagged, remove=set(remove or ()) | {split_col})
     nums, strs = numeric_columns(tagged, cols), string_columns(tagged, cols)
+    others = [c for c in cols if c not in nums and c not in strs]
+    other_rows: dict[str, dict[str, tuple]] = {}
+    if others:
+        for r in (tagged.groupBy(F.col(q(split_col)).alias("__split")).agg(*_present_aggs(others))
+                  .select("__split", F.inline(_present_rows(others))).collect()):      # splits × features
+            other_rows.setdefault(r["__split"], {})[r["feature"]] = tuple(r)[3:]
     num_rows: dict[str, dict[str, tuple]] = {}
     if nums:
         for r in (tagged.groupBy(F.col(q(split_col)).alias("__split")).agg(*_numeric_aggs(nums, accuracy))
@@ -264,8 +284,11 @@ def profile_splits(tagged: DataFrame, names: tuple[str, ...], split_col: str = "
         freq = (counts.where((F.col("__split") == name) & F.col("value").isNotNull() & ~F.col("feature").isin(list(ex)))
                 .drop("__split") if counts is not None
                 else spark.createDataFrame([], "feature string, value string, count bigint"))
+        o_s = [c for c in others if c not in ex]
+        other = (spark.createDataFrame([(c, i, *(other_rows.get(name, {}).get(c) or (0, 0))) for i, c in enumerate(o_s)],
+                                       "feature string, ordinal int, count bigint, missing bigint") if o_s else None)
         out[name] = {
-            "numeric": numeric, "string": string, "freq": freq,
+            "numeric": numeric, "string": string, "other": other, "freq": freq,
             "features": spark.createDataFrame([(c, i, feature_kind(tagged.schema[c].dataType)) for i, c in enumerate(feats)],
                                               "feature string, ordinal int, type string"),
         }

@@ -83,7 +83,8 @@ def validate_type(prof: dict[str, DataFrame], schema: Schema, env: str | None =
 
 
 def presence_table(prof: dict[str, DataFrame]) -> DataFrame:
-    parts = [prof[k].select("feature", "count", "missing") for k in ("numeric", "string") if prof.get(k) is not None]
+    parts = [prof[k].select("feature", "count", "missing") for k in ("numeric", "string", "other")
+             if prof.get(k) is not None]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -654,3 +654,18 @@ def test_holdouts_at_their_limits(spark):
     assert val(holdout_head(df, "k", 3)) == [0, 1, 2] and val(holdout_tail(df, "k", 3)) == [7, 8, 9]
     assert val(holdout_head(df, "k", 0)) == [] == val(holdout_tail(df, "k", 0))
     assert val(holdout_head(df, "k", 10)) == list(range(10)) == val(holdout_tail(df, "k", 99))
+
+
+def test_presence_of_features_without_other_statistics(spark):
+    from kiln.operators import schema as S
+    from kiln.operators import stats as ST
+    from kiln.operators import validate as V
+    full = spark.sql("SELECT id, id > 2 AS flag, date'2024-01-01' AS day, array(id) AS xs, binary('b') AS raw FROM range(8)")
+    holes = spark.sql("SELECT id, IF(id > 3, true, NULL) AS flag, CAST(NULL AS date) AS day, array(id) AS xs, binary('b') AS raw FROM range(8)")
+    schema = S.infer_schema(ST.profile(full))
+    assert {r["feature"]: r["min_fraction"] for r in S.infer_schema(ST.profile(holes)).features.collect()} == {
+        "id": 1.0, "flag": 0.0, "day": 0.0, "xs": 1.0, "raw": 1.0}
+    bad = {r["feature"]: (r["anomaly"], r["value"]) for r in V.validate_presence(ST.profile(holes), schema).collect()}
+    assert bad == {"flag": ("PRESENCE", 0.5), "day": ("PRESENCE", 0.0)}
+    both = full.withColumn("split", F.lit("train"))
+    assert V.validate_presence(ST.profile_splits(both, ("train",))["train"], schema).count() == 0
