@@ -310,17 +310,20 @@ def q_validate_domain_mass(spark, sf):
     return out.select("feature", "min_domain_mass", _r("in_domain"), "is_anomaly")
 
 
-@query("validate_missing_column", """
-SELECT 'o_orderstatus' AS feature, 'SCHEMA_MISSING_COLUMN' AS anomaly, NULL::VARCHAR AS detail, NULL::DOUBLE AS value
-FROM (SELECT count(*) AS n FROM orders) WHERE n > 0""")
+@query("validate_missing_column", WS + """,
+seen AS (SELECT column_name FROM (DESCRIBE SELECT * EXCLUDE (o_orderstatus), '' AS o_clerk FROM orders))
+SELECT feature, 'SCHEMA_MISSING_COLUMN' AS anomaly, NULL::VARCHAR AS detail, NULL::DOUBLE AS value
+FROM feats WHERE feature NOT IN (SELECT column_name FROM seen)""")
 def q_validate_missing_column(spark, sf):
     schema, _, profs = _schema_with_profiles(spark, sf)
     return V.validate_missing_column(profs["serving"], schema)
 
 
-@query("validate_new_column", """
-SELECT c AS feature, 'SCHEMA_NEW_COLUMN' AS anomaly, NULL::VARCHAR AS detail, NULL::DOUBLE AS value
-FROM (SELECT unnest(['tax_band', 'discounted']) AS c, count(*) AS n FROM orders) WHERE n > 0""")
+@query("validate_new_column", WS + """,
+seen AS (SELECT column_name FROM (DESCRIBE SELECT * EXCLUDE (o_orderstatus, o_orderkey, o_orderdate), '' AS o_clerk, 'b' || o_totalprice AS tax_band,
+                                                  o_totalprice * 0.9 AS discounted FROM orders))
+SELECT column_name AS feature, 'SCHEMA_NEW_COLUMN' AS anomaly, NULL::VARCHAR AS detail, NULL::DOUBLE AS value
+FROM seen WHERE column_name NOT IN (SELECT feature FROM feats)""")
 def q_validate_new_column(spark, sf):
     schema, parts = _schema(spark, sf)
     more = parts["serving"].withColumns({"tax_band": F.concat(F.lit("b"), (F.col("o_totalprice") % 3).cast("int")),
@@ -328,9 +331,12 @@ def q_validate_new_column(spark, sf):
     return V.validate_new_column(_prof(more), schema)
 
 
-@query("validate_type", """
-SELECT 'o_totalprice' AS feature, 'UNEXPECTED_TYPE' AS anomaly, 'FLOAT->BYTES' AS detail, NULL::DOUBLE AS value
-FROM (SELECT count(*) AS n FROM orders) WHERE n > 0""")
+@query("validate_type", WS + """,
+seen AS (SELECT column_name AS feature, CASE WHEN column_type IN ('DOUBLE', 'FLOAT') OR column_type LIKE 'DECIMAL%' THEN 'FLOAT'
+                                             WHEN column_type LIKE '%INT%' THEN 'INT' ELSE 'BYTES' END AS type
+         FROM (DESCRIBE SELECT * EXCLUDE (o_orderstatus) REPLACE (CAST(o_totalprice AS VARCHAR) AS o_totalprice), '' AS o_clerk FROM orders))
+SELECT feats.feature, 'UNEXPECTED_TYPE' AS anomaly, feats.type || '->' || seen.type AS detail, NULL::DOUBLE AS value
+FROM feats JOIN seen ON feats.feature = seen.feature WHERE feats.type <> seen.type""")
 def q_validate_type(spark, sf):
     schema, parts = _schema(spark, sf)
     raw = parts["serving"].withColumn("o_totalprice", F.col("o_totalprice").cast("string"))
