@@ -84,6 +84,12 @@ def infer_schema(prof: dict[str, DataFrame], max_domain: int = MAX_DOMAIN,
     return Schema(features, domains)
 
 
+def domains_omitted(prof: dict[str, DataFrame], max_domain: int = MAX_DOMAIN) -> DataFrame:
+    """String features that get no domain (and so no domain check) because they have more than
+    ``max_domain`` distinct values: (feature, distinct)."""
+    return prof["string"].where(F.col("distinct") > max_domain).select("feature", "distinct")
+
+
 def schema_summary(schema: Schema) -> DataFrame:
     return schema.features.agg(F.count(F.lit(1)).cast("bigint").alias("num_features"),
                                F.count("domain").cast("bigint").alias("num_with_domain"))

@@ -231,6 +231,13 @@ def q_schema_infer(spark, sf):
     return schema.features.select("feature", "ordinal", "type", "domain", "min_fraction", "min_count")
 
 
+@query("schema_domains_omitted", W + ", " + _freq_cte("f", "train") + """
+SELECT feature, count(*) AS distinct FROM f GROUP BY feature HAVING count(*) > 100""")
+def q_schema_domains_omitted(spark, sf):
+    _, _, profs = _schema_with_profiles(spark, sf)
+    return S.domains_omitted(profs["train"])
+
+
 @query("schema_domains", WS + "SELECT domain, value FROM doms")
 def q_schema_domains(spark, sf):
     schema, _ = _schema(spark, sf)

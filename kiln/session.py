@@ -24,7 +24,7 @@ DEFAULT_CONF = {
 
 
 def get_spark(master: str | None = None, app: str = "kiln", shuffle_partitions: int | None = None,
-              driver_memory: str = "16g") -> SparkSession:
+              driver_memory: str = "8g") -> SparkSession:
     """Return the active session, or build a local one with kiln's defaults."""
     active = SparkSession.getActiveSession()
     if active is not None:

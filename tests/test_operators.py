@@ -669,3 +669,19 @@ def test_presence_of_features_without_other_statistics(spark):
     assert bad == {"flag": ("PRESENCE", 0.5), "day": ("PRESENCE", 0.0)}
     both = full.withColumn("split", F.lit("train"))
     assert V.validate_presence(ST.profile_splits(both, ("train",))["train"], schema).count() == 0
+
+
+def test_positions_of_long_strings_with_outliers(spark):
+    from collections import Counter
+
+    from kiln.operators.position import with_position_and_count
+    urls = [f"https://example.org/shared/path/to/item/{i * 7919 % 100_000:06d}" for i in range(4000)] + ["a", "zzz", None, ""]
+    df = spark.createDataFrame([(u, i) for i, u in enumerate(urls)], "u string, id long").repartition(5)
+    for direction in ("asc", "desc"):
+        out, _ = with_position_and_count(df, [("u", direction), "id"], buckets=16, keep_intervals=True)
+        rows = out.select("id", "pos", "__kiln_b1", "__kiln_b2").collect()
+        byte = lambda i: (urls[i] is not None, (urls[i] or "").encode())
+        up = sorted(range(len(urls)), key=lambda i: (byte(i), i))
+        want = up if direction == "asc" else sorted(range(len(urls)), key=lambda i: byte(i), reverse=True)
+        assert [r["id"] for r in sorted(rows, key=lambda r: r["pos"])] == want
+        assert max(Counter((r["__kiln_b1"], r["__kiln_b2"]) for r in rows).values()) <= 2 * len(urls) / 16
