@@ -15,14 +15,15 @@ tokens come last. Rarity comes from a count sketch of fixed size over the shingl
 only steers the order, the guarantee holds for any.
 
 Candidates and verification. Sets that are equal are one class. Words travel packed (8 bytes each)
-to the partition of their hash. Round 1 verifies each class against the one class it shares most
-words with (the least class of each group); what links is contracted. Round 2 verifies, for groups
-in which more than one component is left, pairs from different components only. So a large group
-of copies costs as many pairs as it has texts. Candidates first
-compare parity bits (2 to 4 a token), whose Hamming distance bounds |AΔB| from below as well; those
-that pass are verified on the whole sets. Words made of frequent tokens only,
-which very many texts may share, are split over ``SALTS`` sub-groups whose minima meet in one more
-group.
+to the partition of their hash. Two rounds verify each class against one centre: of each word's
+classes the centre is the one whose words are shared most (an original before its copies), in round
+2 the best one outside the first centre's component; what links is contracted. Then, for words whose
+classes are still in several components, pairs from different components are joined under the size
+and parity bounds. So a large group of copies costs as many pairs as it has texts. Every candidate
+first compares parity bits (2 to 4 a token), whose Hamming distance bounds |AΔB| from below as well,
+and is then verified on the whole sets. Words made of frequent tokens only, which very many texts may
+share, are split over ``SALTS`` sub-groups; centres are grouped maxima, so no word's classes meet in
+one task.
 
 Defined results: null or empty texts and texts of white space have no shingles and are their own
 component; texts of fewer than five words are one shingle; a null doc_id stays null and never names
@@ -73,6 +74,12 @@ def parity_bits(s: np.ndarray) -> bytes:
     return np.packbits(np.bincount((s & _U(size - 1)).astype(np.int64), minlength=size) & 1).tobytes()
 
 
+def parity_words(s: np.ndarray) -> list[int]:
+    """Parities over ``8 * 64`` bits as signed words, for the bound inside the pair join."""
+    b = (np.bincount((s & _U(511)).astype(np.int64), minlength=512) & 1).astype(np.uint8)
+    return np.packbits(b).view(np.int64).tolist()
+
+
 def parity_distance(a: bytes, b: bytes) -> int:
     """Hamming distance of two sketches, the longer folded to the shorter's size: never more than
     the number of tokens that one set has and the other lacks."""
@@ -87,7 +94,7 @@ def _texts(col: pa.Array) -> list[bytes]:
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc rows -> (doc_id, n, class, parity bits), and at the end the task's count sketch in rows
+    """doc rows -> (doc_id, n, class, parity bits, parity words), and at the end the task's count sketch in rows
     of (null, -1 - chunk, null, null, counts)."""
     counts = np.zeros(COUNTERS, np.int64)
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("bits", pa.binary()),
@@ -98,11 +105,10 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts += np.bincount((s >> _U(46)).astype(np.int64), minlength=COUNTERS) if len(s) > COUNTERS // 8 else 0
             if len(s) <= COUNTERS // 8:
                 np.add.at(counts, (s >> _U(46)).astype(np.int64), 1)
-        n = len(sets)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
              pa.array([_class_of(s) for s in sets], pa.int64()), pa.array([parity_bits(s) for s in sets], pa.binary()),
-             pa.nulls(n, pa.list_(pa.int64()))], schema=schema)
+             pa.array([parity_words(s) for s in sets], pa.list_(pa.int64()))], schema=schema)
     step = 1 << 12
     if counts.any():
         parts = [counts[i:i + step].tolist() for i in range(0, COUNTERS, step)]
@@ -177,7 +183,7 @@ def _packed_words(parts: int, hot_cells: bytes):
 
 
 def _shared_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed words of some partitions -> (word, class, least) for words that two classes share;
+    """Packed words of some partitions -> (word, class, size) for words that two classes share;
     of words without rare tokens, which other sub-groups may share too, every row."""
     part, key, cls, flag = [], [], [], []
     for b in batches:
@@ -198,14 +204,14 @@ def _shared_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     word, cls, flag = word[keep], cls[keep], flag[keep]
     first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
     size = np.diff(np.append(first, len(word)))
-    least = np.repeat(cls[first], size)
-    keep = np.repeat(size > 1, size) | flag
-    # sub-groups of one word differ in the partition; the key alone joins their minima
+    size = np.repeat(size, size)
+    keep = (size > 1) | flag
+    # sub-groups of one word differ in the partition; the key alone names them
     for i in range(0, int(keep.sum()), 1 << 16):
         at = np.flatnonzero(keep)[i:i + (1 << 16)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.where(flag[at], -1 - (word[at] & 0xFFFFFFFF), word[at])), pa.array(cls[at]), pa.array(least[at])],
-            names=["word", "class", "least"])
+            [pa.array(np.where(flag[at], -1 - (word[at] & 0xFFFFFFFF), word[at])), pa.array(cls[at]), pa.array(size[at])],
+            names=["word", "class", "size"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,6 +263,14 @@ def _verify(docs: DataFrame, members: DataFrame, pairs: DataFrame, name: str) ->
     return stored(full.mapInArrow(_verified, "a long, b long"), f"{name}-edges")
 
 
+def _open(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """Rows (with ``comp``) of the words whose classes are in more than one component."""
+    named = rows.join(comp.withColumnRenamed("node", "class"), "class", "left")
+    named = named.withColumn("comp", F.coalesce("component", "class")).drop("component")
+    words = named.groupBy("word").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("word")
+    return named.join(words, "word", "left_semi")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -277,30 +291,42 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), chars // BYTES_PER_PART)
     packed = docs.mapInArrow(_packed_words(parts, np.packbits(hot).tobytes()),
                              "part int, keys binary, owners binary, classes binary")
-    shared = packed.repartition(parts, "part").mapInArrow(_shared_words, "word long, class long, least long")
+    shared = packed.repartition(parts, "part").mapInArrow(_shared_words, "word long, class long, size long")
     shared = stored(shared, "parity-shared")
 
-    members = stored(both.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")),
+    members = stored(both.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"),
+                                                                     F.first("counts").alias("words")),
                      "parity-members")
-    # minima of the sub-groups of a split word meet in a group of at most SALTS rows
-    tops = shared.filter("word < 0").select("word", F.col("least").alias("class")).distinct()
-    tops = tops.join(tops.groupBy("word").agg(F.min("class").alias("least")), "word")
-    stars = (shared.unionByName(tops.select("word", "class", "least")).filter("class <> least")
-             .groupBy("class", "least").agg(F.count("*").alias("n")))
-    best = stars.groupBy("class").agg(F.max_by("least", F.struct("n", "least")).alias("least"))
-    edges = _verify(docs, members, best.select(F.col("least").alias("a"), F.col("class").alias("b")), "parity-1")
-    comp = stored(connected_components(edges), "parity-cc1")
-
-    # what is left: words whose classes are not all in one component
-    named = shared.select("word", "class").join(comp.withColumnRenamed("node", "class"), "class", "left")
-    named = named.select("word", "class", F.coalesce("component", "class").alias("comp"))
-    open_words = named.groupBy("word").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("word")
-    left = stored(named.join(open_words, "word", "left_semi").distinct(), "parity-open")
-    other = left.select("word", F.col("class").alias("b"), F.col("comp").alias("comp_b"))
-    pairs = (left.withColumnRenamed("class", "a").join(other, "word").filter((F.col("a") < F.col("b")) & (F.col("comp") != F.col("comp_b")))
-             .select("a", "b").distinct()
-             .join(best.select(F.least("class", "least").alias("a"), F.greatest("class", "least").alias("b")), ["a", "b"], "left_anti"))
-    more = _verify(docs, members, pairs, "parity-2")
+    degree = shared.groupBy("class").agg(F.sum("size").alias("degree"))
+    rows = stored(shared.select("word", "class").join(degree, "class"), "parity-rows")
+
+    edges = comp = None
+    for turn in (1, 2):
+        if turn == 1:
+            of = rows.withColumn("comp", F.col("class"))
+            centre = of.groupBy("word").agg(F.max(F.struct("degree", "class", "comp")).alias("c"))
+        else:                                     # the best centre outside the first one's component
+            of = _open(rows, comp)
+            of = of.join(of.groupBy("word").agg(F.max_by("comp", F.struct("degree", "class")).alias("top")), "word")
+            centre = of.filter("comp <> top").groupBy("word").agg(F.max(F.struct("degree", "class", "comp")).alias("c"))
+        stars = of.join(centre, "word").filter("comp <> c.comp")
+        stars = stars.groupBy("class", F.col("c.class").alias("centre")).agg(F.count("*").alias("k"), F.max("c.degree").alias("g"))
+        best = stars.groupBy("class").agg(F.max_by("centre", F.struct("k", "g", "centre")).alias("centre"))
+        pairs = best.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct()
+        more = _verify(docs, members, pairs, f"parity-{turn}")
+        edges = more if edges is None else edges.unionByName(more)
+        comp = stored(connected_components(edges), f"parity-cc{turn}")
+
+    # what is left: pairs of different components that share a word and pass the bounds
+    left = _open(rows, comp).select("word", "class", "comp").distinct()
+    left = left.join(members.select("class", "n", *[F.get("words", F.lit(i)).alias(f"w{i}") for i in range(8)]), "class")
+    other = left.select(*[F.col(c).alias(f"o_{c}") for c in left.columns])
+    apart = sum((F.bit_count(F.col(f"w{i}").bitwiseXOR(F.col(f"o_w{i}"))) for i in range(1, 8)),
+                F.bit_count(F.col("w0").bitwiseXOR(F.col("o_w0"))))
+    close = ((F.col("word") == F.col("o_word")) & (F.col("class") < F.col("o_class")) & (F.col("comp") != F.col("o_comp"))
+             & (4 * F.least("n", "o_n") >= 3 * F.greatest("n", "o_n")) & (7 * apart <= F.col("n") + F.col("o_n")))
+    pairs = left.join(other, close).select(F.col("class").alias("a"), F.col("o_class").alias("b")).distinct()
+    more = _verify(docs, members, pairs, "parity-3")
     comp = connected_components(edges.unionByName(more))
 
     named = members.join(comp.withColumnRenamed("node", "class"), "class", "left")
