@@ -2,17 +2,23 @@
 
 1. Texts are cut into blocks of ``BLOCK`` words; a passage is ``SPAN`` consecutive blocks. The terms
    are the benchmark's words; one pass over all documents counts in how many blocks each occurs. Terms
-   in more than ``MAX_SHARE`` of the blocks carry no weight (unless an item has fewer than three others), the
-   rest their inverse document frequency.
+   in more than ``MAX_SHARE`` of the blocks carry no weight in the latent space (unless an item has fewer
+   than three others), the rest their inverse document frequency.
 2. Distributed randomised SVD: one more pass sums Z = AᵀAΩ over all passages A (term frequency times
    idf) for a seeded Gaussian Ω, task by task; the single-pass (Nyström) decomposition of the sum gives
    the leading right singular vectors. Benchmark passages are rows of A too, weighted so that their
    terms are not lost among the documents'.
-3. Cosine search: every passage of every document against all items in the latent space.
-4. Candidates of cosine ``COSINE`` or more are checked on the words: the longest common subsequence of
-   the item and the document around the passage must hold ``LCS_SURE`` of the item's words, or
-   ``LCS_PARAPHRASE`` together with the answer – the item's ``answer`` column, else its last
-   ``ANSWER`` share of words – found to ``LCS_SURE`` there.
+3. Cosine search: every passage of every document against all items in the latent space; those of
+   cosine ``COSINE`` or more are candidates.
+4. Exact candidates, whatever the rank and the weights: an item's rarest words by block count, frequent
+   ones too if it has no others, are its signature. As a match lacks at most the share
+   1 - ``LCS_PARAPHRASE`` of the words, a part of the signature must stand in the text around a match;
+   every passage whose surroundings hold it is a candidate, so that no match is lost.
+5. Candidates are checked on the words: the longest common subsequence of the item and the document
+   around the passage must hold ``LCS_SURE`` of the item's words, or ``LCS_PARAPHRASE`` together with
+   the answer – the item's ``answer`` column, else its last ``ANSWER`` share of words – found to
+   ``LCS_SURE`` there. The second rule also asks for ``COSINE``, in the latent space or in the full
+   one, where all words have their inverse document frequency: scattered frequent words are no match.
 
 The benchmark is the stated query set: it is taken in blocks of ``ITEMS`` items, each with its own
 pass, so what travels to the tasks is bounded. Terms times rank numbers reach the driver, never
@@ -25,6 +31,7 @@ place; an empty benchmark or table gives no rows. Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -43,6 +50,8 @@ RANK, EXTRA = 224, 16
 COSINE = 0.25
 LCS_SURE, LCS_PARAPHRASE, ANSWER = 0.75, 0.6, 0.25
 LEAST_WORDS = 5
+HELD = 0.35       # share of an item's words that its signature has beyond those a match may lack
+MAX_EXPANDED = 1 << 22   # counts that the signature search holds at a time
 ITEMS = 5_000
 
 _WORD = np.zeros(256, bool)
@@ -191,7 +200,94 @@ def _places(words: list[int]) -> dict[int, int]:
     return out | {-1: len(words)}
 
 
-def _search(hashes: np.ndarray, table: np.ndarray, latent: np.ndarray, items: list[tuple[int, list[int], list[int]]], cosine: float) -> Callable:
+class Signatures:
+    """Exact candidates: segments of documents that hold so many signature words of an item that its
+    longest common subsequence with some passage's surroundings can reach ``LCS_PARAPHRASE``.
+
+    The surroundings of a passage lie in one of the segments of twice ``size`` blocks that begin at
+    every multiple of ``size``; items are searched together by ``size``, a power of two.
+    """
+
+    def __init__(self, items: list[tuple[int, list[int], list[int]]], hashes: np.ndarray, df: np.ndarray):
+        postings: dict[int, list[tuple[np.ndarray, np.ndarray, int, int]]] = {}
+        for i, (_, ws, _) in enumerate(items):
+            n = len(ws)
+            own, times = np.unique(np.searchsorted(hashes, np.array(ws, np.uint64)), return_counts=True)
+            order = np.lexsort((own, df[own]))
+            held = np.cumsum(times[order])
+            lacking = n - math.ceil(LCS_PARAPHRASE * n)
+            last = int(np.searchsorted(held, lacking + max(1, math.ceil(HELD * n))))
+            size = 1 << (SPAN + 2 * -(-n // BLOCK) - 1).bit_length()
+            chosen = order[:last + 1]
+            postings.setdefault(size, []).append((own[chosen], times[chosen], i, int(held[last]) - lacking))
+        self.classes = []
+        for size, rows in sorted(postings.items()):
+            term = np.concatenate([t for t, _, _, _ in rows])
+            order = np.argsort(term, kind="stable")
+            item = np.repeat(np.arange(len(rows)), [len(t) for t, _, _, _ in rows])[order]
+            times = np.concatenate([m for _, m, _, _ in rows])[order].astype(np.float64)
+            known, start = np.unique(term[order], return_index=True)
+            number = np.full(len(hashes), -1)
+            number[known] = np.arange(len(known))
+            self.classes.append((size, number, np.append(start, len(term)), item, times,
+                                 np.array([i for _, _, i, _ in rows]), np.array([k for _, _, _, k in rows])))
+
+    def find(self, term: np.ndarray, block: np.ndarray, first_block: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(document, first block of the segment in it, size, item) for each candidate segment."""
+        doc = np.searchsorted(first_block, block, side="right") - 1
+        for size, number, start, item, times, items, need in self.classes:
+            first = np.concatenate(([0], np.cumsum(-(-np.diff(first_block) // size))))
+            mine = np.flatnonzero(number[term] >= 0)
+            t, d = number[term[mine]], doc[mine]
+            at = (block[mine] - first_block[d]) // size
+            seg, back = first[d] + at, at > 0
+            pairs = np.unique(np.concatenate((seg * len(start) + t, (seg[back] - 1) * len(start) + t[back])))
+            seg, t = pairs // len(start), pairs % len(start)
+            count = start[t + 1] - start[t]
+            upto = np.concatenate(([0], np.cumsum(count)))
+            step = max(1, MAX_EXPANDED // len(items))
+            for low in range(0, int(first[-1]) if len(t) else 0, step):
+                a, b = np.searchsorted(seg, (low, low + step))
+                found = np.zeros(min(step, int(first[-1]) - low) * len(items))
+                while a < b:
+                    # as many pairs as stand for MAX_EXPANDED postings, but one at least
+                    stop = min(b, max(a + 1, int(np.searchsorted(upto, upto[a] + MAX_EXPANDED, side="right")) - 1))
+                    n = count[a:stop]
+                    post = np.arange(int(n.sum())) + np.repeat(start[t[a:stop]] - (np.cumsum(n) - n), n)
+                    found += np.bincount(np.repeat(seg[a:stop] - low, n) * len(items) + item[post], times[post], len(found))
+                    a = stop
+                for s, i in zip(*np.nonzero(found.reshape(-1, len(items)) >= need), strict=True):
+                    doc_at = int(np.searchsorted(first, low + s, side="right")) - 1
+                    yield doc_at, int(low + s - first[doc_at]) * size, size, int(items[i])
+
+
+def _exact(signatures: Signatures, places: list, items: list, term: np.ndarray, block: np.ndarray, first_block: np.ndarray,
+           own: np.ndarray, first: np.ndarray, h: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(passage, item) for the passages whose surroundings may hold the item, from the segments
+    that do: a segment's longest common subsequence is no shorter than that of any part of it."""
+    for doc, at, size, i in signatures.find(term, block, first_block):
+        n = len(items[i][1])
+        segment = h[first[doc] + at * BLOCK:min(first[doc] + (at + 2 * size) * BLOCK, first[doc + 1])].tolist()
+        if lcs_length(places[i][0], segment) < LCS_PARAPHRASE * n:
+            continue
+        reach = -(-n // BLOCK)
+        begin = first_block[doc] + (at + reach if at else 0)
+        end = min(first_block[doc] + at + size + reach, first_block[doc + 1])
+        for p in range(*np.searchsorted(own, (begin, end))):
+            yield p, i
+
+
+def full_cosine(one: np.ndarray, other: np.ndarray, idf: np.ndarray) -> float:
+    """Cosine of two lists of term numbers, weighted by term count times ``idf``."""
+    (a, m), (b, n) = (np.unique(x, return_counts=True) for x in (one, other))
+    _, i, j = np.intersect1d(a, b, return_indices=True)
+    size = np.linalg.norm(m * idf[a]) * np.linalg.norm(n * idf[b])
+    return float((m[i] * n[j] * idf[a[i]] ** 2).sum() / size) if size else 0.0
+
+
+def _search(hashes: np.ndarray, idf: np.ndarray, row: np.ndarray, table: np.ndarray, latent: np.ndarray,
+            items: list[tuple[int, list[int], list[int]]], signatures: Signatures, cosine: float) -> Callable:
+    """``row`` is the row of a term in ``table``, -1 for a term without weight in the latent space."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms(hashes)
         places = [(_places(w), _places(a)) for _, w, a in items]
@@ -202,12 +298,13 @@ def _search(hashes: np.ndarray, table: np.ndarray, latent: np.ndarray, items: li
                 if not len(at):
                     continue
                 block, first_block = _blocks(first, at)
-                own, y = _passage_sums(table[term], block, first_block)
+                weighted = row[term] >= 0
+                own, y = _passage_sums(table[row[term[weighted]]], block[weighted], first_block)
                 size = np.sqrt(np.einsum("ij,ij->i", y, y))
-                some = size > 1e-6
-                own, y = own[some], y[some] / size[some, None]
-                score = y @ latent.T
-                for p, i in zip(*np.nonzero(score >= cosine), strict=True):
+                score = (y / np.maximum(size, 1e-6)[:, None]) @ latent.T
+                near = zip(*np.nonzero((score >= cosine) & (size > 1e-6)[:, None]), strict=True)
+                exact = _exact(signatures, places, items, term, block, first_block, own, first, h)
+                for p, i in sorted({(int(p), int(i)) for both in (near, exact) for p, i in both}):
                     doc = int(np.searchsorted(first_block, own[p], side="right")) - 1
                     item, words, answer = items[i]
                     start = int(first[doc] + (own[p] - first_block[doc]) * BLOCK)
@@ -215,8 +312,12 @@ def _search(hashes: np.ndarray, table: np.ndarray, latent: np.ndarray, items: li
                     found = lcs_length(places[i][0], around)
                     if found < LCS_PARAPHRASE * len(words):
                         continue
-                    if found < LCS_SURE * len(words) and lcs_length(places[i][1], around) < LCS_SURE * len(answer):
-                        continue
+                    if found < LCS_SURE * len(words):
+                        if lcs_length(places[i][1], around) < LCS_SURE * len(answer):
+                            continue
+                        passage = term[slice(*np.searchsorted(at, (start, min(start + SPAN * BLOCK, first[doc + 1]))))]
+                        if score[p, i] < cosine and full_cosine(passage, terms.find(np.array(words, np.uint64))[1], idf) < cosine:
+                            continue
                     out.append((ids[base + doc], item, start - int(first[doc]), float(score[p, i]), found / len(words)))
             cols = list(zip(*out, strict=True)) if out else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()), strict=True)],
@@ -242,12 +343,15 @@ def _block_of_items(docs: DataFrame, rows: list, rank: int, cosine: float) -> Da
             total = n
         else:
             df[term] = n
-    weight = np.where(df <= max(MAX_SHARE * total, 20), np.log((1 + total) / (1 + df)) + 1, 0.0)
+    idf = np.log((1 + total) / (1 + df)) + 1
+    weight = np.where(df <= max(MAX_SHARE * total, 20), idf, 0.0)
     # an item made of frequent words only keeps their weight: it could not be found otherwise
     for _, ws, _ in items:
         own = np.searchsorted(hashes, np.unique(np.array(ws, np.uint64)))
         if (weight[own] > 0).sum() < 3:
-            weight[own] = np.log((1 + total) / (1 + df[own])) + 1
+            weight[own] = idf[own]
+    known, full_idf, row = hashes, idf, np.where(weight > 0, np.cumsum(weight > 0) - 1, -1)
+    signatures = Signatures(items, hashes, df)
     hashes, idf = hashes[weight > 0], weight[weight > 0]
     a = np.zeros((len(items), len(hashes)))
     terms = Terms(hashes)
@@ -264,17 +368,15 @@ def _block_of_items(docs: DataFrame, rows: list, rank: int, cosine: float) -> Da
     energy = np.trace(omega.T @ z) / width
     z += max(1.0, energy / max((a * a).sum(), 1e-9)) * (a.T @ (a @ omega))
     basis = singular_vectors(z, omega, rank)
-    if not basis.shape[1]:
-        return None
     latent = a @ basis
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
-    return docs.mapInArrow(_search(hashes, (idf[:, None] * basis).astype(np.float32), latent.astype(np.float32), items, cosine),
+    return docs.mapInArrow(_search(known, full_idf, row, (idf[:, None] * basis).astype(np.float32), latent.astype(np.float32), items, signatures, cosine),
                            "doc_id long, item_id long, word long, cosine double, lcs double")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, cosine: float = COSINE) -> DataFrame:
     """(doc_id, item_id, word, cosine, lcs) for every document that holds a benchmark item; ``word``
-    is where the best passage begins."""
+    is where the best passage begins, ``cosine`` its own (exact candidates may lie below ``cosine``)."""
     docs = docs.select("doc_id", "text")
     cols = [c for c in ("item_id", "text", "answer") if c in benchmark.columns]
     benchmark = benchmark.select(*cols)
