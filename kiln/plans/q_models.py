@@ -102,15 +102,16 @@ def q_fit_multiclass(spark, sf):
 
 @query("fit_multi_output")
 def q_fit_multi_output(spark, sf):
-    """Shared feature table (multi-hot words + length) built once and cached; one estimator per target."""
+    """Shared feature table (multi-hot words + length) built once and cached; one estimator per target,
+    fitted on the rows that have its label; every document is scored."""
     enc = _encoded(spark, sf)
     lab = read(spark, sf, "labels")
     d = read(spark, sf, "documents").select("doc_id", (F.col("n_chars") / F.lit(1000.0)).alias("kchars"))
-    x = TX.multi_hot_vector(enc.join(lab, "doc_id").join(d, "doc_id"), "sequence", DIM, out="words")
+    x = TX.multi_hot_vector(enc.join(d, "doc_id").join(lab, "doc_id", "left"), "sequence", DIM, out="words")
     x = MD.training_table(MD.assemble(x.withColumnRenamed("words", "__w"), [], ["__w", "kchars"]))
     outs = []
     for target in ("quality", "toxic"):
-        m = MD.fit_logistic(x, target, max_iter=20, reg=0.01)
+        m = MD.fit_logistic(x.where(F.col(target).isNotNull()), target, max_iter=20, reg=0.01)
         outs.append(m.transform(x).select("doc_id", F.lit(target).alias("target"),
                                           vector_to_array("probability")[1].alias("prob")))
     return outs[0].unionByName(outs[1])

@@ -685,3 +685,16 @@ def test_positions_of_long_strings_with_outliers(spark):
         want = up if direction == "asc" else sorted(range(len(urls)), key=lambda i: byte(i), reverse=True)
         assert [r["id"] for r in sorted(rows, key=lambda r: r["pos"])] == want
         assert max(Counter((r["__kiln_b1"], r["__kiln_b2"]) for r in rows).values()) <= 2 * len(urls) / 16
+
+
+def test_fit_multi_output_scores_every_document(spark):
+    from kiln.plans.fixtures import read
+    from kiln.plans.q_models import q_fit_multi_output
+    sf = "/root/testdata/sf0.001"
+    ids = {r["doc_id"] for r in read(spark, sf, "documents").select("doc_id").collect()}
+    assert read(spark, sf, "labels").count() < len(ids)
+    got = q_fit_multi_output(spark, sf).collect()
+    for target in ("quality", "toxic"):
+        mine = [r for r in got if r["target"] == target]
+        assert len(mine) == len(ids) and {r["doc_id"] for r in mine} == ids
+        assert all(0 <= r["prob"] <= 1 for r in mine)
