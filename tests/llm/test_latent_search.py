@@ -160,3 +160,25 @@ def test_items_that_the_latent_space_does_not_represent(spark):
     found = {(r["doc_id"], r["item_id"]) for r in got.collect()}
     print("found", sum((i, i) in found for i in range(0, 300, 2)), sum((i, i) in found for i in range(1, 300, 2)), "of 150 and 150")
     assert {(i, i) for i in range(300)} <= found
+
+
+def test_items_whose_few_rare_words_were_changed(spark):
+    """6,000 blocks, so that the share rule governs: the items keep 4 weighted words, and lose them."""
+    rng = random.Random(14)
+    frequent = [f"f{k}q" for k in range(150)]
+    docs = [(i, " ".join(rng.choice(frequent) if rng.random() < 0.7 else w for w in words(rng, 240, 30_000))) for i in range(600)]
+    items, leaks = [], set()
+    for i in range(40):
+        t = [rng.choice(frequent) for _ in range(24)]
+        for k in rng.sample(range(24), 4):
+            t[k] = f"rare{i}x{k}"
+        items.append((i, " ".join(t)))
+        t = [f"other{rng.randrange(10**6)}" if w.startswith("rare") else w for w in t]
+        w = docs[i][1].split()
+        w[100:100] = t
+        docs[i] = (i, " ".join(w))
+        leaks.add((i, i))
+    got = s.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    found = {(r["doc_id"], r["item_id"]) for r in got.collect()}
+    assert leaks <= found
+    assert not {x for x in found - leaks if x[0] >= 40}
