@@ -40,7 +40,7 @@ from kiln.llm.common import broadcast_if_small, stored
 
 LETTERS = "A-Za-zÀ-ÿ"
 END, AHEAD, BACK = "$", ">", "<"
-BUCKET = 16
+BUCKET = 32
 MAX_BROADCAST_EDGES = 50_000
 
 
@@ -71,10 +71,15 @@ def _next(word: Column, pos: Column) -> Column:
     return F.substring(word, pos + 1, F.lit(1))
 
 
-def build_trie(words: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
-    """Per depth the edges (node, letter, label, child, nexts, words) and the states that start there.
-    ``words``: (word, unchanged), words ending in END, the letters at the front that no edit touches."""
-    alive, levels, at, unchanged = words.withColumn("at", F.lit(0)), [], F.col("at"), F.col("unchanged")
+def _no_state() -> list[Column]:
+    return [F.lit(None).cast(t).alias(c) for c, t in (("node", "string"), ("pos", "int"), ("edits", "int"))]
+
+
+def build_trie(words: DataFrame, start: int) -> list[tuple[DataFrame, DataFrame]]:
+    """Per depth the edges (node, letter, label, child, nexts, words; rows: the words as the walk returns
+    them) and the states that start there. ``words``: (word, unchanged), words ending in END, the letters
+    at the front that no edit touches; the first nodes are the prefixes of ``start`` letters."""
+    alive, levels, at, unchanged = words.withColumn("at", F.lit(start)), [], F.col("at"), F.col("unchanged")
     while True:
         node, letter = F.substring("word", F.lit(1), at).alias("node"), _next(F.col("word"), at).alias("letter")
         rows = alive.select("word", "unchanged", "at", node, letter)
@@ -85,7 +90,8 @@ def build_trie(words: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
         leaf = F.col("k") <= BUCKET
         starts = placed.filter((at <= unchanged) & (leaf | (F.col("to") > unchanged)))
         starts = starts.select("word", F.col("at").alias("pos"), "node", F.lit(0).alias("edits"))
-        buckets = placed.filter(leaf).groupBy("node", "letter").agg(F.collect_list("word").alias("words"))
+        buckets = placed.filter(leaf).groupBy("node", "letter").agg(
+            F.collect_list("word").alias("words"), F.collect_list(F.struct(F.col("word").alias("near"), *_no_state())).alias("rows"))
         inner = groups.filter(~leaf).select("node", "letter", "child", F.substring("child", F.length("node") + 1, F.length("child")).alias("label"))
         levels.append((buckets, inner, starts))
         if not inner.limit(1).count():
@@ -101,8 +107,8 @@ def build_trie(words: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
         else:
             inner = inner.withColumn("nexts", F.lit(""))
         edges = buckets.select("node", "letter", F.lit(None).cast("string").alias("child"), F.lit(None).cast("string").alias("label"),
-                               F.lit(None).cast("string").alias("nexts"), "words")
-        edges = edges.unionByName(inner.select("node", "letter", "child", "label", "nexts", F.lit(None).cast("array<string>").alias("words")))
+                               F.lit(None).cast("string").alias("nexts"), "words", "rows")
+        edges = edges.unionByName(inner.select("node", "letter", "child", "label", "nexts"), allowMissingColumns=True)
         out.append((stored(edges, "trie-edges"), starts))
     return out
 
@@ -110,46 +116,45 @@ def build_trie(words: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
 def walk(levels: list[tuple[DataFrame, DataFrame]]) -> list[DataFrame]:
     """Neighbours (word, near), with END, as one table per depth; a pair can come several times."""
     found, frontier = [], None
-    word, pos, edits, letter = F.col("word"), F.col("pos"), F.col("edits"), F.col("letter")
+    word, pos, edits, letter, label = (F.col(c) for c in ("word", "pos", "edits", "letter", "label"))
     rest = lambda shift: F.substring(word, pos + 1 + shift, F.length(word))
     for edges, starts in levels:
         states = starts if frontier is None else starts.unionByName(frontier)
         met = states.join(broadcast_if_small(edges, MAX_BROADCAST_EDGES), "node")
-        met = met.filter(((edits == 0) & (pos > 0)) | (letter == _next(word, pos)))    # the mark is no letter to edit
-        # edges to words
-        at_words = met.filter("words IS NOT NULL")
-        on_path = at_words.filter((edits == 0) & (letter == _next(word, pos))).select("word", F.explode("words").alias("near"))
-        on_path = on_path.filter((F.abs(F.length("near") - F.length("word")) <= 1) & (F.levenshtein("near", "word", 1) == 1))
-        replaced, inserted, deleted = (F.concat("node", "letter", rest(1)), F.concat("node", "letter", rest(0)), F.concat("node", rest(1)))
-        inside = (_next(word, pos) != END)
-        targets = F.when(edits == 1, F.array(F.concat("node", rest(0)))).otherwise(
-            F.array(F.when(inside & (letter != END), replaced), F.when(letter != END, inserted), F.when(inside, deleted)))
-        off_path = at_words.filter((edits == 1) | (letter != _next(word, pos)))
-        off_path = off_path.select("word", "words", F.explode(targets).alias("near")).filter(F.expr("array_contains(words, near)"))
-        found.append(stored(on_path.unionByName(off_path.select("word", "near")), "trie-near"))
-        # edges to nodes
+        on = letter == _next(word, pos)
+        met = met.filter((edits == 0) | on)
+        # edges to words: without an edit so far the words on the path are compared, of the others one letter may differ here
+        inside = (_next(word, pos) != END) & (edits == 0)
+        near = lambda when, text: F.when(when & F.array_contains("words", text), F.struct(text.alias("near"), *_no_state()))
+        off_path = F.array_compact(F.array(near(edits == 1, F.concat("node", rest(0))), near(inside & (letter != END), F.concat("node", "letter", rest(1))),
+                                           near((edits == 0) & (letter != END), F.concat("node", "letter", rest(0))), near(inside, F.concat("node", rest(1)))))
+        at_words = F.when((edits == 0) & on, F.col("rows")).otherwise(off_path)
+        # edges to nodes: the label itself, or one edit away from it
         size = F.length("label")
-        inner = met.filter("child IS NOT NULL")
-        same = F.substring(word, pos + 1, size) == F.col("label")
-        moved = inner.select("word", "pos", "child", "label", "nexts", "edits", F.explode(
-            F.when(edits == 1, F.array(F.lit(0))).otherwise(F.array(F.lit(-1), F.lit(0), F.lit(1), F.lit(None).cast("int")))).alias("shift"))
-        shift = F.col("shift")
-        to = (pos + size + F.coalesce(shift, F.lit(0))).cast("int")
-        changed = ((edits == 0) & shift.isNotNull() & (to < F.length(word)) & F.contains(F.col("nexts"), _next(word, to))
-                   & (F.levenshtein(F.substring(word, pos + 1, size + shift), "label", 1) == 1))
-        kept = same & (shift.isNull() | ((edits == 1) & F.contains(F.col("nexts"), _next(word, to))))
-        frontier = moved.filter(kept | changed).select("word", to.alias("pos"), F.col("child").alias("node"), F.when(shift.isNull(), 0).otherwise(1).alias("edits"))
-        frontier = stored(frontier, "trie-frontier")
+        to = lambda shift, e: F.struct(F.lit(None).cast("string").alias("near"), F.col("child").alias("node"),
+                                       (pos + size + shift).cast("int").alias("pos"), F.lit(e).alias("edits"))
+        ahead = lambda shift: F.contains(F.col("nexts"), _next(word, pos + size + shift))
+        changed = lambda shift: ((edits == 0) & (pos + size + shift < F.length(word)) & ahead(shift)
+                                 & (F.levenshtein(F.substring(word, pos + 1, size + shift), label, 1) == 1))
+        same = F.substring(word, pos + 1, size) == label
+        at_node = F.array_compact(F.array(F.when((edits == 0) & same, to(0, 0)), F.when((edits == 1) & ahead(0) & same, to(0, 1)),
+                                          *[F.when(changed(shift), to(shift, 1)) for shift in (-1, 0, 1)]))
+        out = met.select("word", "edits", F.explode(F.when(F.col("words").isNotNull(), at_words).otherwise(at_node)).alias("x"))
+        out = out.select("word", "x.near", "x.node", "x.pos", F.col("x.edits").alias("next"))
+        out = out.filter(F.col("near").isNull() | ((F.abs(F.length("near") - F.length("word")) <= 1) & (F.levenshtein("near", "word", 1) == 1)))
+        out = stored(out, "trie-walk")
+        found.append(out.filter("near IS NOT NULL").select("word", "near"))
+        frontier = out.filter("near IS NULL").select("word", "pos", "node", F.col("next").alias("edits"))
     return found
 
 
-def near_words(words: DataFrame) -> DataFrame:
-    """(word, near): every ordered pair of words one edit apart."""
+def near_words(words: DataFrame, least_letters: int) -> DataFrame:
+    """(word, near): every ordered pair of words one edit apart; no word has fewer letters."""
     length = F.length("word")
     both = words.select(F.explode(F.array(F.struct(F.concat(F.lit(AHEAD), "word", F.lit(END)).alias("word"), F.floor(length / 2).alias("unchanged")),
                                           F.struct(F.concat(F.lit(BACK), F.reverse("word"), F.lit(END)).alias("word"),
                                                    (length - F.floor(length / 2)).alias("unchanged"))))).select("col.word", (F.col("col.unchanged") + 1).alias("unchanged"))
-    parts = walk(build_trie(both))
+    parts = walk(build_trie(both, least_letters // 2 + 1))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -159,10 +164,10 @@ def near_words(words: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def spelling_variants(docs: DataFrame, factor: int = 10) -> DataFrame:
+def spelling_variants(docs: DataFrame, factor: int = 10, least_letters: int = 7) -> DataFrame:
     """(word, form, root, n, n_near, form_n) of every compared word of ``docs`` (doc_id, text)."""
-    words = stored(counted_words(docs), "variant-words")
-    pairs = near_words(words).join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
+    words = stored(counted_words(docs, least_letters), "variant-words")
+    pairs = near_words(words, least_letters).join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
     best = pairs.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct(-F.col("near_n"), F.col("near"))).alias("top"))
     best = best.select("word", "n_near", F.col("top.near").alias("near"), (-F.col("top.col1")).alias("near_n"))
     rows = words.join(best, "word", "left")
