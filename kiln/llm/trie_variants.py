@@ -40,8 +40,8 @@ from kiln.llm.common import broadcast_if_small, stored
 
 LETTERS = "A-Za-zÀ-ÿ"
 END, AHEAD, BACK = "$", ">", "<"
-BUCKET = 32
-MAX_BROADCAST_EDGES = 50_000
+BUCKET = 16
+MAX_BROADCAST_EDGES = 20_000
 
 
 def counted_words(docs: DataFrame, least_letters: int = 7, least_count: int = 2, one_in: int = 31) -> DataFrame:
@@ -71,14 +71,10 @@ def _next(word: Column, pos: Column) -> Column:
     return F.substring(word, pos + 1, F.lit(1))
 
 
-def _no_state() -> list[Column]:
-    return [F.lit(None).cast(t).alias(c) for c, t in (("node", "string"), ("pos", "int"), ("edits", "int"))]
-
-
 def build_trie(words: DataFrame, start: int) -> list[tuple[DataFrame, DataFrame]]:
-    """Per depth the edges (node, letter, label, child, nexts, words; rows: the words as the walk returns
-    them) and the states that start there. ``words``: (word, unchanged), words ending in END, the letters
-    at the front that no edit touches; the first nodes are the prefixes of ``start`` letters."""
+    """Per depth the edges (node, letter, label, child, nexts: letters that follow the label, words) and
+    the states that start there. ``words``: (word, unchanged), words ending in END, the letters at the
+    front that no edit touches; the first nodes are the prefixes of ``start`` letters."""
     alive, levels, at, unchanged = words.withColumn("at", F.lit(start)), [], F.col("at"), F.col("unchanged")
     while True:
         node, letter = F.substring("word", F.lit(1), at).alias("node"), _next(F.col("word"), at).alias("letter")
@@ -91,7 +87,7 @@ def build_trie(words: DataFrame, start: int) -> list[tuple[DataFrame, DataFrame]
         starts = placed.filter((at <= unchanged) & (leaf | (F.col("to") > unchanged)))
         starts = starts.select("word", F.col("at").alias("pos"), "node", F.lit(0).alias("edits"))
         buckets = placed.filter(leaf).groupBy("node", "letter").agg(
-            F.collect_list("word").alias("words"), F.collect_list(F.struct(F.col("word").alias("near"), *_no_state())).alias("rows"))
+            F.collect_list("word").alias("words"), F.array_join(F.collect_set(_next(F.col("word"), at + 1)), "").alias("nexts"))
         inner = groups.filter(~leaf).select("node", "letter", "child", F.substring("child", F.length("node") + 1, F.length("child")).alias("label"))
         levels.append((buckets, inner, starts))
         if not inner.limit(1).count():
@@ -106,8 +102,7 @@ def build_trie(words: DataFrame, start: int) -> list[tuple[DataFrame, DataFrame]
             inner = inner.join(nexts, "child")
         else:
             inner = inner.withColumn("nexts", F.lit(""))
-        edges = buckets.select("node", "letter", F.lit(None).cast("string").alias("child"), F.lit(None).cast("string").alias("label"),
-                               F.lit(None).cast("string").alias("nexts"), "words", "rows")
+        edges = buckets.select("node", "letter", F.lit(None).cast("string").alias("child"), F.col("letter").alias("label"), "nexts", "words")
         edges = edges.unionByName(inner.select("node", "letter", "child", "label", "nexts"), allowMissingColumns=True)
         out.append((stored(edges, "trie-edges"), starts))
     return out
@@ -122,18 +117,21 @@ def walk(levels: list[tuple[DataFrame, DataFrame]]) -> list[DataFrame]:
         states = starts if frontier is None else starts.unionByName(frontier)
         met = states.join(broadcast_if_small(edges, MAX_BROADCAST_EDGES), "node")
         on = letter == _next(word, pos)
-        met = met.filter((edits == 0) | on)
+        size = F.length("label")
+        ahead = lambda shift: F.contains(F.col("nexts"), _next(word, pos + size + shift))
+        met = met.filter(F.when(edits == 0, on | ahead(-1) | ahead(0) | ahead(1)).otherwise(on & ahead(0)))
         # edges to words: without an edit so far the words on the path are compared, of the others one letter may differ here
         inside = (_next(word, pos) != END) & (edits == 0)
-        near = lambda when, text: F.when(when & F.array_contains("words", text), F.struct(text.alias("near"), *_no_state()))
-        off_path = F.array_compact(F.array(near(edits == 1, F.concat("node", rest(0))), near(inside & (letter != END), F.concat("node", "letter", rest(1))),
-                                           near((edits == 0) & (letter != END), F.concat("node", "letter", rest(0))), near(inside, F.concat("node", rest(1)))))
-        at_words = F.when((edits == 0) & on, F.col("rows")).otherwise(off_path)
+        near = lambda when, text: F.when(when & F.array_contains("words", text), text)
+        off_path = F.array_compact(F.array(near(edits == 1, F.concat("node", rest(0))),
+                                           near(inside & (letter != END) & ahead(0), F.concat("node", "letter", rest(1))),
+                                           near((edits == 0) & (letter != END) & ahead(-1), F.concat("node", "letter", rest(0))),
+                                           near(inside & (letter == _next(word, pos + 1)), F.concat("node", rest(1)))))
+        at_words = F.arrays_zip(F.when((edits == 0) & on, F.col("words")).otherwise(off_path), *[F.array().cast(f"array<{t}>") for t in ("string", "int", "int")])
+        at_words = at_words.cast("array<struct<near:string,node:string,pos:int,edits:int>>")
         # edges to nodes: the label itself, or one edit away from it
-        size = F.length("label")
         to = lambda shift, e: F.struct(F.lit(None).cast("string").alias("near"), F.col("child").alias("node"),
                                        (pos + size + shift).cast("int").alias("pos"), F.lit(e).alias("edits"))
-        ahead = lambda shift: F.contains(F.col("nexts"), _next(word, pos + size + shift))
         changed = lambda shift: ((edits == 0) & (pos + size + shift < F.length(word)) & ahead(shift)
                                  & (F.levenshtein(F.substring(word, pos + 1, size + shift), label, 1) == 1))
         same = F.substring(word, pos + 1, size) == label
