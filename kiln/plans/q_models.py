@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from kiln.functions import text as TX
 from kiln.functions import vectors as VX
 from kiln.operators import models as MD
-from kiln.operators.split import holdout_head, holdout_tail
+from kiln.operators.split import holdout_tail
 from kiln.plans.fixtures import read
 from kiln.plans.q_data import _synth_sql, synth_points
 from kiln.plans.q_text import _encoded
@@ -67,39 +67,11 @@ def q_decision_boundary(spark, sf):
 DIM = 10_000
 
 
-def _doc_features(spark, sf):
-    enc = _encoded(spark, sf)
-    lab = read(spark, sf, "labels")
-    x = TX.multi_hot_vector(enc.join(lab, "doc_id"), "sequence", DIM)
-    return x
-
-
-@query("fit_binary")
-def q_fit_binary(spark, sf):
-    # the holdout needs the labelled ids only, so it is settled before any text is encoded
-    labelled = read(spark, sf, "labels").join(read(spark, sf, "documents").select("doc_id"), "doc_id", "left_semi")
-    roles = holdout_head(labelled.select("doc_id"), "doc_id", fraction=0.2)
-    x = MD.training_table(_doc_features(spark, sf).join(roles, "doc_id"))
-    model = MD.fit_logistic(x.where("role = 'train'"), "quality", max_iter=20, reg=0.01)
-    pred = model.transform(x.where("role = 'val'"))
-    out = pred.select("doc_id", F.col("quality").alias("label"), vector_to_array("probability")[1].alias("prob"),
-                      F.col("prediction").cast("int").alias("pred"))
-    return out
-
-
 def _emb_vectors(spark, sf):
     emb = read(spark, sf, "embeddings")
     return MD.assemble(emb, ["embedding"])
 
 
-@query("fit_multiclass")
-def q_fit_multiclass(spark, sf):
-    """K-way dense network on the 64-value vectors (64 → 64 sigmoid → 10 softmax), 20% tail holdout."""
-    x = MD.training_table(holdout_tail(_emb_vectors(spark, sf), "vec_id", fraction=0.2))
-    model = MD.fit_mlp(x.where("role = 'train'"), "label", [64, 64, 10], max_iter=100)
-    return model.transform(x).select("vec_id", "label", "role", F.col("prediction").cast("int").alias("pred"))
-
-
 @query("fit_multi_output")
 def q_fit_multi_output(spark, sf):
     """Shared feature table (multi-hot words + length) built once and cached; one estimator per target,

@@ -31,5 +31,5 @@ def query(name: str, sql: str | None = None):
 def load_all() -> tuple[dict[str, QueryFn], dict[str, str]]:
     """Import every query module (registration happens at import)."""
     from kiln.plans import (q_data, q_features, q_metrics, q_models, q_streaming, q_text,  # noqa: F401
-                            q_user, q_validation, q_vectors)
+                            q_training, q_user, q_validation, q_vectors)
     return QUERIES, ORACLES
