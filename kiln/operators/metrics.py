@@ -6,9 +6,14 @@ per-batch summaries, whose size is the number of epochs/batches, not the number
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -219,3 +224,84 @@ class UserMetric:
         aggs = [F.sum(fn()).alias(k) for k, fn in self.state.items()]
         g = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
         return g.select(*(by or []), self.result({k: F.col(k) for k in self.state}).alias(self.name))
+
+
+@dataclass(frozen=True)
+class MergeableMetric:
+    """A user metric whose state is any array of numbers, merged by any associative rule.
+
+    ``init()`` gives an empty state, ``update(state, columns)`` adds a batch of rows (NumPy arrays by
+    column), ``merge(a, b)`` joins two states and ``result(state)`` is the value (None: no value). Every
+    task folds its rows into one state per group; the states of a group are merged ``fan`` at a time, so
+    a group may be spread over any number of tasks. Columns reach ``update`` without rows that are null
+    in any of them.
+    """
+    name: str
+    columns: list[str]
+    init: Callable[[], np.ndarray]
+    update: Callable[[np.ndarray, dict[str, np.ndarray]], np.ndarray]
+    merge: Callable[[np.ndarray, np.ndarray], np.ndarray]
+    result: Callable[[np.ndarray], float | None]
+    fan: int = 64
+
+    def _partial(self, by: list[str]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            states: dict[tuple, np.ndarray] = {}
+            for batch in batches:
+                frame = batch.to_pandas()
+                groups = frame.groupby(by, dropna=False, sort=False) if by else [((), frame)]
+                for key, rows in groups:
+                    key = tuple(None if isinstance(v, float) and v != v else v for v in (key if isinstance(key, tuple) else (key,)))
+                    states[key] = self.update(states.get(key, self.init()), {c: rows[c].to_numpy() for c in self.columns})
+            if states:
+                part = TaskContext.get().partitionId()
+                fields = [pa.array([k[i] for k in states], batch.schema.field(c).type) for i, c in enumerate(by)]
+                bodies = pa.array([np.asarray(s, np.float64).tobytes() for s in states.values()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*fields, pa.array([part] * len(states), pa.int64()), bodies], names=[*by, "__part", "__state"])
+        return run
+
+    def states(self, df: DataFrame, by: list[str] | None = None) -> DataFrame:
+        """(by..., __state): one merged state per group. States can be stored and merged later."""
+        by = by or []
+        rows = df.select(*by, *self.columns).where(reduce(lambda a, c: a & F.col(c).isNotNull(), self.columns, F.lit(True)))
+        tasks = rows.rdd.getNumPartitions()
+        fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*by).schema] if by else []
+        parts = rows.mapInArrow(self._partial(by), ", ".join([*fields, "__part long", "__state binary"]))
+        while tasks > self.fan:
+            parts = self.merged(parts.withColumn("__part", F.expr(f"__part div {self.fan}")), [*by, "__part"])
+            tasks = -(-tasks // self.fan)
+        return self.merged(parts, by)
+
+    def merged(self, states: DataFrame, by: list[str]) -> DataFrame:
+        """States merged by group: of several tables, days or tasks."""
+        def join(rows: pd.DataFrame) -> pd.DataFrame:
+            state = reduce(self.merge, (np.frombuffer(b) for b in rows["__state"]))
+            return rows.iloc[:1][by].assign(__state=[state.tobytes()]) if by else pd.DataFrame({"__state": [state.tobytes()]})
+
+        fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in states.select(*by).schema] if by else []
+        return states.groupBy(*by).applyInPandas(join, ", ".join([*fields, "__state binary"]))
+
+    def evaluate(self, df: DataFrame, by: list[str] | None = None) -> DataFrame:
+        """(by..., name): the metric of every group that has rows."""
+        result = self.result
+
+        @F.pandas_udf("double")
+        def value(states: pd.Series) -> pd.Series:
+            return pd.Series([result(np.frombuffer(b)) for b in states], dtype="float64")
+
+        return self.states(df, by).select(*(by or []), value("__state").alias(self.name))
+
+
+def auc_metric(score: str, label: str, bins: int = 1000, name: str = "auc") -> MergeableMetric:
+    """Area under the ROC curve of scores in [0, 1] from two histograms of ``bins`` equal buckets; rows of
+    one bucket count as ties (half). Null without rows of both classes."""
+    def update(state: np.ndarray, cols: dict[str, np.ndarray]) -> np.ndarray:
+        at = np.clip((cols[score].astype(np.float64) * bins).astype(np.int64), 0, bins - 1) + bins * (cols[label] == 1)
+        return state + np.bincount(at, minlength=2 * bins)
+
+    def result(state: np.ndarray) -> float | None:
+        neg, pos = state[:bins], state[bins:]
+        pairs = pos.sum() * neg.sum()
+        return float((pos * (np.cumsum(neg) - neg / 2)).sum() / pairs) if pairs else None
+
+    return MergeableMetric(name, [score, label], lambda: np.zeros(2 * bins), update, lambda a, b: a + b, result)

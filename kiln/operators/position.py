@@ -26,12 +26,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kiln.session import cut_lineage
+
 # Hard cap on the number of intervals. The offsets table has one row per interval, so this is
 # also the proven size bound of the broadcast side in step 5.
 MAX_BUCKETS = 65536
 # Hot leading values split into at most this many sub-intervals each; at most MAX_HOT of them.
 MAX_SUB_BUCKETS = 1024
 MAX_HOT = 64
+# Above MAX_HOT of them the rows are cut on all keys together, by Spark's range partitioning.
 # Below this many rows per interval on average, repeated cut points only mean "few rows": skip.
 MIN_ROWS_PER_INTERVAL = 64
 # An interval up to this many rows is ranked in one window task when looking up single positions.
@@ -132,8 +135,25 @@ def with_position(df: DataFrame, keys: KeySpec | list[KeySpec], pos_col: str = "
     return with_position_and_count(df, keys, pos_col, buckets, accuracy)[0]
 
 
-def _intervals(df: DataFrame, keys: list[KeySpec], buckets: int | None, accuracy: int) -> tuple[DataFrame, int]:
-    """Steps 1-3: the rows with their interval ids (``__kiln_b1``, ``__kiln_b2``) and the row count."""
+def _by_range(df: DataFrame, keys: list[KeySpec], pos_col: str, nb: int, keep_intervals: bool = False) -> DataFrame:
+    """Positions by range partitioning on all keys: bounds are key tuples, so any number of hot values
+    on any of the keys is split wherever rows differ in a later key. The ordered partitions are stored
+    once; a row's place in its partition plus the rows of the partitions before it is its position."""
+    at, part = "__kiln_at", "__kiln_b1"
+    order = [_order(k) for k in keys]
+    placed = df.repartitionByRange(nb, *order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id())
+    placed = cut_lineage(placed).withColumn(part, F.shiftright(at, 33).cast("int")).withColumn("__kiln_b2", F.lit(0))
+    offsets = (placed.groupBy(part).agg(F.count(F.lit(1)).alias("__kiln_n"))          # one row per partition
+               .withColumn("__kiln_off", F.coalesce(F.sum("__kiln_n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+               .drop("__kiln_n"))
+    place = F.col(at).bitwiseAND(F.lit((1 << 33) - 1))
+    return (placed.join(F.broadcast(offsets), part).withColumn(pos_col, (place + F.col("__kiln_off")).cast("bigint"))
+            .drop(at, "__kiln_off", *([] if keep_intervals else [part, "__kiln_b2"])))
+
+
+def _intervals(df: DataFrame, keys: list[KeySpec], buckets: int | None, accuracy: int) -> tuple[DataFrame, int, bool]:
+    """Steps 1-3: the rows with their interval ids (``__kiln_b1``, ``__kiln_b2``), the row count, and whether
+    there are more hot values than can be split here."""
     nb = _n_buckets(df, buckets)
     p1, p2, b1, b2 = "__kiln_p1", "__kiln_p2", "__kiln_b1", "__kiln_b2"
 
@@ -161,6 +181,7 @@ def _intervals(df: DataFrame, keys: list[KeySpec], buckets: int | None, accuracy
     after = F.lit(MAX_SUB_BUCKETS + 2)
     sub = after
     hot = {v: n for v, n in Counter(cuts_all).items() if n >= 2}
+    many_hot = len(hot) > MAX_HOT and len(keys) > 1 and n_rows >= MIN_ROWS_PER_INTERVAL * nb
     hot = dict(sorted(hot.items(), key=lambda kv: -kv[1])[:MAX_HOT])
     drop = [p1]
     if hot and len(keys) > 1 and n_rows >= MIN_ROWS_PER_INTERVAL * nb:
@@ -203,7 +224,7 @@ def _intervals(df: DataFrame, keys: list[KeySpec], buckets: int | None, accuracy
             sub = cases.otherwise(after)
             drop += ins + outs
     bucketed = bucketed.withColumn(b2, sub.cast("int")).drop(*drop)
-    return bucketed, n_rows
+    return bucketed, n_rows, many_hot
 
 
 def with_position_and_count(df: DataFrame, keys: KeySpec | list[KeySpec], pos_col: str = "pos",
@@ -215,7 +236,9 @@ def with_position_and_count(df: DataFrame, keys: KeySpec | list[KeySpec], pos_co
     """
     keys = [keys] if isinstance(keys, (str, tuple)) else list(keys)
     b1, b2 = "__kiln_b1", "__kiln_b2"
-    bucketed, n_rows = _intervals(df, keys, buckets, accuracy)
+    bucketed, n_rows, many_hot = _intervals(df, keys, buckets, accuracy)
+    if many_hot:
+        return _by_range(df, keys, pos_col, _n_buckets(df, buckets), keep_intervals), n_rows
 
     # Offsets: one row per (interval, sub-interval) – bounded – running sum over a tiny table.
     offsets = (bucketed.groupBy(b1, b2).agg(F.count(F.lit(1)).alias("__kiln_n"))
@@ -238,7 +261,7 @@ def keys_at_positions(df: DataFrame, keys: list[str], positions, buckets: int |
     split again); the table itself is never ordered as a whole.
     """
     b1, b2 = "__kiln_b1", "__kiln_b2"
-    bucketed, n_rows = _intervals(df, keys, buckets, accuracy)
+    bucketed, n_rows, _ = _intervals(df, keys, buckets, accuracy)
     if callable(positions):
         positions = positions(n_rows)
     wanted = sorted({p for p in positions if 0 <= p < n_rows})

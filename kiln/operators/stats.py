@@ -10,7 +10,9 @@ comparison) are joins of small tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,30 +93,93 @@ def stats_numeric(df: DataFrame, cols: list[str] | None = None, accuracy: int =
     return out.withColumn("median", med) if med is not None else out
 
 
-def _exact_medians(df: DataFrame, cols: list[str], accuracy: int) -> dict[str, float | None]:
-    """Value at rank floor((n-1)/2) of every column, for all columns together in three jobs: a sketch
-    brackets the rank, one aggregate counts the values below each bracket, and the values inside
-    (a share of 4/accuracy of the rows) are counted and ranked."""
+#: Values of one column and rank that are ranked on the driver at the end of a selection.
+MAX_RANKED = 10_000
+
+
+def exact_ranks(df: DataFrame, cols: list[str], ranks: Callable[[int], list[int]], accuracy: int = 10000,
+                most: int = MAX_RANKED) -> dict[str, list[float | None]]:
+    """The values at 0-based ranks of the non-missing values of numeric columns, by distributed selection.
+
+    ``ranks`` gives a column's ranks from its count. Every rank has an open bracket (lo, hi) of values.
+    A round sketches the values inside each bracket around the wanted rank and counts, in one aggregate
+    each, what lies below, on and between the new bounds: the rank is at a bound (ties of any weight end
+    here) or strictly between them, where at most a share of some 4/``accuracy`` of the bracket is left.
+    Rounds go on until the values inside all brackets are at most ``most`` a rank; these are counted by
+    value and collected. No task sorts or holds more, whatever the ties. NaN counts as the largest value.
+    """
     if not cols:
         return {}
     x = [F.col(q(c)).cast("double") for c in cols]
+    counts = df.agg(*[F.count(v).alias(f"n{i}") for i, v in enumerate(x)]).first()
+    wanted = {i: ranks(int(counts[f"n{i}"])) if counts[f"n{i}"] else [] for i in range(len(cols))}
+    found: dict[tuple[int, int], float] = {}
+    # (column, rank) -> (lo, hi, values at or below lo, values inside); no bound yet: None
+    todo = {(i, k): (None, None, 0, int(counts[f"n{i}"])) for i, ks in wanted.items() for k in set(ks) if 0 <= k < counts[f"n{i}"]}
+
+    def inside(i: int, lo: float | None, hi: float | None) -> Column:
+        cond = x[i].isNotNull()
+        if lo is not None:
+            cond &= x[i] > F.lit(lo)
+        return cond if hi is None else cond & (x[i] < F.lit(hi))
+
     eps = 2.0 / accuracy
-    probs = F.array(F.lit(max(0.0, 0.5 - eps)), F.lit(min(1.0, 0.5 + eps)))
-    r = df.agg(*[F.percentile_approx(v, probs, accuracy).alias(f"b{i}") for i, v in enumerate(x)],
-               *[F.count(v).alias(f"n{i}") for i, v in enumerate(x)]).first()
-    some = [i for i in range(len(cols)) if r[f"n{i}"]]
-    if not some:
-        return dict.fromkeys(cols)
-    lo, hi = ({i: float(r[f"b{i}"][k]) for i in some} for k in (0, 1))
-    below = df.agg(*[F.count_if(x[i] < lo[i]).alias(f"l{i}") for i in some]).first()
-    cells = F.array(*[F.when(x[i].between(lo[i], hi[i]), F.struct(F.lit(i).alias("i"), x[i].alias("x"))) for i in some])
-    counts = (df.select(F.explode(cells).alias("c")).where("c IS NOT NULL").select("c.*")
-              .groupBy("i", "x").agg(F.count(F.lit(1)).alias("n")))
-    upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("i").orderBy("x")))
-    want = df.sparkSession.createDataFrame([(i, (r[f"n{i}"] - 1) // 2 - below[f"l{i}"]) for i in some], "i int, k long")
-    hit = upto.join(F.broadcast(want), "i").where("upto > k").groupBy("i").agg(F.min("x").alias("x"))
-    found = {row["i"]: row["x"] for row in hit.collect()}                         # one row per column
-    return {c: found.get(i) for i, c in enumerate(cols)}
+    while any(t[3] > most for t in todo.values()):
+        large = [(key, t) for key, t in todo.items() if t[3] > most]
+        sketch = []
+        for j, ((i, k), (lo, hi, below, m)) in enumerate(large):
+            p = (k - below + 0.5) / m
+            probs = F.array(F.lit(max(0.0, p - eps)), F.lit(min(1.0, p + eps)))
+            sketch.append(F.percentile_approx(F.when(inside(i, lo, hi), x[i]), probs, accuracy).alias(f"b{j}"))
+        cuts = df.agg(*sketch).first()
+        aggs = []
+        for j, ((i, _), (lo, hi, _, _)) in enumerate(large):
+            a, b = (float(v) for v in cuts[f"b{j}"])
+            v = inside(i, lo, hi)
+            aggs += [F.count_if(v & (x[i] < F.lit(a))).alias(f"l{j}"), F.count_if(v & (x[i] == F.lit(a))).alias(f"a{j}"),
+                     F.count_if(v & (x[i] > F.lit(a)) & (x[i] < F.lit(b))).alias(f"m{j}"), F.count_if(v & (x[i] == F.lit(b))).alias(f"e{j}")]
+        r = df.agg(*aggs).first()
+        for j, (key, (lo, hi, below, m)) in enumerate(large):
+            a, b = (float(v) for v in cuts[f"b{j}"])
+            left = key[1] - below - r[f"l{j}"]
+            if left < 0:                                         # below the sketch's bracket
+                todo[key] = (lo, a, below, r[f"l{j}"])
+            elif left < r[f"a{j}"]:
+                found[key] = a
+            elif left < r[f"a{j}"] + r[f"m{j}"]:
+                todo[key] = (a, b, below + r[f"l{j}"] + r[f"a{j}"], r[f"m{j}"])
+            elif left < r[f"a{j}"] + r[f"m{j}"] + r[f"e{j}"]:
+                found[key] = b
+            else:
+                upto = r[f"l{j}"] + r[f"a{j}"] + r[f"m{j}"] + r[f"e{j}"]
+                todo[key] = (b, hi, below + upto, m - upto)
+        todo = {key: t for key, t in todo.items() if key not in found}
+    if todo:
+        rest = list(todo.items())
+        cells = F.array(*[F.when(inside(i, lo, hi), F.struct(F.lit(j).alias("j"), x[i].alias("x"))) for j, ((i, _), (lo, hi, _, _)) in enumerate(rest)])
+        rows = (df.select(F.explode(F.array_compact(cells)).alias("c")).select("c.*")
+                .groupBy("j", "x").agg(F.count(F.lit(1)).alias("n")).collect())      # at most ``most`` a rank
+        for j, (key, (_, _, below, _)) in enumerate(rest):
+            upto = below
+            for v, n in sorted(((r["x"], r["n"]) for r in rows if r["j"] == j), key=lambda t: (t[0] != t[0], t[0])):
+                upto += n
+                if upto > key[1]:
+                    found[key] = v
+                    break
+    return {c: [found.get((i, k)) for k in wanted[i]] for i, c in enumerate(cols)}
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+    """(feature, prob, value): the value at rank floor(prob * (n - 1)) of each numeric column, exact."""
+    found = exact_ranks(df, cols, lambda n: [int(p * (n - 1)) for p in probs])
+    rows = [(c, float(p), v) for c, vs in found.items() for p, v in zip(probs, vs or [None] * len(probs), strict=True)]
+    return df.sparkSession.createDataFrame(rows, "feature string, prob double, value double")
+
+
+def _exact_medians(df: DataFrame, cols: list[str], accuracy: int) -> dict[str, float | None]:
+    """Value at rank floor((n-1)/2) of every column."""
+    found = exact_ranks(df, cols, lambda n: [(n - 1) // 2], accuracy)
+    return {c: vs[0] if vs else None for c, vs in found.items()}
 
 
 def melt_strings(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -8,7 +8,8 @@ from kiln.functions import vectors as VX
 from kiln.functions.vectors import one_hot
 from kiln.operators import metrics as M
 from kiln.plans.fixtures import EVENTS_HISTORY_SQL, events_epoch_rows, events_history_rows, read
-from kiln.plans.q_vectors import CENTROIDS_SQL, UNNEST, _centroids, dense_weights
+from kiln.operators.products import dot_products
+from kiln.plans.q_vectors import CENTROIDS_SQL, MAX_CENTROIDS, UNNEST, _centroids, dense_weights
 from kiln.plans.present import rnd
 from kiln.plans.registry import query
 from kiln.session import scratch_path
@@ -82,10 +83,14 @@ SELECT round(round(err_dense, 9), 6) AS err_dense, round(round(err_centroid, 9),
        round(round((err_dense - err_centroid) / err_dense, 9), 6) AS reduction FROM errs""")
 def q_error_reduction(spark, sf):
     emb = read(spark, sf, "embeddings")
-    rows = _centroids(emb).orderBy("label").collect()     # one vector per class (bounded)
+    cents = _centroids(emb)
+    rows = cents.orderBy("label").limit(MAX_CENTROIDS + 1).collect()     # one vector per class
     labels = [r["label"] for r in rows]
-    d = VX.dot_rows(emb.select("vec_id", "embedding"), "embedding", [r["c"] for r in rows])
-    nc = d.select("vec_id", F.element_at(F.array(*[F.lit(v) for v in labels]), VX.argmax("dots") + 1).alias("centroid"))
+    if len(rows) > MAX_CENTROIDS:
+        nc = dot_products(emb, "vec_id", "embedding", cents, "label", "c", k=1).select(F.col("a").alias("vec_id"), F.col("b").alias("centroid"))
+    else:
+        d = VX.dot_rows(emb.select("vec_id", "embedding"), "embedding", [r["c"] for r in rows])
+        nc = d.select("vec_id", F.element_at(F.array(*[F.lit(v) for v in labels]), VX.argmax("dots") + 1).alias("centroid"))
     s = scored(spark, sf).join(nc, "vec_id")
     e = s.agg(F.avg((F.col("pred") != F.col("label")).cast("double")).alias("err_dense"),
               F.avg((F.col("centroid") != F.col("label")).cast("double")).alias("err_centroid"))

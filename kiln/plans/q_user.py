@@ -132,6 +132,20 @@ def q_user_metric(spark, sf):
     return r.select("label", rnd("rmse", 6).alias("rmse"))
 
 
+AUC = M.auc_metric("prob", "hit", bins=500)
+
+
+@query("user_metric_auc", "WITH " + PROBS_SQL + """,
+b AS (SELECT j, least(CAST(floor(prob * 500) AS BIGINT), 499) AS bin, count(*) FILTER (WHERE j = label) AS p, count(*) FILTER (WHERE j <> label) AS n FROM q GROUP BY 1, 2),
+c AS (SELECT *, sum(n) OVER (PARTITION BY j ORDER BY bin) - n / 2 AS below, sum(p) OVER (PARTITION BY j) AS ps, sum(n) OVER (PARTITION BY j) AS ns FROM b)
+SELECT CAST(j AS INTEGER) AS class, round(round(sum(p * below) / (any_value(ps) * any_value(ns)), 9), 6) AS auc FROM c GROUP BY j""")
+def q_user_metric_auc(spark, sf):
+    """A user metric whose state is no sum of columns: two score histograms per class, one class against the rest."""
+    rows = scored(spark, sf).select("label", F.posexplode("probs").alias("class", "prob"))
+    rows = rows.select("class", "prob", (F.col("class") == F.col("label")).cast("int").alias("hit"))
+    return AUC.evaluate(rows, by=["class"]).select("class", rnd("auc", 6).alias("auc"))
+
+
 # ------------------------------------------------------------------------------ user_callback
 
 class CheckpointOnBest(Callback):

@@ -105,6 +105,19 @@ def q_stats_numeric(spark, sf):
     return _numeric_out(ST.stats_numeric(part, ["p_size", "p_retailprice"], exact_median=True))
 
 
+PROBS = [0.01, 0.25, 0.5, 0.9, 1.0]
+
+
+@query("stats_quantiles", "WITH " + ", ".join(
+    f"r{i} AS (SELECT {c}::DOUBLE AS v, row_number() OVER (ORDER BY {c}) - 1 AS k, count(*) OVER () AS n FROM lineitem WHERE {c} IS NOT NULL)"
+    for i, c in enumerate(("l_quantity", "l_extendedprice"))) + " " + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, {p}::DOUBLE AS prob, any_value(v) AS value FROM r{i} WHERE k = CAST(floor({p}::DOUBLE * (n - 1)) AS BIGINT)"
+    for i, c in enumerate(("l_quantity", "l_extendedprice")) for p in PROBS))
+def q_stats_quantiles(spark, sf):
+    """Exact quantiles of a column with 50 values and of one with nearly as many values as rows."""
+    return ST.exact_quantiles(read(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice"], PROBS)
+
+
 STR_FEATS = ["o_orderstatus", "o_orderpriority", "o_clerk"]
 _MELT = " UNION ALL ".join(
     f"SELECT '{c}' AS feature, {i} AS ordinal, {c} AS value FROM osplit WHERE split = '{{split}}'"

@@ -7,9 +7,13 @@ import math
 from pyspark.sql import functions as F
 
 from kiln.functions import vectors as VX
+from kiln.operators.products import dot_products
 from kiln.plans.fixtures import read
 from kiln.plans.present import rnd
 from kiln.plans.registry import query
+from kiln.session import cut_lineage
+
+MAX_CENTROIDS = 4_096    # centroids that travel as literals; more are met block by block
 
 
 def _long(df, key, arr, out="value", digits=6):
@@ -129,6 +133,9 @@ def q_pairwise_dot(spark, sf):
     """A·Bᵀ with A = every embedding and B = the per-label centroids (one row per label, size-checked)."""
     emb = read(spark, sf, "embeddings")
     cents = _centroids(emb)
+    if cents.limit(MAX_CENTROIDS + 1).count() > MAX_CENTROIDS:      # a right side of any size: block by block
+        d = dot_products(emb, "vec_id", "embedding", cents, "label", "c")
+        return d.select(F.col("a").alias("vec_id"), F.col("b").cast("int").alias("centroid"), rnd("dot", 4).alias("dot"))
     rows = cents.orderBy("label").collect()   # B is one vector per class: bounded by the class count
     labels = [r["label"] for r in rows]
     d = VX.dot_rows(emb.select("vec_id", "embedding"), "embedding", [r["c"] for r in rows])
@@ -137,16 +144,24 @@ def q_pairwise_dot(spark, sf):
         rnd("dot", 4).alias("dot"))
 
 
-def _centroids(emb, max_classes: int = 4096):
+def _centroids(emb):
     """Mean vector per label: posexplode + avg per (label, pos), regrouped in position order."""
     per = (emb.select("label", F.posexplode("embedding").alias("pos", "x"))
            .groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("m")))
     cents = per.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("s")).select(
         "label", F.transform("s", lambda t: t["m"]).alias("c"))
-    n = cents.count()
-    if n > max_classes:
-        raise ValueError(f"{n} centroids exceed the literal-side limit {max_classes}")
-    return cents
+    return cut_lineage(cents)                  # one vector per class, read twice
+
+
+@query("top_dot", f"""
+WITH u AS ({UNNEST}), d AS (SELECT a.vec_id AS a, b.vec_id AS b, sum(a.x::DOUBLE * b.x::DOUBLE) AS dot FROM u a JOIN u b ON a.pos = b.pos GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(dot, 9) DESC, b) AS rank FROM d)
+SELECT a AS vec_id, b AS other, CAST(rank AS INTEGER) AS rank, round(round(dot, 9), 6) AS dot FROM r WHERE rank <= 3""")
+def q_top_dot(spark, sf):
+    """The three largest products of every embedding with all embeddings (its own included)."""
+    emb = read(spark, sf, "embeddings")
+    d = dot_products(emb, "vec_id", "embedding", emb, "vec_id", "embedding", k=3)
+    return d.select(F.col("a").alias("vec_id"), F.col("b").alias("other"), "rank", rnd("dot", 6).alias("dot"))
 
 
 @query("argmax_class", "SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS argmax FROM embeddings")

@@ -119,7 +119,7 @@ def test_early_stop_returns_the_best_epoch(spark):
 
 
 def test_null_and_empty_rows(spark):
-    data = [(1, None, 1, None, None), (None, [1.0] * 5, 0, 2, 0.5), (2, [0.0] * 5, None, None, None)]
+    data = [(1, None, 1, None, None), (None, [1.0] * 5, 0, 2, 0.9), (2, [0.0] * 5, None, None, None)]
     df = spark.createDataFrame(data, SCHEMA)
     done = TR.fit(NET, df, "key", df, epochs=1, batches=2)
     out = {r["key"]: r for r in done.predict(df, ["key"]).collect()}
