@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kiln.operators import rules as R
 from kiln.operators import schema as S
 from kiln.operators import stats as ST
 from kiln.operators import validate as V
@@ -476,6 +477,50 @@ def q_validate_all(spark, sf):
     return out.select("feature", "anomaly", "detail", _r("value"))
 
 
+# ------------------------------------------------------------------- all rules, eval and serving
+
+RULES_SQL = W + """,
+base AS (SELECT *, string_split(o_orderpriority, '-') AS parts FROM osplit),
+ev AS (SELECT *, CASE WHEN o_orderkey % 50 = 0 THEN len(parts) + 1 ELSE len(parts) END AS n_tags FROM base WHERE split = 'eval'),
+tr AS (SELECT *, len(parts) AS n_tags FROM base WHERE split = 'train'),
+sv AS (SELECT * REPLACE (CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice), len(parts) AS n_tags FROM base WHERE split = 'serving'),
+dom AS (SELECT DISTINCT o_orderpriority AS value FROM tr),
+fr AS (SELECT 'train' AS split, o_orderpriority AS value, count(*) / sum(count(*)) OVER () AS p FROM tr GROUP BY 2
+       UNION ALL SELECT 'eval', o_orderpriority, count(*) / sum(count(*)) OVER () FROM ev GROUP BY 2
+       UNION ALL SELECT 'serving', o_orderpriority, count(*) / sum(count(*)) OVER () FROM sv GROUP BY 2),
+dist AS (SELECT s.split, v.value, abs(coalesce(a.p, 0) - coalesce(b.p, 0)) AS d FROM (VALUES ('eval'), ('serving')) s(split)
+         CROSS JOIN (SELECT DISTINCT value FROM fr) v LEFT JOIN fr a ON a.split = 'train' AND a.value = v.value LEFT JOIN fr b ON b.split = s.split AND b.value = v.value),
+top AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY d DESC, value) AS rk FROM dist),
+res AS (
+  SELECT 'eval' AS split, 'channel' AS feature, 'SCHEMA_NEW_COLUMN' AS anomaly, NULL::VARCHAR AS detail, NULL::DOUBLE AS value
+  UNION ALL SELECT 'serving', 'o_clerk', 'SCHEMA_MISSING_COLUMN', NULL, NULL
+  UNION ALL SELECT 'eval', 'o_custkey', 'UNEXPECTED_TYPE', 'INT->BYTES', NULL
+  UNION ALL SELECT 'serving', 'o_totalprice', 'PRESENCE', 'fraction', count(o_totalprice) / count(*) FROM sv HAVING count(o_totalprice) < count(*)
+  UNION ALL SELECT 'eval', 'tags', 'VALUE_COUNT', 'above_max', max(n_tags) FROM ev HAVING max(n_tags) > (SELECT max(n_tags) FROM tr)
+  UNION ALL SELECT split, 'o_orderpriority', 'UNEXPECTED_STRING_VALUES', value, p FROM fr WHERE split <> 'train' AND value NOT IN (SELECT value FROM dom)
+  UNION ALL SELECT split, 'o_orderpriority', CASE WHEN split = 'serving' THEN 'SKEW' ELSE 'DRIFT' END, value, d FROM top WHERE rk = 1 AND d > 0.005)
+SELECT split, feature, anomaly, detail, round(round(value, 9), 6) AS value FROM res"""
+
+
+@query("validate_splits", RULES_SQL)
+def q_validate_splits(spark, sf):
+    """Eval and serving rows against the schema of the training rows, all rules from one count table. Eval
+    has a column too many, a changed type and longer lists; serving lacks a column and has missing values;
+    both have unseen priorities."""
+    t = orders_split(spark, sf).withColumn("tags", F.split("o_orderpriority", "-"))
+    part = lambda name: t.where(F.col("split") == name).drop("split")
+    longer = F.when(F.col("o_orderkey") % 50 == 0, F.array_append("tags", F.lit("x"))).otherwise(F.col("tags"))
+    counts = R.count_table({
+        "train": part("train"),
+        "eval": part("eval").withColumn("o_custkey", F.col("o_custkey").cast("string")).withColumn("tags", longer).withColumn("channel", F.lit("web")),
+        "serving": part("serving").drop("o_clerk", "o_orderstatus").withColumn("o_totalprice", F.when(F.col("o_orderkey") % 10 != 0, F.col("o_totalprice"))),
+    }, remove={"o_orderkey", "pos"})
+    schema = S.not_in_environment(R.schema_from_counts(counts, "train"), ORDER_LABEL, "SERVING")
+    schema = S.set_feature(schema, "o_orderpriority", skew_threshold=0.005, drift_threshold=0.005)
+    out = R.validate_splits(counts, schema, {"eval": "TRAINING", "serving": "SERVING"}, skew=("train", "serving"), drift=("eval", "train"))
+    return out.select("split", "feature", "anomaly", "detail", _r("value"))
+
+
 # ------------------------------------------------------------------------------------ freeze
 
 @query("sink_schema", WS + "SELECT domain, value FROM doms")
