@@ -5,7 +5,8 @@ keep their values, arrays their sizes, and all other features only count present
 their rows are few whatever the data. From that table come the schema (:func:`schema_from_counts`) and
 every rule (:func:`validate_splits`): one grouped pass gives the totals per feature, which are metadata
 (features x splits numbers); a second gives the distances between splits; unexpected values are a filter.
-Three shuffles in all: the counts, the totals, the distances.
+Three shuffles of data in all: the counts, the totals, the distances. (The schema's domain values are made
+distinct and stored before; they are as many as the schema lists.)
 """
 
 from __future__ import annotations
@@ -92,7 +93,8 @@ def validate_splits(counts: Counts, schema: Schema, check: dict[str, str | None]
     spark = counts.table.sparkSession
     feats = {r["feature"]: r for r in schema.features.collect()}                                # metadata
     with_domain = spark.createDataFrame([(n, r["domain"]) for n, r in feats.items() if r["domain"]], "feature string, domain string")
-    members = with_domain.join(schema.domains.distinct(), "domain").select("feature", "value", F.lit(True).alias("inside"))
+    members = schema.domains.distinct().join(F.broadcast(with_domain), "domain")                # a row per feature is broadcast
+    members = cut_lineage(members.select("feature", "value", F.lit(True).alias("inside")))
     marked = counts.table.join(broadcast_if_small(members), ["feature", "value"], "left")
     marked = marked.withColumn("inside", F.coalesce("inside", F.lit(False)))
 

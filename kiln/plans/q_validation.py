@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kiln.operators import profile_store as PS
 from kiln.operators import rules as R
 from kiln.operators import schema as S
 from kiln.operators import stats as ST
@@ -477,6 +478,46 @@ def q_validate_all(spark, sf):
     return out.select("feature", "anomaly", "detail", _r("value"))
 
 
+# ------------------------------------------------------------------- statistics stored per span
+
+def _event_spans(spark, sf) -> str:
+    """Every day of the events is a stored span."""
+    ev = read(spark, sf, "events").select(F.to_date("ts").cast("string").alias("span"), "event_type", "value", "user_id")
+    path = scratch_path(spark, "profile-store")
+    PS.write_spans(ev, path, "span")
+    return path
+
+
+@query("store_drift", """
+WITH f AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS span, event_type AS value, count(*) AS c FROM events GROUP BY 1, 2),
+n AS (SELECT span, value, c / sum(c) OVER (PARTITION BY span) AS p FROM f),
+spans AS (SELECT span, lag(span) OVER (ORDER BY span) AS prev FROM (SELECT DISTINCT span FROM f)),
+j AS (SELECT s.span, s.prev, v.value, abs(coalesce(a.p, 0.0) - coalesce(b.p, 0.0)) AS d FROM spans s CROSS JOIN (SELECT DISTINCT value FROM f) v
+      LEFT JOIN n a ON a.span = s.span AND a.value = v.value LEFT JOIN n b ON b.span = s.prev AND b.value = v.value WHERE s.prev IS NOT NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY span ORDER BY d DESC, value) AS rk FROM j)
+SELECT span, prev AS previous_span, 'event_type' AS feature, round(round(d, 9), 6) AS distance, value AS at_value, d > 0.03 AS is_anomaly FROM r WHERE rk = 1""")
+def q_store_drift(spark, sf):
+    """Drift of each day against the day before, from the stored spans alone."""
+    out = PS.drift_of_spans(PS.stored(spark, _event_spans(spark, sf)), 0.03)
+    return out.select("span", "previous_span", "feature", _r("distance"), "at_value", "is_anomaly")
+
+
+@query("store_stats", " UNION ALL ".join(f"""
+SELECT '{c}' AS feature, count({c}) AS count, count(*) - count({c}) AS missing, round(round(avg({c}), 9), 6) AS mean, round(round(stddev_pop({c}), 9), 6) AS std_dev,
+       count(*) FILTER (WHERE {c} = 0) AS zeros, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max, true AS median_within
+FROM events""" for c in ("value", "user_id")))
+def q_store_stats(spark, sf):
+    """Statistics of all days merged from the stored spans; the median's rank is checked against the rows."""
+    st = PS.statistics(PS.merged(PS.stored(spark, _event_spans(spark, sf)))).where("kind = 'number'")
+    ev, n = read(spark, sf, "events"), st.select("feature", F.get("quantiles", F.lit(0)).alias("m"), "count").collect()
+    ranks = ev.agg(*[F.count_if(F.col(r["feature"]) < r["m"]).alias(f"lo_{r['feature']}") for r in n],
+                   *[F.count_if(F.col(r["feature"]) <= r["m"]).alias(f"hi_{r['feature']}") for r in n]).first()
+    most = PS.RANK_ERROR
+    good = [(r["feature"], ranks[f"lo_{r['feature']}"] / r["count"] <= 0.5 + most and ranks[f"hi_{r['feature']}"] / r["count"] >= 0.5 - most) for r in n]
+    st = st.join(F.broadcast(spark.createDataFrame(good, "feature string, median_within boolean")), "feature")      # a row per feature
+    return st.select("feature", "count", "missing", _r("mean"), _r("std_dev"), "zeros", "min", "max", "median_within")
+
+
 # ------------------------------------------------------------------- all rules, eval and serving
 
 RULES_SQL = W + """,
