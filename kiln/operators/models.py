@@ -9,7 +9,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -27,39 +28,48 @@ class GramSums:
     c: list[float]            # Xᵀy
     syy: float
     n: float
+    low: list[float | None] = field(default_factory=list)     # least and greatest value of each feature
+    high: list[float | None] = field(default_factory=list)
 
 
 def gram_sums(df: DataFrame, xs: list[str], y: str) -> GramSums:
     """ONE aggregate over the rows; only (d+1)² + (d+1) + 2 numbers reach the driver. Rows with a
     null feature or target take no part, in the sums or in the count."""
-    df = df.where(F.col(y).isNotNull()).dropna(subset=list(xs))
     cols = [F.col(x).cast("double") for x in xs] + [F.lit(1.0)]
     yy = F.col(y).cast("double")
     d = len(cols)
+    # rows are left out inside the aggregate: a filter would compute generated columns a second time
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*xs, y)])
     aggs = []
     for i in range(d):
         for j in range(i, d):
-            aggs.append(F.sum(cols[i] * cols[j]).alias(f"a_{i}_{j}"))
-        aggs.append(F.sum(cols[i] * yy).alias(f"c_{i}"))
-    aggs += [F.sum(yy * yy).alias("syy"), F.count(F.lit(1)).alias("n")]
+            aggs.append(F.sum(F.when(whole, cols[i] * cols[j])).alias(f"a_{i}_{j}"))
+        aggs.append(F.sum(F.when(whole, cols[i] * yy)).alias(f"c_{i}"))
+        aggs += [F.min(F.when(whole, cols[i])).alias(f"lo_{i}"), F.max(F.when(whole, cols[i])).alias(f"hi_{i}")]
+    aggs += [F.sum(F.when(whole, yy * yy)).alias("syy"), F.count_if(whole).alias("n")]
     r = df.agg(*aggs).first()
     a = [[0.0] * d for _ in range(d)]
     for i in range(d):
         for j in range(i, d):
-            a[i][j] = a[j][i] = float(r[f"a_{i}_{j}"])
-    return GramSums(list(xs), a, [float(r[f"c_{i}"]) for i in range(d)], float(r["syy"]), float(r["n"]))
+            a[i][j] = a[j][i] = float(r[f"a_{i}_{j}"] or 0.0)
+    return GramSums(list(xs), a, [float(r[f"c_{i}"] or 0.0) for i in range(d)], float(r["syy"] or 0.0), float(r["n"]),
+                    [r[f"lo_{i}"] for i in range(d - 1)], [r[f"hi_{i}"] for i in range(d - 1)])
 
 
 def linear_gd_from_sums(g: GramSums, lr: float = 0.1, steps: int = 40,
                         init: list[float] | None = None) -> list[tuple]:
     """(step, loss before the update, coefficients after it) for each step, from the sums alone.
 
-    loss(w) = (wᵀAw - 2wᵀc + Σy²)/n;  gradient = 2(Aw - c)/n.
+    loss(w) = (wᵀAw - 2wᵀc + Σy²)/n;  gradient = 2(Aw - c)/n. Without rows the loss is null and the
+    coefficients stay as they start.
     """
     d = len(g.c)
     w = list(init) if init else [0.0] * d
     out = []
     for step in range(1, steps + 1):
+        if not g.n:
+            out.append((step, None, *w))
+            continue
         aw = [sum(g.a[i][j] * w[j] for j in range(d)) for i in range(d)]
         loss = (sum(w[i] * aw[i] for i in range(d)) - 2 * sum(w[i] * g.c[i] for i in range(d)) + g.syy) / g.n
         grad = [2 * (aw[i] - g.c[i]) / g.n for i in range(d)]
@@ -76,9 +86,14 @@ def linear_gd(df: DataFrame, xs: list[str], y: str, lr: float = 0.1, steps: int
     return df.sparkSession.createDataFrame(rows, schema)
 
 
-def decision_boundary(spark: SparkSession, w: list[float], b: float, lo: float, hi: float, n: int = 50) -> DataFrame:
+def decision_boundary(spark: SparkSession, w: list[float], b: float, lo: float | None, hi: float | None, n: int = 50) -> DataFrame:
     """Points on the line W·x + b = 0.5 for a grid of n x-values in [lo, hi]:
-    y = -W0/W1·x + (0.5 - b)/W1."""
+    y = -W0/W1·x + (0.5 - b)/W1. Without a range there are no points; a vertical line (W1 = 0) has no y."""
+    if lo is None or hi is None:
+        return spark.createDataFrame([], "i long, x double, y double")
+    if not w[1]:
+        grid = spark.range(n).select(F.col("id").alias("i"), (F.lit(lo) + F.col("id") * F.lit((hi - lo) / (n - 1))).alias("x"))
+        return grid.withColumn("y", F.lit(None).cast("double"))
     step = (hi - lo) / (n - 1)
     grid = spark.range(n).select(F.col("id").alias("i"), (F.lit(lo) + F.col("id") * F.lit(step)).alias("x"))
     return grid.withColumn("y", -F.lit(w[0] / w[1]) * F.col("x") + F.lit((0.5 - b) / w[1]))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from kiln.operators.analyze import broadcast_if_small
 from kiln.operators.schema import Schema, env_filter
+from kiln.session import cut_lineage
 
 ANOMALY_COLS = ["feature", "anomaly", "detail", "value"]
 
@@ -181,28 +182,26 @@ def validate_all(prof: dict[str, DataFrame], schema: Schema, env: str | None = N
 def drift_by_span(df: DataFrame, span_col: str, features: list[str], threshold: float) -> DataFrame:
     """Drift of every span against the span before it, for all spans in one job.
 
-    Frequencies per (span, feature, value) come from one aggregate; the previous span's
-    frequencies are re-labelled with the next span's name and full-outer joined, so each span is
-    compared with its predecessor without a driver loop. Output: (span, previous_span, feature,
+    Frequencies per (span, feature, value) come from one aggregate, stored once. Each share is counted
+    for its own span and, negated, for the next one, so one grouped sum gives all differences. Output: (span, previous_span, feature,
     distance, at_value, threshold, is_anomaly).
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("string").alias("value"))
                       for c in features])
-    freq = (df.select(F.col(span_col).alias("span"), F.inline(pairs)).where(F.col("value").isNotNull())
-            .groupBy("span", "feature", "value").agg(F.count(F.lit(1)).alias("count")))
-    tot = broadcast_if_small(freq.groupBy("span", "feature").agg(F.sum("count").alias("__t")))  # spans × features
-    norm = freq.join(tot, ["span", "feature"]).select("span", "feature", "value",
-                                                      (F.col("count") / F.col("__t")).alias("p"))
-    # One row per span (the span list is small), each with the span before it.
-    spans = (freq.select("span").distinct()
-             .withColumn("previous_span", F.lag("span").over(Window.orderBy("span")))
-             .where(F.col("previous_span").isNotNull()))
-    spans = broadcast_if_small(spans)          # one row per span; broadcast only after a count
-    cur = norm.join(spans, "span")
-    prev = (norm.withColumnRenamed("span", "previous_span").withColumnRenamed("p", "q")
-            .join(spans, "previous_span"))
-    j = cur.join(prev, ["span", "previous_span", "feature", "value"], "full_outer")
-    d = F.abs(F.coalesce("p", F.lit(0.0)) - F.coalesce("q", F.lit(0.0)))
+    freq = cut_lineage(df.select(F.col(span_col).alias("span"), F.inline(pairs)).where(F.col("value").isNotNull())
+                       .groupBy("span", "feature", "value").agg(F.count(F.lit(1)).alias("count")))
+    tot = cut_lineage(freq.groupBy("span", "feature").agg(F.sum("count").alias("__t")))          # spans × features
+    # one row per span (the span list is metadata), each with the spans beside it
+    w = Window.orderBy("span")
+    spans = tot.select("span").distinct().select("span", F.lag("span").over(w).alias("__before"), F.lead("span").over(w).alias("__after"))
+    norm = freq.join(broadcast_if_small(tot.join(broadcast_if_small(spans), "span")), ["span", "feature"])
+    p = F.col("count") / F.col("__t")
+    # each share counts for its own span and, with a minus sign, for the span after it
+    sides = F.array(F.struct(F.col("span").alias("s"), F.col("__before").alias("previous_span"), p.alias("d")),
+                    F.struct(F.col("__after").alias("s"), F.col("span").alias("previous_span"), (-p).alias("d")))
+    j = (norm.select("feature", "value", F.inline(sides)).where(F.col("s").isNotNull() & F.col("previous_span").isNotNull())
+         .groupBy(F.col("s").alias("span"), "previous_span", "feature", "value").agg(F.sum("d").alias("d")))
+    d = F.abs("d")
     return (j.groupBy("span", "previous_span", "feature")
             .agg(F.max(d).alias("distance"),
                  F.min_by("value", F.struct((-d).alias("nd"), F.col("value").alias("v"))).alias("at_value"))

@@ -99,17 +99,18 @@ def synth_points(spark, sf):
     li = read(spark, sf, "lineitem").select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("point_id"),
         (F.col("l_linenumber") % 2).alias("label"))
-    parts = []
-    for cls, mean in CLASS_MEANS.items():
-        parts.append(IO.synth_normal(li.where(F.col("label") == cls), "point_id", mean, CLASS_COV, seed=7))
-    return SP.concat_rows(*parts)
+    # one pass for both classes: the mean is picked per row
+    of = lambda i: F.when(F.col("label") == 0, CLASS_MEANS[0][i]).otherwise(CLASS_MEANS[1][i])
+    return IO.synth_normal(li, "point_id", (of(0), of(1)), CLASS_COV, seed=7)
 
 
-def _synth_sql() -> str:
+def _synth_sql(rounded: bool = True) -> str:
     sel = []
     for cls, mean in CLASS_MEANS.items():
         x0, x1 = _box_muller_sql("point_id", 7, mean, CLASS_COV)
-        sel.append(f"SELECT point_id, label, round(round({x0}, 9), 6) AS x0, round(round({x1}, 9), 6) AS x1 FROM li WHERE label = {cls}")
+        if rounded:
+            x0, x1 = f"round(round({x0}, 9), 6)", f"round(round({x1}, 9), 6)"
+        sel.append(f"SELECT point_id, label, {x0} AS x0, {x1} AS x1 FROM li WHERE label = {cls}")
     return ("WITH li AS (SELECT l_orderkey * 8 + l_linenumber AS point_id, l_linenumber % 2 AS label FROM lineitem) "
             + " UNION ALL ".join(sel))
 

@@ -1,24 +1,15 @@
-"""Model-fit queries: coefficient-only descent (SQL twin via a recursive CTE) and MLlib fits."""
+"""Queries of the coefficient-only descent (SQL twin via a recursive CTE); the networks are in ``q_training``."""
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegressionModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from kiln.functions import text as TX
-from kiln.functions import vectors as VX
 from kiln.operators import models as MD
-from kiln.operators.split import holdout_tail
-from kiln.plans.fixtures import read
 from kiln.plans.q_data import _synth_sql, synth_points
-from kiln.plans.q_text import _encoded
 from kiln.plans.present import rnd
 from kiln.plans.registry import query
-from kiln.session import scratch_path
-from kiln.sources import sinks as SK
 
-GD_SQL = ("WITH RECURSIVE pts AS (" + _synth_sql().replace("WITH li AS", "SELECT * FROM (WITH li AS", 1) + """)),
+GD_SQL = ("WITH RECURSIVE pts AS (" + _synth_sql(rounded=False).replace("WITH li AS", "SELECT * FROM (WITH li AS", 1) + """)),
 s AS (SELECT count(*)::DOUBLE AS n, sum(x0) AS s0, sum(x1) AS s1, sum(x0 * x0) AS s00, sum(x0 * x1) AS s01,
              sum(x1 * x1) AS s11, sum(label::DOUBLE) AS sy, sum(x0 * label) AS s0y, sum(x1 * label) AS s1y,
              sum(label * label)::DOUBLE AS syy, min(x0) AS lo, max(x0) AS hi FROM pts),
@@ -35,17 +26,11 @@ gd(step, w0, w1, b, loss) AS (
 """)
 
 
-def _points_unrounded(spark, sf):
-    return synth_points(spark, sf)
-
-
 @query("linear_gd", GD_SQL + """
 SELECT CAST(step AS INTEGER) AS step, round(round(loss, 9), 6) AS loss, round(round(w0, 9), 6) AS w_x0, round(round(w1, 9), 6) AS w_x1, round(round(b, 9), 6) AS b
 FROM gd WHERE step > 0""")
 def q_linear_gd(spark, sf):
-    # The SQL twin reads the points rounded to 6 decimals; use the same inputs here.
-    pts = synth_points(spark, sf).select("label", rnd("x0", 6).alias("x0"), rnd("x1", 6).alias("x1"))
-    h = MD.linear_gd(pts, ["x0", "x1"], "label", lr=0.1, steps=40)
+    h = MD.linear_gd(synth_points(spark, sf), ["x0", "x1"], "label", lr=0.1, steps=40)
     return h.select("step", *[rnd(c, 6).alias(c) for c in ["loss", "w_x0", "w_x1", "b"]])
 
 
@@ -54,72 +39,8 @@ last AS (SELECT w0, w1, b FROM gd WHERE step = 40),
 grid AS (SELECT i, lo + i * ((hi - lo) / 49) AS x FROM range(50) t(i), s)
 SELECT CAST(i AS BIGINT) AS i, round(round(x, 9), 6) AS x, round(round(-(w0 / w1) * x + (0.5 - b) / w1, 9), 6) AS y FROM grid, last""")
 def q_decision_boundary(spark, sf):
-    pts = synth_points(spark, sf).select("label", rnd("x0", 6).alias("x0"), rnd("x1", 6).alias("x1"))
-    g = MD.gram_sums(pts, ["x0", "x1"], "label")
+    g = MD.gram_sums(synth_points(spark, sf), ["x0", "x1"], "label")
     *_, w0, w1, b = MD.linear_gd_from_sums(g, 0.1, 40)[-1]
-    lo, hi = pts.agg(F.min("x0"), F.max("x0")).first()
+    lo, hi = g.low[0], g.high[0]               # from the same pass as the sums
     d = MD.decision_boundary(spark, [w0, w1], b, lo, hi, 50)
     return d.select("i", rnd("x", 6).alias("x"), rnd("y", 6).alias("y"))
-
-
-# ------------------------------------------------------------------------------ MLlib (rows-only)
-
-DIM = 10_000
-
-
-def _emb_vectors(spark, sf):
-    emb = read(spark, sf, "embeddings")
-    return MD.assemble(emb, ["embedding"])
-
-
-@query("fit_multi_output")
-def q_fit_multi_output(spark, sf):
-    """Shared feature table (multi-hot words + length) built once and cached; one estimator per target,
-    fitted on the rows that have its label; every document is scored."""
-    enc = _encoded(spark, sf)
-    lab = read(spark, sf, "labels")
-    d = read(spark, sf, "documents").select("doc_id", (F.col("n_chars") / F.lit(1000.0)).alias("kchars"))
-    x = TX.multi_hot_vector(enc.join(d, "doc_id").join(lab, "doc_id", "left"), "sequence", DIM, out="words")
-    x = MD.training_table(MD.assemble(x.withColumnRenamed("words", "__w"), [], ["__w", "kchars"]))
-    outs = []
-    for target in ("quality", "toxic"):
-        m = MD.fit_logistic(x.where(F.col(target).isNotNull()), target, max_iter=20, reg=0.01)
-        outs.append(m.transform(x).select("doc_id", F.lit(target).alias("target"),
-                                          vector_to_array("probability")[1].alias("prob")))
-    return outs[0].unionByName(outs[1])
-
-
-@query("fit_noise_check")
-def q_fit_noise_check(spark, sf):
-    """Same model on real+noise channels and on real+zero channels; validation accuracy and loss."""
-    emb = read(spark, sf, "embeddings")
-    rows = []
-    for variant, extra in (("noise", VX.noise("vec_id", 64)), ("zeros", VX.zeros(64))):
-        x = emb.select("vec_id", "label", VX.vec_concat("embedding", extra).alias("v"))
-        x = MD.training_table(holdout_tail(MD.assemble(x, ["v"]), "vec_id", fraction=0.2))
-        m = MD.fit_logistic(x.where("role = 'train'"), "label", multinomial=True, max_iter=50, reg=0.01)
-        p = m.transform(x.where("role = 'val'")).select(
-            "label", "prediction", vector_to_array("probability").alias("p"))
-        rows.append(p.agg(F.lit(variant).alias("variant"),
-                          F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("val_accuracy"),
-                          F.avg(-F.log(F.greatest(F.element_at("p", F.col("label") + 1), F.lit(1e-7)))).alias("val_loss")))
-    return rows[0].unionByName(rows[1])
-
-
-@query("predict_proba")
-def q_predict_proba(spark, sf):
-    x = MD.training_table(_emb_vectors(spark, sf))
-    m = MD.fit_logistic(x, "label", multinomial=True, max_iter=30, reg=0.01)
-    return MD.probabilities(m, x, ["vec_id"])
-
-
-@query("sink_model")
-def q_sink_model(spark, sf):
-    x = MD.training_table(holdout_tail(_emb_vectors(spark, sf), "vec_id", fraction=0.2))
-    m = MD.fit_logistic(x.where("role = 'train'"), "label", multinomial=True, max_iter=30, reg=0.01)
-    path = scratch_path(spark, "model")
-    SK.save_model(m, path)
-    loaded = SK.load_model(LogisticRegressionModel, path)
-    p = loaded.transform(x.where("role = 'val'"))
-    return p.agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("val_accuracy"),
-                  F.count(F.lit(1)).alias("n_val"))

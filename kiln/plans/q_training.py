@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kiln.functions import text as TX
+from kiln.functions import vectors as VX
 from kiln.operators import training as TR
 from kiln.operators.position import hash_int
 from kiln.operators.split import holdout_head, holdout_tail
@@ -168,3 +169,92 @@ def q_fit_joint_eval(spark, sf):
     got = done.evaluate(rows.where("role = 'val'"))
     out = spark.createDataFrame([(k, m["n"], m["loss"], m["metric"]) for k, m in got.items()], "output string, n long, loss double, metric double")
     return out.select("output", "n", rnd("loss", 6).alias("loss"), rnd("metric", 6).alias("metric"))
+
+
+# ------------------------------------------------------------------------------ two labels that cover some documents
+
+WIDE = DIM + 100
+TWO = TR.Network(WIDE, (TR.Head("quality", "binary", "quality"), TR.Head("toxic", "binary", "toxic")), hidden=(16,), sparse=True)
+TWO_RUN = {"epochs": 3, "batches": 2, "rate": 0.01}
+
+
+@query("fit_multi_output", "WITH " + ENC_SQL + f""",
+ny AS MATERIALIZED (SELECT d.doc_id AS rid, l.quality, l.toxic, 'train' AS role, {_batch_sql('d.doc_id', 2, 42)} FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+nx AS MATERIALIZED (SELECT DISTINCT rid, j, 1.0::DOUBLE AS v FROM (SELECT doc_id AS rid, id AS j FROM ids UNION ALL SELECT doc_id, 1 FROM documents
+                    UNION ALL SELECT doc_id, {DIM} + least(n_chars // 1000, 99) FROM documents WHERE n_chars IS NOT NULL)),
+""" + training_sql(TWO, TWO_RUN["epochs"], TWO_RUN["batches"], TWO_RUN["rate"], True) + " " + " UNION ALL ".join(
+    f"SELECT rid AS doc_id, '{t}' AS target, round(round(p, 9), 6) AS prob FROM p_{t}" for t in ("quality", "toxic")))
+def q_fit_multi_output(spark, sf):
+    """Words and length in, two labels out, under one summed loss over a shared hidden layer: each label's
+    part of it is the mean over the documents that have the label. Every document is scored."""
+    length = F.array((F.lit(DIM) + F.least(F.floor(F.col("n_chars") / 1000), F.lit(99))).cast("int"))
+    docs = read(spark, sf, "documents").select("doc_id", F.when(F.col("n_chars").isNotNull(), length).otherwise(F.array().cast("array<int>")).alias("length"))
+    rows = _encoded(spark, sf).join(docs, "doc_id").join(read(spark, sf, "labels").select("doc_id", "quality", "toxic"), "doc_id", "left")
+    rows = rows.select("doc_id", TX.multi_hot(F.concat("sequence", "length")).alias("features"), "quality", "toxic")
+    out = TR.fit(TWO, rows, "doc_id", **TWO_RUN).predict(rows, ["doc_id"])
+    each = F.array(*[F.struct(F.lit(t).alias("target"), rnd(t, 6).alias("prob")) for t in ("quality", "toxic")])
+    return out.select("doc_id", F.inline(each))
+
+
+# ------------------------------------------------------------------------------ noise channels beside zeros
+
+NOISE = TR.Network(128, (TR.Head("digit", "classes", "label", 10),), hidden=(32,))
+
+
+def _noise_sql(variant: str, extra: str) -> str:
+    return f"""SELECT * FROM (WITH
+ny AS MATERIALIZED (SELECT vec_id AS rid, label, CASE WHEN row_number() OVER (ORDER BY vec_id) - 1 >= count(*) OVER () - CAST(floor(count(*) OVER () * 0.2::DOUBLE) AS BIGINT)
+                    THEN 'val' ELSE 'train' END AS role, {_batch_sql('vec_id', 3, 42)} FROM embeddings),
+nx AS MATERIALIZED (SELECT vec_id AS rid, unnest(range(64)) AS j, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings{extra}),
+{training_sql(NOISE, CLASSES_RUN['epochs'], CLASSES_RUN['batches'], CLASSES_RUN['rate'], True)}
+SELECT '{variant}' AS variant, round(round(val_digit_metric, 9), 6) AS val_accuracy, round(round(val_digit_loss, 9), 6) AS val_loss
+FROM hist WHERE epoch = {CLASSES_RUN['epochs']})"""
+
+
+@query("fit_noise_check", _noise_sql("noise", """
+    UNION ALL SELECT vec_id, 64 + i, ('0x' || substr(md5(CAST(vec_id AS VARCHAR) || ':' || CAST(i AS VARCHAR) || '|3'), 1, 8))::BIGINT / 4294967296.0
+    FROM embeddings, range(64) t(i)""") + " UNION ALL " + _noise_sql("zeros", ""))
+def q_fit_noise_check(spark, sf):
+    """Same network on real + noise channels and on real + zero channels; validation accuracy and loss."""
+    emb = read(spark, sf, "embeddings")
+    noise = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: hash_int(F.concat_ws(":", F.col("vec_id").cast("string"), i.cast("string")), 3) / F.lit(4294967296.0))
+    rows = []
+    for variant, extra in (("noise", noise), ("zeros", VX.zeros(64))):
+        x = emb.select("vec_id", "label", VX.vec_concat("embedding", extra).alias("features"))
+        x = holdout_tail(x, "vec_id", fraction=0.2)
+        last = TR.fit(NOISE, x.where("role = 'train'"), "vec_id", x.where("role = 'val'"), **CLASSES_RUN).rows[-1]
+        rows.append((variant, last["val_digit_metric"], last["val_digit_loss"]))
+    out = spark.createDataFrame(rows, "variant string, val_accuracy double, val_loss double")
+    return out.select("variant", rnd("val_accuracy", 6).alias("val_accuracy"), rnd("val_loss", 6).alias("val_loss"))
+
+
+# ------------------------------------------------------------------------------ one layer; a stored model
+
+PLAIN = TR.Network(64, (TR.Head("digit", "classes", "label", 10),), hidden=())
+
+
+def _plain_sql(role: str) -> str:
+    return f"""WITH
+ny AS MATERIALIZED (SELECT vec_id AS rid, label, {role} AS role, {_batch_sql('vec_id', 3, 42)} FROM embeddings),
+nx AS MATERIALIZED (SELECT vec_id AS rid, unnest(range(64)) AS j, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+""" + training_sql(PLAIN, CLASSES_RUN["epochs"], CLASSES_RUN["batches"], CLASSES_RUN["rate"], True)
+
+
+@query("predict_proba", _plain_sql("'train'") + " SELECT rid AS vec_id, CAST(c AS INTEGER) AS class, round(round(p, 9), 6) AS prob FROM p_digit")
+def q_predict_proba(spark, sf):
+    rows = read(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("features"))
+    out = TR.fit(PLAIN, rows, "vec_id", **CLASSES_RUN).predict(rows, ["vec_id"])
+    return out.select("vec_id", F.posexplode("digit").alias("class", "p")).select("vec_id", "class", rnd("p", 6).alias("prob"))
+
+
+@query("sink_model", _plain_sql("""CASE WHEN row_number() OVER (ORDER BY vec_id) - 1 >= count(*) OVER () - CAST(floor(count(*) OVER () * 0.2::DOUBLE) AS BIGINT)
+                    THEN 'val' ELSE 'train' END""") + f"""
+SELECT round(round(metric / n, 9), 6) AS val_accuracy, n AS n_val FROM val{CLASSES_RUN['epochs']}_e_digit""")
+def q_sink_model(spark, sf):
+    """The weights as they are stored after the last epoch, read back and evaluated."""
+    rows = holdout_tail(read(spark, sf, "embeddings"), "vec_id", fraction=0.2)
+    rows = rows.select("vec_id", "label", "role", F.col("embedding").cast("array<double>").alias("features"))
+    path = TR.fit(PLAIN, rows.where("role = 'train'"), "vec_id", **CLASSES_RUN).path
+    weights, _, _ = TR.load_epoch(spark, path, PLAIN, CLASSES_RUN["epochs"])
+    got = TR.Fit(PLAIN, weights).evaluate(rows.where("role = 'val'"))["digit"]
+    return spark.createDataFrame([(got["metric"], got["n"])], "a double, n_val long").select(rnd("a", 6).alias("val_accuracy"), "n_val")

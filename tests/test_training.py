@@ -143,3 +143,30 @@ def test_sparse_equals_dense(spark):
 def test_unknown_optimizer(spark):
     with pytest.raises(ValueError):
         TR.fit(NET, spark.createDataFrame(rows(3), SCHEMA), "key", optimizer="adam")
+
+
+def test_mllib_estimators_fit_and_are_stored(spark):
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    from kiln.operators import models as MD
+    from kiln.session import scratch_path
+    from kiln.sources import sinks as SK
+    df = spark.createDataFrame([(i, [float(i % 2), float(i % 3)], i % 2) for i in range(60)], "id int, v array<double>, label int")
+    x = MD.training_table(MD.assemble(df, ["v"]))
+    model = MD.fit_logistic(x, "label")
+    path = scratch_path(spark, "mllib")
+    SK.save_model(model, path)
+    again = MD.probabilities(SK.load_model(LogisticRegressionModel, path), x, ["id", "label"])
+    assert again.where("class = label AND prob > 0.9").count() == 60
+    assert MD.fit_mlp(x, "label", [2, 3, 2], max_iter=60).transform(x).where("prediction = label").count() == 60
+    x.unpersist()
+
+
+def test_line_without_rows(spark):
+    from kiln.operators import models as MD
+    none = spark.createDataFrame([(None, 1.0, 1)], "a double, b double, y int")
+    rows = MD.linear_gd(none, ["a", "b"], "y", steps=2).collect()
+    assert [tuple(r) for r in rows] == [(1, None, 0.0, 0.0, 0.0), (2, None, 0.0, 0.0, 0.0)]
+    g = MD.gram_sums(none, ["a", "b"], "y")
+    assert MD.decision_boundary(spark, [1.0, 2.0], 0.0, g.low[0], g.high[0]).count() == 0
+    assert MD.decision_boundary(spark, [1.0, 0.0], 0.0, 0.0, 1.0, 3).where("y IS NULL").count() == 3
