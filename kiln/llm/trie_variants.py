@@ -109,40 +109,39 @@ def build_trie(words: DataFrame, start: int) -> list[tuple[DataFrame, DataFrame]
 
 
 def walk(levels: list[tuple[DataFrame, DataFrame]]) -> list[DataFrame]:
-    """Neighbours (word, near), with END, as one table per depth; a pair can come several times."""
+    """Neighbours (word, near), with END, as one table per depth; a pair can come several times. Each
+    branch below is a small expression of its own: one large one would be too long for the JVM to compile."""
     found, frontier = [], None
-    word, pos, edits, letter, label = (F.col(c) for c in ("word", "pos", "edits", "letter", "label"))
+    word, pos, edits, letter = (F.col(c) for c in ("word", "pos", "edits", "letter"))
     rest = lambda shift: F.substring(word, pos + 1 + shift, F.length(word))
+    after = lambda at: F.contains(F.col("nexts"), _next(word, at))
     for edges, starts in levels:
         states = starts if frontier is None else starts.unionByName(frontier)
         met = states.join(broadcast_if_small(edges, MAX_BROADCAST_EDGES), "node")
         on = letter == _next(word, pos)
-        size = F.length("label")
-        ahead = lambda shift: F.contains(F.col("nexts"), _next(word, pos + size + shift))
-        met = met.filter(F.when(edits == 0, on | ahead(-1) | ahead(0) | ahead(1)).otherwise(on & ahead(0)))
         # edges to words: without an edit so far the words on the path are compared, of the others one letter may differ here
-        inside = (_next(word, pos) != END) & (edits == 0)
-        near = lambda when, text: F.when(when & F.array_contains("words", text), text)
-        off_path = F.array_compact(F.array(near(edits == 1, F.concat("node", rest(0))),
-                                           near(inside & (letter != END) & ahead(0), F.concat("node", "letter", rest(1))),
-                                           near((edits == 0) & (letter != END) & ahead(-1), F.concat("node", "letter", rest(0))),
-                                           near(inside & (letter == _next(word, pos + 1)), F.concat("node", rest(1)))))
-        at_words = F.arrays_zip(F.when((edits == 0) & on, F.col("words")).otherwise(off_path), *[F.array().cast(f"array<{t}>") for t in ("string", "int", "int")])
-        at_words = at_words.cast("array<struct<near:string,node:string,pos:int,edits:int>>")
+        at_words = met.filter("words IS NOT NULL")
+        on_path = at_words.filter((edits == 0) & on).select("word", F.explode("words").alias("near"))
+        on_path = on_path.filter((F.abs(F.length("near") - F.length("word")) <= 1) & (F.levenshtein("near", "word", 1) == 1))
+        exact = at_words.filter((edits == 1) & on).select("word", "words", F.concat("node", rest(0)).alias("near"))
+        inside = _next(word, pos) != END
+        off_path = at_words.filter((edits == 0) & (letter != _next(word, pos)) & (after(pos) | after(pos + 1) | (letter == _next(word, pos + 1))))
+        off_path = off_path.select("word", "words", F.explode(F.array(
+            F.when(inside & (letter != END), F.concat("node", "letter", rest(1))), F.when(letter != END, F.concat("node", "letter", rest(0))),
+            F.when(inside, F.concat("node", rest(1))))).alias("near"))
+        matched = exact.unionByName(off_path).filter(F.expr("array_contains(words, near)"))
+        found.append(stored(on_path.unionByName(matched.select("word", "near")), "trie-near"))
         # edges to nodes: the label itself, or one edit away from it
-        to = lambda shift, e: F.struct(F.lit(None).cast("string").alias("near"), F.col("child").alias("node"),
-                                       (pos + size + shift).cast("int").alias("pos"), F.lit(e).alias("edits"))
-        changed = lambda shift: ((edits == 0) & (pos + size + shift < F.length(word)) & ahead(shift)
-                                 & (F.levenshtein(F.substring(word, pos + 1, size + shift), label, 1) == 1))
-        same = F.substring(word, pos + 1, size) == label
-        at_node = F.array_compact(F.array(F.when((edits == 0) & same, to(0, 0)), F.when((edits == 1) & ahead(0) & same, to(0, 1)),
-                                          *[F.when(changed(shift), to(shift, 1)) for shift in (-1, 0, 1)]))
-        out = met.select("word", "edits", F.explode(F.when(F.col("words").isNotNull(), at_words).otherwise(at_node)).alias("x"))
-        out = out.select("word", "x.near", "x.node", "x.pos", F.col("x.edits").alias("next"))
-        out = out.filter(F.col("near").isNull() | ((F.abs(F.length("near") - F.length("word")) <= 1) & (F.levenshtein("near", "word", 1) == 1)))
-        out = stored(out, "trie-walk")
-        found.append(out.filter("near IS NOT NULL").select("word", "near"))
-        frontier = out.filter("near IS NULL").select("word", "pos", "node", F.col("next").alias("edits"))
+        size = F.length("label")
+        inner = met.filter(F.col("child").isNotNull() & ((edits == 0) | on))
+        kept = inner.filter((F.substring(word, pos + 1, size) == F.col("label")) & ((edits == 0) | after(pos + size)))
+        kept = kept.select("word", (pos + size).alias("pos"), F.col("child").alias("node"), "edits")
+        changed = inner.filter((edits == 0) & (after(pos + size - 1) | after(pos + size) | after(pos + size + 1)))
+        changed = changed.select("word", "pos", "child", "label", "nexts", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("shift"))
+        to = pos + size + F.col("shift")
+        changed = changed.filter(after(to) & (to < F.length(word)) & (F.levenshtein(F.substring(word, pos + 1, size + F.col("shift")), "label", 1) == 1))
+        changed = changed.select("word", to.alias("pos"), F.col("child").alias("node"), F.lit(1).alias("edits"))
+        frontier = stored(kept.unionByName(changed), "trie-frontier")
     return found
 
 
