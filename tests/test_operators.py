@@ -689,7 +689,7 @@ def test_positions_of_long_strings_with_outliers(spark):
 
 def test_fit_multi_output_scores_every_document(spark):
     from kiln.plans.fixtures import read
-    from kiln.plans.q_models import q_fit_multi_output
+    from kiln.plans.q_training import q_fit_multi_output
     sf = "/root/testdata/sf0.001"
     ids = {r["doc_id"] for r in read(spark, sf, "documents").select("doc_id").collect()}
     assert read(spark, sf, "labels").count() < len(ids)
