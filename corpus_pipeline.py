@@ -56,7 +56,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality rules", quality_rules), ("n-gram Jaccard join", jaccard_join),
           ("benchmark decontamination", benchmark_decontamination), ("secret scans", secret_scans), ("packing", packing)]
 
-#: Robust fits and tokenisation have no SQL form; the test holds run() against the stages done by brute force.
+#: Robust fits and tokenisation have no SQL form; the test compares run() with the same stages called one by one.
 ORACLE_SQL = None
 
 
