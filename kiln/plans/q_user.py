@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -67,29 +65,14 @@ def q_user_row_parse(spark, sf):
 
 # ------------------------------------------------------------------------------ user_elementwise
 
-_PART_SPLIT = re.compile(r" \+ ")
-_NUM = re.compile(r"([0-9.]+)")
-
-
-def _storage_one(s: str) -> tuple[float, float, float]:
-    kinds = {"ssd": 0.0, "hdd": 0.0, "flash": 0.0}
-    for part in _PART_SPLIT.split((s or "").strip(" ").lower()):
-        m = _NUM.search(part)
-        try:
-            size = float(m.group(1)) if m else 0.0
-        except ValueError:
-            size = 0.0
-        size *= 1024.0 if "tb" in part else 1.0
-        for k in kinds:
-            if k in part:
-                kinds[k] += size
-    return kinds["ssd"], kinds["hdd"], kinds["flash"]
-
-
 def storage_udf(memory: pd.Series) -> pd.DataFrame:
-    """A user's vectorised storage parser with a declared struct output."""
-    vals = [_storage_one(s) for s in memory]
-    return pd.DataFrame(vals, columns=["ssd_gb", "hdd_gb", "flash_gb"])
+    """A user's vectorised storage parser with a declared struct output; null has no parts, so zeros."""
+    memory = memory.reset_index(drop=True)
+    parts = memory.fillna("").str.lower().str.split(" + ", regex=False).explode()
+    size = pd.to_numeric(parts.str.extract(r"([0-9.]+)", expand=False), errors="coerce").fillna(0.0)
+    size = size.where(~parts.str.contains("tb", regex=False), size * 1024.0)
+    kinds = {f"{k}_gb": size.where(parts.str.contains(k, regex=False), 0.0) for k in ("ssd", "hdd", "flash")}
+    return pd.DataFrame(kinds).groupby(level=0).sum().reindex(memory.index, fill_value=0.0)
 
 
 @query("user_elementwise", "WITH " + LAPTOP_RAW_SQL + f"""

@@ -167,3 +167,14 @@ def test_online_line_over_files_and_a_restart(spark, tmp_path):
     assert out.keys() == want.keys() == {"a", "b", None}
     for k in want:
         assert out[k][0] == want[k][0] and all(abs(x - y) < 1e-12 for x, y in zip(out[k][1:], want[k][1:], strict=True))
+
+
+# ------------------------------------------------------------------------------ a vectorised user function
+
+def test_storage_parser_over_a_series():
+    import pandas as pd
+
+    from kiln.plans.q_user import storage_udf
+    got = storage_udf(pd.Series(["128GB SSD +  1TB HDD", None, "", "1.0TB Hybrid", "64GB Flash Storage + 2tb ssd", "1.2.3GB SSD", "SSD"], index=[5, 5, 1, 0, 2, 3, 4]))
+    assert got.values.tolist() == [[128.0, 1024.0, 0.0], [0.0] * 3, [0.0] * 3, [0.0] * 3, [2048.0, 0.0, 64.0], [0.0] * 3, [0.0] * 3]
+    assert storage_udf(pd.Series([], dtype=object)).shape == (0, 3)
