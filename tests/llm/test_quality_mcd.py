@@ -58,3 +58,54 @@ def test_estimate_is_mean_and_covariance_with_ridge(spark):
     d = sorted(r["distance2"] for r in q._with_distance(df, est).collect())
     c = x - x.mean(0)
     assert d == pytest.approx(sorted(np.einsum("ij,jk,ik->i", c, np.linalg.inv(cov), c)), rel=1e-6)
+
+
+def _clean(rng, n, words=3000):
+    return [" ".join(f"word{rng.randrange(words)}" for _ in range(rng.randrange(80, 900))) for _ in range(n)]
+
+
+def test_small_groups_are_judged_by_all_rows_of_the_language_or_table(spark):
+    rng = random.Random(11)
+    junk = lambda: " ".join(f"w{rng.randrange(900)}##$$" for _ in range(200))
+    rows = [(i, t, "en", "big") for i, t in enumerate(_clean(rng, 400))]
+    rows += [(1000 + i, junk(), "en", "junk only") for i in range(6)]         # the language's estimate
+    rows += [(2000 + i, junk(), "xx", "junk only") for i in range(6)]         # the table's estimate
+    rows += [(3000 + i, t, "en", "small") for i, t in enumerate(_clean(rng, 5))]
+    rows += [(4000 + i, t, "yy", None) for i, t in enumerate(_clean(rng, 5))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r["doc_id"] for r in q.robust_quality(df, ["doc_id"]).filter("kept").collect()}
+    assert kept == {i for i, *_ in rows if not 1000 <= i < 3000}
+
+
+def test_estimate_of_least_determinant_is_near_the_brute_force_one(spark):
+    """Clustered outliers; the brute force concentrates from 200 random starts in NumPy. The starts of
+    ``fit_mcd`` reach a determinant as small up to the approximate percentiles."""
+    rng = np.random.default_rng(4)
+    p, ridge = len(q.STATS), np.diag(np.array(q.FLOOR) ** 2)
+    x = np.vstack([rng.normal(size=(240, p)) @ rng.normal(size=(p, p)), rng.normal(size=(60, p)) * 0.3 + 12])
+    keep, best = int(len(x) * q.H), None
+    for _ in range(200):
+        rows = rng.choice(len(x), q.START_ROWS, replace=False)
+        for _ in range(10):
+            m, c = x[rows].mean(0), np.cov(x[rows].T, bias=True) + ridge
+            d = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+            rows = np.argsort(d)[:keep]
+        det = np.linalg.slogdet(np.cov(x[rows].T, bias=True) + ridge)[1]
+        if best is None or det < best[0]:
+            best = det, rows
+    assert best[1].max() < 240
+    df = spark.createDataFrame([("g", *map(float, r)) for r in x], "_g string, " + ", ".join(f"{s} double" for s in q.STATS))
+    est = q.fit_mcd(df)
+    d = sorted((r["distance2"] / r["_scale"], r["x_len"] > 8 and r["x_word"] > 8)
+               for r in q._with_distance(df, est).select("distance2", "_scale", "x_len", "x_word").collect())
+    cut = q.chi2_quantile(1 - q.ALPHA)
+    assert [far for d2, far in d if d2 > cut] == [True] * 60 and not any(far for d2, far in d if d2 <= cut)
+    start = q._starts(df)
+    for step in range(q.TRIALS + q.STEPS):
+        start = q._concentrated(df, start, f"-test{step}")
+    dets = [2 * sum(np.log(r[f"l{i}{i}"]) for i in range(p)) for r in start.collect()]
+    assert len(dets) > 1 and min(dets) < best[0] + 0.25
+
+
+def test_chi_square_quantiles():
+    assert q.chi2_quantile(0.5) == pytest.approx(5.3481, abs=1e-4) and q.chi2_quantile(0.975) == pytest.approx(14.4494, abs=1e-4)
