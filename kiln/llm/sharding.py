@@ -2,7 +2,8 @@
 
 Pass 1 scatters the records uniformly into buckets by a seeded hash of the record and its row number,
 and writes them to a bucketed table in the shared folder: one file per partition, the buckets in it
-one after another. The number of buckets follows from the records' bytes and rows, so that a bucket
+one after another (64 MB each, until the session's most files of a bucketed table are reached; beyond
+that files grow). The number of buckets follows from the records' bytes and rows, so that a bucket
 holds about ``BUCKET_BYTES`` and at most some ``BUCKET_ROWS`` records; a task holds only the buckets
 that are open. Pass 2 reads each bucket where it lies – without another exchange –, puts its records
 in the order of their hash and applies a Fisher-Yates shuffle with draws from the seed, the bucket and
@@ -19,7 +20,7 @@ writes before anything depends on it.
 
 Defined results: null texts have size 8 and the checksum of no bytes (0); repeated rows are records of
 their own; an empty table gives no rows; fewer records than shards leave the last shards empty; extra
-columns travel with the record.
+columns of any type travel with the record.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from kiln.llm.common import scratch_path, stored, whole_row
 BUCKET_BYTES = 1 << 20
 BUCKET_ROWS = 1_000
 GROUP = 4_096
+FILE_ROWS = 100_000     # records of a shard that are written one after another
 
 
 def record_size(text: str = "text") -> Column:
@@ -57,14 +59,17 @@ def shuffled(docs: DataFrame, seed: int = 42, bucket_bytes: int = BUCKET_BYTES,
     spark = docs.sparkSession
     rows, size = docs.agg(F.count("*"), F.sum(record_size())).first()
     buckets = max(-(-rows // bucket_rows), -(-(size or 0) // bucket_bytes), 1)
-    files = min(buckets, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(size or 0) // (64 << 20))))
+    files = min(buckets, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(size or 0) // (64 << 20))),
+                int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
 
-    scatter = docs.select(whole_row(docs), F.xxhash64(F.lit(seed), F.monotonically_increasing_id(), "doc_id").alias("_key"))
+    scatter = docs.select(whole_row(docs), F.monotonically_increasing_id().alias("_number"))
+    scatter = scatter.withColumn("_key", F.xxhash64(F.lit(seed), "_number", "_row.doc_id"))
     scatter = scatter.withColumn("_bucket", F.pmod(F.xxhash64("_key", F.lit(seed)), F.lit(buckets)))
     name = f"scatter_{uuid.uuid4().hex}"
     (scatter.repartition(files, "_bucket").sortWithinPartitions("_bucket").write
      .bucketBy(files, "_bucket").sortBy("_bucket").option("path", scratch_path(spark, name)).saveAsTable(name))
     scatter = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")          # the files stay, the plan has their place and buckets
 
     count = scatter.groupBy("_bucket").agg(F.count("*").alias("n")).withColumn("_group", F.floor(F.col("_bucket") / GROUP))
     groups = count.groupBy("_group").agg(F.sum("n").alias("n"))
@@ -74,10 +79,14 @@ def shuffled(docs: DataFrame, seed: int = 42, bucket_bytes: int = BUCKET_BYTES,
     first = count.select("_group", "_bucket", F.coalesce(F.sum("n").over(within), F.lit(0)).alias("_in"))
     first = stored(first.join(groups, "_group").select("_bucket", (F.col("_ahead") + F.col("_in")).alias("_first")), "shard-first")
 
-    held = scatter.groupBy("_bucket").agg(F.sort_array(F.collect_list(F.struct("_key", "_row"))).alias("_records"))
+    held = scatter.groupBy("_bucket").agg(F.collect_list(F.struct("_key", "_number", "_row")).alias("_records"))
     held = held.join(first, "_bucket")
+    # records need not be comparable: their places are sorted; the one-element array binds the sorted
+    # list to a name so that it is built once
+    order = F.sort_array(F.transform("_records", lambda r, i: F.struct(r["_key"], r["_number"], i.alias("i"))))
     places = _fisher_yates(F.size("_records"), seed, F.col("_bucket"))
-    held = held.select("_first", F.transform(places, lambda j: F.get("_records", j)["_row"]).alias("_shuffled"))
+    held = held.select("_first", F.get(F.transform(F.array(order), lambda o: F.transform(
+        places, lambda j: F.get("_records", F.get(o, j)["i"])["_row"])), F.lit(0)).alias("_shuffled"))
     # (the outer form keeps the optimiser from evaluating the shuffle once more in a filter)
     return held.select((F.posexplode_outer("_shuffled").alias("_at", "_row")), "_first").select(
         "_row", (F.col("_first") + F.col("_at")).alias("_position"))
@@ -92,7 +101,9 @@ def sharded(docs: DataFrame, shards: int = 24, seed: int = 42) -> DataFrame:
     return out.select(*[F.col("_row").getField(c).alias(c) for c in own], "law", "shard", "slot")
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = 24, seed: int = 42) -> None:
-    """Writes the records as Parquet below ``path``, one folder per shard, in slot order within a file."""
+def write_shards(docs: DataFrame, path: str, shards: int = 24, seed: int = 42, file_rows: int = FILE_ROWS) -> None:
+    """Writes the records as Parquet below ``path``, one folder per shard. Each run of ``file_rows`` slots
+    of a shard goes to a task by its hash, so a shard has many writers; files are in slot order."""
     out = sharded(docs, shards, seed)
-    out.repartition(shards, "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    out = out.repartition("shard", F.floor(F.col("slot") / file_rows)).sortWithinPartitions("shard", "slot")
+    out.write.partitionBy("shard").parquet(path)

@@ -41,3 +41,29 @@ def test_written_shards(spark, tmp_path):
     sh.write_shards(spark.createDataFrame(corpus(), "doc_id long, text string"), str(tmp_path / "out"), shards=5)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 60 and back.select("shard").distinct().count() == 5
+
+
+def test_several_writers_of_a_shard_keep_slot_order(spark, tmp_path):
+    path = str(tmp_path / "out")
+    sh.write_shards(spark.createDataFrame(corpus(), "doc_id long, text string"), path, shards=2, file_rows=5)
+    back = spark.read.parquet(path).withColumn("file", F.input_file_name()).withColumn("at", F.col("_metadata.row_index"))
+    rows = back.select("shard", "slot", "file", "at").collect()
+    assert {(r["shard"], r["slot"]) for r in rows} == {(s, i) for s in (0, 1) for i in range(30)}
+    files = collections.defaultdict(list)
+    for r in rows:
+        files[r["file"]].append((r["at"], r["slot"]))
+    assert all([slot for _, slot in sorted(f)] == sorted(slot for _, slot in f) for f in files.values())
+
+
+def test_columns_that_cannot_be_compared_and_few_bucket_files(spark):
+    df = awkward(spark, corpus()).withColumn("meta", F.create_map(F.lit("k"), F.col("lang")))
+    spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "3")
+    try:
+        tables = len(spark.catalog.listTables())
+        got = sh.shuffled(df, bucket_rows=4).select("_position", "_row.doc_id", "_row.meta").collect()
+        assert len(spark.catalog.listTables()) == tables
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.maxBuckets")
+    assert sorted(r["_position"] for r in got) == list(range(70))
+    assert all(set(r["meta"]) == {"k"} for r in got)
+    assert collections.Counter(r["doc_id"] for r in got) == collections.Counter(r["doc_id"] for r in df.collect())
