@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import re
+import sys
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -36,7 +37,8 @@ from kiln.llm.common import broadcast_if_small, slices, stored
 
 LENGTH = 2048
 END_ID = 1
-CACHE = 250_000           # words that a task keeps
+CACHE_BYTES = 64 << 20    # words and ids that a task keeps
+CACHED_WORD = 64          # code points of the longest word that is kept
 MAX_BROADCAST_GROUPS = 200_000
 _UNEVEN = re.compile(r" \s| \Z|<\|")
 
@@ -62,14 +64,21 @@ class Encoder:
 
 
 class _Words(dict):
+    """Ids of words; the short ones are kept until their objects take ``CACHE_BYTES``."""
+
     def __init__(self, ids):
         super().__init__()
-        self.ids = ids
+        self.ids, self.held = ids, 0
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE:
-            self.clear()
-        self[word] = out = array("I", self.ids(" " + word)).tobytes()
+        out = array("I", self.ids(" " + word)).tobytes()
+        if len(word) <= CACHED_WORD:
+            size = sys.getsizeof(word) + sys.getsizeof(out)
+            if self.held + size > CACHE_BYTES:
+                self.clear()
+                self.held = 0
+            self[word] = out
+            self.held += size
         return out
 
 

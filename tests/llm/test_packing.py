@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import collections
 import random
+import sys
 import zlib
 from array import array
 
@@ -77,3 +78,15 @@ def test_histogram_packs_hold_every_length_once():
         assert used == counts
         # like any such packing: at most one more than twice the least number of packs
         assert sum(n for _, n in packs) <= 2 * -(-sum(k * v for k, v in counts.items()) // 100) + 1
+
+
+def test_word_cache_is_bounded_by_bytes_and_keeps_no_long_word(whole, monkeypatch):
+    monkeypatch.setattr(p, "CACHE_BYTES", 20_000)
+    enc, rng = p.Encoder(*tokenizer_paths()), random.Random(3)
+    unspaced = ["".join(rng.choice("漢字仮名交文abcXYZ019+/") for _ in range(4000)) for _ in range(6)]
+    spaced = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(300)) for _ in range(6)]
+    for t in [*unspaced, *spaced, f"{unspaced[0]} {unspaced[1]}"]:
+        assert enc.encode(t) == array("I", whole.encode(t, add_special_tokens=False).ids).tobytes()
+        assert all(len(w) <= p.CACHED_WORD for w in enc.words)
+        assert enc.words.held == sum(sys.getsizeof(w) + sys.getsizeof(i) for w, i in enc.words.items()) <= 20_000
+    assert len(enc.words) > 0
