@@ -10,9 +10,10 @@ its own band and for the next one.
 
 Pigeonhole. Of ``m`` words at least m-d agree. Under one order of (place, value) that both sets
 share, the first d+1 words of the two sketches must then have a common one, so only these are
-joined. The order puts words with many tokens that are rare in the corpus first; words without
-tokens come last. Rarity comes from a count sketch of fixed size over the shingles of all texts; it
-only steers the order, the guarantee holds for any.
+joined. The order goes by the frequency of a word's rarest token, in steps of a factor of two, so a
+passage that many texts share is joined on only by texts with too few rarer words of their own; words
+without tokens come last. Frequencies come from a count sketch over the shingles of all texts, whose
+size follows the corpus (up to ``MAX_CELLS``); it only steers the order, the guarantee holds for any.
 
 Candidates and verification. Sets that are equal are one class. Words travel packed (8 bytes each)
 to the partition of their hash. Two rounds verify each class against one centre: of each word's
@@ -33,7 +34,8 @@ Classes are named by 64-bit set hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +46,9 @@ from kiln.llm.common import broadcast_if_small, slices, stored
 from kiln.llm.components import connected_components
 from kiln.llm.hashing import mix, shingle_sets
 
-COUNTERS = 1 << 18        # cells of the count sketch: 2 MB whatever the corpus
+MIN_CELLS, MAX_CELLS = 1 << 18, 1 << 24  # cells of the count sketch; half a byte each where it is shipped
+BYTES_PER_CELL = 64       # text bytes behind one cell, between these bounds
+CHUNK = 1 << 16           # cells in a row of the sketch
 BYTES_PER_PART = 12 << 20  # text bytes behind one partition of packed words
 SALTS = 64
 MAX_BROADCAST_IDS = 500_000
@@ -93,33 +97,55 @@ def _texts(col: pa.Array) -> list[bytes]:
     return [x or b"" for x in col.cast(pa.binary()).to_pylist()]
 
 
-def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _classes(cells: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """doc rows -> (doc_id, n, class, parity bits, parity words), and at the end the task's count sketch in rows
-    of (null, -1 - chunk, null, null, counts)."""
-    counts = np.zeros(COUNTERS, np.int64)
+    of (null, -1 - chunk, null, packed counts, null)."""
+    shift = _U(65 - cells.bit_length())
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("bits", pa.binary()),
-                        ("counts", pa.list_(pa.int64()))])
-    for batch in slices(batches):
-        sets = shingle_sets(_texts(batch.column("text")))
-        for s in sets:
-            counts += np.bincount((s >> _U(46)).astype(np.int64), minlength=COUNTERS) if len(s) > COUNTERS // 8 else 0
-            if len(s) <= COUNTERS // 8:
-                np.add.at(counts, (s >> _U(46)).astype(np.int64), 1)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-             pa.array([_class_of(s) for s in sets], pa.int64()), pa.array([parity_bits(s) for s in sets], pa.binary()),
-             pa.array([parity_words(s) for s in sets], pa.list_(pa.int64()))], schema=schema)
-    step = 1 << 12
-    if counts.any():
-        parts = [counts[i:i + step].tolist() for i in range(0, COUNTERS, step)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(parts), pa.int64()), pa.array([-1 - i for i in range(len(parts))], pa.int64()),
-             pa.nulls(len(parts), pa.int64()), pa.nulls(len(parts), pa.binary()), pa.array(parts, pa.list_(pa.int64()))], schema=schema)
+                        ("words", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(cells, np.uint32)
+        for batch in slices(batches):
+            sets = shingle_sets(_texts(batch.column("text")))
+            for s in sets:
+                np.add.at(counts, (s >> shift).astype(np.int64), np.uint32(1))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([_class_of(s) for s in sets], pa.int64()), pa.array([parity_bits(s) for s in sets], pa.binary()),
+                 pa.array([parity_words(s) for s in sets], pa.list_(pa.int64()))], schema=schema)
+        for i in range(0, cells, CHUNK):
+            if (part := counts[i:i + CHUNK]).any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(1, pa.int64()), pa.array([-1 - i // CHUNK], pa.int64()), pa.nulls(1, pa.int64()),
+                     pa.array([zlib.compress(np.minimum(part, 255).astype(np.uint8).tobytes(), 1)], pa.binary()),
+                     pa.nulls(1, pa.list_(pa.int64()))], schema=schema)
+    return run
+
 
+def _grades(mean: float, unit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Counts of chunks -> (n, grades): 0 for a cell that holds at most ``unit`` texts beyond the mean,
+    one more for each doubling (at most 14), two to a byte."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for n, part in zip(batch.column("n").to_pylist(), batch.column("bits").to_pylist(), strict=True):
+                counts = np.frombuffer(zlib.decompress(part), np.uint8)
+                sums[n] = sums[n] + counts if n in sums else counts.astype(np.int64)
+        for n, counts in sums.items():
+            beyond = np.maximum(counts - int(mean), 0) // unit
+            grade = np.minimum(np.frexp(beyond.astype(float))[1], 14).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([(grade[::2] << 4 | grade[1::2]).tobytes()], pa.binary())],
+                                             names=["n", "grades"])
+    return run
+
+
+NO_TOKEN = 15             # the grade of a word without tokens
 
-def sketch_words(s: np.ndarray, band: int, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the words of ``s`` that the join of ``band`` needs, and which of them hold no rare
-    token. ``hot``: per token, whether it is frequent."""
+
+def sketch_words(s: np.ndarray, band: int, grades: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the words of ``s`` that the join of ``band`` needs, and the grade of the rarest token of
+    each. ``grades``: per token, how frequent it is (0 to 14)."""
     low, high = int(BOUNDS[band]), int(BOUNDS[band + 1]) - 1
     n = len(s)
     d = (n + min(high, 4 * n // 3)) // 7
@@ -128,24 +154,25 @@ def sketch_words(s: np.ndarray, band: int, hot: np.ndarray) -> tuple[np.ndarray,
     place = ((t >> _U(32)) * _U(m)) >> _U(32)
     order = np.argsort(place, kind="stable")
     at, first, size = np.unique(place[order], return_index=True, return_counts=True)
-    rare = np.add.reduceat((~hot[order]).astype(np.int64), first)
-    words, many, rares = np.zeros(m, _U), np.zeros(m, np.int64), np.zeros(m, np.int64)
+    words, many, rares, rarest = np.zeros(m, _U), np.zeros(m, _U), np.zeros(m, _U), np.full(m, NO_TOKEN, _U)
     words[at] = np.bitwise_xor.reduceat(mix(t)[order], first)
-    many[at], rares[at] = size, rare
+    rarest[at] = np.minimum.reduceat(grades[order], first)
+    many[at], rares[at] = size, np.add.reduceat((grades[order] == 0).astype(np.int64), first)
     key = mix(words ^ mix(np.arange(m, dtype=_U) + _U(band) * _U(1 << 32)))
-    rank = (_U(1023) - np.minimum(rares, 1023).astype(_U)) << _U(54)
-    rank |= (_U(1023) - np.minimum(many, 1023).astype(_U)) << _U(44)
-    rank |= key >> _U(20)
+    rank = rarest << _U(59) | (_U(1023) - np.minimum(rares, _U(1023))) << _U(49)
+    rank |= (_U(1023) - np.minimum(many, _U(1023))) << _U(39) | key >> _U(25)
     take = np.argpartition(rank, d)[:d + 1] if d + 1 < m else np.arange(m)
-    return key[take], rares[take] == 0
+    return key[take], rarest[take]
 
 
-def _packed_words(parts: int, hot_cells: bytes):
+def _packed_words(parts: int, packed: bytes, frequent: int):
     """docs -> (part, keys, owners, classes): the words of a batch of texts, packed by partition.
     keys: the upper 32 bits of each word; owners: the class's index in ``classes``, its highest
-    bit set for words without rare tokens, which are dealt by class as well."""
+    bit set for words whose tokens all have the grade ``frequent`` or more, which are dealt by class as well."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.unpackbits(np.frombuffer(hot_cells, np.uint8)).astype(bool)
+        pairs = np.frombuffer(packed, np.uint8)
+        cells = np.stack((pairs >> 4, pairs & 15), axis=1).ravel()
+        shift = _U(65 - len(cells).bit_length())
         for batch in slices(batches, 1_000):
             keys, owners, common, names, seen = [], [], [], [], {}
             for s in shingle_sets(_texts(batch.column("text"))):
@@ -153,12 +180,12 @@ def _packed_words(parts: int, hot_cells: bytes):
                     continue
                 seen[c] = len(names)
                 names.append(c)
-                hot = cells[(s >> _U(46)).astype(np.int64)]
+                grades = cells[(s >> shift).astype(np.int64)]
                 home = int(np.searchsorted(BOUNDS, len(s), side="right")) - 1
                 for band in (home, home + 1):
-                    k, plain = sketch_words(s, band, hot)
+                    k, rarest = sketch_words(s, band, grades)
                     keys.append(k)
-                    common.append(plain)
+                    common.append(rarest >= frequent)
                     owners.append(np.full(len(k), seen[c], np.uint32))
             if not names:
                 continue
@@ -184,7 +211,7 @@ def _packed_words(parts: int, hot_cells: bytes):
 
 def _shared_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Packed words of some partitions -> (word, class, size) for words that two classes share;
-    of words without rare tokens, which other sub-groups may share too, every row."""
+    of words of frequent tokens, which other sub-groups may share too, every row."""
     part, key, cls, flag = [], [], [], []
     for b in batches:
         for p, k, o, c in zip(*(b.column(x).to_pylist() for x in ("part", "keys", "owners", "classes")), strict=True):
@@ -275,27 +302,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    both = stored(docs.mapInArrow(_classes, "doc_id long, n long, class long, bits binary, counts array<long>"), "parity-classes")
-    own = both.filter("n >= 0").select("doc_id", "n", "class")
-    cells = (both.filter("n < 0").select("n", F.posexplode("counts").alias("i", "c"))
-             .groupBy("n", "i").agg(F.sum("c").alias("c")).filter("c > 0"))
-    total, texts = cells.agg(F.sum("c")).first()[0] or 0, own.count()
-    # a cell is hot when it holds 0.2 % of the texts beyond the mean; at most some 500 cells a
-    # token of a mean text can be, and the flags are COUNTERS bits
-    least = total / COUNTERS * 4 + max(texts // 500, 8)
-    hot = np.zeros(COUNTERS, bool)
-    for n, i in cells.filter(F.col("c") > least).select("n", "i").collect():
-        hot[(-1 - n) * (1 << 12) + i] = True
-
     chars = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), chars // BYTES_PER_PART)
-    packed = docs.mapInArrow(_packed_words(parts, np.packbits(hot).tobytes()),
+    cells = min(max(MIN_CELLS, 1 << (chars // BYTES_PER_CELL).bit_length()), MAX_CELLS)
+    both = stored(docs.mapInArrow(_classes(cells), "doc_id long, n long, class long, bits binary, words array<long>"), "parity-classes")
+    own = both.filter("n >= 0").select("doc_id", "n", "class")
+    total, texts = own.agg(F.sum("n"), F.count("*")).first()
+    # a grade above 0 means four standard deviations of chance beyond the mean of a cell, or 4 texts
+    mean = (total or 0) / cells
+    unit = max(4, int(4 * mean ** 0.5) + 1)
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chunks = cells // CHUNK
+    grades = np.zeros((chunks, CHUNK // 2), np.uint8)     # cells / 2 bytes, 8 MB at most
+    sketch = both.filter("n < 0").select("n", "bits").repartition(min(chunks, default), "n")
+    for n, row in sketch.mapInArrow(_grades(mean, unit), "n long, grades binary").collect():
+        grades[-1 - n] = np.frombuffer(row, np.uint8)
+    # words are split over sub-groups when their tokens stand in about 0.2 % of the texts
+    frequent = min((max(texts // 500, 8 * unit) // unit).bit_length(), NO_TOKEN)
+
+    parts = max(default, chars // BYTES_PER_PART)
+    packed = docs.mapInArrow(_packed_words(parts, grades.tobytes(), frequent),
                              "part int, keys binary, owners binary, classes binary")
     shared = packed.repartition(parts, "part").mapInArrow(_shared_words, "word long, class long, size long")
     shared = stored(shared, "parity-shared")
 
     members = stored(both.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"),
-                                                                     F.first("counts").alias("words")),
+                                                                     F.first("words").alias("words")),
                      "parity-members")
     degree = shared.groupBy("class").agg(F.sum("size").alias("degree"))
     rows = stored(shared.select("word", "class").join(degree, "class"), "parity-rows")
