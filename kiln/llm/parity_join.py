@@ -16,7 +16,7 @@ without tokens come last. Frequencies come from a count sketch over the shingles
 size follows the corpus (up to ``MAX_CELLS``); it only steers the order, the guarantee holds for any.
 
 Candidates and verification. Sets that are equal are one class. Words travel packed (8 bytes each)
-to the partition of their hash. Two rounds verify each class against one centre: of each word's
+to the partition of their hash, and words that the same classes share become one. Two rounds verify each class against one centre: of each word's
 classes the centre is the one whose words are shared most (an original before its copies), in round
 2 the best one outside the first centre's component; what links is contracted. Then, for words whose
 classes are still in several components, pairs from different components are joined under the size
@@ -51,6 +51,7 @@ BYTES_PER_CELL = 64       # text bytes behind one cell, between these bounds
 CHUNK = 1 << 16           # cells in a row of the sketch
 BYTES_PER_PART = 12 << 20  # text bytes behind one partition of packed words
 SALTS = 64
+MAX_LIST = 4096           # classes in one row; words with more take a row for each
 MAX_BROADCAST_IDS = 500_000
 
 _U = np.uint64
@@ -209,9 +210,25 @@ def _packed_words(parts: int, packed: bytes, frequent: int):
     return run
 
 
+def _grouped(cls: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the groups ``cls[first[i]:first[i] + size[i]]`` (sorted) one of each equal several: (first, size, how many).
+    Groups are compared by two 64-bit sums of their members' hashes."""
+    if not len(first):
+        return first, size, size
+    at = np.repeat(first - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
+    starts = np.concatenate(([0], np.cumsum(size)[:-1]))
+    names = cls[at].view(_U)
+    x, y = (np.add.reduceat(mix(names ^ _U(seed)), starts) for seed in (0x2545F4914F6CDD1D, 0x9E3779B97F4A7C15))
+    order = np.lexsort((size, y, x))
+    x, y, first, size = x[order], y[order], first[order], size[order]
+    new = np.flatnonzero(np.concatenate(([True], (x[1:] != x[:-1]) | (y[1:] != y[:-1]) | (size[1:] != size[:-1]))))
+    return first[new], size[new], np.diff(np.append(new, len(x)))
+
+
 def _shared_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed words of some partitions -> (word, class, size) for words that two classes share;
-    of words of frequent tokens, which other sub-groups may share too, every row."""
+    """Packed words of some partitions -> (word, classes, weight). Words that the same two or more classes
+    share are one row (null, those classes, number of words). Rows (word, one class, size) stand for words
+    with over ``MAX_LIST`` classes and for words of frequent tokens, which other sub-groups may share too."""
     part, key, cls, flag = [], [], [], []
     for b in batches:
         for p, k, o, c in zip(*(b.column(x).to_pylist() for x in ("part", "keys", "owners", "classes")), strict=True):
@@ -231,14 +248,26 @@ def _shared_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     word, cls, flag = word[keep], cls[keep], flag[keep]
     first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
     size = np.diff(np.append(first, len(word)))
-    size = np.repeat(size, size)
-    keep = (size > 1) | flag
+    single = np.logical_or.reduceat(flag, first)
+    listed = ~single & (size > 1) & (size <= MAX_LIST)
+    names = ["word", "classes", "weight"]
+    start, length, weight = _grouped(cls, first[listed], size[listed])
+    for i in range(0, len(start), 1 << 14):
+        z = length[i:i + (1 << 14)]
+        ends = np.concatenate(([0], np.cumsum(z)))
+        at = np.repeat(start[i:i + (1 << 14)] - ends[:-1], z) + np.arange(ends[-1])
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(len(z), pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(cls[at])),
+             pa.array(weight[i:i + (1 << 14)], pa.int64())], names=names)
     # sub-groups of one word differ in the partition; the key alone names them
-    for i in range(0, int(keep.sum()), 1 << 16):
-        at = np.flatnonzero(keep)[i:i + (1 << 16)]
+    rest = np.flatnonzero(flag | np.repeat(~listed & (size > 1), size))
+    size = np.repeat(size, size)
+    for i in range(0, len(rest), 1 << 16):
+        at = rest[i:i + (1 << 16)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.where(flag[at], -1 - (word[at] & 0xFFFFFFFF), word[at])), pa.array(cls[at]), pa.array(size[at])],
-            names=["word", "class", "size"])
+            [pa.array(np.where(flag[at], -1 - (word[at] & 0xFFFFFFFF), word[at])),
+             pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1), pa.int32()), pa.array(cls[at])),
+             pa.array(size[at], pa.int64())], names=names)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,14 +351,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     parts = max(default, chars // BYTES_PER_PART)
     packed = docs.mapInArrow(_packed_words(parts, grades.tobytes(), frequent),
                              "part int, keys binary, owners binary, classes binary")
-    shared = packed.repartition(parts, "part").mapInArrow(_shared_words, "word long, class long, size long")
+    words = stored(packed.repartition(parts, "part").mapInArrow(_shared_words, "word long, classes array<long>, weight long"), "parity-words")
+    # words that the same classes share, as copies of a long text do by the hundred, are one word with a weight
+    lists = words.filter("word is null").groupBy("classes").agg(F.sum("weight").alias("weight"))
+    lists = lists.select(F.xxhash64("classes").alias("word"), F.explode("classes").alias("class"), "weight",
+                         (F.size("classes") * F.col("weight")).alias("size"))
+    shared = lists.unionByName(words.filter("word is not null").select(
+        "word", F.col("classes")[0].alias("class"), F.lit(1).cast("long").alias("weight"), F.col("weight").alias("size")))
     shared = stored(shared, "parity-shared")
 
     members = stored(both.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"),
                                                                      F.first("words").alias("words")),
                      "parity-members")
     degree = shared.groupBy("class").agg(F.sum("size").alias("degree"))
-    rows = stored(shared.select("word", "class").join(degree, "class"), "parity-rows")
+    rows = stored(shared.select("word", "class", "weight").join(degree, "class"), "parity-rows")
 
     edges = comp = None
     for turn in (1, 2):
@@ -341,7 +376,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             of = of.join(of.groupBy("word").agg(F.max_by("comp", F.struct("degree", "class")).alias("top")), "word")
             centre = of.filter("comp <> top").groupBy("word").agg(F.max(F.struct("degree", "class", "comp")).alias("c"))
         stars = of.join(centre, "word").filter("comp <> c.comp")
-        stars = stars.groupBy("class", F.col("c.class").alias("centre")).agg(F.count("*").alias("k"), F.max("c.degree").alias("g"))
+        stars = stars.groupBy("class", F.col("c.class").alias("centre")).agg(F.sum("weight").alias("k"), F.max("c.degree").alias("g"))
         best = stars.groupBy("class").agg(F.max_by("centre", F.struct("k", "g", "centre")).alias("centre"))
         pairs = best.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct()
         more = _verify(docs, members, pairs, f"parity-{turn}")

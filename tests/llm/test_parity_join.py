@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 from helpers import awkward, corpus, empty
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -94,6 +95,25 @@ def test_shingle_sets_follow_the_words():
     assert [len(s) // 8 for s in sets] == [len(x) for x in want]
 
 
+def test_words_of_the_same_classes_become_one(monkeypatch):
+    def packed(rows):                             # rows of (key, class index, frequent)
+        key, own, plain = (np.array(x, np.uint32) for x in zip(*rows, strict=True))
+        return pa.RecordBatch.from_pydict({"part": [3], "keys": [key.tobytes()], "owners": [(own | plain << np.uint32(31)).tobytes()],
+                                           "classes": [np.array([10, -20, 30, 40], np.int64).tobytes()]})
+    rows = [(1, 0, 0), (1, 1, 0), (2, 1, 0), (2, 0, 0), (2, 0, 0), (3, 0, 0), (3, 1, 0), (3, 2, 0), (4, 3, 0),
+            (5, 2, 1), (6, 0, 1), (6, 1, 0), (6, 2, 0)]
+    got = [tuple(r.values()) for b in p._shared_words(iter([packed(rows[:5]), packed(rows[5:])])) for r in b.to_pylist()]
+    lists = {tuple(c): n for w, c, n in got if w is None}
+    assert lists == {(-20, 10): 2, (-20, 10, 30): 1}
+    # a key that words of rare and of frequent tokens happen to share keeps its rows
+    assert sorted((w, *c, n) for w, c, n in got if w is not None) == sorted(
+        [(-6, 30, 1), (-7, 10, 3), (3 << 32 | 6, -20, 3), (3 << 32 | 6, 30, 3)])
+    monkeypatch.setattr(p, "MAX_LIST", 2)         # a word with more classes takes a row for each
+    long = [tuple(r.values()) for b in p._shared_words(iter([packed(rows[:9])])) for r in b.to_pylist()]
+    assert sorted((tuple(c), n) for w, c, n in long if w is None) == [((-20, 10), 2)]
+    assert sorted((w, *c, n) for w, c, n in long if w is not None) == [(3 << 32 | 3, c, 3) for c in (-20, 10, 30)]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50, 99)] + [(3, 1), (3, 7), (200, 100), (5, 5)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
