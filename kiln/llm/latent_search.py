@@ -13,7 +13,8 @@
 4. Exact candidates, whatever the rank and the weights: an item's rarest words by block count, frequent
    ones too if it has no others, are its signature. As a match lacks at most the share
    1 - ``LCS_PARAPHRASE`` of the words, a part of the signature must stand in the text around a match;
-   every passage whose surroundings hold it is a candidate, so that no match is lost.
+   every passage whose surroundings hold it is a candidate, so that no match is lost. For the same
+   reason candidates of step 3 whose surroundings lack it are left out of step 5.
 5. Candidates are checked on the words: the longest common subsequence of the item and the document
    around the passage must hold ``LCS_SURE`` of the item's words, or ``LCS_PARAPHRASE`` together with
    the answer – the item's ``answer`` column, else its last ``ANSWER`` share of words – found to
@@ -186,10 +187,9 @@ def singular_vectors(z: np.ndarray, omega: np.ndarray, rank: int) -> np.ndarray:
 def lcs_length(item: dict[int, int], words: list[int]) -> int:
     """Longest common subsequence; ``item`` maps each word to the bits of its places."""
     v = full = (1 << item[-1]) - 1
-    for w in words:
-        if m := item.get(w, 0):
-            u = v & m
-            v = ((v + u) | (v - u)) & full
+    for m in filter(None, map(item.get, words)):
+        u = v & m
+        v = ((v + u) | (v - u)) & full
     return item[-1] - v.bit_count()
 
 
@@ -221,7 +221,10 @@ class Signatures:
             chosen = order[:last + 1]
             postings.setdefault(size, []).append((own[chosen], times[chosen], i, int(held[last]) - lacking))
         self.classes = []
+        self.reach = np.array([-(-len(ws) // BLOCK) for _, ws, _ in items], np.int64)
+        self.size = np.zeros(len(items), np.int64)
         for size, rows in sorted(postings.items()):
+            self.size[[i for _, _, i, _ in rows]] = size
             term = np.concatenate([t for t, _, _, _ in rows])
             order = np.argsort(term, kind="stable")
             item = np.repeat(np.arange(len(rows)), [len(t) for t, _, _, _ in rows])[order]
@@ -261,11 +264,21 @@ class Signatures:
                     yield doc_at, int(low + s - first[doc_at]) * size, size, int(items[i])
 
 
-def _exact(signatures: Signatures, places: list, items: list, term: np.ndarray, block: np.ndarray, first_block: np.ndarray,
+    def possible(self, segments: list[tuple[int, int, int, int]], first_block: np.ndarray, own: np.ndarray,
+                 passage: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Which of the pairs (passage, item) have their surroundings in one of ``segments``, as ``find``
+        gave them: no other pair can reach ``LCS_PARAPHRASE``."""
+        doc = np.searchsorted(first_block, own[passage], side="right") - 1
+        begin = np.maximum(own[passage] - first_block[doc] - self.reach[item], 0) // self.size[item] * self.size[item]
+        held = np.array([(first_block[d] + at) * len(self.size) + i for d, at, _, i in segments], np.int64)
+        return np.isin((first_block[doc] + begin) * len(self.size) + item, held)
+
+
+def _exact(segments: list[tuple[int, int, int, int]], places: list, items: list, first_block: np.ndarray,
            own: np.ndarray, first: np.ndarray, h: np.ndarray) -> Iterator[tuple[int, int]]:
     """(passage, item) for the passages whose surroundings may hold the item, from the segments
     that do: a segment's longest common subsequence is no shorter than that of any part of it."""
-    for doc, at, size, i in signatures.find(term, block, first_block):
+    for doc, at, size, i in segments:
         n = len(items[i][1])
         segment = h[first[doc] + at * BLOCK:min(first[doc] + (at + 2 * size) * BLOCK, first[doc + 1])].tolist()
         if lcs_length(places[i][0], segment) < LCS_PARAPHRASE * n:
@@ -302,8 +315,12 @@ def _search(hashes: np.ndarray, idf: np.ndarray, row: np.ndarray, table: np.ndar
                 own, y = _passage_sums(table[row[term[weighted]]], block[weighted], first_block)
                 size = np.sqrt(np.einsum("ij,ij->i", y, y))
                 score = (y / np.maximum(size, 1e-6)[:, None]) @ latent.T
-                near = zip(*np.nonzero((score >= cosine) & (size > 1e-6)[:, None]), strict=True)
-                exact = _exact(signatures, places, items, term, block, first_block, own, first, h)
+                # a passage whose surroundings lack an item's signature needs no comparison word by word
+                segments = list(signatures.find(term, block, first_block))
+                p, i = np.nonzero((score >= cosine) & (size > 1e-6)[:, None])
+                held = signatures.possible(segments, first_block, own, p, i)
+                near = zip(p[held], i[held], strict=True)
+                exact = _exact(segments, places, items, first_block, own, first, h)
                 for p, i in sorted({(int(p), int(i)) for both in (near, exact) for p, i in both}):
                     doc = int(np.searchsorted(first_block, own[p], side="right")) - 1
                     item, words, answer = items[i]

@@ -39,6 +39,38 @@ def test_items_in_blocks(spark, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == {(i, i) for i in range(9)}
 
 
+def test_latent_candidates_without_the_signature_are_not_compared_word_by_word():
+    import numpy as np
+    rng = random.Random(8)
+    common = [f"c{k}" for k in range(12)]
+
+    def prose(n, rare):
+        return [rng.choice(common) if rng.random() < 0.5 else f"w{rng.randrange(rare)}" for _ in range(n)]
+
+    wanted = [prose(rng.randrange(8, 70), 3000) for _ in range(20)]
+    texts = [prose(rng.randrange(1, 400), 3000) for _ in range(40)]
+    for k, ws in enumerate(wanted):
+        texts[k][rng.randrange(len(texts[k])):0] = changed(rng, ws, rng.choice([0.0, 0.3, 0.4]))
+    (_, h, first), = s.hashed_words([" ".join(t).encode() for t in texts])
+    hashed = [next(s.hashed_words([" ".join(ws).encode()]))[1] for ws in wanted]
+    items = [(k, [int(x) for x in ws], [int(x) for x in ws[-3:]]) for k, ws in enumerate(hashed)]
+    hashes = np.unique(np.concatenate(hashed))
+    at, term = s.Terms(hashes).find(h)
+    block, first_block = s._blocks(first, at)
+    own, _ = s._passage_sums(np.zeros((len(at), 1), np.float32), block, first_block)
+    marks = s.Signatures(items, hashes, np.bincount(term, minlength=len(hashes)))
+    p, i = (x.ravel() for x in np.indices((len(own), len(items))))
+    held = marks.possible(list(marks.find(term, block, first_block)), first_block, own, p, i)
+    matches = np.zeros(len(p), bool)
+    for n, (a, b) in enumerate(zip(p.tolist(), i.tolist(), strict=True)):
+        doc = int(np.searchsorted(first_block, own[a], side="right")) - 1
+        start, ws = int(first[doc] + (own[a] - first_block[doc]) * s.BLOCK), items[b][1]
+        around = h[max(start - len(ws), first[doc]):min(start + s.SPAN * s.BLOCK + len(ws), first[doc + 1])].tolist()
+        matches[n] = s.lcs_length(s._places(ws), around) >= s.LCS_PARAPHRASE * len(ws)
+    assert matches.sum() >= 20 and held[matches].all()               # no match is lost
+    assert held.sum() < 0.3 * len(held)                              # and most pairs are ruled out
+
+
 def test_longest_common_subsequence():
     rng = random.Random(1)
     for _ in range(200):
