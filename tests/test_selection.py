@@ -89,6 +89,27 @@ def test_block_products_equal_brute_force(spark, monkeypatch):
     assert PR.dot_products(left, "i", "v", right.limit(0), "j", "w", k=2).count() == 0
 
 
+def test_largest_products_leave_a_task_once_per_left_row(spark, monkeypatch):
+    monkeypatch.setattr(PR, "BLOCK", 64)
+    monkeypatch.setattr(PR, "HELD", 100)
+    rng = np.random.default_rng(6)
+    rows = [(int(i) // 2, v.tolist()) for i, v in enumerate(rng.integers(-2, 3, (700, 5)).astype(float))]      # ids come twice
+    rows += [(5_000 + i, [1.0] * 5) for i in range(300)] + [(6_000 + i, [float(i % 3), 1.0]) for i in range(90)]   # copies; another length
+    df = spark.createDataFrame(rows, "i long, v array<double>").repartition(4)
+    got = {}
+    for r in PR.dot_products(df, "i", "v", df, "i", "v", k=3).collect():
+        got.setdefault(r["a"], []).append((r["rank"], r["dot"], r["b"]))
+    want = {}
+    for i, v in rows:
+        want.setdefault(i, []).extend((-float(np.dot(v, w)), j) for j, w in rows if len(w) == len(v))
+    assert {i: sorted(g) for i, g in got.items()} == {i: [(n + 1, -d, j) for n, (d, j) in enumerate(sorted(p)[:3])] for i, p in want.items()}
+    best = PR._Best(np.arange(2), np.array([[1.0], [-1.0]]), 2)
+    for start in (0, 4, 8):                                              # NaN is the largest, as in the window's order
+        best.add(np.arange(start, start + 4), np.array([[1.0], [np.nan if start == 4 else 2.0], [0.0], [-3.0]]), start != 4)
+    assert best.row.tolist() == [0, 0, 1, 1] and best.other.tolist() == [5, 1, 5, 3]
+    assert len(best.rows()) == 4                                         # not k rows per left row and right block
+
+
 def test_more_centroids_than_literals(spark, monkeypatch):
     from kiln.plans import q_metrics, q_vectors
     sf = "/root/testdata/sf0.001"
