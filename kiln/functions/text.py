@@ -8,6 +8,9 @@ regroups per document in token order. Sequences stay sparse: multi-hot is the so
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +42,7 @@ def word_index(df: DataFrame, text: str, num_words: int | None = None) -> DataFr
 # A word index up to this many entries is shipped to the tasks and looked up in place (no shuffle
 # of tokens); larger ones go through the explode → join → regroup path.
 IN_TASK_LOOKUP_MAX = 250_000
+PIECE = 1 << 17          # list entries that a task looks up at a time
 
 
 def _bounded_rows(index: DataFrame, index_rows: int | None) -> list | None:
@@ -50,6 +54,18 @@ def _bounded_rows(index: DataFrame, index_rows: int | None) -> list | None:
     return rows if len(rows) <= IN_TASK_LOOKUP_MAX else None
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], most: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """Batches of (key, list) in pieces of about ``most`` list entries, one row at least, so that what a task
+    makes of one at a time stays small whatever the batch and the texts are like."""
+    for b in batches:
+        ends = b.column(1).offsets.to_numpy()
+        i = 0
+        while i < b.num_rows:
+            j = max(i + 1, int(np.searchsorted(ends, ends[i] + most, side="right")) - 1)
+            yield b.slice(i, j - i)
+            i = j
+
+
 def encode(df: DataFrame, key: str, text: str, index: DataFrame, num_words: int, out: str = "sequence",
            index_rows: int | None = None) -> DataFrame:
     """Text → [START] + word ids (rank + 3, or OOV when rank + 3 >= num_words).
@@ -72,7 +88,7 @@ def encode(df: DataFrame, key: str, text: str, index: DataFrame, num_words: int,
             # Arrow kernels end to end: one hash lookup for all tokens of a batch, lists rebuilt
             # from the original offsets; no Python object per token.
             import pyarrow.compute as pc
-            for b in batches:
+            for b in _pieces(batches):
                 lists = b.column(1)
                 pos = pc.index_in(lists.flatten(), value_set=words)
                 mapped = pc.fill_null(pc.take(ids, pos), OOV)
@@ -116,7 +132,7 @@ def decode(df: DataFrame, key: str, seq: str, index: DataFrame, out: str = "deco
 
         def _decode(batches):
             import pyarrow.compute as pc
-            for b in batches:
+            for b in _pieces(batches):
                 lists = b.column(1)
                 flat = lists.flatten()
                 inside = pc.and_(pc.greater_equal(flat, 0), pc.less_equal(flat, top))

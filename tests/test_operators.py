@@ -233,6 +233,15 @@ def test_multi_hot_and_sequences(spark):
     assert list(v.indices) == [5, 8] and v.size == 10
 
 
+def test_encoding_looks_up_few_tokens_at_a_time(spark):
+    import pyarrow as pa
+    lists = pa.array([[1] * n for n in (3, 0, 500, 2, 2, 0, 7, 1)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.concat_arrays([lists, pa.array([[]], lists.type)])], names=["k", "s"])
+    pieces = list(TX._pieces(iter([batch.slice(1), batch.slice(3, 0)]), 5))
+    assert all(p.num_rows == 1 or len(p.column(1).flatten()) <= 5 for p in pieces)
+    assert pa.Table.from_batches(pieces).equals(pa.Table.from_batches([batch.slice(1)]))
+
+
 def test_vectors(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0, 3.0, 4.0], 2)], "k long, v array<double>, y int")
     r = df.select(VX.argmax("v").alias("a"), VX.one_hot("y", 4).alias("o"), VX.vec_mean("v").alias("m"),
