@@ -20,7 +20,8 @@ to the partition of their hash, and words that the same classes share become one
 classes the centre is the one whose words are shared most (an original before its copies), in round
 2 the best one outside the first centre's component; what links is contracted. Then, for words whose
 classes are still in several components, pairs from different components are joined under the size
-and parity bounds. So a large group of copies costs as many pairs as it has texts. Every candidate
+and parity bounds. Near copies share hundreds of words, so there the words that have most classes in the
+same component count as one if that makes no more pairs. So a large group of copies costs as many pairs as it has texts. Every candidate
 first compares parity bits (2 to 4 a token), whose Hamming distance bounds |AΔB| from below as well,
 and is then verified on the whole sets. Words made of frequent tokens only, which very many texts may
 share, are split over ``SALTS`` sub-groups; centres are grouped maxima, so no word's classes meet in
@@ -327,6 +328,21 @@ def _open(rows: DataFrame, comp: DataFrame) -> DataFrame:
     return named.join(words, "word", "left_semi")
 
 
+def _merged(rows: DataFrame) -> DataFrame:
+    """Rows (word, class, comp) with the words that have most classes in the same component made one, where
+    that leaves no more pairs of different components than the words have each for itself. All pairs that share
+    a word still do, and near copies that share hundreds are one pair."""
+    apart = F.pow(F.sum("k"), F.lit(2)) - F.sum(F.col("k") * F.col("k"))          # twice the pairs
+    words = rows.groupBy("word", "comp").agg(F.count("*").cast("double").alias("k")).groupBy("word")
+    words = stored(words.agg(F.max_by("comp", F.struct("k", "comp")).alias("top"), apart.alias("pairs")), "parity-tops")
+    named = rows.join(words.select("word", "top"), "word")
+    once = named.select("top", "class", "comp").distinct().groupBy("top", "comp").agg(F.count("*").cast("double").alias("k"))
+    fewer = once.groupBy("top").agg(apart.alias("merged")).join(
+        words.groupBy("top").agg(F.sum("pairs").alias("pairs"), F.min("word").alias("to")), "top")
+    fewer = fewer.filter("merged <= pairs").select("top", "to")
+    return named.join(fewer, "top", "left").select(F.coalesce("to", "word").alias("word"), "class", "comp").distinct()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -384,8 +400,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         comp = stored(connected_components(edges), f"parity-cc{turn}")
 
     # what is left: pairs of different components that share a word and pass the bounds
-    left = _open(rows, comp).select("word", "class", "comp").distinct()
+    left = _merged(stored(_open(rows, comp).select("word", "class", "comp").distinct(), "parity-open"))
     left = left.join(members.select("class", "n", *[F.get("words", F.lit(i)).alias(f"w{i}") for i in range(8)]), "class")
+    left = stored(left, "parity-left")
     other = left.select(*[F.col(c).alias(f"o_{c}") for c in left.columns])
     apart = sum((F.bit_count(F.col(f"w{i}").bitwiseXOR(F.col(f"o_w{i}"))) for i in range(1, 8)),
                 F.bit_count(F.col("w0").bitwiseXOR(F.col("o_w0"))))

@@ -114,6 +114,28 @@ def test_words_of_the_same_classes_become_one(monkeypatch):
     assert sorted((w, *c, n) for w, c, n in long if w is not None) == [(3 << 32 | 3, c, 3) for c in (-20, 10, 30)]
 
 
+def test_words_of_one_leading_component_are_joined_once(spark):
+    rng = random.Random(5)
+    comp = {c: c if c % 4 else 0 for c in range(300)}                     # every fourth class is in component 0
+    family = [(w, c, comp[c]) for w in range(50) for c in range(40) if rng.random() < 0.8]
+    loose = [(100 + w, c, comp[c]) for w in range(60) for c in rng.sample(range(40, 300), 4)]
+    hub = [(1000 + w, c, comp[c]) for w in range(80) for c in (999, 41 + 4 * (w % 60) - w % 2)
+           if comp.setdefault(c, c) is not None]                            # words of one class with many others
+
+    def pairs(rows):
+        by = {}
+        for w, c, k in rows:
+            by.setdefault(w, set()).add((c, k))
+        return [(a[0], b[0]) for x in by.values() for a in x for b in x if a < b and a[1] != b[1]]
+    for rows in (family, family + loose + hub, loose, hub):
+        got = [tuple(r) for r in p._merged(spark.createDataFrame(rows, "word long, class long, comp long")).collect()]
+        assert len(got) == len(set(got)) and {r[1:] for r in got} == {r[1:] for r in rows}
+        assert set(pairs(rows)) <= set(pairs(got)) and len(pairs(got)) <= len(pairs(rows))
+        if rows is family:                                                  # one row a class, one pair for each two classes
+            assert sorted(r[1] for r in got) == list(range(40)) and len(pairs(rows)) > 20 * len(pairs(got))
+    assert p._merged(spark.createDataFrame([], "word long, class long, comp long")).count() == 0
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50, 99)] + [(3, 1), (3, 7), (200, 100), (5, 5)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
